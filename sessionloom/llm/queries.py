@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from sessionloom.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from sessionloom.llm.sentencepiece_codec import op1_sentencepiece
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op9_exact_dedup": op9_exact_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_exact_dedup": OP9_SQL,
+}
