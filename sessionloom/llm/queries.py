@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from sessionloom.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from sessionloom.llm.packing import op10_packing
 from sessionloom.llm.sentencepiece_codec import op1_sentencepiece
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_packing": op10_packing,
 }
 
 ORACLE: dict[str, str] = {
