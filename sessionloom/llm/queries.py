@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from sessionloom.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from sessionloom.llm.jaccard_join import op3_jaccard_join
 from sessionloom.llm.packing import op10_packing
 from sessionloom.llm.sentencepiece_codec import op1_sentencepiece
 from sessionloom.llm.token_counts import op6_token_counts
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_jaccard_join": op3_jaccard_join,
     "op6_token_counts": op6_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
