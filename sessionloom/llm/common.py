@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,3 +68,16 @@ def text_slices(texts: list, most_chars: int = 2_000_000):
         total += n
     if start < len(texts):
         yield start, len(texts)
+
+
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]):
+    """Session settings that hold inside the block; what runs there must be an action."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sessionloom.llm.embedding_join import op2_embedding_near_dup
 from sessionloom.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from sessionloom.llm.jaccard_join import op3_jaccard_join
 from sessionloom.llm.packing import op10_packing
@@ -10,6 +11,7 @@ from sessionloom.llm.token_counts import op6_token_counts
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_embedding_near_dup": op2_embedding_near_dup,
     "op3_jaccard_join": op3_jaccard_join,
     "op6_token_counts": op6_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
