@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from sessionloom.llm.embedding_join import op2_embedding_near_dup
 from sessionloom.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from sessionloom.llm.html_text import OP8_SQL, op8_html_text
 from sessionloom.llm.jaccard_join import op3_jaccard_join
 from sessionloom.llm.packing import op10_packing
 from sessionloom.llm.sentencepiece_codec import op1_sentencepiece
@@ -14,10 +15,12 @@ QUERIES = {
     "op2_embedding_near_dup": op2_embedding_near_dup,
     "op3_jaccard_join": op3_jaccard_join,
     "op6_token_counts": op6_token_counts,
+    "op8_html_text": op8_html_text,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
 }
 
 ORACLE: dict[str, str] = {
+    "op8_html_text": OP8_SQL,
     "op9_exact_dedup": OP9_SQL,
 }
