@@ -24,12 +24,14 @@ from pyspark.sql import functions as F
 
 from sessionloom.llm.common import ASCII_SPACE, cut, fresh_path, table
 
-#: Disk-backed state with bounded memory for all stores of an executor.
+#: Disk-backed state with bounded memory for all stores of an executor; a store is closed after its commit, since each open
+#: one holds several MB of files besides its data.
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 
