@@ -9,18 +9,24 @@ from sessionloom.llm.jaccard_join import op3_jaccard_join
 from sessionloom.llm.packing import op10_packing
 from sessionloom.llm.sentencepiece_codec import op1_sentencepiece
 from sessionloom.llm.token_counts import op6_token_counts
+from sessionloom.llm.url_filter import OP5_SQL, op5_url_filter
+from sessionloom.llm.warc_revisits import OP7_SQL, op7_warc_revisits
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_embedding_near_dup": op2_embedding_near_dup,
     "op3_jaccard_join": op3_jaccard_join,
+    "op5_url_filter": op5_url_filter,
     "op6_token_counts": op6_token_counts,
+    "op7_warc_revisits": op7_warc_revisits,
     "op8_html_text": op8_html_text,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_url_filter": OP5_SQL,
+    "op7_warc_revisits": OP7_SQL,
     "op8_html_text": OP8_SQL,
     "op9_exact_dedup": OP9_SQL,
 }
