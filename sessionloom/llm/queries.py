@@ -6,6 +6,7 @@ from sessionloom.llm.embedding_join import op2_embedding_near_dup
 from sessionloom.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from sessionloom.llm.html_text import OP8_SQL, op8_html_text
 from sessionloom.llm.jaccard_join import op3_jaccard_join
+from sessionloom.llm.language_id import op4_language_id
 from sessionloom.llm.packing import op10_packing
 from sessionloom.llm.sentencepiece_codec import op1_sentencepiece
 from sessionloom.llm.token_counts import op6_token_counts
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_embedding_near_dup": op2_embedding_near_dup,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_language_id": op4_language_id,
     "op5_url_filter": op5_url_filter,
     "op6_token_counts": op6_token_counts,
     "op7_warc_revisits": op7_warc_revisits,
