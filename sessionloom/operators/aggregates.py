@@ -55,8 +55,8 @@ def redundancy(rows: DataFrame, first: Column, second: Column) -> DataFrame:
 
 def overlap_ratio(rows: DataFrame, keys: list[str], stream: str, at: str, streams_needed: int = 2) -> DataFrame:
     """Shared time of a group's streams over their whole time: 0 where they don't meet, null with fewer streams."""
-    each = rows.groupBy(*keys, stream).agg(F.min(at).alias("s"), F.max(at).alias("e"))
-    shared, whole = F.greatest(F.lit(0.0), F.min("e") - F.max("s")), F.max("e") - F.min("s")
+    each = rows.groupBy(*keys, stream).agg(F.min(at).alias("_s"), F.max(at).alias("_e"))
+    shared, whole = F.greatest(F.lit(0.0), F.min("_e") - F.max("_s")), F.max("_e") - F.min("_s")
     return each.groupBy(*keys).agg(F.count(F.lit(1)).alias("streams"), F.when(F.count(F.lit(1)) >= streams_needed, F.round(F.coalesce(F.try_divide(shared, whole), F.lit(0.0)), 6)).alias("overlap"))
 
 

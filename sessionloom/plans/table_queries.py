@@ -387,3 +387,151 @@ def upsert_overwrite(spark, d):
 def size_format(spark, d):
     s = F.col("n_chars") * 1000
     return table(spark, d, "documents").select("doc_id", X.format_size(s).alias("size"), X.hours_minutes(s).alias("hm"))
+
+
+# --- streams over the events table, run to the end of what is there ---
+
+
+def _events_stream(spark, d):
+    from sessionloom.streaming import watch
+
+    schema = table(spark, d, "events").schema
+    return watch.file_stream(spark, d, schema, "events.parquet")
+
+
+def _shared(spark: SparkSession) -> str:
+    """A folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    import tempfile
+    import uuid
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-stream-")
+    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+
+
+@query("SELECT DISTINCT user_id FROM events")
+def stream_dedupe(spark, d):
+    from sessionloom.streaming import watch
+
+    out = _shared(spark)
+    watch.drain(watch.never_twice(_events_stream(spark, d).select("user_id"), ["user_id"]), lambda b, k: b.write.mode("overwrite").parquet(f"{out}/data/batch={k}"), f"{out}/state")
+    return spark.read.parquet(f"{out}/data").select("user_id")
+
+
+@query("SELECT event_type, count(*) AS n, round(sum(value), 2) AS total, max(value) AS largest FROM events GROUP BY 1")
+def stream_running_kpi(spark, d):
+    from sessionloom.streaming import watch
+
+    out = _shared(spark)
+    watch.drain(watch.running_totals(_events_stream(spark, d), "event_type", "value"), lambda b, k: b.write.mode("overwrite").parquet(f"{out}/data"), f"{out}/state", "complete")
+    return spark.read.parquet(f"{out}/data").select("event_type", "n", F.round("total", 2).alias("total"), "largest")
+
+
+@query("""WITH e AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events), l AS (SELECT 'u' || user_id AS name, k * 30.0 AS observed_at, k // 3 AS size FROM e WHERE k <= 12),
+g AS (SELECT name, size, min(observed_at) AS since, max(observed_at) AS last FROM l GROUP BY 1, 2) SELECT name, CAST(size AS BIGINT) AS size, CAST(since AS DOUBLE) AS since FROM g WHERE last - since >= 60""")
+def stability_gate(spark, d):
+    """Each user's first twelve events as listings 30 seconds apart of a file that grows with every third."""
+    from pyspark.sql import Window
+
+    from sessionloom.streaming import watch
+
+    k = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    seen = table(spark, d, "events").withColumn("k", k).where("k <= 12").select(F.concat(F.lit("u"), "user_id").alias("name"), F.floor(F.col("k") / 3).alias("size"), F.lit(0.0).alias("mtime"), (F.col("k") * 30.0).alias("observed_at"))
+    out = _shared(spark)
+    seen.write.parquet(f"{out}/seen")
+    stream = spark.readStream.schema(spark.read.parquet(f"{out}/seen").schema).parquet(f"{out}/seen")
+    watch.drain(watch.stability_gate(stream, 60.0), lambda b, i: b.write.mode("overwrite").parquet(f"{out}/data/batch={i}"), f"{out}/state")
+    return spark.read.parquet(f"{out}/data").select("name", "size", "since")
+
+
+# --- order-dependent operators on bounded groups ---
+
+
+@query("""WITH RECURSIVE o AS (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders),
+r AS (SELECT o_custkey, o_orderkey, k, o_totalprice <= 400000 AS taken, CASE WHEN o_totalprice <= 400000 THEN o_totalprice ELSE 0 END AS total FROM o WHERE k = 1
+  UNION ALL SELECT o.o_custkey, o.o_orderkey, o.k, total + o_totalprice <= 400000, CASE WHEN total + o_totalprice <= 400000 THEN total + o_totalprice ELSE total END FROM o JOIN r ON o.o_custkey = r.o_custkey AND o.k = r.k + 1)
+SELECT o_custkey, o_orderkey FROM r WHERE taken""")
+def skip_capacity(spark, d):
+    from sessionloom.operators.grouped import skip_capacity as run
+
+    return run(table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), "o_custkey", "o_orderkey", "o_totalprice", 400_000.0).select("o_custkey", "o_orderkey")
+
+
+@query()
+def diverse_sample(spark, d):
+    from sessionloom.operators.grouped import diverse_sample as run
+
+    return run(table(spark, d, "events").select("user_id", "event_id", "value"), "user_id", "value", "event_id", 5)
+
+
+def _two_series(spark, d, a: str, b: str):
+    e = table(spark, d, "events").withColumn("t", seconds("ts") / 86_400)
+    return e.where(F.col("event_type").isin(a, b)).select("user_id", F.col("event_type").alias("series"), "t", F.col("value").alias("v"))
+
+
+@query()
+def best_lag(spark, d):
+    from sessionloom.operators.grouped import best_lag as run
+
+    return run(_two_series(spark, d, "purchase", "click"), "user_id", "purchase", "click", 0.5, 3.0)
+
+
+@query()
+def gripper_flow(spark, d):
+    from sessionloom.operators.grouped import gripper_flow_check as run
+
+    rows = _two_series(spark, d, "purchase", "click").withColumn("series", F.when(F.col("series") == "purchase", "gripper").otherwise("flow"))
+    return run(rows, "user_id", 0.25, 2.0, 45)
+
+
+# --- composites ---
+
+
+@query("""WITH s AS (SELECT o_orderkey AS session, o_totalprice, (o_orderkey % 40) / 10.0::DOUBLE AS drift, CASE WHEN o_orderkey % 7 > 0 THEN 1000.0 ELSE 0.0 END AS expected, CAST(o_orderkey % 90 AS DOUBLE) AS gap, CAST(o_orderkey % 11 AS DOUBLE) AS drops, o_orderkey % 13 > 0 AS sync_ok, (o_orderkey % 17) / 100.0::DOUBLE AS delta, o_orderstatus = 'P' AS failed FROM orders),
+c AS (SELECT *, round(round(greatest(0, 100 - 5 * drift), 6), 1) AS sync, round(round(CASE WHEN expected > 0 THEN greatest(0, 100 - 1.5 * (100 * gap / expected) - least(0.2 * (100 * drops / expected), 10)) ELSE 50 END, 6), 1) AS fps,
+  round(round(CASE WHEN sync_ok THEN greatest(0, 100 - 200 * delta) ELSE greatest(0, 20 - 100 * delta) END, 6), 1) AS cam_sensor FROM s),
+t AS (SELECT *, CASE WHEN failed THEN 0.0 ELSE round(round(0.40 * sync + 0.35 * fps + 0.25 * cam_sensor, 6), 1) END AS score FROM c)
+SELECT session, sync, fps, cam_sensor, CAST(score AS DOUBLE) AS score, """ + grade_sql("score") + " AS grade FROM t")
+def light_score(spark, d):
+    from sessionloom.plans.sessions import light_score as run
+
+    k = F.col("o_orderkey")
+    rows = table(spark, d, "orders").select(
+        k.alias("session"), ((k % 40) / 10.0).alias("max_drift"), F.when(k % 7 > 0, 1000.0).otherwise(0.0).alias("expected_frames"), (k % 90).cast("double").alias("gap_frames"), (k % 11).cast("double").alias("queue_drops"),
+        (k % 13 > 0).alias("sync_ok"), ((k % 17) / 100.0).alias("sync_delta"), F.when(F.col("o_orderstatus") == "P", F.array(F.lit("x"))).alias("errors"),
+    )
+    return run(rows).select("session", "sync", "fps", "cam_sensor", "score", "grade")
+
+
+@query("""WITH s AS (SELECT o_orderkey AS session, o_orderkey % 9 = 0 AS delivered, o_orderkey % 5 > 0 AS a, o_orderkey % 7 > 0 AS b, o_orderkey % 4 AS findings, o_orderkey % 11 = 0 AS anomaly, o_orderkey % 6 = 0 AS issue FROM orders),
+t AS (SELECT *, CASE WHEN a AND b AND findings = 0 AND NOT anomaly THEN 'OK' ELSE 'ANOMALY' END AS status FROM s)
+SELECT session, status, CASE WHEN delivered THEN 'skip_move' WHEN status = 'OK' AND NOT issue THEN 'send' WHEN status = 'OK' THEN 'hold' ELSE 'quarantine' END AS action FROM t""")
+def post_pipeline(spark, d):
+    from sessionloom.plans.sessions import post_pipeline as run
+
+    k = F.col("o_orderkey")
+    rows = table(spark, d, "orders").select(k.alias("session"), (k % 9 == 0).alias("delivered"), F.lit(False).alias("error"), (k % 5 > 0).alias("integrity_ok"), (k % 7 > 0).alias("sync_ok"), (k % 4).alias("findings"), (k % 11 == 0).alias("charuco_anomaly"), F.lit("same").alias("lr_verdict"), F.when(k % 6 == 0, F.array(F.lit("x"))).alias("issues"))
+    return run(rows).select("session", "status", "action")
+
+
+@query("""WITH s AS (SELECT o_orderkey AS session_id, o_orderdate AS started_at, CAST(o_totalprice AS BIGINT) AS size FROM orders WHERE o_orderkey % 3 = 0), f AS (SELECT s_suppkey AS k, printf('d%05d', s_suppkey) AS u, CAST(1000000 + s_suppkey * 1000 AS BIGINT) AS free FROM supplier),
+h AS (SELECT u, sum(free) OVER (ORDER BY u) AS e, sum(free) OVER (ORDER BY u) - free AS b FROM f), r AS (SELECT *, sum(size) OVER (ORDER BY started_at, session_id ROWS UNBOUNDED PRECEDING) AS t FROM s)
+SELECT session_id, 'ssd' AS source, '/mnt/' || u AS target, CASE WHEN u IS NULL THEN 'wait' ELSE 'copy' END AS action FROM r LEFT JOIN h ON t - size >= b AND t <= e""")
+def replication_plan(spark, d):
+    from sessionloom.plans.sessions import replication_plan as run
+
+    s = table(spark, d, "orders").where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("session_id"), F.col("o_orderdate").alias("started_at"), F.col("o_totalprice").cast("long").alias("size_bytes"), F.lit("S").alias("ssd_disk_uuid"), F.lit(None).cast("string").alias("hdd_disk_uuid"))
+    h = table(spark, d, "supplier").select(F.format_string("d%05d", "s_suppkey").alias("disk_uuid"), F.concat(F.lit("/mnt/"), F.format_string("d%05d", "s_suppkey")).alias("mount_path"), F.lit("HDD").alias("disk_type"), (1_000_000 + F.col("s_suppkey") * 1000).cast("long").alias("free_bytes"))
+    ssd = spark.createDataFrame([("S", "ssd", "SSD", 0)], "disk_uuid string, mount_path string, disk_type string, free_bytes long")
+    return run(s, h.union(ssd))
+
+
+@query("""WITH k AS (SELECT c_custkey, 'session_20240' || (1 + c_custkey % 3) || '15_' || lpad(CAST(c_custkey % 24 AS VARCHAR), 2, '0') || lpad(CAST(c_custkey % 3600 // 60 AS VARCHAR), 2, '0') || lpad(CAST(c_custkey % 60 AS VARCHAR), 2, '0') AS name, c_custkey % 24 AS h, c_custkey % 3 AS m, c_custkey % 4 AS rig, CAST(1000 + c_custkey AS BIGINT) AS size FROM customer),
+v AS (SELECT *, sum(size) OVER (ORDER BY name ROWS UNBOUNDED PRECEDING) AS total FROM k WHERE m = 1 AND h >= 7 AND rig = 2 AND c_custkey % 5 > 0) SELECT name, size AS size_bytes FROM v WHERE total <= 60000""")
+def daily_batch(spark, d):
+    from sessionloom.plans.sessions import daily_batch as run
+
+    k = F.col("c_custkey")
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    name = F.concat(F.lit("session_20240"), (1 + k % 3).cast("string"), F.lit("15_"), two(k % 24), two(F.floor(k % 3600 / 60)), two(k % 60))
+    rows = table(spark, d, "customer").select(name.alias("name"), F.concat(F.lit("RIG-"), (k % 4).cast("string")).alias("rig_code"), F.lit(None).cast("string").alias("rig_id"), F.lit("none").alias("operator"), (k % 5 > 0).alias("valid"), (1000 + k).cast("long").alias("size_bytes"))
+    return run(rows, "2024-02-15", 2, cap_bytes=60_000).select("name", "size_bytes")
