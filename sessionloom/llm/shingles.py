@@ -59,7 +59,7 @@ def shingle_sets(texts: list[str | None], words: int = WORDS) -> tuple[np.ndarra
     full = here + words <= last
     total = np.zeros(n, U)
     for k in range(words):
-        total[: n - k] += word[k:] * _PLACE[k]
+        total[: max(n - k, 0)] += word[k:] * _PLACE[k]
     short = np.flatnonzero((per_text > 0) & (per_text < words))
     keep = full.copy()
     for k in range(words - 1):
