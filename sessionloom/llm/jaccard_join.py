@@ -3,17 +3,22 @@
 A document is the set of its distinct five-word shingles (64-bit hashes). Two documents link when the intersection is at
 least 75 % of the union. Pairs are found exactly, never all of a group:
 
-1. Equal sets form a class; its smallest doc_id stands for it. The same pass adds up a count sketch of all shingles
-   (2^20 counters, fixed size), which gives one global order of shingles, rare ones first.
+1. Equal sets form a class; its smallest doc_id stands for it. The same pass gives each set its size and a bitmap of 2,048
+   bits or more, and adds up a count sketch of all shingles (2^20 counters, fixed size), which gives one global order of
+   shingles, rare ones first.
 2. Linked sets share a shingle among the first n - ceil(0.75 n) + 1 of that order. These prefixes are dealt by shingle
    range, packed as arrays; a shingle that a map batch holds several times goes out once, with the batch's other
    holders as pairs, so a shingle in very many documents sends one entry for each batch. Each shingle in two or more
    documents gives incidences (shingle, holder, hub), the hub being the smallest holder.
-3. Each document is verified against its smallest hub on whole sets, and linked documents are contracted.
-4. Shingles whose holders still lie in different components go to signature trees: holders are grouped by shingle and
-   size band (large groups in blocks); nodes hold the OR of 1,024-bit bitmaps and size ranges; two trees are traversed
-   together, and node pairs are pruned by the largest possible overlap against the overlap their sizes need, or when
-   both nodes lie in one component. The pairs left are verified on whole sets.
+3. Pairs of holder and hub that sizes and bitmaps don't exclude are verified on whole sets, and linked documents are
+   contracted.
+4. Shingles with three or more holders that still lie in different components go to signature trees: holders are grouped by shingle
+   and size band (large groups in blocks; of shingles with the same holders one is taken); nodes hold the OR of the
+   bitmaps and size ranges; two trees are traversed together, and node pairs are pruned by the largest possible overlap
+   against the overlap their sizes need, or when both nodes lie in one component. Of likely links among the pairs left a
+   spanning forest is verified on whole sets, and every pair whose ends it doesn't join. If a link
+   that was counted on fails, this step is repeated from the components found, at last for all pairs left; so no link is
+   lost, and a group of m near copies costs about m pairs, not m squared.
 
 Broadcasts: the sketch, and id filters of 8 MB, all of fixed size. Texts are read twice or three times and never shuffled; sets are
 shuffled for candidates only.
@@ -41,7 +46,11 @@ SKETCH_BITS = 20
 SLICES = 16
 BUCKET_SHINGLES = 300_000
 BLOCK = 1024
-SIGNATURE = 16  # 64-bit words
+SIGNATURE = 32  # 64-bit words
+GROUP_ROWS = 4000
+PART_ROWS = 40_000
+#: Estimated overlap over needed overlap from which a pair counts as a likely link, by round; the last round leaves nothing out.
+LIKELY = (1.0, 1.1, math.inf)
 FANOUT = 8
 SLICE_CHARS = 4_000_000
 
@@ -51,8 +60,23 @@ def _needed(size_sum, percent: int):
     return -((-percent * size_sum) // (100 + percent))
 
 
+def _signatures(h: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Bitmaps of the sets h[at[k]:at[k + 1]]: SIGNATURE words, doubled until there are two bits for each shingle."""
+    n, base = np.diff(at), 64 * SIGNATURE
+    width = base << np.maximum(0, np.ceil(np.log2(np.maximum(2 * n, 1) / base))).astype(np.int64)
+    start = np.append(0, np.cumsum(width))
+    owner = np.repeat(np.arange(n.size), n)
+    flags = np.zeros(start[-1], np.uint8)
+    flags[start[owner] + (h & (width[owner] - 1).astype(U)).astype(np.int64)] = 1
+    packed, cuts = np.packbits(flags).tobytes(), (start // 8).tolist()
+    return pa.array([packed[x:y] for x, y in zip(cuts, cuts[1:], strict=False)], pa.binary())
+
+
+PROFILE = ["doc_id", "n", "s1", "s2", "slice", "signature"]
+
+
 def _profiles(docs: DataFrame) -> DataFrame:
-    """doc rows (doc_id, n, s1, s2: a 128-bit digest of the set) and sketch rows (slice, blob of counters)."""
+    """doc rows (doc_id, n, s1, s2: a 128-bit digest of the set, signature) and sketch rows (slice, signature: a blob of counters)."""
     width = (1 << SKETCH_BITS) // SLICES
 
     def run(batches):
@@ -64,13 +88,13 @@ def _profiles(docs: DataFrame) -> DataFrame:
                 sketch += np.bincount(h >> U(64 - SKETCH_BITS), minlength=sketch.size)
                 a, x = np.append(U(0), np.cumsum(mix(h ^ U(0x5851F42D4C957F2D)))), np.append(U(0), np.cumsum(mix(h + U(0x14057B7EF767814F))))
                 n = hi - lo
-                yield pa.RecordBatch.from_arrays([ids[lo:hi], pa.array(np.diff(at)), pa.array(np.diff(a[at]).view(np.int64)), pa.array(np.diff(x[at]).view(np.int64)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=["doc_id", "n", "s1", "s2", "slice", "blob"])
+                yield pa.RecordBatch.from_arrays([ids[lo:hi], pa.array(np.diff(at)), pa.array(np.diff(a[at]).view(np.int64)), pa.array(np.diff(x[at]).view(np.int64)), pa.nulls(n, pa.int32()), _signatures(h, at)], names=PROFILE)
         if sketch.any():
             none = pa.nulls(SLICES, pa.int64())
             blobs = [sketch[k * width : (k + 1) * width].astype(np.int32).tobytes() for k in range(SLICES)]
-            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())], names=["doc_id", "n", "s1", "s2", "slice", "blob"])
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())], names=PROFILE)
 
-    return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, slice int, blob binary")
+    return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, slice int, signature binary")
 
 
 def _sketch(profiles: DataFrame) -> np.ndarray:
@@ -84,7 +108,7 @@ def _sketch(profiles: DataFrame) -> np.ndarray:
                 total[s] = total.get(s, 0) + np.frombuffer(blob, np.int32 if len(blob) == 4 * width else np.int64)
         yield pa.RecordBatch.from_pydict({"slice": pa.array(total, pa.int32()), "blob": pa.array([v.astype(np.int64).tobytes() for v in total.values()], pa.binary())})
 
-    rows = profiles.where("slice is not null").select("slice", "blob").repartition(SLICES, "slice").mapInArrow(add, "slice int, blob binary").toArrow()  # SLICES rows
+    rows = profiles.where("slice is not null").select("slice", F.col("signature").alias("blob")).repartition(SLICES, "slice").mapInArrow(add, "slice int, blob binary").toArrow()  # SLICES rows
     out = np.zeros(1 << SKETCH_BITS, np.int64)
     for s, blob in zip(rows.column("slice").to_pylist(), rows.column("blob").to_pylist(), strict=True):
         out[s * width : (s + 1) * width] += np.frombuffer(blob, np.int64)
@@ -165,7 +189,7 @@ def _incidences(docs: DataFrame, reps: DataFrame, sketch: np.ndarray, buckets: i
 
 
 def _sets(docs: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """id, n, signature, hashes (ascending, 8 bytes each) of the documents that ids may name."""
+    """id, n, hashes (ascending, 8 bytes each) of the documents that ids may name."""
     rows, passing = _filtered(docs, ids, column)
 
     def run(batches):
@@ -175,13 +199,43 @@ def _sets(docs: DataFrame, ids: DataFrame, column: str) -> DataFrame:
             ids, texts = ids[ok], [t for t, k in zip(texts, ok.tolist(), strict=True) if k]
             for lo, hi in text_slices(texts, SLICE_CHARS):
                 h, at = shingle_sets(texts[lo:hi])
-                bits = np.zeros(((hi - lo), SIGNATURE), U)
-                owner = np.repeat(np.arange(hi - lo), np.diff(at))
-                place = (h % U(64 * SIGNATURE)).astype(np.int64)
-                np.bitwise_or.at(bits, (owner, place >> 6), U(1) << (place & 63).astype(U))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi]), pa.array(np.diff(at)), pa.array([x.tobytes() for x in bits], pa.binary()), pa.array([h[x:y].tobytes() for x, y in zip(at, at[1:], strict=False)], pa.binary())], names=["id", "n", "signature", "hashes"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi]), pa.array(np.diff(at)), pa.array([h[x:y].tobytes() for x, y in zip(at, at[1:], strict=False)], pa.binary())], names=["id", "n", "hashes"])
+
+    return rows.mapInArrow(run, "id long, n long, hashes binary").where("n > 0")
 
-    return rows.mapInArrow(run, "id long, n long, signature binary, hashes binary").where("n > 0")
+
+def _folded(blob: bytes, size: int) -> bytes:
+    """The bitmap with fewer bits: halves are put on each other, as places are taken modulo the width."""
+    while len(blob) > size:
+        x = np.frombuffer(blob, U)
+        blob = (x[: x.size // 2] | x[x.size // 2 :]).tobytes()
+    return blob
+
+
+def _bits(blobs: list[bytes], size: int = 8 * SIGNATURE) -> np.ndarray:
+    return np.frombuffer(b"".join([_folded(x, size) for x in blobs]), U).reshape(len(blobs), size // 8)
+
+
+def _possible(pairs: DataFrame, every: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and bitmaps (at the width both have) allow a link."""
+
+    def run(batches):
+        for batch in batches:
+            n, m = (batch.column(k).to_numpy() for k in (2, 4))
+            x, y = batch.column(3).to_pylist(), batch.column(5).to_pylist()
+            size = np.array([min(len(p), len(q)) for p, q in zip(x, y, strict=True)], np.int64)
+            ok = np.zeros(size.size, bool)
+            for z in np.unique(size).tolist():
+                k = np.flatnonzero(size == z)
+                u, v = _bits([x[i] for i in k], z), _bits([y[i] for i in k], z)
+                count = lambda bits: np.bitwise_count(bits).sum(1, dtype=np.int64)
+                slack = np.minimum(n[k] - count(u), m[k] - count(v))
+                ok[k] = count(u & v) + slack >= _needed(n[k] + m[k], percent)
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(ok)) for k in (0, 1)], names=["a", "b"])
+
+    side = lambda x: every.select(F.col("doc_id").alias(x), F.col("n").alias(f"{x}_n"), F.col("signature").alias(f"{x}_bits"))
+    met = pairs.join(side("a"), "a").join(side("b"), "b").where(f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)")
+    return met.select("a", "b", "a_n", "a_bits", "b_n", "b_bits").mapInArrow(run, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -205,6 +259,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return two.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _linked(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    return cut(_verified(pairs, cut(_sets(docs, ids, "id"), "jaccard-sets"), percent), "jaccard-links")
+
+
 class _Tree:
     """A signature tree over holders sorted by size: levels of nodes with OR bitmaps, size ranges and components."""
 
@@ -240,8 +299,52 @@ def _surviving(s: _Tree, t: _Tree, percent: int) -> tuple[np.ndarray, np.ndarray
         i, j = i[inside], j[inside]
 
 
-def _tree_pairs(held: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b), a < b, from holders (token, id, n, comp, signature) of shingles that join components."""
+def _spanning(comp_a: np.ndarray, comp_b: np.ndarray, likeness: np.ndarray, likely: float) -> np.ndarray:
+    """Which of the pairs to verify, and which of these were counted on.
+
+    Of likely links only a spanning forest of the components is taken, the likeliest first; every other pair is taken if
+    its ends are still apart. Returns 0 (left out), 1 (taken), 2 (taken, and others were left out because of it).
+    """
+    nodes, place = np.unique(np.concatenate([comp_a, comp_b]), return_inverse=True)
+    u, v = place[: comp_a.size], place[comp_a.size :]
+    label, out = np.arange(nodes.size), np.zeros(comp_a.size, np.int8)
+    sure = np.flatnonzero(likeness >= likely)
+    sure = sure[np.argsort(-likeness[sure], kind="stable")]
+    while True:
+        open_pairs = sure[label[u[sure]] != label[v[sure]]]
+        if not open_pairs.size:
+            break
+        # each component takes its likeliest link to another one
+        ends = np.concatenate([label[u[open_pairs]], label[v[open_pairs]]])
+        rank = np.tile(np.arange(open_pairs.size), 2)
+        order = np.lexsort((rank, ends))
+        first = np.append(True, ends[order][1:] != ends[order][:-1])
+        taken = open_pairs[np.unique(rank[order][first])]
+        out[taken] = 2
+        x, y = label[u[taken]], label[v[taken]]
+        merged = np.arange(nodes.size)
+        while True:
+            least = np.minimum(merged[x], merged[y])
+            new = merged.copy()
+            np.minimum.at(new, x, least)
+            np.minimum.at(new, y, least)
+            new = new[new]
+            if (new == merged).all():
+                break
+            merged = new
+        label = merged[label]
+    out[(label[u] != label[v])] = 1
+    return out
+
+
+def _tree_pairs(held: DataFrame, percent: int, buckets: int, likely: float) -> DataFrame:
+    """Candidate pairs (a, b, counted), a < b, from holders (token, m, part, id, n, comp, signature) of shingles that join components.
+
+    m is a shingle's number of holders: up to BLOCK they are one group; more are split by size band and into blocks.
+    counted: other pairs were left out because this one is likely to link.
+    """
+    small = held.where(F.col("m") <= BLOCK)
+    held = held.where(F.col("m") > BLOCK).drop("m")
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9).cast("int")
     held = held.withColumn("band", band)
     sizes = held.groupBy("token", "band").agg(F.count(F.lit(1)).alias("m"))
@@ -252,19 +355,16 @@ def _tree_pairs(held: DataFrame, percent: int) -> DataFrame:
     block = lambda k: F.pmod(F.xxhash64("id"), F.col(k)).cast("int")
     spread = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
     mine = held.join(cells, ["token", "band"]).withColumn("at", block("own"))
-    mine_cells = mine.select("token", "band", "id", "n", "comp", "signature", "at", spread("own").alias("to")).select(F.lit(0).alias("kind"), "token", "band", F.greatest("at", "to").alias("x"), F.least("at", "to").alias("y"), "id", "n", "comp", "signature", (F.col("at") > F.col("to")).alias("left"))
-    same = mine.where("own > 0").select(F.lit(0).alias("kind"), "token", "band", F.col("at").alias("x"), F.col("at").alias("y"), "id", "n", "comp", "signature", F.lit(True).alias("left"))
+    mine_cells = mine.select("token", "band", "part", "id", "n", "comp", "signature", "at", spread("own").alias("to")).select(F.lit(0).alias("kind"), "token", "band", F.greatest("at", "to").alias("x"), F.least("at", "to").alias("y"), "part", "id", "n", "comp", "signature", (F.col("at") > F.col("to")).alias("left"))
+    same = mine.where("own > 0").select(F.lit(0).alias("kind"), "token", "band", F.col("at").alias("x"), F.col("at").alias("y"), "part", "id", "n", "comp", "signature", F.lit(True).alias("left"))
     mine_cells = mine_cells.where("x != y").union(same)
-    above = mine.where("below > 0").select("token", "band", "id", "n", "comp", "signature", "at", spread("below").alias("to")).select(F.lit(1).alias("kind"), "token", "band", F.col("at").alias("x"), F.col("to").alias("y"), "id", "n", "comp", "signature", F.lit(True).alias("left"))
+    above = mine.where("below > 0").select("token", "band", "part", "id", "n", "comp", "signature", "at", spread("below").alias("to")).select(F.lit(1).alias("kind"), "token", "band", F.col("at").alias("x"), F.col("to").alias("y"), "part", "id", "n", "comp", "signature", F.lit(True).alias("left"))
     under = held.withColumn("band", F.col("band") + 1).join(cells, ["token", "band"]).where("below > 0").withColumn("at", block("below"))
-    under = under.select("token", "band", "id", "n", "comp", "signature", "at", spread("own").alias("to")).select(F.lit(1).alias("kind"), "token", "band", F.col("to").alias("x"), F.col("at").alias("y"), "id", "n", "comp", "signature", F.lit(False).alias("left"))
+    under = under.select("token", "band", "part", "id", "n", "comp", "signature", "at", spread("own").alias("to")).select(F.lit(1).alias("kind"), "token", "band", F.col("to").alias("x"), F.col("at").alias("y"), "part", "id", "n", "comp", "signature", F.lit(False).alias("left"))
 
-    def join(t: pa.Table) -> pa.Table:
-        ids, n, comp = (t.column(c).to_numpy() for c in ("id", "n", "comp"))
-        bits = np.frombuffer(b"".join(t.column("signature").to_pylist()), U).reshape(-1, SIGNATURE)
-        left = np.asarray(t.column("left").to_pylist(), bool)
-        self_pairs = t.column("kind")[0].as_py() == 0 and t.column("x")[0].as_py() == t.column("y")[0].as_py()
-        none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    none = (*[np.empty(0, np.int64)] * 4, np.empty(0))
+
+    def join_cell(self_pairs, ids, n, comp, bits, left) -> tuple[np.ndarray, ...]:
         if comp.min() == comp.max() or not (self_pairs or (left.any() and not left.all())):
             return none
         sides = []
@@ -274,12 +374,40 @@ def _tree_pairs(held: DataFrame, percent: int) -> DataFrame:
             sides.append((k, _Tree(n[k], comp[k], bits[k])))
         (p, s), (q, u) = sides
         i, j = _surviving(s, u, percent)
-        a, b = ids[p[i]], ids[q[j]]
-        pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)])[:, a != b], axis=1)
-        return pa.table({"a": pa.array(pair[0]), "b": pa.array(pair[1])})
+        i, j = p[i], q[j]
+        keep = ids[i] < ids[j] if self_pairs else ids[i] != ids[j]
+        i, j = i[keep], j[keep]
+        # shared bits less those that meet by chance, against the overlap needed
+        x, y = np.bitwise_count(bits[i]).sum(1, dtype=np.int64), np.bitwise_count(bits[j]).sum(1, dtype=np.int64)
+        both = np.bitwise_count(bits[i] & bits[j]).sum(1, dtype=np.int64)
+        likeness = (both - (x - both) * (y - both) / (64 * SIGNATURE)) / _needed(n[i] + n[j], percent)
+        swap = ids[i] > ids[j]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        return ids[i], ids[j], comp[i], comp[j], likeness
 
-    cells = mine_cells.unionByName(above).unionByName(under)
-    return cells.groupBy("kind", "token", "band", "x", "y").applyInArrow(join, "a long, b long").distinct()
+    def join(t: pa.Table) -> pa.Table:
+        """The cells of a bucket, one after another."""
+        keys = [t.column(c).to_numpy() for c in ("kind", "token", "band", "x", "y")]
+        order = np.lexsort(keys[::-1])
+        keys = [k[order] for k in keys]
+        change = np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0)))
+        ids, n, comp, left = (t.column(c).to_numpy()[order] for c in ("id", "n", "comp", "left"))
+        bits = _bits(t.column("signature").to_pylist())[order]
+        found = [none]
+        for i, j in zip(change, np.append(change[1:], order.size), strict=True):
+            found.append(join_cell(keys[0][i] == 0 and keys[3][i] == keys[4][i], ids[i:j], n[i:j], comp[i:j], bits[i:j], left[i:j]))
+        a, b, comp_a, comp_b, likeness = (np.concatenate(x) for x in zip(*found, strict=True))
+        # cells of a bucket share most holders: each pair once, and one forest for all
+        first = np.unique(np.stack([a, b]), axis=1, return_index=True)[1]
+        a, b, comp_a, comp_b, likeness = (x[first] for x in (a, b, comp_a, comp_b, likeness))
+        pick = _spanning(comp_a, comp_b, likeness, likely)
+        return pa.table({"a": pa.array(a[pick > 0]), "b": pa.array(b[pick > 0]), "counted": pa.array(pick[pick > 0] == 2)})
+
+    whole = small.select(F.lit(0).alias("kind"), "token", F.lit(0).alias("band"), F.lit(0).alias("x"), F.lit(0).alias("y"), "part", "id", "n", "comp", "signature", F.lit(True).alias("left"))
+    cells = mine_cells.unionByName(above).unionByName(under).unionByName(whole)
+    # shingles of one group of documents go together, as many as the group's share of rows allows
+    bucket = F.pmod(F.xxhash64("kind", "part", "band", "x", "y"), F.lit(buckets))
+    return cells.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(join, "a long, b long, counted boolean").groupBy("a", "b").agg(F.bool_or("counted").alias("counted"))
 
 
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -287,7 +415,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark = docs.sparkSession
     docs = own_columns(docs, {"doc_id": "long", "text": "string"})
     profiles = cut(_profiles(docs), "jaccard-profiles")
-    every = profiles.where("slice is null").select("doc_id", "n", "s1", "s2")
+    every = profiles.where("slice is null").drop("slice")
     sketch = _sketch(profiles)
     sized = every.where("n > 0 and doc_id is not null")
     classes = cut(sized.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
@@ -296,23 +424,35 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     buckets = 1 << max(5, math.ceil(math.log2(max(2 * shuffles, shingles * (1 - percent / 100) / BUCKET_SHINGLES))))
 
     met = cut(_incidences(docs, classes.select("rep"), sketch, buckets, percent), "jaccard-met")
-    pairs = cut(met.select("member", "hub").distinct(), "jaccard-hubs")
-    ids = pairs.select(F.col("member").alias("id")).union(pairs.select(F.col("hub").alias("id"))).distinct()
-    sets = cut(_sets(docs, ids, "id"), "jaccard-sets")
-    first = pairs.groupBy("member").agg(F.min("hub").alias("hub")).select(F.col("member").alias("a"), F.col("hub").alias("b"))
-    links = cut(_verified(first, sets, percent), "jaccard-links")
+    hubs = met.select(F.col("member").alias("a"), F.col("hub").alias("b")).distinct()
+    links = _linked(docs, cut(_possible(hubs, sized, percent), "jaccard-pairs"), percent)
     parts = cut(components(links), "jaccard-parts")
 
-    # what is left: other hubs and, for shingles that still join components, all their holders
-    part = lambda c: parts.select(F.col("node").alias(c), F.col("component").alias(f"{c}_part"))
-    with_parts = met.join(part("member"), "member", "left").join(part("hub"), "hub", "left").select("token", "member", "hub", F.coalesce("member_part", "member").alias("mp"), F.coalesce("hub_part", "hub").alias("hp"))
-    open_tokens = with_parts.groupBy("token").agg(F.min(F.least("mp", "hp")).alias("lo"), F.max(F.greatest("mp", "hp")).alias("hi")).where("lo < hi").select("token")
-    still = cut(with_parts.join(open_tokens, "token", "left_semi"), "jaccard-open")
-    holders = still.select("token", F.col("member").alias("id"), F.col("mp").alias("comp")).union(still.select("token", "hub", "hp")).distinct()
-    held = holders.join(sets.select("id", "n", "signature"), "id").dropDuplicates(["token", "id"])
-    more = cut(_tree_pairs(held, percent), "jaccard-pairs")
-    links = links.union(cut(_verified(more, sets, percent), "jaccard-links"))
-    parts = components(links).select(F.col("node").alias("rep"), "component")
+    # what is left: shingles with three or more holders, in different components; the pair of two is verified
+    holders = met.select("token", F.col("member").alias("id")).union(met.select("token", "hub")).distinct()
+    alike = [F.bit_xor(F.xxhash64("id", F.lit(k))).alias(f"x{k}") for k in range(2)]
+    tried = None
+    for likely in LIKELY:
+        placed = holders.join(parts.withColumnRenamed("node", "id"), "id", "left").select("token", "id", F.coalesce("component", "id").alias("comp"))
+        tokens = placed.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), *alike).where("m > 2 and lo < hi")
+        tokens = tokens.groupBy("m", "x0", "x1").agg(F.min(F.struct("token", "lo")).alias("t")).select("m", "t.token", "t.lo")
+        shares = tokens.groupBy("lo").agg(F.ceil(F.sum("m") / PART_ROWS).cast("long").alias("shares"))
+        tokens = tokens.join(shares, "lo").select("token", "m", F.xxhash64("lo", F.pmod(F.xxhash64("token"), "shares")).alias("part"))
+        held = placed.join(tokens, "token").join(sized.select(F.col("doc_id").alias("id"), "n", "signature"), "id")
+        held = cut(held.dropDuplicates(["token", "id"]), "jaccard-held")
+        rows = held.count()
+        if not rows:
+            break
+        wanted = cut(_tree_pairs(held, percent, max(shuffles, math.ceil(rows / GROUP_ROWS)), likely), "jaccard-pairs")
+        more = wanted.select("a", "b") if tried is None else wanted.select("a", "b").join(tried, ["a", "b"], "left_anti")
+        tried = more if tried is None else tried.union(more)
+        links = links.union(_linked(docs, cut(_possible(more, sized, percent), "jaccard-pairs"), percent))
+        parts = cut(components(links), "jaccard-parts")
+        # pairs were left out where a likely link would join their ends: once more if one of those is no link
+        if not wanted.where("counted").join(links, ["a", "b"], "left_anti").take(1):
+            break
+
+    parts = parts.select(F.col("node").alias("rep"), "component")
 
     # members of a class share its representative's component
     known = classes.join(parts, "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("component"))
