@@ -89,7 +89,8 @@ def exact_groups(docs: DataFrame, digest=sha256_digest, state: str | None = None
     several = groups.where("n > 1").select("digest", "keep_id")
     hits = cut(own.select("doc_id", "text", digest(F.col("text")).alias("digest")).join(several, "digest"), "dedup-hits")
     stays = hits.where("doc_id <=> keep_id").groupBy("digest").agg(F.min("text").alias("kept_text"))
-    differ = hits.join(stays, "digest").where("text != kept_text").select("digest").distinct()
+    # written before it is grouped, so that the join of a digest with very many rows can be split
+    differ = cut(hits.join(stays, "digest").where("text != kept_text").select("digest"), "dedup-differ").distinct()
     parts = hits.join(differ, "digest", "left_semi").groupBy("digest", "text").agg(F.min("doc_id").alias("part_id"), F.count(F.lit(1)).alias("part_n"))
     parts = parts.select("digest", F.lower(F.sha2(F.col("text").cast("binary"), 256)).alias("text_sha256"), "part_id", "part_n")
 
@@ -108,10 +109,13 @@ def exact_groups(docs: DataFrame, digest=sha256_digest, state: str | None = None
 
 def keep_rows(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns."""
-    stay = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_stay_id"), F.col("text_sha256").alias("_stay_sha")).distinct()
+    kept = exact_groups(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("rows"))
+    kept = cut(kept.select(F.col("doc_id").alias("_stay_id"), F.col("text_sha256").alias("_stay_sha"), "rows"), "dedup-kept")
     keyed = docs.withColumn("_row_sha", F.lower(F.sha2(normalised(F.col("text").cast("string")).cast("binary"), 256)))
-    found = keyed.join(stay, keyed["doc_id"].eqNullSafe(stay["_stay_id"]) & (keyed["_row_sha"] == stay["_stay_sha"]), "left_semi")
-    return found.dropDuplicates(["doc_id", "_row_sha"]).drop("_row_sha")
+    found = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["_stay_id"]) & (keyed["_row_sha"] == kept["_stay_sha"]), "left_semi")
+    if kept.where("rows > 1").take(1):  # rows that repeat doc_id and text
+        found = found.dropDuplicates(["doc_id", "_row_sha"])
+    return found.drop("_row_sha")
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
