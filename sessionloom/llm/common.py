@@ -57,7 +57,7 @@ def tokenizer_bytes(name_or_path: str) -> bytes:
         return f.read()
 
 
-def text_slices(texts: list, most_chars: int = 2_000_000):
+def text_slices(texts: list, most_chars: int = 1_000_000):
     """Runs (start, end) of a batch with about most_chars characters each, a longer text alone; so working memory follows the longest text, not the batch."""
     start, total = 0, 0
     for i, t in enumerate(texts):

@@ -52,7 +52,7 @@ PART_ROWS = 40_000
 #: Estimated overlap over needed overlap from which a pair counts as a likely link, by round; the last round leaves nothing out.
 LIKELY = (1.0, 1.1, math.inf)
 FANOUT = 8
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_500_000
 
 
 def _needed(size_sum, percent: int):
