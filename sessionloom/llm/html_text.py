@@ -1,15 +1,18 @@
-"""Operator 8: main text of pages, with a host suffix array for repeated passages.
+"""Operator 8: main text of pages, without the passages that a host repeats.
 
 A page is read once into blocks. A block inside `article` or `main` is content; one inside an element that is boilerplate
 by its name, role, class or id (fixed lists below) is dropped; any other block is undecided. All blocks outside content form
-the page's token stream, and the streams of a host are taken together: a suffix starts at every token. Suffixes are
-brought together by host and leading DEPTH tokens, i.e. the suffix array is built to the depth that matters, by Spark's
-shuffle instead of in one task: neighbours with DEPTH equal tokens from two distinct pages mark a passage that
-repeats. Longer repeats are runs of such suffixes. An undecided block of which at least half is covered by repeats is
-boilerplate and goes; unique runs stay. Content is never dropped, however often it repeats.
+the page's token stream, and a suffix of it starts at every token. No suffix array is built: suffixes are grouped by host and
+a 128-bit key of exactly their leading tokens (as many as RULES ask for), and the distinct pages of each group are counted.
+These groups are the intervals of the host's suffix array with a common prefix of that length. The tokens covered by any
+longer maximal repeat are the union of such windows, so deeper order and common prefix lengths could not change what is cut.
+Only covered token runs are cut out of undecided blocks; each run between them stays, as a line. Content is never cut.
 
-Scale: only narrow suffix rows (host, key, page, place) are shuffled, with partial aggregation, so a host with a third of all
-pages is no single task's work; the html itself is never shuffled except for pages that have undecided blocks.
+Keys are two polynomials over independent 64-bit halves of each token's BLAKE2b digest, so the tokens behind equal keys
+aren't compared again: over 10^12 suffixes of ordinary text any two unlike windows share a key with a chance below 10^-14.
+
+Scale: only narrow suffix rows (host, key, page, place) are shuffled, spread by page before they are counted, so a host with a
+third of all pages is no single task's work; the html itself is never shuffled except for pages that have undecided blocks.
 
 Defined results: null or empty html gives an empty text; null url belongs to the host ''; pages that repeat a page_id
 and html count as one page for repeats; text outside any tag is an undecided block; an empty table gives no rows; further columns are ignored.
@@ -18,18 +21,22 @@ and html count as one page for repeats; text outside any tag is an undecided blo
 from __future__ import annotations
 
 import re
+from hashlib import blake2b
 from html import unescape
-from zlib import crc32
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm.common import table
+from sessionloom.llm.common import cut, table
 
-DEPTH = 6
-COVERED = 0.5
+#: A passage repeats if it has so many tokens, on so many pages of its host, which are such a share of the host's pages.
+RULES = ((6, 2, 0.0),)
+PAGES_AT_ONCE = 200
+NO_PAGE = -(1 << 63)
+POWERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 CONTENT, UNDECIDED, BOILERPLATE = 0, 1, 2
 
 # Element names, roles, and words of class and id that mark boilerplate; elements that end a block; void ones.
@@ -138,71 +145,125 @@ def _places(found: list[tuple[int, str]]) -> tuple[list[str], list[int]]:
     return tokens, owner
 
 
+def _copy(page: int | None, found: list[tuple[int, str]]) -> int:
+    return _hash64(f"{page} {found}")
+
+
+def _token_hash(token: str) -> bytes:
+    return blake2b(token.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def _hash64(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def _window_keys(h: np.ndarray, length: int) -> np.ndarray:
+    """Two independent 64-bit keys of each run of length tokens, from the tokens' pairs of 64-bit hashes."""
+    n = len(h) - length + 1
+    key = np.zeros((n, 2), np.uint64)
+    for k in range(length):
+        key = key * POWERS + h[k : k + n]
+    return key
+
+
+SUFFIX = "host long, rule int, key_a long, key_b long, page long, copy long, place int, undecided boolean"
+
+
 def _suffixes(pages: DataFrame) -> DataFrame:
-    """host, key (of the leading DEPTH tokens), page, place, undecided, of every suffix."""
-    power = np.uint64(0x9E3779B97F4A7C15)
+    """host, rule, key_a, key_b (of the leading tokens), page, copy, place, undecided, of every suffix; a row with rule -1 for every page with tokens."""
+    names = [x.split()[0] for x in SUFFIX.split(", ")]
 
     def run(batches):
         for b in batches:
-            cols: list[list] = [[], [], [], [], []]
-            for page, url, html in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                found = blocks(html)
-                tokens, owner = _places(found)
-                n = len(tokens) - DEPTH + 1
-                if n <= 0:
-                    continue
-                h = np.array([crc32(t.encode()) | crc32(t.encode(), 0x5BD1E995) << 32 for t in tokens], np.uint64)
-                key = np.zeros(n, np.uint64)
-                for k in range(DEPTH):
-                    key = key * power + h[k : k + n]
-                open_block = np.array([found[k][0] == UNDECIDED for k in owner])
-                # a suffix matters to an undecided block if any of its leading tokens lies in one
-                reach = np.append(0, np.cumsum(open_block))
-                for col, v in zip(cols, ([host_of(url)] * n, key.view(np.int64), [page] * n, range(n), reach[DEPTH : DEPTH + n] > reach[:n]), strict=True):
-                    col.extend(v)
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int32()), pa.array([bool(x) for x in cols[4]], pa.bool_())], names=["host", "key", "page", "place", "undecided"])
-
-    return pages.mapInArrow(run, "host string, key long, page long, place int, undecided boolean")
-
-
-def _text(found: list[tuple[int, str]], starts: list[int] | None) -> str:
-    """Content and the undecided blocks that repeats don't cover; starts: places of repeated suffixes."""
+            for lo in range(0, b.num_rows, PAGES_AT_ONCE):
+                known: dict[str, bytes] = {}
+                parts: list[list[np.ndarray]] = [[] for _ in names]
+                for page, url, html in zip(*(c.to_pylist() for c in b.slice(lo, PAGES_AT_ONCE).columns), strict=True):
+                    found = blocks(html)
+                    tokens, owner = _places(found)
+                    if not tokens:
+                        continue
+                    for t in tokens:
+                        if t not in known:
+                            known[t] = _token_hash(t)
+                    h = np.frombuffer(b"".join([known[t] for t in tokens]), np.uint64).reshape(-1, 2)
+                    # a suffix matters to an undecided block if any of its leading tokens lies in one
+                    reach = np.append(0, np.cumsum([found[k][0] == UNDECIDED for k in owner]))
+                    host, copy = _hash64(host_of(url)), _copy(page, found)
+                    for rule, (length, _, _) in [(-1, (0, 0, 0)), *enumerate(RULES)]:
+                        n = 1 if rule < 0 else len(tokens) - length + 1
+                        if n <= 0:
+                            continue
+                        key = np.zeros((1, 2), np.uint64) if rule < 0 else _window_keys(h, length)
+                        open_ = [True] if rule < 0 else reach[length : length + n] > reach[:n]
+                        for part, v in zip(parts, (host, rule, key[:, 0].astype(np.int64), key[:, 1].astype(np.int64), page if page is not None else NO_PAGE, copy, np.arange(n), open_), strict=True):
+                            part.append(np.broadcast_to(np.asarray(v), (n,)))
+                if parts[0]:
+                    kinds = (np.int64, np.int32, np.int64, np.int64, np.int64, np.int64, np.int32, np.bool_)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(t)) for x, t in zip(parts, kinds, strict=True)], names=names)
+
+    return pages.mapInArrow(run, SUFFIX)
+
+
+def _text(found: list[tuple[int, str]], starts: list[tuple[int, int]] | None) -> str:
+    """Content, and the runs of undecided blocks that repeats don't cover; starts: (rule, place) of repeated suffixes."""
     tokens, owner = _places(found)
     covered = np.zeros(len(tokens) + 1, np.int64)
-    for s in starts or ():
+    for rule, s in starts or ():
         covered[s] += 1
-        covered[s + DEPTH] -= 1
-    covered = np.cumsum(covered[:-1]) > 0
-    share = np.bincount(owner, covered, len(found)) / np.maximum(np.bincount(owner, minlength=len(found)), 1) if owner else np.zeros(len(found))
-    return "\n".join(text for (kind, text), s in zip(found, share, strict=True) if kind == CONTENT or kind == UNDECIDED and s < COVERED)
+        covered[s + RULES[rule][0]] -= 1
+    covered = (np.cumsum(covered[:-1]) > 0).tolist()
+    out, at = [], 0
+    for kind, text in found:
+        if kind == CONTENT:
+            out.append(text)
+            continue
+        words = text.split(" ")
+        if kind == UNDECIDED:
+            for gone, run in groupby(zip(covered[at : at + len(words)], words, strict=True), key=lambda x: x[0]):
+                if not gone:
+                    out.append(" ".join(w for _, w in run))
+        at += len(words)
+    return "\n".join(out)
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     suffixes = _suffixes(pages)
-    repeated = suffixes.groupBy("host", "key").agg(F.min("page").alias("lo"), F.max("page").alias("hi"), F.max("undecided").alias("undecided")).where("lo < hi and undecided").select("host", "key")
-    starts = suffixes.where("undecided").join(repeated, ["host", "key"]).groupBy("page").agg(F.array_sort(F.collect_set("place")).alias("starts"))
+    group = ["host", "rule", "key_a", "key_b"]
+    least = min(n for _, n, _ in RULES)
+    # each copy counts once: rows of a passage on all pages of a host are spread by copy first, then counted with partial aggregation
+    counts = suffixes.groupBy(*group, "copy").agg(F.max("undecided").alias("undecided")).groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.max("undecided").alias("undecided"))
+    counts = cut(counts.where((F.col("n") >= least) & F.col("undecided")), "html-repeats")
+    hosts = counts.where("rule = -1").select("host", F.col("n").alias("pages"))
+    enough = F.lit(False)
+    for rule, (_, n, share) in enumerate(RULES):
+        enough = enough | ((F.col("rule") == rule) & (F.col("n") >= F.greatest(F.lit(float(n)), F.col("pages") * share)))
+    repeated = counts.where("rule >= 0").join(hosts, "host").where(enough).select(*group)
+    starts = suffixes.where("undecided and rule >= 0").join(repeated, group).groupBy("page", "copy").agg(F.collect_set(F.struct("rule", "place")).alias("starts"))
 
     def settled(batches):
         """Pages without undecided blocks; the others keep their html for the join."""
         for b in batches:
-            text, html = [], []
-            for h in b.column(2).to_pylist():
+            text, html, copy = [], [], []
+            for page, h in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
                 found = blocks(h)
                 undecided = any(k == UNDECIDED for k, _ in found)
                 text.append(None if undecided else _text(found, None))
                 html.append(h if undecided else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string()), pa.array(html, pa.string())], names=["page_id", "url", "text", "html"])
+                copy.append(_copy(page, found) if undecided else None)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string()), pa.array(html, pa.string()), pa.array(copy, pa.int64())], names=["page_id", "url", "text", "html", "own"])
 
     def rest(batches):
         for b in batches:
-            text = [_text(blocks(h), s) for h, s in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            text = [_text(blocks(h), [(x["rule"], x["place"]) for x in s or ()]) for h, s in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string())], names=["page_id", "url", "text"])
 
-    first = pages.mapInArrow(settled, "page_id long, url string, text string, html string")
+    first = pages.mapInArrow(settled, "page_id long, url string, text string, html string, own long")
     done = first.where("text is not null").select("page_id", "url", "text")
-    joined = first.where("text is null").select("page_id", "url", "html").join(starts, F.col("page_id") == F.col("page"), "left")
+    same = (F.coalesce("page_id", F.lit(NO_PAGE)) == F.col("page")) & (F.col("own") == F.col("copy"))
+    joined = first.where("text is null").select("page_id", "url", "html", "own").join(starts, same, "left")
     done = done.union(joined.select("page_id", "url", "html", "starts").mapInArrow(rest, "page_id long, url string, text string"))
     return done.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 

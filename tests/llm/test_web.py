@@ -81,3 +81,29 @@ def test_host_suffixes_remove_repeats(spark):
     assert "home about" in got[9] and word(9) in got[9]  # nothing repeats on that host
     assert got[10] == "" and got[11] == "one\ntwo three"
     assert html_text.main_text(df.limit(0)).count() == 0
+
+
+def test_only_covered_runs_are_cut(spark):
+    """A brute-force count of all windows decides; unique runs of a mostly repeated block stay, repeated runs of a mostly unique one go."""
+    shared = [" ".join(f"s{j}t{i}" for i in range(40)) for j in range(2)]
+    own = lambda k, n: " ".join(f"p{k}u{i}" for i in range(n))
+    pages = {k: [f"{own(k, 5)} {shared[0]} z{k}", f"{own(k + 100, 90)} {shared[1]}"] for k in range(8)}
+    df = spark.createDataFrame([(k, f"http://h.com/{k}", "".join(f"<div>{b}</div>" for b in bs)) for k, bs in pages.items()], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(df).collect()}
+    streams = {k: " ".join(bs).split() for k, bs in pages.items()}
+    for k, bs in pages.items():
+        covered = [False] * len(streams[k])
+        for length, least, share in html_text.RULES:
+            window = lambda s, i, n=length: tuple(s[i : i + n])
+            on = [{window(s, i) for i in range(len(s) - length + 1)} for s in streams.values()]
+            for i in range(len(streams[k]) - length + 1):
+                if sum(window(streams[k], i) in x for x in on) >= max(least, share * len(pages)):
+                    covered[i : i + length] = [True] * length
+        assert got[k].split() == [t for t, c in zip(streams[k], covered, strict=True) if not c]
+        assert got[k] == f"{own(k, 5)}\nz{k}\n{own(k + 100, 90)}"
+
+
+def test_token_hash_halves_are_independent():
+    """The two halves of a key once were CRCs of equal text, which collide together."""
+    a, b = "plumless", "buckeroo"
+    assert html_text._token_hash(a)[:8] != html_text._token_hash(b)[:8] and html_text._token_hash(a)[8:] != html_text._token_hash(b)[8:]
