@@ -4,6 +4,9 @@ A page is read once into blocks. A block inside `article` or `main` is content;
 by its name, role, class or id (fixed lists below) is dropped; any other block is undecided. All blocks outside content form
 the page's token stream, and a suffix of it starts at every token. No suffix array is built: suffixes are grouped by host and
 a 128-bit key of exactly their leading tokens (as many as RULES ask for), and the distinct pages of each group are counted.
+Pages of a host whose blocks are all equal count once. A passage of 32 tokens repeats if 4 pages and 2 % of the host's pages
+have it; a shorter one, of 6 tokens at least, such as a menu, needs half of the host's pages. So copies of an article, quotes
+and common phrases stay, however large the host grows; on a host with fewer than 4 distinct pages nothing is cut.
 These groups are the intervals of the host's suffix array with a common prefix of that length. The tokens covered by any
 longer maximal repeat are the union of such windows, so deeper order and common prefix lengths could not change what is cut.
 Only covered token runs are cut out of undecided blocks; each run between them stays, as a line. Content is never cut.
@@ -14,8 +17,8 @@ aren't compared again: over 10^12 suffixes of ordinary text any two unlike windo
 Scale: only narrow suffix rows (host, key, page, place) are shuffled, spread by page before they are counted, so a host with a
 third of all pages is no single task's work; the html itself is never shuffled except for pages that have undecided blocks.
 
-Defined results: null or empty html gives an empty text; null url belongs to the host ''; pages that repeat a page_id
-and html count as one page for repeats; text outside any tag is an undecided block; an empty table gives no rows; further columns are ignored.
+Defined results: null or empty html gives an empty text; null url belongs to the host ''; pages of a host
+with equal blocks count as one page for repeats; text outside any tag is an undecided block; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 from sessionloom.llm.common import cut, table
 
 #: A passage repeats if it has so many tokens, on so many pages of its host, which are such a share of the host's pages.
-RULES = ((6, 2, 0.0),)
+RULES = ((32, 4, 0.02), (6, 4, 0.5))
 PAGES_AT_ONCE = 200
 NO_PAGE = -(1 << 63)
 POWERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
@@ -145,8 +148,9 @@ def _places(found: list[tuple[int, str]]) -> tuple[list[str], list[int]]:
     return tokens, owner
 
 
-def _copy(page: int | None, found: list[tuple[int, str]]) -> int:
-    return _hash64(f"{page} {found}")
+def _copy(found: list[tuple[int, str]]) -> int:
+    """Equal for pages with equal blocks, content included, such as addresses of one page with other parameters."""
+    return _hash64(str(found))
 
 
 def _token_hash(token: str) -> bytes:
@@ -189,7 +193,7 @@ def _suffixes(pages: DataFrame) -> DataFrame:
                     h = np.frombuffer(b"".join([known[t] for t in tokens]), np.uint64).reshape(-1, 2)
                     # a suffix matters to an undecided block if any of its leading tokens lies in one
                     reach = np.append(0, np.cumsum([found[k][0] == UNDECIDED for k in owner]))
-                    host, copy = _hash64(host_of(url)), _copy(page, found)
+                    host, copy = _hash64(host_of(url)), _copy(found)
                     for rule, (length, _, _) in [(-1, (0, 0, 0)), *enumerate(RULES)]:
                         n = 1 if rule < 0 else len(tokens) - length + 1
                         if n <= 0:
@@ -247,12 +251,12 @@ def main_text(pages: DataFrame) -> DataFrame:
         """Pages without undecided blocks; the others keep their html for the join."""
         for b in batches:
             text, html, copy = [], [], []
-            for page, h in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
+            for h in b.column(2).to_pylist():
                 found = blocks(h)
                 undecided = any(k == UNDECIDED for k, _ in found)
                 text.append(None if undecided else _text(found, None))
                 html.append(h if undecided else None)
-                copy.append(_copy(page, found) if undecided else None)
+                copy.append(_copy(found) if undecided else None)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string()), pa.array(html, pa.string()), pa.array(copy, pa.int64())], names=["page_id", "url", "text", "html", "own"])
 
     def rest(batches):

@@ -107,3 +107,23 @@ def test_token_hash_halves_are_independent():
     """The two halves of a key once were CRCs of equal text, which collide together."""
     a, b = "plumless", "buckeroo"
     assert html_text._token_hash(a)[:8] != html_text._token_hash(b)[:8] and html_text._token_hash(a)[8:] != html_text._token_hash(b)[8:]
+
+
+def test_copies_and_phrases_of_a_large_host_stay(spark):
+    """Pages without article: exact copies, a print version, a quote and common phrases keep their text; what half of the host shows goes."""
+    import random
+
+    rng = random.Random(3)
+    phrases = [" ".join(f"f{j}w{i}" for i in range(7)) for j in range(20)]
+    text = lambda k, n=30: " ".join(f"p{k}u{i}" for i in range(n))
+    menu, quote = " ".join(f"m{i}" for i in range(10)), " ".join(f"q{i}" for i in range(40))
+    body = {k: " ".join(f"{x} p{k}v{j}" for j, x in enumerate(rng.sample(phrases, 4))) for k in range(300)}
+    for k in range(5):
+        body[k] += " " + quote
+    pages = [(k, f"http://big.com/{k}", f"<div>{menu}</div><p>{b}</p>") for k, b in body.items()]
+    pages += [(1000 + k, f"http://copies.com/a?ref={k}", f"<p>{text(1)}</p><p>{text(2)}</p>") for k in range(6)]
+    pages += [(2000 + k, f"http://print.com/{k}", f"<div>version {k}</div><p>{text(3, 60)}</p>") for k in range(2)]
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == b for k, b in body.items())
+    assert all(got[1000 + k] == f"{text(1)}\n{text(2)}" for k in range(6))
+    assert all(got[2000 + k] == f"version {k}\n{text(3, 60)}" for k in range(2))
