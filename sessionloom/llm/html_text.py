@@ -1,7 +1,9 @@
 """Operator 8: main text of pages, without the passages that a host repeats.
 
 A page is read once into blocks. A block inside `article` or `main` is content; one inside an element that is boilerplate
-by its name, role, class or id (fixed lists below) is dropped; any other block is undecided. All blocks outside content form
+by its name, role, whole class name or id (fixed lists below) is dropped; any other block is undecided. An element marked by
+class or id alone that holds an `article` or `main` is a wrapper and its mark doesn't count, unless it is a comment thread
+(each comment is an `article` there); elements and roles such as nav or footer keep what they hold out. Ids of headings are anchors. All blocks outside content form
 the page's token stream, and a suffix of it starts at every token. No suffix array is built: suffixes are grouped by host and
 a 128-bit key of exactly their leading tokens (as many as RULES ask for), and the distinct pages of each group are counted.
 Pages of a host whose blocks are all equal count once. A passage of 32 tokens repeats if 4 pages and 2 % of the host's pages
@@ -41,34 +43,41 @@ PAGES_AT_ONCE = 200
 NO_PAGE = -(1 << 63)
 POWERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 CONTENT, UNDECIDED, BOILERPLATE = 0, 1, 2
+FIRM, SOFT = 1, 2
 
-# Element names, roles, and words of class and id that mark boilerplate; elements that end a block; void ones.
+# Element names, roles, and whole class names and ids that mark boilerplate, those of comment threads; headings; elements that end a block; void ones.
 BOILERPLATE_TAGS = frozenset("nav header footer aside form script style noscript template head title button select option iframe dialog menu svg canvas object textarea label fieldset".split())
 ALSO_IN_CONTENT = BOILERPLATE_TAGS - {"header"}
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 MARKS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation sidebar footer header masthead cookie cookies consent gdpr notice notices newsletter subscribe subscription signup login share sharing social related recommended breadcrumb breadcrumbs comment comments commentlist reply replies disqus respond popup modal overlay widget pagination pager copyright".split())
+THREADS = frozenset("comment comments commentlist reply replies disqus respond".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_ITSELF = {"li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr", "td": "td th", "th": "td th", "option": "option"}
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<[!?][^>]*>|<(script|style|noscript|template|textarea|title|svg|iframe)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
-_ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTR = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-z0-9]+")
 
 
-def _marked(name: str, attrs: str, in_content: bool) -> bool:
+def _attributes(attrs: str) -> dict[str, str]:
+    return {kind.lower(): (a or b or c).lower() for kind, a, b, c in reversed(_ATTR.findall(attrs))}
+
+
+def _marked(name: str, attrs: str, in_content: bool) -> int:
+    """FIRM by element, role or comment thread, SOFT by another class name or id, 0 if not boilerplate."""
     if name in (ALSO_IN_CONTENT if in_content else BOILERPLATE_TAGS):
-        return True
+        return FIRM
     if not attrs or name in ("body", "html", "article", "main"):
-        return False
-    for kind, a, b, c in _ATTR.findall(attrs):
-        value = (a or b or c).lower()
-        if kind.lower() == "role":
-            if value in ROLES:
-                return True
-        elif not MARKS.isdisjoint(_WORDS.findall(value)):
-            return True
-    return False
+        return 0
+    own = _attributes(attrs)
+    if own.get("role") in ROLES:
+        return FIRM
+    names = set(own.get("class", "").split())
+    if name not in HEADINGS:  # a heading's id is an anchor
+        names.add(own.get("id", "").strip())
+    return 0 if MARKS.isdisjoint(names) else SOFT if THREADS.isdisjoint(names) else FIRM
 
 
 def blocks(html: str | None) -> list[tuple[int, str]]:
@@ -77,6 +86,14 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
     held: list[str] = []
     stack: list[tuple[str, int, bool]] = []  # open elements, the kind of text inside, and whether it is left out of its block
     kind = UNDECIDED
+    # each block element with a soft mark has a kind of its own, below 0: (the kind around it, whether it holds an article or main)
+    soft: list[list] = []
+
+    def resolved(k: int) -> int:
+        while k < 0:
+            around, holds = soft[-k - 1]
+            k = around if holds else BOILERPLATE
+        return k
 
     def close() -> None:
         text = " ".join(unescape("".join(held)).split())
@@ -117,11 +134,22 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
                 if n in BLOCKS and n != "p":
                     break
             inside, left_out = stack[-1][1:] if stack else (UNDECIDED, False)
-            marked = left_out or inside == BOILERPLATE or _marked(name, m.group(4), inside == CONTENT)
-            if block:
-                stack.append((name, BOILERPLATE if marked else CONTENT if name in ("article", "main") else inside, False))
-            else:  # marked elements inside a block are cut out of it
-                stack.append((name, inside, marked and inside != BOILERPLATE))
+            mark = FIRM if left_out or inside == BOILERPLATE else _marked(name, m.group(4), resolved(inside) == CONTENT)
+            if not block:  # marked elements inside a block are cut out of it
+                stack.append((name, inside, bool(mark) and inside != BOILERPLATE))
+            elif mark == FIRM:
+                stack.append((name, BOILERPLATE, False))
+            elif name in ("article", "main"):
+                k = inside
+                while k < 0:  # what is around it is a wrapper
+                    soft[-k - 1][1] = True
+                    k = soft[-k - 1][0]
+                stack.append((name, CONTENT, False))
+            elif mark == SOFT:
+                soft.append([inside, False])
+                stack.append((name, -len(soft), False))
+            else:
+                stack.append((name, inside, False))
         now = stack[-1][1] if stack else UNDECIDED
         if now != kind:
             close()
@@ -129,7 +157,7 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
     if not (stack and stack[-1][2]):
         held.append(html[at:])
     close()
-    return out
+    return [(resolved(k), text) for k, text in out]
 
 
 def host_of(url: str | None) -> str:

@@ -127,3 +127,16 @@ def test_copies_and_phrases_of_a_large_host_stay(spark):
     assert all(got[k] == b for k, b in body.items())
     assert all(got[1000 + k] == f"{text(1)}\n{text(2)}" for k in range(6))
     assert all(got[2000 + k] == f"version {k}\n{text(3, 60)}" for k in range(2))
+
+
+def test_marks_keep_main_text():
+    kept = lambda html: [t for k, t in html_text.blocks(html) if k == html_text.CONTENT]
+    for around in ('div class="layout has-sidebar"', 'div class="page no-sidebar"', 'div class="widget"', 'section id="banner"', 'div class="ad"><div class="popup"'):
+        assert kept(f"<{around}><article><p>a</p></article></div><p>b</p>") == ["a"]
+    for inside in ('section id="related-work"', 'h2 id="share-buybacks"', 'h2 id="related"', 'div id="privacy-notice"', 'p id="navigation-systems"'):
+        assert kept(f"<main><{inside}>a</{inside.split()[0]}></main>") == ["a"]
+    for out in ("nav", "aside", "footer", 'div role="dialog"', 'div class="comments"'):
+        assert kept(f"<{out}><article>a</article></{out.split()[0]}>") == []
+    # text of a wrapper counts like the text around it; a marked element beside the article stays out
+    html = '<div class="widget">w<div class="ad">x</div><article>a<div class="share">y</div></article></div><div class="ad">z</div>'
+    assert html_text.blocks(html) == [(1, "w"), (2, "x"), (0, "a"), (2, "y"), (2, "z")]
