@@ -1,15 +1,16 @@
 """Operator 4: language identification by interpolated Kneser-Ney character models.
 
 Text is lower-cased, everything but letters becomes one space, and every character is predicted from the three before
-it. Counts of all 4-grams of all training rows are gathered by language in the scan and summed by Spark. From them each
-language gets continuation counts of the lower orders, one discount for each order, and tables of probabilities and
-back-off weights, each a pair of arrays sorted by key (a gram packed into 64 bits, 16 for each letter; letters beyond share one code). The language
-with the lowest cross-entropy per character is chosen. A text is rejected if it has no letter, or if that cross-entropy
-lies above what the calibration rows of the language show, for texts of at least SURE_LETTERS letters.
+it. Counts of all 4-grams of all training rows are gathered by language in the scan and summed by Spark. From all of them
+Spark computes for each language continuation counts of the lower orders, one discount for each order, and tables of
+probabilities and back-off weights by gram (packed into 64 bits, 16 for each letter; letters beyond share one code). The
+language with the lowest cross-entropy per character is chosen. A text is rejected if it has no letter, or if that
+cross-entropy lies above what the calibration rows of the language show, for texts of at least SURE_LETTERS letters.
 
-Bounds (documented parameters): a language keeps its most frequent 4-grams, whole classes of counts of a power of two, at most
-MOST_GRAMS; calibration scores at most CALIBRATION_ROWS training rows. So the broadcast has a fixed size for each
-language, whereas counting and prediction cover all rows and whole texts. Nothing but 4-gram counts is shuffled.
+The tables are whole at every size: they are sorted by range partitions and written to the shared folder as arrays of keys
+and values, which workers map into memory and search; so only file names are broadcast, and neither driver nor worker holds
+a table. The folder must be a local or mounted one. The one bound: calibration scores a sample of CALIBRATION_ROWS labelled
+rows. Nothing but 4-gram counts and the tables made of them is shuffled.
 
 Defined results: null text or text without letters gives `und` with score 0; with nothing to learn from every row is `und`;
 ties in cross-entropy go to the first language in order; repeated rows are predicted each; rows with null lang are
@@ -18,19 +19,20 @@ predicted but not learned from; null doc_id counts as not held out; an empty tab
 
 from __future__ import annotations
 
+import os
 import unicodedata
-from functools import lru_cache
+import uuid
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm.common import cut, table, text_slices
+from sessionloom.llm.common import cut, fresh_path, table, text_slices
 from sessionloom.llm.shingles import U
 
 ORDER = 4
-MOST_GRAMS = 400_000
 CALIBRATION_ROWS = 4000
 SURE_LETTERS = 40
 SLACK = 1.5
@@ -137,6 +139,31 @@ class _Table:
         return np.where(self.keys[at] == keys, self.values[at], np.float32(otherwise))
 
 
+class _Mapped:
+    """A table as sorted arrays in files of the shared folder, mapped where they are searched."""
+
+    def __init__(self, parts: list[tuple[int, str]]):
+        parts = sorted(parts)  # (first key, path without its ending)
+        self.first, self.paths = np.array([p[0] for p in parts], U), [p[1] for p in parts]
+        self.maps: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def __getstate__(self):
+        return self.__dict__ | {"maps": {}}
+
+    def get(self, keys: np.ndarray, otherwise: float) -> np.ndarray:
+        out = np.full(keys.size, otherwise, np.float32)
+        part = np.searchsorted(self.first, keys, "right") - 1
+        for k in np.unique(part[part >= 0]).tolist():
+            if k not in self.maps:
+                self.maps[k] = np.memmap(self.paths[k] + ".keys", U, "r"), np.memmap(self.paths[k] + ".values", np.float32, "r")
+            known, values = self.maps[k]
+            mine = np.flatnonzero(part == k)
+            at = np.minimum(np.searchsorted(known, keys[mine]), known.size - 1)
+            hit = known[at] == keys[mine]
+            out[mine[hit]] = values[at[hit]]
+        return out
+
+
 class KneserNey:
     """One language: for each order the discounted probability of a seen gram and the back-off weight of a seen context."""
 
@@ -151,6 +178,12 @@ class KneserNey:
             # the next order counts in how many contexts a gram was seen
             keys, counts = np.unique(keys & ((U(1) << U(16 * (order - 1))) - U(1)), return_counts=True)
 
+    @classmethod
+    def of(cls, orders: list[tuple[_Mapped, _Mapped]]) -> KneserNey:
+        own = cls.__new__(cls)
+        own.orders = orders
+        return own
+
     def log_p(self, keys: np.ndarray) -> np.ndarray:
         p, weight = np.zeros(keys.size), np.ones(keys.size)
         for order, (seen, context) in zip(range(ORDER, 0, -1), self.orders, strict=True):
@@ -211,24 +244,65 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def model_tables(counts: DataFrame) -> DataFrame:
+    """lang, part, gram, value of KneserNey's tables from all counts (lang, gram, n); part: 2 x order for grams, 1 more for contexts."""
+    tables = []
+    for order in range(ORDER, 0, -1):
+        once, twice = F.sum((F.col("n") == 1).cast("long")), F.sum((F.col("n") == 2).cast("long"))
+        d = counts.groupBy("lang").agg(F.least(F.greatest(once / F.greatest(once + 2 * twice, F.lit(1)), F.lit(0.1)), F.lit(0.95)).alias("d"))
+        own = counts.withColumn("context", F.shiftrightunsigned("gram", 16))
+        contexts = own.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("types")).join(d, "lang")
+        seen = own.join(contexts, ["lang", "context"])  # a context has at most 65,536 grams
+        tables.append(seen.select("lang", F.lit(2 * order).alias("part"), "gram", (F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total")).cast("float").alias("value")))
+        tables.append(contexts.select("lang", F.lit(2 * order + 1).alias("part"), F.col("context").alias("gram"), (F.col("d") * F.col("types") / F.col("total")).cast("float").alias("value")))
+        # the next order counts in how many contexts a gram was seen
+        counts = counts.groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1)).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+    return reduce(DataFrame.union, tables)
+
+
+def written_models(counts: DataFrame) -> dict[str, KneserNey]:
+    """The models of all languages, their tables in files; the driver gets a row for each file."""
+    folder = fresh_path(counts.sparkSession, "lang-tables")
+    if "://" in folder and not folder.startswith("file://"):
+        raise ValueError(f"language tables are mapped into memory: spark.checkpoint.dir must be a local or mounted folder, not {folder}")
+    folder = folder.removeprefix("file://").removeprefix("file:")
+
+    def write(batches):
+        os.makedirs(folder, exist_ok=True)
+        last, files, made = None, [], []
+        for b in batches:
+            langs, parts = b.column(0).to_pylist(), b.column(1).to_numpy()
+            keys, values = b.column(2).to_numpy().view(U), b.column(3).to_numpy()
+            ends = [i for i in range(1, b.num_rows) if langs[i] != langs[i - 1] or parts[i] != parts[i - 1]]
+            for lo, hi in zip([0, *ends], [*ends, b.num_rows], strict=True):
+                if lo == hi:
+                    continue
+                if (langs[lo], parts[lo]) != last:
+                    for f in files:
+                        f.close()
+                    last, path = (langs[lo], parts[lo]), f"{folder}/{uuid.uuid4().hex}"
+                    files = [open(path + end, "wb") for end in (".keys", ".values")]
+                    made.append((langs[lo], int(parts[lo]), int(keys[lo : lo + 1].view(np.int64)[0]), path))
+                files[0].write(keys[lo:hi].tobytes())
+                files[1].write(values[lo:hi].astype(np.float32).tobytes())
+        for f in files:
+            f.close()
+        cols = list(zip(*made, strict=True)) or [[], [], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.string(), pa.int32(), pa.int64(), pa.string()), strict=True)], names=["lang", "part", "first", "path"])
+
+    # keys are compared without sign
+    order = ["lang", "part", F.col("gram").bitwiseXOR(F.lit(-(1 << 63)))]
+    made = model_tables(counts).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(write, "lang string, part int, first long, path string").collect()
+    found: dict[str, dict[int, list[tuple[int, str]]]] = {}
+    for r in made:
+        found.setdefault(r["lang"], {}).setdefault(r["part"], []).append((r["first"] % (1 << 64), r["path"]))
+    return {lang: KneserNey.of([(_Mapped(parts[2 * k]), _Mapped(parts[2 * k + 1])) for k in range(ORDER, 0, -1)]) for lang, parts in found.items()}
+
+
 def learn(docs: DataFrame) -> LanguageModel:
     """Models of all languages from the rows of docs (doc_id, text, lang) that aren't held out and have a language."""
     rows = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = cut(gram_counts(rows), "lang-counts")
-    level = F.floor(F.log2("n")).cast("int")
-    sizes: dict[str, list[tuple[int, int]]] = {}
-    for r in counts.groupBy("lang", level.alias("level")).agg(F.count(F.lit(1)).alias("m")).collect():  # at most 64 rows a language
-        sizes.setdefault(r["lang"], []).append((r["level"], r["m"]))
-    models = {}
-    for lang, found in sizes.items():
-        least, total = 64, 0
-        for lev, m in sorted(found, reverse=True):
-            if total + m > MOST_GRAMS:
-                break
-            least, total = lev, total + m
-        kept = counts.where((F.col("lang") == lang) & (level >= least)).select("gram", "n").toArrow()  # at most MOST_GRAMS rows
-        if kept.num_rows:
-            models[lang] = KneserNey(kept.column("gram").to_numpy().view(U), kept.column("n").to_numpy())
+    models = written_models(cut(gram_counts(rows), "lang-counts"))
     model = LanguageModel(models)
     if models:
         shipped = docs.sparkSession.sparkContext.broadcast(model)

@@ -84,3 +84,24 @@ def test_pipeline(spark):
             assert docs.columns == before.columns and docs.exceptAll(before).count() == 0
     assert n >= before.count() > 0.7 * n
     assert {r["doc_id"] for r in docs.select("doc_id").distinct().collect()} == {r["doc_id"] for r in before.select("doc_id").collect()}
+
+
+def test_models_keep_all_grams(spark):
+    """Tables by Spark are KneserNey's own over all counts, also beyond the former 400,000 4-grams of a language."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(5)
+    keys, _, _ = language_id.grams(["the cat sat on the mat and the hat", "漢字가나다 漢字 a cat", "힣￠Ａ" * 4])
+    few = np.unique(keys, return_counts=True)
+    code = rng.integers(0x4E00, 0xD7A0, (450_000, 4)).astype(np.uint64)
+    many = np.unique(code[:, 0] << np.uint64(48) | code[:, 1] % np.uint64(64) << np.uint64(32) | code[:, 2] % np.uint64(64) << np.uint64(16) | code[:, 3], return_counts=True)
+    many = many[0], many[1] + (np.arange(many[0].size) % 4 == 0)
+    assert many[0].size > 400_000 and (many[0] >> np.uint64(63)).any()
+    import pandas as pd
+
+    given = spark.createDataFrame(pd.concat([pd.DataFrame({"lang": x, "gram": k.view(np.int64), "n": n.astype(np.int64)}) for x, (k, n) in (("few", few), ("many", many))]))
+    made = language_id.written_models(given.repartition(8, F.col("gram")))
+    for lang, (k, n) in (("few", few), ("many", many)):
+        probe = np.unique(np.concatenate([k, k ^ np.uint64(1), rng.integers(0, 1 << 63, 1000).astype(np.uint64), few[0]]))
+        assert np.allclose(made[lang].log_p(probe), language_id.KneserNey(k, n).log_p(probe), rtol=1e-5)
