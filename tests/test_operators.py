@@ -115,6 +115,21 @@ def test_permutation_test(spark):
     assert a == b and a["vote"] == "same" and a["margin"] > 0
 
 
+def test_pairing_verdicts_find_one_swap_among_many(spark):
+    """300 draws can't give p below 1/301, which Benjamini-Hochberg rejects over 40 sessions."""
+    rng = np.random.default_rng(1)
+    t = np.arange(0, 30, 0.5)
+    left, right = rng.normal(size=t.size), rng.normal(size=t.size)
+    series = {"video_left": left, "video_right": right, "sensor_left": right, "sensor_right": left}
+    rows = [("swapped", n, float(a), float(b)) for n, v in series.items() for a, b in zip(t, v, strict=True)]
+    rows += [(f"short{k}", n, 0.0, 1.0) for k in range(39) for n in series]
+    df = spark.createDataFrame(rows, "g string, series string, t double, v double")
+    got = {r["g"]: r for r in G.pairing_verdicts(df, "g", step=0.5).collect()}
+    assert len(got) == 40 and [g for g, r in got.items() if r["robust"]] == ["swapped"]
+    assert got["swapped"]["vote"] == "swap" and got["swapped"]["p"] < 1 / 301
+    assert not any(r["robust"] for r in G.pairing_verdicts(df, "g", refine=0, step=0.5).collect())
+
+
 def test_json_renames(spark):
     df = spark.createDataFrame([('{"left": "left", "k": ["right", {"x": "left"}]}',), ("bad",), (None,)], "j string")
     assert [r[0] for r in G.replace_json_values(df, "j", {"left": "right", "right": "left"}).collect()] == ['{"left": "right", "k": ["left", {"x": "right"}]}', "bad", None]
