@@ -91,8 +91,13 @@ def grade_histogram(spark, d):
 
 @query("SELECT s_suppkey, s_name, n_name, s_acctbal FROM supplier JOIN nation ON s_nationkey = n_nationkey ORDER BY s_acctbal ASC NULLS LAST, s_suppkey LIMIT 50")
 def disk_join_backlog(spark, d):
+    return disk_join_backlog_all(spark, d).limit(50)
+
+
+@query(ORACLE["disk_join_backlog"].replace(" LIMIT 50", ""))
+def disk_join_backlog_all(spark, d):
     met = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    return met.select("s_suppkey", "s_name", "n_name", "s_acctbal").orderBy(F.asc_nulls_last("s_acctbal"), "s_suppkey").limit(50)
+    return met.select("s_suppkey", "s_name", "n_name", "s_acctbal").orderBy(F.asc_nulls_last("s_acctbal"), "s_suppkey")
 
 
 def _buyers(spark, d):
@@ -221,8 +226,18 @@ SELECT w.user_id, k, round(CASE WHEN b.v IS NULL THEN a.v WHEN a.v IS NULL OR ta
 FROM w LEFT JOIN s a ON a.user_id = w.user_id AND a.t = ta LEFT JOIN s b ON b.user_id = w.user_id AND b.t = tb
 """)
 def interp_series(spark, d):
+    return _daily(spark, d, F.lit(19))
+
+
+@query(ORACLE["interp_series"].replace("range(0, 20)", "range(0, CAST(floor((t1 - t0) / 86400.0::DOUBLE) AS BIGINT) + 1)"))
+def interp_series_all(spark, d):
+    """Each user's grid runs to their last time."""
+    return _daily(spark, d, F.floor((F.max("t") - F.min("t")) / 86_400.0))
+
+
+def _daily(spark, d, last):
     s = events(spark, d).groupBy("user_id", "t").agg(F.avg("value").alias("value"))
-    grid = s.groupBy("user_id").agg(F.min("t").alias("t0")).select("user_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(19).cast("long"))).alias("k"), "t0").withColumn("t", F.col("t0") + F.col("k") * 86_400.0)
+    grid = s.groupBy("user_id").agg(F.min("t").alias("t0"), last.cast("long").alias("last")).select("user_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))).alias("k"), "t0").withColumn("t", F.col("t0") + F.col("k") * 86_400.0)
     return O.interpolated(grid, s, ["user_id"], "t", "value", "k").select("user_id", "k", F.round("value", 4).alias("value"))
 
 
@@ -357,9 +372,18 @@ def fingerprint(spark, d):
 SELECT user_id, array_to_string(list_sort(list_filter(['click', 'purchase', 'upload'], lambda x: NOT list_contains(present, x))), ',') AS missing, array_to_string(list_sort(list_filter(present, lambda x: NOT list_contains(['click', 'purchase', 'upload'], x))), ',') AS extra,
   array_to_string(list_sort(list_filter(present, lambda x: list_contains(['click', 'purchase', 'upload'], x))), ',') AS shared FROM u""")
 def set_algebra(spark, d):
+    return _sets(table(spark, d, "events").where("event_id % 3 = 0"))
+
+
+@query(ORACLE["set_algebra"].replace(" WHERE event_id % 3 = 0", ""))
+def set_algebra_all(spark, d):
+    return _sets(table(spark, d, "events"))
+
+
+def _sets(events: DataFrame) -> DataFrame:
     want, have = F.array(*map(F.lit, ("click", "purchase", "upload"))), F.col("present")
     text = lambda a: F.array_join(F.array_sort(a), ",")
-    u = table(spark, d, "events").where("event_id % 3 = 0").groupBy("user_id").agg(F.collect_set("event_type").alias("present"))
+    u = events.groupBy("user_id").agg(F.collect_set("event_type").alias("present"))
     return u.select("user_id", text(F.array_except(want, have)).alias("missing"), text(F.array_except(have, want)).alias("extra"), text(F.array_intersect(want, have)).alias("shared"))
 
 
@@ -430,12 +454,22 @@ def stream_running_kpi(spark, d):
 g AS (SELECT name, size, min(observed_at) AS since, max(observed_at) AS last FROM l GROUP BY 1, 2) SELECT name, CAST(size AS BIGINT) AS size, CAST(since AS DOUBLE) AS since FROM g WHERE last - since >= 60""")
 def stability_gate(spark, d):
     """Each user's first twelve events as listings 30 seconds apart of a file that grows with every third."""
+    return _gate(spark, d, "k <= 12")
+
+
+@query(ORACLE["stability_gate"].replace(" WHERE k <= 12", ""))
+def stability_gate_all(spark, d):
+    """The same over all events of each user."""
+    return _gate(spark, d, "true")
+
+
+def _gate(spark, d, listed: str):
     from pyspark.sql import Window
 
     from sessionloom.streaming import watch
 
     k = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    seen = table(spark, d, "events").withColumn("k", k).where("k <= 12").select(F.concat(F.lit("u"), "user_id").alias("name"), F.floor(F.col("k") / 3).alias("size"), F.lit(0.0).alias("mtime"), (F.col("k") * 30.0).alias("observed_at"))
+    seen = table(spark, d, "events").withColumn("k", k).where(listed).select(F.concat(F.lit("u"), "user_id").alias("name"), F.floor(F.col("k") / 3).alias("size"), F.lit(0.0).alias("mtime"), (F.col("k") * 30.0).alias("observed_at"))
     out = _shared(spark)
     seen.write.parquet(f"{out}/seen")
     stream = spark.readStream.schema(spark.read.parquet(f"{out}/seen").schema).parquet(f"{out}/seen")
@@ -517,9 +551,18 @@ def post_pipeline(spark, d):
 h AS (SELECT u, sum(free) OVER (ORDER BY u) AS e, sum(free) OVER (ORDER BY u) - free AS b FROM f), r AS (SELECT *, sum(size) OVER (ORDER BY started_at, session_id ROWS UNBOUNDED PRECEDING) AS t FROM s)
 SELECT session_id, 'ssd' AS source, '/mnt/' || u AS target, CASE WHEN u IS NULL THEN 'wait' ELSE 'copy' END AS action FROM r LEFT JOIN h ON t - size >= b AND t <= e""")
 def replication_plan(spark, d):
+    return _replication(spark, d, "o_orderkey % 3 = 0")
+
+
+@query(ORACLE["replication_plan"].replace(" WHERE o_orderkey % 3 = 0", ""))
+def replication_plan_all(spark, d):
+    return _replication(spark, d, "true")
+
+
+def _replication(spark, d, planned: str):
     from sessionloom.plans.sessions import replication_plan as run
 
-    s = table(spark, d, "orders").where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("session_id"), F.col("o_orderdate").alias("started_at"), F.col("o_totalprice").cast("long").alias("size_bytes"), F.lit("S").alias("ssd_disk_uuid"), F.lit(None).cast("string").alias("hdd_disk_uuid"))
+    s = table(spark, d, "orders").where(planned).select(F.col("o_orderkey").alias("session_id"), F.col("o_orderdate").alias("started_at"), F.col("o_totalprice").cast("long").alias("size_bytes"), F.lit("S").alias("ssd_disk_uuid"), F.lit(None).cast("string").alias("hdd_disk_uuid"))
     h = table(spark, d, "supplier").select(F.format_string("d%05d", "s_suppkey").alias("disk_uuid"), F.concat(F.lit("/mnt/"), F.format_string("d%05d", "s_suppkey")).alias("mount_path"), F.lit("HDD").alias("disk_type"), (1_000_000 + F.col("s_suppkey") * 1000).cast("long").alias("free_bytes"))
     ssd = spark.createDataFrame([("S", "ssd", "SSD", 0)], "disk_uuid string, mount_path string, disk_type string, free_bytes long")
     return run(s, h.union(ssd))

@@ -50,3 +50,19 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_whole_tables_are_covered(spark):
+    """Plain Python over all rows, and no part left out."""
+    e = pd.read_parquet(f"{SF}/events.parquet")
+    run = lambda name: m.QUERIES[name + "_all"](spark, SF).toPandas()
+    want = {"click", "purchase", "upload"}
+    sets = {u: set(g) for u, g in e.groupby("user_id")["event_type"]}
+    joined = lambda s: ",".join(sorted(s))
+    assert {(r.user_id, r.missing, r.extra, r.shared) for r in run("set_algebra").itertuples()} == {(u, joined(want - s), joined(s - want), joined(s & want)) for u, s in sets.items()}
+    assert set(run("replication_plan")["session_id"]) == set(pd.read_parquet(f"{SF}/orders.parquet")["o_orderkey"])
+    assert len(run("disk_join_backlog")) == len(pd.read_parquet(f"{SF}/supplier.parquet"))
+    days = e.groupby("user_id")["ts"].agg(lambda t: (t.max() - t.min()) // pd.Timedelta(days=1))
+    assert run("interp_series").groupby("user_id")["k"].max().to_dict() == days.to_dict() and days.max() > 19
+    gate = {(f"u{u}", s) for u, n in e.groupby("user_id").size().items() for s in range(1, (n + 1) // 3 + 1) if s * 3 + 2 <= n}
+    assert set(zip(*(run("stability_gate")[c] for c in ("name", "size")), strict=True)) == gate
