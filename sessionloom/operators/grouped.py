@@ -1,153 +1,289 @@
-"""Order-dependent and lag-scanning operators that run as pandas functions on bounded groups (one session each)."""
+"""Order-dependent and lag-scanning operators: greedy choices in the JVM, series of one session at a time in numpy."""
 
 from __future__ import annotations
 
+from itertools import pairwise, product
+from zlib import crc32
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
+from sessionloom.session import written
 
-def skip_capacity(rows: DataFrame, group: str, order: str, size: str, cap: float) -> DataFrame:
-    """First fit in name order: a row that would go over the cap is passed over, later ones may still fit."""
-    schema = rows.schema
+LAGS_AT_ONCE = 16
 
-    def run(t: pd.DataFrame) -> pd.DataFrame:
-        t = t.sort_values(order, kind="stable")
-        kept, total = [], 0.0
-        for x in t[size]:
-            take = total + x <= cap
-            kept.append(take)
-            total += x if take else 0
-        return t[kept]
 
-    return rows.groupBy(group).applyInPandas(run, schema)
+def each_group(rows: DataFrame, key: str, order: list[str], run, schema: str) -> DataFrame:
+    """run(key, table) gives tuples for each group; a group's rows come in order, and a task holds one group at a time.
+
+    Groups are told apart in a sorted stream, so thousands of small ones cost one call of Python a batch, not one each.
+    Rows with a null key are left out.
+    """
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+
+    def packed(found: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*found, strict=True)) or [[] for _ in fields]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, fields, strict=True)], schema=fields)
+
+    def scan(batches):
+        held: list[pa.RecordBatch] = []
+        last = None
+        for b in batches:
+            found: list[tuple] = []
+            k = b.column(key).to_numpy(zero_copy_only=False)
+            for lo, hi in pairwise([0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), b.num_rows] if b.num_rows else []):
+                if held and k[lo] != last:
+                    found += run(last, pa.Table.from_batches(held))
+                    held = []
+                held.append(b.slice(lo, hi - lo))
+                last = k[lo].item() if hasattr(k[lo], "item") else k[lo]
+            yield packed(found)
+        if held:
+            yield packed(list(run(last, pa.Table.from_batches(held))))
+
+    return rows.where(F.col(key).isNotNull()).repartition(key).sortWithinPartitions(key, *order).mapInArrow(scan, schema)
+
+
+def skip_capacity(rows: DataFrame, group: str, order: str, size: str, cap: float) -> DataFrame:
+    """First fit in name order: a row that would go over the cap is passed over, later ones may still fit.
+
+    The choice among a group's rows depends on all before; it is a fold in the JVM over the group's (order, size, row).
+    """
+    each = rows.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("double").alias("s"), F.struct(*rows.columns).alias("row")))).alias("all"))
+    kind = each.schema["all"].dataType.simpleString()
+    start = F.struct(F.lit(0.0).alias("total"), F.array().cast(kind).alias("kept"))
+    add = lambda s, x: F.when(s["total"] + x["s"] <= cap, F.struct((s["total"] + x["s"]).alias("total"), F.concat(s["kept"], F.array(x)).alias("kept"))).otherwise(s)
+    return each.select(F.explode(F.aggregate("all", start, add)["kept"]["row"]).alias("row")).select("row.*")
 
 
 def diverse_sample(rows: DataFrame, group: str, value: str, tie: str, n: int) -> DataFrame:
-    """For n targets evenly from the least to the largest value, the nearest unused row each (first by tie)."""
-    schema = rows.schema
-
-    def run(t: pd.DataFrame) -> pd.DataFrame:
-        t = t.dropna(subset=[value]).sort_values([value, tie], kind="stable").reset_index(drop=True)
-        v, free = t[value].to_numpy(float), np.ones(len(t), bool)
-        for target in np.linspace(v.min(), v.max(), n) if len(t) else ():
-            if not free.any():
-                break
-            free[np.where(free, np.abs(v - target), np.inf).argmin()] = False
-        return t[~free]
-
-    return rows.groupBy(group).applyInPandas(run, schema)
-
-
-def _pearson(a: np.ndarray, b: np.ndarray, flat: float) -> float:
-    if a.size < 2 or a.std() < flat or b.std() < flat:
-        return 0.0
-    return float(((a - a.mean()) * (b - b.mean())).mean() / (a.std() * b.std()))
-
-
-def best_lag_of(ta, va, tb, vb, step: float, reach: float, least: int = 5, flat: float = 1e-6) -> tuple[float, float]:
-    """The lag within ±reach, in steps, with the largest |correlation| of a(t) and b(t + lag) on their shared grid; (0, 0) if none."""
-    best = (0.0, 0.0)
-    count = int(round(reach / step))
-    for k in sorted(range(-count, count + 1), key=lambda k: (abs(k), k)):
-        lag = k * step
-        lo, hi = max(ta[0], tb[0] - lag), min(ta[-1], tb[-1] - lag)
-        grid = np.arange(lo, hi, step)
-        if grid.size >= least:
-            r = _pearson(np.interp(grid, ta, va), np.interp(grid + lag, tb, vb), flat)
-            if abs(r) > abs(best[1]):
-                best = (lag, r)
-    return best
+    """For n targets evenly from the least to the largest value, the nearest unused row each (first by value and tie).
+
+    Only a target's n nearest rows can be its choice, as the targets before it use up n - 1 at most; these are ranked with a
+    limit before the shuffle, so a hot group is no single task's work. The choice itself sees n * n rows a group.
+    """
+    rows = rows.where(F.col(value).isNotNull())
+    ends = rows.groupBy(group).agg(F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
+    step = (F.col("_hi") - F.col("_lo")) / max(n - 1, 1)
+    target = F.when((F.col("_k") == n - 1) & F.lit(n > 1), F.col("_hi")).otherwise(F.col("_lo") + F.col("_k") * step)
+    near = rows.join(ends, group).withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn("_d", F.abs(F.col(value).cast("double") - target))
+    ranked = near.withColumn("_rn", F.row_number().over(Window.partitionBy(group, "_k").orderBy("_d", value, tie))).where(F.col("_rn") <= n)
+    each = ranked.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("_k", "_rn", F.struct(F.col(value).alias("v"), F.col(tie).alias("t")).alias("id"), F.struct(*rows.columns).alias("row")))).alias("all"))
+    kind = each.schema["all"].dataType.simpleString()
+    # candidates come by target and nearness; a target that has its row takes no other one, and no row is taken twice
+    free = lambda s, x: ~F.exists(s, lambda y: (y["_k"] == x["_k"]) | (y["id"] == x["id"]))
+    chosen = F.aggregate("all", F.array().cast(kind), lambda s, x: F.when(free(s, x), F.concat(s, F.array(x))).otherwise(s))
+    return each.select(F.explode(chosen["row"]).alias("row")).select("row.*")
+
 
+def _series(t: pa.Table, names: tuple[str, ...]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Times and values of the named series of a table sorted by series and time, without nulls."""
+    series = t.column("series").to_numpy(zero_copy_only=False)
+    x, y = (t.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("t", "v"))
+    ok = ~(np.isnan(x) | np.isnan(y))
+    return [(x[pick], y[pick]) for pick in ((series == n) & ok for n in names)]
 
-def _series(t: pd.DataFrame, name: str) -> tuple[np.ndarray, np.ndarray]:
-    own = t[t["series"] == name].dropna(subset=["t", "v"]).sort_values("t", kind="stable")
-    return own["t"].to_numpy(float), own["v"].to_numpy(float)
 
+def _of(rows: DataFrame, group: str) -> DataFrame:
+    return rows.select(group, "series", F.col("t").cast("double").alias("t"), F.col("v").cast("double").alias("v"))
 
-def best_lag(rows: DataFrame, group: str, a: str, b: str, step: float = 0.02, reach: float = 1.0) -> DataFrame:
+
+def best_lag_of(ta, va, tb, vb, grid_step: float, reach: float, lag_step: float, least_overlap: float = 0.0, least: int = 5, flat: float = 1e-9) -> tuple[float, float]:
+    """(lag, r): the first of the lags from -reach on with the largest |correlation| of a(t) and b(t - lag); (0, 0) if none.
+
+    The grid is the time both series share without a lag; b is held at its ends. A side that hardly varies on the grid gives 0.
+    """
+    if min(ta.size, tb.size) < least:
+        return 0.0, 0.0
+    lo, hi = max(ta[0], tb[0]), min(ta[-1], tb[-1])
+    if hi <= lo or hi - lo < least_overlap:
+        return 0.0, 0.0
+    grid = np.arange(lo, hi, grid_step)
+    a = np.interp(grid, ta, va)
+    if a.std() < flat:
+        return 0.0, 0.0
+    a = (a - a.mean()) / (a.std() * a.size)
+    lags, found = np.arange(-reach, reach + lag_step, lag_step), []
+    for part in np.array_split(lags, -(-lags.size // LAGS_AT_ONCE)):
+        b = np.interp(grid[None, :] - part[:, None], tb, vb)
+        spread = b.std(axis=1)
+        found.append(np.where(spread < flat, 0.0, (b - b.mean(axis=1, keepdims=True)) @ a / np.where(spread < flat, 1.0, spread)))
+    r = np.concatenate(found)
+    k = int(np.abs(r).argmax())
+    return (float(lags[k]), float(r[k])) if r[k] else (0.0, 0.0)
+
+
+def best_lag(rows: DataFrame, group: str, a: str, b: str, grid_step: float = 0.02, reach: float = 1.0, lag_step: float = 0.02, least_overlap: float = 0.0) -> DataFrame:
     """group, lag, r of the series named a and b in rows (group, series, t, v)."""
 
-    def run(key, t: pd.DataFrame) -> pd.DataFrame:
-        (ta, va), (tb, vb) = _series(t, a), _series(t, b)
-        lag, r = best_lag_of(ta, va, tb, vb, step, reach) if ta.size > 1 and tb.size > 1 else (0.0, 0.0)
-        return pd.DataFrame({group: [key[0]], "lag": [lag], "r": [r]})
+    def run(key, t: pa.Table) -> list[tuple]:
+        (ta, va), (tb, vb) = _series(t, (a, b))
+        return [(key, *best_lag_of(ta, va, tb, vb, grid_step, reach, lag_step, least_overlap))]
+
+    kind = rows.schema[group].dataType.simpleString()
+    return each_group(_of(rows, group), group, ["series", "t"], run, f"{group} {kind}, lag double, r double")
+
+
+#: Left and right video with left and right sensor.
+PAIRS = tuple(product(("left", "right"), ("left", "right")))
+SIDES = ("video_left", "video_right", "sensor_left", "sensor_right")
+
+
+def pairings(rows: DataFrame, group: str, grid_step: float = 0.02, reach: float = 1.0, lag_step: float = 0.02, least_points: int = 30, least_span: float = 3.0) -> DataFrame:
+    """group, r_ll, r_lr, r_rl, r_rr (video side, sensor side), lag_ll, lag_rr, enough_left, enough_right of series SIDES.
+
+    enough: the video's samples suffice (least_points and least_span).
+    """
+
+    def run(key, t: pa.Table) -> list[tuple]:
+        s = dict(zip(SIDES, _series(t, SIDES), strict=True))
+        found = {p: best_lag_of(*s[f"video_{p[0]}"], *s[f"sensor_{p[1]}"], grid_step, reach, lag_step) for p in PAIRS}
+        enough = [bool(x.size >= least_points and x[-1] - x[0] >= least_span) for x in (s["video_left"][0], s["video_right"][0])]
+        return [(key, *(found[p][1] for p in PAIRS), found["left", "left"][0], found["right", "right"][0], *enough)]
 
     kind = rows.schema[group].dataType.simpleString()
-    return rows.select(group, "series", "t", "v").groupBy(group).applyInPandas(run, f"{group} {kind}, lag double, r double")
+    names = ", ".join(f"r_{a[0]}{b[0]} double" for a, b in PAIRS)
+    return each_group(_of(rows, group), group, ["series", "t"], run, f"{group} {kind}, {names}, lag_ll double, lag_rr double, enough_left boolean, enough_right boolean")
+
+
+def lagged_products(x: np.ndarray, y: np.ndarray, reach: int) -> np.ndarray:
+    """Sums of x[i + k] * y[i] for k from -reach to reach (as far as they overlap)."""
+    n = x.size
+    reach = min(reach, n - 1)
+    return np.array([np.dot(x[max(0, k) : n + min(0, k)], y[max(0, -k) : n - max(0, k)]) for k in range(-reach, reach + 1)])
 
 
 def biased_cross_correlation(a: np.ndarray, b: np.ndarray, reach: int, prefer_zero: float = 0.8) -> tuple[int, float]:
     """The lag in samples and value of the normalised cross-correlation, each lag divided by the full length; lag 0 if it reaches a share of the best."""
-    n = a.size
-    if n == 0 or a.std() < 1e-6 or b.std() < 1e-6:
+    if a.size == 0 or np.ptp(a) < 1e-6 or np.ptp(b) < 1e-6:
         return 0, 0.0
-    x, y = (a - a.mean()) / (a.std() * n), (b - b.mean()) / b.std()
-    r = np.array([np.dot(x[max(0, -k) : n - max(0, k)], y[max(0, k) : n - max(0, -k)]) if abs(k) < n else 0.0 for k in range(-reach, reach + 1)])
-    k = int(np.abs(r).argmax())
-    return (0, float(r[reach])) if abs(r[reach]) >= prefer_zero * abs(r[k]) else (k - reach, float(r[k]))
+    y, x = (a - a.mean()) / (a.std() * a.size + 1e-8), (b - b.mean()) / (b.std() + 1e-8)
+    r = lagged_products(x, y, reach)
+    zero, k = r.size // 2, int(np.abs(r).argmax())
+    return (0, float(r[zero])) if abs(r[zero]) >= prefer_zero * abs(r[k]) else (k - zero, float(r[k]))
+
+
+def gripper_flow_sides(rows: DataFrame, group: str, step: float = 33.33, least_overlap: float = 2000.0, reach: int = 45) -> DataFrame:
+    """group, side, correlation, lag_ms, note from rows (group, side, series, t, v) of series gripper and flow, t in ms.
+
+    note is overlap or flat where there is no correlation; a side without both series gives no row.
+    """
+    keyed = rows.withColumn("_side", F.struct(group, "side").cast("string"))
+
+    def run(key, t: pa.Table) -> list[tuple]:
+        (ta, va), (tb, vb) = _series(t, ("gripper", "flow"))
+        own = [t.column(group)[0].as_py(), t.column("side")[0].as_py()]
+        if not (ta.size and tb.size):
+            return []
+        lo, hi = max(ta[0], tb[0]), min(ta[-1], tb[-1])
+        if hi - lo < least_overlap:
+            return [(*own, None, None, "overlap")]
+        grid = np.arange(lo, hi, step)
+        a, b = np.interp(grid, ta, va), np.interp(grid, tb, vb)
+        if np.ptp(a) < 1e-6 or np.ptp(b) < 1e-6:
+            return [(*own, None, None, "flat")]
+        k, r = biased_cross_correlation(a, b, reach)
+        return [(*own, round(r, 4), round(k * step, 1), None)]
+
+    kind = rows.schema[group].dataType.simpleString()
+    cols = keyed.select("_side", group, "side", "series", F.col("t").cast("double").alias("t"), F.col("v").cast("double").alias("v"))
+    return each_group(cols, "_side", ["series", "t"], run, f"{group} {kind}, side string, correlation double, lag_ms double, note string")
+
 
+def gripper_flow_check(sides: DataFrame, group: str, least: float = 0.30) -> DataFrame:
+    """group, weakest, ok: the least |correlation| of a group's sides; groups without one pass."""
+    out = sides.groupBy(group).agg(F.min(F.abs("correlation")).alias("weakest"))
+    return out.withColumn("ok", F.coalesce(F.col("weakest") >= least, F.lit(True)))
 
-def gripper_flow_check(rows: DataFrame, group: str, step: float = 1 / 30, least_overlap: float = 2.0, reach: int = 45, least: float = 0.30) -> DataFrame:
-    """group, lag, ncc, ok of gripper and flow series on a 30 Hz grid; null values where they overlap too little."""
 
-    def run(key, t: pd.DataFrame) -> pd.DataFrame:
-        (ta, va), (tb, vb) = _series(t, "gripper"), _series(t, "flow")
-        lag, r, ok = None, None, True
-        if ta.size > 1 and tb.size > 1:
-            lo, hi = max(ta[0], tb[0]), min(ta[-1], tb[-1])
-            if hi - lo >= least_overlap:
-                grid = np.arange(lo, hi, step)
-                k, r = biased_cross_correlation(np.interp(grid, ta, va), np.interp(grid, tb, vb), reach)
-                lag, ok = k * step, abs(r) >= least
-        return pd.DataFrame({group: [key[0]], "lag": [lag], "ncc": [r], "ok": [ok]}).astype({"lag": "float64", "ncc": "float64"})
+def trajectory_correlation(rows: DataFrame, group: str, step_ms: float, least_overlap: float = 2000.0, reach_ms: float = 1500.0, coherent: float = 0.70) -> DataFrame:
+    """group, points, pearson_x/y/z, rmse_x/y/z, lag_ms, coherent of two trajectories in rows (group, source, t_ms, x, y, z), source stereo or head.
+
+    Fewer than five points on a side, or too short an overlap, give zeros and null errors.
+    """
+
+    def r(a, b) -> float:
+        return 0.0 if a.std() < 1e-8 or b.std() < 1e-8 else float(((a - a.mean()) * (b - b.mean())).mean() / (a.std() * b.std()))
+
+    def run(key, t: pa.Table) -> list[tuple]:
+        source = t.column("source").to_numpy(zero_copy_only=False)
+        at, *xyz = (t.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("t_ms", "x", "y", "z"))
+        s, h = source == "stereo", source == "head"
+        none = [(key, 0, 0.0, 0.0, 0.0, None, None, None, 0.0, False)]
+        if min(s.sum(), h.sum()) < 5:
+            return none
+        lo, hi = max(at[s].min(), at[h].min()), min(at[s].max(), at[h].max())
+        if hi - lo < least_overlap:
+            return none
+        grid = np.arange(lo, hi, step_ms)
+        pairs = [(np.interp(grid, at[s], v[s]), np.interp(grid, at[h], v[h])) for v in xyz]
+        rs = [r(a, b) for a, b in pairs]
+        x, y = ((v - v.mean()) / (v.std() + 1e-8) for v in pairs[0])
+        found = lagged_products(x, y, int(reach_ms / step_ms + 1e-9))
+        lag = (int(np.abs(found).argmax()) - found.size // 2) * step_ms
+        return [(key, grid.size, *(round(v, 4) for v in rs), *(round(float(np.sqrt(((a - b) ** 2).mean())), 2) for a, b in pairs), round(lag, 1), bool(np.abs(rs).mean() >= coherent))]
 
     kind = rows.schema[group].dataType.simpleString()
-    return rows.select(group, "series", "t", "v").groupBy(group).applyInPandas(run, f"{group} {kind}, lag double, ncc double, ok boolean")
+    numbers = ", ".join(f"{m}_{a} double" for m in ("pearson", "rmse") for a in "xyz")
+    return each_group(rows.select(group, "source", "t_ms", "x", "y", "z"), group, ["source", "t_ms"], run, f"{group} {kind}, points long, {numbers}, lag_ms double, coherent boolean")
+
 
+def speed_of(t: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """|dv / dt| at midpoints of distinct times (the first value of each); empty with fewer than three steps."""
+    t, first = np.unique(t, return_index=True)
+    if t.size < 4:
+        return np.empty(0), np.empty(0)
+    return (t[1:] + t[:-1]) / 2, np.abs(np.diff(v[first])) / np.diff(t)
 
-def permutation_test(rows: DataFrame, group: str, draws: int = 300, step: float = 0.05, reach: float = 0.5, seed: int = 7, refine: int | None = None) -> DataFrame:
+
+def permutation_test(rows: DataFrame, group: str, draws: int = 300, grid_step: float = 0.05, reach: float = 0.5, lag_step: float = 0.05, guard: float = 1.0, least_overlap: float = 2.0, refine: int | None = None) -> DataFrame:
     """group, margin, p, vote: are left video and sensor, and right ones, paired rightly?
 
-    margin = |LL| + |RR| - |LR| - |RL| of best-lag correlations. Each draw shifts both sensors by one circular shift; p is
-    (1 + draws with a margin as large) / (1 + draws). The seed is mixed with the group's name, so runs repeat.
+    Series SIDES: flow of the videos, openings of the sensors, of which the speeds are compared.
+    margin = |LL| + |RR| - |LR| - |RL| of best-lag correlations. Each draw shifts both sensors by one circular shift, from guard
+    to the shorter sensor's span less guard; p is (1 + draws with a margin as large) / (1 + draws), or 1 where a sensor is too short
+    to be shifted. Draws come from a generator seeded by the group's name, so runs repeat.
     With refine, a group whose p is below 0.05 is drawn anew, so often, and that p replaces the first.
+    Groups with fewer than five points in a series are left out.
     """
-    from zlib import crc32
-
-    def run(key, t: pd.DataFrame) -> pd.DataFrame:
-        s = {n: _series(t, n) for n in ("video_left", "video_right", "sensor_left", "sensor_right")}
-        if min(x[0].size for x in s.values()) < 3:
-            return pd.DataFrame({group: [key[0]], "margin": [0.0], "p": [1.0], "vote": ["inconclusive"]})
-
-        def margin(shift: float) -> float:
-            moved = {}
-            for side in ("left", "right"):
-                ts, vs = s[f"sensor_{side}"]
-                period = ts[-1] - ts[0] + step
-                at = ts[0] + np.mod(ts - ts[0] + shift, period)
-                order = np.argsort(at, kind="stable")
-                moved[side] = at[order], vs[order]
-            r = {(a, b): abs(best_lag_of(*s[f"video_{a}"], *moved[b], step, reach)[1]) for a in ("left", "right") for b in ("left", "right")}
-            return r["left", "left"] + r["right", "right"] - r["left", "right"] - r["right", "left"]
-
-        real = margin(0.0)
-        span = s["sensor_left"][0][-1] - s["sensor_left"][0][0]
+
+    def shifted(t: np.ndarray, v: np.ndarray, shift: float) -> tuple[np.ndarray, np.ndarray]:
+        at = t[0] + np.mod(t - t[0] + shift, t[-1] - t[0])
+        order = np.argsort(at, kind="stable")
+        return at[order], v[order]
+
+    def run(key, t: pa.Table) -> list[tuple]:
+        s = dict(zip(SIDES, _series(t, SIDES), strict=True))
+        sensors = {side: speed_of(*s[f"sensor_{side}"]) for side in ("left", "right")}
+        if min(x[0].size for x in (s["video_left"], s["video_right"], *sensors.values())) < 5:
+            return []
+
+        def margin(moved) -> float:
+            r = {p: abs(best_lag_of(*s[f"video_{p[0]}"], *moved[p[1]], grid_step, reach, lag_step, least_overlap)[1]) for p in PAIRS}
+            return sum(v if a == b else -v for (a, b), v in r.items())
+
+        real = margin(sensors)
+        period = min(x[0][-1] - x[0][0] for x in sensors.values())
 
         def share(draws: int) -> float:
-            rng = np.random.default_rng(seed + crc32(str(key[0]).encode()))
-            as_large = sum(abs(margin(x)) >= abs(real) for x in rng.uniform(0.1 * span, 0.9 * span, draws))
+            if period <= 2 * guard:
+                return 1.0
+            shifts = np.random.default_rng(crc32(str(key).encode())).uniform(guard, period - guard, draws)
+            as_large = sum(abs(margin({side: shifted(*x, shift) for side, x in sensors.items()})) >= abs(real) for shift in shifts)
             return (1 + as_large) / (1 + draws)
 
         p = share(draws)
         if refine and p < 0.05:
             p = share(refine)
-        vote = "inconclusive" if p >= 0.05 else "same" if real > 0 else "swap"
-        return pd.DataFrame({group: [key[0]], "margin": [real], "p": [p], "vote": [vote]})
+        return [(key, real, p, "inconclusive" if p >= 0.05 else "same" if real > 0 else "swap")]
 
     kind = rows.schema[group].dataType.simpleString()
-    return rows.select(group, "series", "t", "v").groupBy(group).applyInPandas(run, f"{group} {kind}, margin double, p double, vote string")
+    return each_group(_of(rows, group), group, ["series", "t"], run, f"{group} {kind}, margin double, p double, vote string")
 
 
 def pairing_verdicts(rows: DataFrame, group: str, draws: int = 300, refine: int = 5000, q: float = 0.05, **how) -> DataFrame:
@@ -157,11 +293,52 @@ def pairing_verdicts(rows: DataFrame, group: str, draws: int = 300, refine: int
     """
     from sessionloom.operators.aggregates import benjamini_hochberg
 
-    tested = permutation_test(rows, group, draws, refine=refine, **how).checkpoint()  # draws aren't repeated for the ranks
+    tested = written(permutation_test(rows, group, draws, refine=refine, **how), "pairing")  # draws aren't repeated for the ranks
     passed = benjamini_hochberg(tested.select(group, "p"), group, "p", q).select(group, F.col("passes").alias("robust"))
     return tested.join(passed, group)
 
 
+def first_fit(items: DataFrame, targets: list[tuple[str, float]], order: list[str], key: str, size: str, reserve: float, chunk: int = 1_000_000) -> DataFrame:
+    """key, target (null where nothing fits): items in order, each to the first target with room for it that keeps the reserve free.
+
+    What an item finds depends on all before it. Items are numbered in order and folded a chunk at a time, one chunk's rows
+    (key and size) in a task; between chunks the driver holds the free space of the targets alone. Once no target
+    could take even the smallest item, the rest wait without being folded.
+    """
+    from sessionloom.operators.ordered import numbered
+
+    spark = items.sparkSession
+    rows = numbered(items.select(key, F.coalesce(F.col(size).cast("double"), F.lit(0.0)).alias("_size"), *[c for c in order if c not in (key, size)]), order).select(key, "_size", "number")
+    kind = items.schema[key].dataType.simpleString()
+    names, free = [n for n, _ in targets], np.array([f for _, f in targets], float)
+    ends = rows.agg(F.max("number"), F.min("_size")).first()
+    out = []
+    for k in range(0 if ends[0] is None or not names else ends[0] // chunk + 1):
+        if free.max() - reserve < ends[1]:
+            break
+
+        def fold(batches, free=free.copy()):
+            for b in batches:
+                found = []
+                for s in b.column(1).to_pylist():
+                    at = int((free - s >= reserve).argmax())
+                    ok = free[at] - s >= reserve
+                    found.append(at if ok else None)
+                    free[at] -= s if ok else 0
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.int32()), pa.nulls(b.num_rows, pa.list_(pa.float64()))], names=[key, "at", "free"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, b.column(0).type), pa.nulls(1, pa.int32()), pa.array([free.tolist()], pa.list_(pa.float64()))], names=[key, "at", "free"])
+
+        part = rows.where(F.col("number").between(k * chunk, (k + 1) * chunk - 1)).coalesce(1).sortWithinPartitions("number").select(key, "_size")
+        done = written(part.mapInArrow(fold, f"{key} {kind}, at int, free array<double>"), "first-fit")
+        free = np.array(done.where("free is not null").first()["free"], float)
+        out.append(done.where("free is null and at is not null").select(key, "at"))
+    placed = spark.createDataFrame([], f"{key} {kind}, at int")
+    for d in out:
+        placed = placed.unionByName(d)
+    table = spark.createDataFrame(list(enumerate(names)), "at int, target string")
+    return items.select(key).join(placed.join(table, "at").select(key, "target"), key, "left")
+
+
 def replace_json_values(rows: DataFrame, column: str, renames: dict[str, str]) -> DataFrame:
     """Every string value (not key) of a JSON document that equals a name is renamed; invalid documents stay as they are."""
     import json

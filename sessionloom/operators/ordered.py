@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionloom.session import written
+
 
 def _by(keys, *order):
     return Window.partitionBy(*keys).orderBy(*order)
@@ -84,11 +86,11 @@ def representatives(rows: DataFrame, keys: list[str], path: str, verdict: str) -
 def numbered(rows: DataFrame, order: list[str], start: int = 0) -> DataFrame:
     """rows with `number`, their place in a total order, by range partitions and their running sizes (no single-task window).
 
-    The order must be total (end it with a key).
+    The order must be total (end it with a key). The sorted rows are written, so that numbers stay when a task is repeated.
     """
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id()).persist()
+    placed = written(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id()), "numbered")
     sizes = placed.groupBy(F.shiftright("_row", 33).alias("_part")).agg(F.count(F.lit(1)).alias("_m"))  # a row for each partition
     before = F.coalesce(F.sum("_m").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = sizes.withColumn("_before", before).select("_part", "_before")
@@ -96,6 +98,16 @@ def numbered(rows: DataFrame, order: list[str], start: int = 0) -> DataFrame:
     return out.withColumn("number", F.col("_before") + F.col("_row").bitwiseAND((1 << 33) - 1) + start).drop("_part", "_before", "_row")
 
 
+def numbered_sums(rows: DataFrame, order: list[str], size: str, name: str) -> DataFrame:
+    """rows with `name`, the sum of the sizes of all rows before them in a total order, from sums of chunks (no single-task window)."""
+    placed = numbered(rows, order).withColumn("_chunk", F.floor(F.col("number") / 10_000))
+    sums = placed.groupBy("_chunk").agg(F.sum(size).alias("_sum"))
+    before = F.coalesce(F.sum("_sum").over(Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for 10,000
+    inside = F.coalesce(F.sum(size).over(Window.partitionBy("_chunk").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    out = placed.join(sums.withColumn("_before", before).select("_chunk", "_before"), "_chunk").withColumn(name, F.col("_before") + inside)
+    return out.drop("_chunk", "_before", "number")
+
+
 def chunk_ids(rows: DataFrame, order: list[str], size: int) -> DataFrame:
     return numbered(rows, order).withColumn("chunk", F.floor(F.col("number") / size).cast("long"))
 
@@ -114,13 +126,13 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], at: str, left_id
     Both sides are put in one order and each left row looks back and forward: one shuffle and one sort, no range join.
     """
     null = F.lit(None)
-    l = left.select(*keys, F.col(at).alias("t"), F.col(left_id).alias("lid"), null.cast("double").alias("rt"), null.cast("long").alias("rid"), F.lit(1).alias("side"))
-    r = right.select(*keys, F.col(at).alias("t"), null.cast("long").alias("lid"), F.col(at).alias("rt"), F.col(right_id).alias("rid"), F.lit(0).alias("side"))
+    l = left.select(*keys, F.col(at).alias("t"), F.col(left_id).alias("lid"), null.cast("double").alias("rt"), null.cast("long").alias("rid"), F.lit(1).alias("_side"))
+    r = right.select(*keys, F.col(at).alias("t"), null.cast("long").alias("lid"), F.col(at).alias("rt"), F.col(right_id).alias("rid"), F.lit(0).alias("_side"))
     both = l.unionByName(r)
-    pair = F.when(F.col("side") == 0, F.struct("rt", "rid"))
-    back = F.last(pair, ignorenulls=True).over(_by(keys, "t", F.asc("side"), F.desc("rid")).rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first(pair, ignorenulls=True).over(_by(keys, "t", F.desc("side"), "rid").rowsBetween(0, Window.unboundedFollowing))
-    found = both.withColumn("b", back).withColumn("a", ahead).where("side = 1")
+    pair = F.when(F.col("_side") == 0, F.struct("rt", "rid"))
+    back = F.last(pair, ignorenulls=True).over(_by(keys, "t", F.asc("_side"), F.desc("rid")).rowsBetween(Window.unboundedPreceding, 0))
+    ahead = F.first(pair, ignorenulls=True).over(_by(keys, "t", F.desc("_side"), "rid").rowsBetween(0, Window.unboundedFollowing))
+    found = both.withColumn("b", back).withColumn("a", ahead).where("_side = 1")
     behind, before = F.col("t") - F.col("b.rt"), F.col("a.rt") - F.col("t")
     use_back = F.col("a").isNull() | (F.col("b").isNotNull() & (behind <= before))
     return found.select(*keys, F.col("lid").alias(left_id), F.when(use_back, F.col("b.rid")).otherwise(F.col("a.rid")).alias(right_id), F.when(use_back, behind).otherwise(before).alias("gap"))
@@ -129,13 +141,13 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], at: str, left_id
 def interpolated(points: DataFrame, series: DataFrame, keys: list[str], at: str, value: str, point_id: str) -> DataFrame:
     """A series at other times: linear between neighbours, held at both ends. Equal times in the series should be merged first."""
     null = F.lit(None)
-    p = points.select(*keys, F.col(at).alias("t"), F.col(point_id).alias("pid"), null.cast("double").alias("st"), null.cast("double").alias("sv"), F.lit(1).alias("side"))
-    s = series.select(*keys, F.col(at).alias("t"), null.cast("long").alias("pid"), F.col(at).alias("st"), F.col(value).alias("sv"), F.lit(0).alias("side"))
-    pair = F.when(F.col("side") == 0, F.struct("st", "sv"))
+    p = points.select(*keys, F.col(at).alias("t"), F.col(point_id).alias("pid"), null.cast("double").alias("st"), null.cast("double").alias("sv"), F.lit(1).alias("_side"))
+    s = series.select(*keys, F.col(at).alias("t"), null.cast("long").alias("pid"), F.col(at).alias("st"), F.col(value).alias("sv"), F.lit(0).alias("_side"))
+    pair = F.when(F.col("_side") == 0, F.struct("st", "sv"))
     both = p.unionByName(s)
-    back = F.last(pair, ignorenulls=True).over(_by(keys, "t", F.asc("side")).rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first(pair, ignorenulls=True).over(_by(keys, "t", F.desc("side")).rowsBetween(0, Window.unboundedFollowing))
-    found = both.withColumn("b", back).withColumn("a", ahead).where("side = 1")
+    back = F.last(pair, ignorenulls=True).over(_by(keys, "t", F.asc("_side")).rowsBetween(Window.unboundedPreceding, 0))
+    ahead = F.first(pair, ignorenulls=True).over(_by(keys, "t", F.desc("_side")).rowsBetween(0, Window.unboundedFollowing))
+    found = both.withColumn("b", back).withColumn("a", ahead).where("_side = 1")
     share = F.try_divide(F.col("t") - F.col("b.st"), F.col("a.st") - F.col("b.st"))
     v = F.when(F.col("b").isNull(), F.col("a.sv")).when(F.col("a").isNull(), F.col("b.sv")).otherwise(F.coalesce(F.col("b.sv") + share * (F.col("a.sv") - F.col("b.sv")), F.col("b.sv")))
     return found.select(*keys, F.col("pid").alias(point_id), F.col("t").alias(at), v.alias(value))

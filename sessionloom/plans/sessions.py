@@ -5,7 +5,7 @@ Inputs are DataFrames (see FIXTURES.md); nothing is moved, deleted or sent: thos
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionloom.functions.scalars import grade, name_timestamp, rig_of_config, round1
@@ -20,60 +20,64 @@ LEAST_VIDEO_BYTES = 100_000
 
 
 def _clamped(x: Column) -> Column:
-    return F.greatest(F.lit(0.0), x)
+    """Not below 0; null stays null (greatest alone would skip it)."""
+    return F.when(x.isNotNull(), F.greatest(F.lit(0.0), x))
 
 
-def light_score(rows: DataFrame) -> DataFrame:
-    """rows with sync, fps, cam_sensor, score, grade.
-
-    rows: session, errors (array), max_drift, expected_frames, gap_frames, queue_drops, sync_ok, sync_delta; nulls where a
-    check has no data, which gives 50 (sync, fps). Any error gives 0 and F.
-    """
-    pct = lambda c: F.coalesce(F.try_divide(100.0 * F.col(c), F.col("expected_frames")), F.lit(0.0))
+def _analysis_score(rows: DataFrame, fps: Column, offset_cost: float, bad_start: float) -> DataFrame:
     sync = F.coalesce(_clamped(100 - 5 * F.abs("max_drift")), F.lit(50.0))
-    fps = F.when(F.col("expected_frames") > 0, _clamped(100 - 1.5 * pct("gap_frames") - F.least(0.2 * pct("queue_drops"), F.lit(10.0)))).otherwise(50.0)
-    delta = F.abs(F.coalesce("sync_delta", F.lit(0.0)))
-    cam = F.when(F.coalesce("sync_ok", F.lit(True)), _clamped(100 - 200 * delta)).otherwise(_clamped(20 - 100 * delta))
-    out = rows.withColumns({"sync": round1(sync), "fps": round1(fps), "cam_sensor": round1(cam)})
+    delta = F.coalesce("sync_delta", F.lit(0.0))
+    cam = F.when(F.coalesce("sync_ok", F.lit(True)), _clamped(100 - offset_cost * delta)).otherwise(_clamped(bad_start - 100 * delta))
+    out = rows.withColumns({"sync": sync, "fps": F.coalesce(_clamped(fps), F.lit(50.0)), "cam_sensor": cam})
     failed = F.size(F.coalesce("errors", F.array().cast("array<string>"))) > 0
     total = sum((w * F.col(k) for k, w in LIGHT_WEIGHTS.items()), F.lit(0.0))
     return out.withColumn("score", F.when(failed, 0.0).otherwise(round1(total))).withColumn("grade", grade(F.col("score")))
 
 
+def _percent(part: str) -> Column:
+    """Of the expected frames: 0 where there are cameras without any, null without cameras."""
+    return F.when(F.col("expected_frames") > 0, 100.0 * F.col(part) / F.nullif(F.col("expected_frames"), F.lit(0))).when(F.col("expected_frames").isNotNull(), 0.0)
+
+
+def light_score(rows: DataFrame) -> DataFrame:
+    """rows with sync, fps, cam_sensor, score, grade; only the total is rounded.
+
+    rows: session, errors (array), max_drift (null without pairs), expected_frames (null without cameras), gap_frames, queue_drops,
+    sync_ok, sync_delta. A check without data gives 50 (sync, fps). Any error gives 0 and F.
+    """
+    return _analysis_score(rows, 100 - 1.5 * _percent("gap_frames") - F.least(0.2 * _percent("queue_drops"), F.lit(10.0)), 200, 20)
+
+
 def watch_score(rows: DataFrame) -> DataFrame:
-    """The other preset of coefficients: gaps twice, queue drops five times, offset by 300, fallback 30 minus 100 times the offset."""
-    pct = lambda c: F.coalesce(F.try_divide(100.0 * F.col(c), F.col("expected_frames")), F.lit(0.0))
-    delta = F.abs(F.coalesce("sync_delta", F.lit(0.0)))
-    out = rows.withColumns({
-        "sync": round1(F.coalesce(_clamped(100 - 5 * F.abs("max_drift")), F.lit(50.0))),
-        "fps": round1(F.when(F.col("expected_frames") > 0, _clamped(100 - 2 * pct("gap_frames") - 5 * F.col("queue_drops"))).otherwise(50.0)),
-        "cam_sensor": round1(F.when(F.coalesce("sync_ok", F.lit(True)), _clamped(100 - 300 * delta)).otherwise(_clamped(30 - 100 * delta))),
-    })
-    failed = F.size(F.coalesce("errors", F.array().cast("array<string>"))) > 0
-    total = sum((w * F.col(k) for k, w in LIGHT_WEIGHTS.items()), F.lit(0.0))
-    return out.withColumn("score", F.when(failed, 0.0).otherwise(round1(total))).withColumn("grade", grade(F.col("score")))
+    """The other preset of coefficients: gaps twice, each queue drop five, offset by 300, from 30 where the sync check failed."""
+    return _analysis_score(rows, 100 - 2 * _percent("gap_frames") - 5 * F.col("queue_drops"), 300, 30)
 
 
 def full_score(rows: DataFrame) -> DataFrame:
     """rows with eight criteria, score, grade.
 
-    rows: session, max_drift, fps_spread, worst_drop_pct, severe_drops, max_local_std, gap_pct, queue_drops (null without analysis),
-    any_rate, left_rate, right_rate, vision (boolean), imu_ratio, checks_ok, checks_total, overlap, duration_ok.
+    rows: session, max_drift (null without measured pairs), fps_spread (null with fewer than two cameras), worst_drop_pct, severe_drops, max_local_std,
+    gap_pct and queue_drops (null without analysis of cameras), any_rate, poses (optional: poses in the head view), left_rate, right_rate, imu_ratio,
+    vision (boolean; false: no tracking results), checks_ok, checks_total, overlap, duration_ok. Missing frame drops or drift count as 50 each.
     Each criterion is rounded before it is weighted. Without vision, detectability, coverage and imu are 0, so the best
     score is 60.
     """
     c = F.col
+    vision = F.coalesce("vision", F.lit(False))
+    seen = lambda k: F.when(vision, c(k))
     sync = F.coalesce(_clamped(100 - 5 * F.abs("max_drift")), _clamped(100 - 60 * c("fps_spread")), F.lit(50.0))
-    drop, std = _clamped(100 - 4 * F.coalesce("worst_drop_pct", F.lit(0.0)) - 3 * F.coalesce("severe_drops", F.lit(0))), _clamped(100 - 30 * F.coalesce("max_local_std", F.lit(0.0)))
+    drop = F.coalesce(_clamped(100 - 4 * c("worst_drop_pct") - 3 * F.coalesce("severe_drops", F.lit(0))), F.lit(50.0))
+    std = F.coalesce(_clamped(100 - 30 * c("max_local_std")), F.lit(50.0))
     kernel = _clamped(100 - 2 * c("gap_pct") - 5 * F.coalesce("queue_drops", F.lit(0)))
     stability = F.when(c("gap_pct").isNull(), 0.65 * drop + 0.35 * std).otherwise(0.45 * drop + 0.25 * std + 0.30 * kernel)
-    vision = F.coalesce("vision", F.lit(False))
-    detect = F.when(~vision, 0.0).when(c("any_rate") > 0, c("any_rate") * 100).when(c("any_rate").isNotNull(), 20.0).otherwise(0.0)
-    low, high = F.least("left_rate", "right_rate"), F.greatest("left_rate", "right_rate")
-    coverage = F.when(~vision, 0.0).when(low > 0, 100.0 * low / high).when(high > 0, 25.0).otherwise(0.0)
+    poses = seen("poses") if "poses" in rows.columns else F.lit(0)
+    left, right = F.coalesce(seen("left_rate"), F.lit(0.0)), F.coalesce(seen("right_rate"), F.lit(0.0))
+    low, high = F.least(left, right), F.greatest(left, right)
     criteria = {
-        "sync": sync, "stability": stability, "detectability": detect, "coverage": coverage,
-        "imu": F.when(vision, F.coalesce(100.0 * c("imu_ratio"), F.lit(0.0))).otherwise(0.0),
+        "sync": sync, "stability": stability,
+        "detectability": F.coalesce(100.0 * seen("any_rate"), F.when(poses > 0, 20.0), F.lit(0.0)),
+        "coverage": F.when(low > 0, 100.0 * low / F.nullif(high, F.lit(0.0))).when(high > 0, 25.0).otherwise(0.0),
+        "imu": F.coalesce(100.0 * seen("imu_ratio"), F.lit(0.0)),
         "integrity": F.coalesce(F.try_divide(100.0 * c("checks_ok"), c("checks_total")), F.lit(0.0)),
         "temporal": F.coalesce(100.0 * c("overlap"), F.lit(50.0)),
         "duration": F.when(c("duration_ok").isNull(), 50.0).when(c("duration_ok"), 100.0).otherwise(0.0),
@@ -135,16 +139,18 @@ def structure_issues(sessions: DataFrame, files: DataFrame, with_analysis_errors
 
 
 def camera_sync(grid: DataFrame, frames: DataFrame, gap_ms: float = 2.0, ratio: float = 0.02) -> DataFrame:
-    """session, camera, total, bad, ratio, median_bad_ms, ok: grid points without a frame within the gap (or whose file names another camera).
+    """session, camera, total, bad, bad_path, ratio, path_ratio, median_bad_ms, ok: grid points without a frame within the gap, and points whose file names another camera than their key.
 
-    grid: session, camera, idx, ts_ms, file; frames: session, camera, frame_id, ts_ms.
+    grid: session, camera, idx, ts_ms, file and, where it differs from camera, key (the name as written); frames: session, camera, frame_id, ts_ms.
+    Cameras without frames are left out.
     """
+    grid = grid if "key" in grid.columns else grid.withColumn("key", F.col("camera"))
     near = O.nearest(grid, frames, ["session", "camera"], "ts_ms", "idx", "frame_id")
-    path = F.regexp_extract("file", r"cameras/([^/]+)/", 1)
-    met = grid.select("session", "camera", "idx", "file").join(near, ["session", "camera", "idx"])
-    bad = F.col("gap").isNull() | (F.col("gap") > gap_ms) | ((path != "") & (path != F.col("camera")))
-    out = met.groupBy("session", "camera").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.coalesce(bad, F.lit(False))).cast("long").alias("bad"), F.round(F.median(F.when(bad, F.col("gap"))), 3).alias("median_bad_ms"))
-    return out.withColumn("ratio", F.col("bad") / F.col("total")).withColumn("ok", F.col("ratio") <= ratio)
+    path = F.regexp_extract(F.coalesce("file", F.lit("")), r"/?cameras/([^/]+)/", 1)
+    met = grid.select("session", "camera", "idx", "key", path.alias("path")).join(near, ["session", "camera", "idx"]).join(frames.select("session", "camera").distinct(), ["session", "camera"], "left_semi")
+    bad, other = F.col("gap").isNull() | (F.col("gap") > gap_ms), (F.col("path") != "") & (F.col("path") != F.col("key"))
+    out = met.groupBy("session", "camera").agg(F.count(F.lit(1)).alias("total"), F.count_if(bad).cast("long").alias("bad"), F.count_if(other).cast("long").alias("bad_path"), F.round(F.median(F.when(bad, F.col("gap"))), 3).alias("median_bad_ms"))
+    return out.withColumns({"ratio": F.col("bad") / F.col("total"), "path_ratio": F.col("bad_path") / F.col("total")}).withColumn("ok", (F.col("ratio") <= ratio) & (F.col("path_ratio") <= ratio))
 
 
 def name_anomalies(sessions: DataFrame, expected=("left", "right", "wall")) -> DataFrame:
@@ -169,26 +175,23 @@ def daily_batch(sessions: DataFrame, day: str, rig: int, hours: tuple[int, int]
     return O.capacity_prefix(rows, ["rig"], ["name"], "size_bytes", cap_bytes)
 
 
-def replication_plan(sessions: DataFrame, disks: DataFrame, limit: int | None = None) -> DataFrame:
-    """session_id, source, target, action: sessions on an SSD alone, oldest first, each to the first HDD with room left by those before it.
+def replication_plan(sessions: DataFrame, disks: DataFrame, limit: int | None = None, reserve: float = 10 * 1024**3) -> DataFrame:
+    """session_id, source, target, action: sessions on an SSD alone, oldest first, each to the first HDD by label that keeps the reserve free with it.
 
-    disks: disk_uuid, mount_path, disk_type, free_bytes. Space is reserved: running sizes in order are laid end to end over the
-    HDDs by free space, and a session that would straddle two goes to neither (`wait`).
+    disks: disk_uuid, label (optional), mount_path, disk_type, free_bytes. What is planned before counts as used; a session that fits on
+    no disk waits, and smaller ones after it may still go.
     """
+    from sessionloom.operators.grouped import first_fit
+
     todo = sessions.where("ssd_disk_uuid is not null and hdd_disk_uuid is null").join(disks.select(F.col("disk_uuid").alias("ssd_disk_uuid"), F.col("mount_path").alias("source")), "ssd_disk_uuid")
+    todo = todo.withColumn("late", F.coalesce(F.col("started_at").cast("timestamp"), F.lit("9999-12-31").cast("timestamp")))
     if limit:
-        todo = todo.orderBy(F.asc_nulls_last("started_at"), "session_id").limit(limit)
-    todo = O.numbered(todo.withColumn("late", F.coalesce(F.col("started_at").cast("timestamp"), F.lit("9999-12-31").cast("timestamp"))), ["late", "session_id"])
-    # running sizes from chunks and inside chunks, so no window holds all sessions
-    chunk = F.floor(F.col("number") / 10_000)
-    sums = todo.groupBy(chunk.alias("chunk")).agg(F.sum("size_bytes").alias("bytes"))
-    before = F.coalesce(F.sum("bytes").over(Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    laid = todo.withColumn("chunk", chunk).join(sums.withColumn("before", before).select("chunk", "before"), "chunk")
-    laid = laid.withColumn("to", F.col("before") + F.sum("size_bytes").over(Window.partitionBy("chunk").orderBy("number"))).withColumn("from", F.col("to") - F.col("size_bytes"))
-    w = Window.orderBy("disk_uuid").rowsBetween(Window.unboundedPreceding, 0)  # disks: a few rows
-    hdd = disks.where("lower(disk_type) = 'hdd'").withColumn("end", F.sum("free_bytes").over(w)).withColumn("begin", F.col("end") - F.col("free_bytes"))
-    met = laid.join(F.broadcast(hdd.select(F.col("mount_path").alias("target"), "begin", "end")), (F.col("from") >= F.col("begin")) & (F.col("to") <= F.col("end")), "left")
-    return met.select("session_id", "source", "target", F.when(F.col("target").isNull(), "wait").otherwise("copy").alias("action"))
+        todo = todo.orderBy("late", "session_id").limit(limit)
+    label = "label" if "label" in disks.columns else "disk_uuid"
+    hdd = [(r["mount_path"], r["free_bytes"] or 0) for r in disks.where("lower(disk_type) = 'hdd'").orderBy(label, "disk_uuid").select("mount_path", "free_bytes").collect()]  # disks: a few rows
+    placed = first_fit(todo, hdd, ["late", "session_id"], "session_id", "size_bytes", reserve)
+    out = todo.select("session_id", "source").join(placed, "session_id")
+    return out.select("session_id", "source", "target", F.when(F.col("target").isNull(), "wait").otherwise("copy").alias("action"))
 
 
 def migration_plan(found: DataFrame, confirmed: DataFrame, existing: DataFrame) -> DataFrame:
@@ -225,11 +228,48 @@ def label_inversion(corr: DataFrame, margin: float = 0.12) -> DataFrame:
     return out.select("session", F.when(F.col("all_bad") & (F.col("least") >= margin), "inverted").when(F.col("any_bad"), "suspect").otherwise("ok").alias("verdict"))
 
 
-def pairing_verdict(ll: Column, rr: Column, lr: Column, rl: Column, margin: float = 0.30, floor: float = 0.80) -> Column:
-    """same, swap or inconclusive of left and right streams by their four correlations."""
-    same, swap = (F.abs(ll) + F.abs(rr)) / 2, (F.abs(lr) + F.abs(rl)) / 2
-    best, gap = F.greatest(same, swap), F.abs(same - swap)
-    return F.when(best.isNull() | (best < floor) | (gap < margin), "inconclusive").when(same > swap, "same").otherwise("swap")
+def enough_data(points: Column, span: Column, least_points: int = 30, least_span: float = 3.0) -> Column:
+    """Whether a series suffices for a verdict."""
+    return F.coalesce((points >= least_points) & (span >= least_span), F.lit(False))
+
+
+def pairing_verdict(ll: Column, rr: Column, lr: Column, rl: Column, margin: float = 0.30, floor: float = 0.80, enough: Column | None = None) -> Column:
+    """same, swap or inconclusive of left and right streams by their four correlations: sums of both sides, at least margin apart.
+
+    Inconclusive without enough data on both sides, and where neither pairing has a correlation of at least floor.
+    """
+    size = lambda c: F.coalesce(F.abs(c), F.lit(0.0))
+    same, swap = size(ll) + size(rr), size(lr) + size(rl)
+    weak = (F.greatest(size(ll), size(rr)) < floor) & (F.greatest(size(lr), size(rl)) < floor)
+    open_ = weak | (F.abs(same - swap) < margin)
+    return F.when(open_ if enough is None else open_ | ~enough, "inconclusive").when(same > swap, "same").otherwise("swap")
+
+
+def quick_pairing(samples: DataFrame, sensors: DataFrame, requested: int = 10) -> DataFrame:
+    """session, r_ll, r_rr, r_lr, r_rl, found_left, found_right, verdict from few samples a side.
+
+    samples: session, side, sample_id, t, distance, opening (the side's own sensor at that time, by which the samples were chosen: see
+    `diverse_sample`); sensors: session, side, t, opening. The other side's sensor is interpolated at the same times. Fewer than 4
+    samples or a flat side correlate as 0; fewer than half the requested samples (4 at least) are inconclusive.
+    """
+    from sessionloom.operators.aggregates import pearson
+
+    other = F.when(F.col("side") == "left", "right").otherwise("left")
+    crossed = O.interpolated(samples, sensors.withColumn("side", other), ["session", "side"], "t", "opening", "sample_id").select("session", "side", "sample_id", F.col("opening").alias("crossed"))
+    guarded = lambda c: F.when(F.count("distance") < 4, 0.0).otherwise(pearson("distance", c, 1e-9))
+    each = samples.join(crossed, ["session", "side", "sample_id"]).groupBy("session", "side").agg(F.count("distance").alias("found"), guarded("opening").alias("own"), guarded("crossed").alias("cross"))
+    of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
+    out = each.groupBy("session").agg(of("left", "own").alias("r_ll"), of("right", "own").alias("r_rr"), of("left", "cross").alias("r_lr"), of("right", "cross").alias("r_rl"), F.coalesce(of("left", "found"), F.lit(0)).alias("found_left"), F.coalesce(of("right", "found"), F.lit(0)).alias("found_right"))
+    enough = F.least("found_left", "found_right") >= max(4, requested / 2)
+    return out.withColumn("verdict", pairing_verdict(F.col("r_ll"), F.col("r_rr"), F.col("r_lr"), F.col("r_rl"), enough=enough))
+
+
+def full_pairing(series: DataFrame, session: str = "session", **how) -> DataFrame:
+    """session, the four best-lag correlations, verdict, of whole series; see `grouped.pairings`."""
+    from sessionloom.operators.grouped import pairings
+
+    out = pairings(series, session, **how)
+    return out.withColumn("verdict", pairing_verdict(F.col("r_ll"), F.col("r_rr"), F.col("r_lr"), F.col("r_rl"), enough=F.col("enough_left") & F.col("enough_right")))
 
 
 def role(ratio: Column) -> Column:

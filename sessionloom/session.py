@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 #: UTC so that dates don't depend on the host; adaptive execution for skewed joins and small partitions.
 SETTINGS = {
@@ -22,5 +25,24 @@ def build(app: str = "sessionloom", master: str | None = None, **conf: str) -> S
     return builder.getOrCreate()
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or, where that is unset and all runs on this machine, one of our own."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not found:
+        if context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="spark-shared-")
+        context.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """Write to the shared folder and read again: rows don't change when a lost executor's work is repeated, and lineage ends."""
+    path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, folder: str, name: str):
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -103,7 +103,7 @@ def _read_edges(path: str, head: int, tail: int) -> tuple[bytes, bytes, int] | N
 
 
 def mp4_boxes_ok(path: str) -> bool:
-    """Walks the top-level boxes by their headers; a file needs `ftyp` and `moov`, and no box may leave the file."""
+    """Walks the top-level boxes by their headers; a file needs `ftyp` and `moov`. A box that leaves the file ends the walk; one shorter than its header fails."""
     import os
 
     seen, at = set(), 0
@@ -113,12 +113,14 @@ def mp4_boxes_ok(path: str) -> bool:
             while at + 8 <= size:
                 f.seek(at)
                 head = f.read(16)
-                length, kind = int.from_bytes(head[:4], "big"), head[4:8]
+                length, kind, least = int.from_bytes(head[:4], "big"), head[4:8], 8
                 if length == 1:
-                    length = int.from_bytes(head[8:16], "big")
+                    if len(head) < 16:
+                        break
+                    length, least = int.from_bytes(head[8:16], "big"), 16
                 elif length == 0:
                     length = size - at
-                if length < 8 or at + length > size:
+                if length < least:
                     return False
                 seen.add(kind)
                 at += length
@@ -133,25 +135,29 @@ def mp4_edges_ok(path: str) -> bool:
 
 
 def jsonl_edges_ok(path: str) -> bool:
-    """The first and last lines parse; a last line longer than TAIL bytes fails."""
+    """The first line, of any length, and the last line of the file's end parse; a blank first line or a last line longer than TAIL bytes fails."""
     import json
+    import os
 
-    found = _read_edges(path, EDGE, TAIL)
-    if found is None or found[2] == 0:
-        return False
-    head, tail, size = found
-    first = next((x for x in head.split(b"\n") if x.strip()), b"")
-    ends = [x for x in tail.split(b"\n") if x.strip()]
-    if not ends or (size > TAIL and len(tail.rstrip().split(b"\n")) == 1):
-        return False
     try:
+        size = os.path.getsize(path)
+        with open(path, "rb") as f:
+            first = f.readline()
+            f.seek(max(0, size - TAIL))
+            ends = [x for x in f.read(TAIL).split(b"\n") if x.strip()]
         json.loads(first)
         json.loads(ends[-1])
-    except ValueError:
+    except (OSError, ValueError, IndexError):
         return False
     return True
 
 
+def jsonl_whole_ok(lines: DataFrame) -> DataFrame:
+    """path, ok of files by their lines (path, lineno, line): the first and last non-blank lines parse."""
+    ends = lines.where("trim(line) != ''").groupBy("path").agg(F.min_by("line", "lineno").alias("first"), F.max_by("line", "lineno").alias("last"))
+    return ends.select("path", (F.try_parse_json("first").isNotNull() & F.try_parse_json("last").isNotNull()).alias("ok"))
+
+
 def file_checks(files: DataFrame) -> DataFrame:
     """files with `ok`: containers by their boxes, streams by their first and last line, documents by parsing, others non-empty."""
     import json

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "root string, session string, session_path string, subdir string, name string, path string, size long, mtime double, is_dir boolean, depth int"
-# Folders that are never entered, and files that tools leave behind.
-SYSTEM = frozenset(("lost+found", "System Volume Information", "$RECYCLE.BIN", "__pycache__"))
+# Folders that are never entered, folders that are no session whatever the name rule, and files that tools leave behind.
+SYSTEM = frozenset(("lost+found", "system volume information", "$recycle.bin"))
+RESERVED = frozenset(("sessions", "sessions_quarantine", "sessions_envoyee", "sessions_envoyes"))
 METADATA = ("config.json", "mission.json", "analysis.json", "result.json", "metadata.json", "postprocess.log")
 #: How strictly a folder name must look like a session. Fixed values.
 NAME_RULES = {"loose": r"^session", "flat": r"^session_", "digit": r"(?i)^session_\d", "stamp": r"^session_\d{8}_\d{6}"}
@@ -44,11 +45,11 @@ class _Reader(DataSourceReader):
 
     def _find(self, root: str, folder: str, depth: int):
         name = os.path.basename(folder)
-        if name.startswith(".") or name in SYSTEM:
+        if name.startswith(".") or name.lower() in SYSTEM:
             return
-        if self.rule.search(name):
+        if self.rule.search(name) and name.lower() not in RESERVED:
             yield from self._files(root, name, folder, depth)
-        elif depth < self.depth:
+        elif depth <= self.depth:
             try:
                 below = sorted((e for e in os.scandir(folder) if e.is_dir(follow_symlinks=False)), key=lambda e: e.name)
             except OSError:
@@ -74,7 +75,7 @@ class _Reader(DataSourceReader):
 
 
 class InventorySource(DataSource):
-    """Options: path (roots by `;`), rule (a key of NAME_RULES or a pattern), depth (levels below a root that are searched)."""
+    """Options: path (roots by `;`), rule (a key of NAME_RULES or a pattern), depth (levels below a root whose folders are searched)."""
 
     @classmethod
     def name(cls) -> str:
@@ -112,7 +113,7 @@ def emptiness(sessions: DataFrame) -> DataFrame:
 
 def first_wins(sessions: DataFrame, disks: DataFrame) -> DataFrame:
     """A name found on several disks counts on the first one. disks: root, disk_order."""
-    best = sessions.join(F.broadcast(disks), "root").groupBy("session").agg(F.min(F.struct("disk_order", "root", "session_path")).alias("b"))
+    best = sessions.join(disks, "root").groupBy("session").agg(F.min(F.struct("disk_order", "root", "session_path")).alias("b"))
     return sessions.join(best.select("session", F.col("b.session_path").alias("session_path")), ["session", "session_path"], "left_semi")
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +100,83 @@ def heartbeat(disks: DataFrame, at, host: str) -> DataFrame:
     return disks.select(F.col("disk_uuid").alias("key"), F.to_json(message).alias("value"))
 
 
+def snapshots(spark: SparkSession, folder: str, schema, files_per_trigger: int = 1) -> DataFrame:
+    """A stream of listings: each poll writes one file of rows (name, size, mtime, observed_at) to the folder. The bound on files for each trigger keeps a slow consumer from being flooded."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
+
+
+def attempts(outcomes: DataFrame) -> DataFrame:
+    """name, tries, state of rows (name, ok, at): the last outcome decides; what failed is pending and tried again, without a limit."""
+    out = outcomes.groupBy("name").agg(F.count(F.lit(1)).alias("tries"), F.max_by("ok", "at").alias("ok"))
+    return out.select("name", "tries", F.when(F.col("ok"), "done").otherwise("pending").alias("state"))
+
+
+def batched(stream: DataFrame, key: str, item: str, at: str, most: int = 50, seconds: float = 20.0) -> DataFrame:
+    """key, item, batch: a queue's items in batches of `most`, or of those that come within `seconds` of a batch's first one."""
+
+    def run(k, tables: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        batch, count, first = state.get if state.exists else (0, 0, 0.0)
+        for t in tables:
+            t, numbers = t.sort_values(["at_", "item_"], kind="stable"), []
+            for x in t["at_"]:
+                if count and (count >= most or x - first >= seconds):
+                    batch, count = batch + 1, 0
+                first = x if not count else first
+                count += 1
+                numbers.append(batch)
+            yield pd.DataFrame({key: k[0], item: t["item_"], "batch": numbers})
+        state.update((batch, count, first))
+
+    rows = stream.select(key, F.col(item).cast("long").alias("item_"), F.col(at).cast("double").alias("at_"))
+    kind = stream.schema[key].dataType.simpleString()
+    return rows.groupBy(key).applyInPandasWithState(run, f"{key} {kind}, {item} long, batch long", "batch long, count long, first double", "append", GroupStateTimeout.NoTimeout)
+
+
+def throttled(recompute: Callable[[SparkSession], None], seconds: float = 60.0, clock: Callable[[], float] = time.monotonic):
+    """A foreachBatch sink that recomputes an aggregate when there are new rows, and not more often than every `seconds`; what was put off is done with the next batch."""
+    state = {"last": None, "new": False}
+
+    def sink(batch: DataFrame, _: int) -> None:
+        state["new"] = state["new"] or bool(batch.take(1))
+        now = clock()
+        if state["new"] and (state["last"] is None or now - state["last"] >= seconds):
+            recompute(batch.sparkSession)
+            state.update(last=now, new=False)
+
+    return sink
+
+
+class Snapshot:
+    """A table that is loaded anew when it is older than `ttl` seconds; a load that fails keeps the last one."""
+
+    def __init__(self, load: Callable[[], DataFrame], ttl: float = 120.0, clock: Callable[[], float] = time.monotonic):
+        self.load, self.ttl, self.clock = load, ttl, clock
+        self.table: DataFrame | None = None
+        self.at = 0.0
+
+    def get(self) -> DataFrame:
+        now = self.clock()
+        if self.table is None or now - self.at >= self.ttl:
+            try:
+                self.table = self.load()
+            except Exception:
+                if self.table is None:
+                    raise
+            self.at = now
+        return self.table
+
+
+def staged(stream: DataFrame, stages: list[Callable[[DataFrame], DataFrame]], sinks: list[Callable[[DataFrame, int], None]], checkpoint: str) -> None:
+    """Each micro-batch goes through all stages, and each stage's rows are written before the next one starts; so a stage never runs ahead of the one after it."""
+
+    def sink(batch: DataFrame, k: int) -> None:
+        for stage, write in zip(stages, sinks, strict=True):
+            batch = stage(batch)
+            write(batch, k)
+
+    drain(stream, sink, checkpoint)
+
+
 def file_stream(spark: SparkSession, folder: str, schema, name: str) -> DataFrame:
     """A stream over one file of a folder, as file streams need a folder."""
     return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)

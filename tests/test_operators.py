@@ -100,34 +100,104 @@ def test_best_lag_finds_a_shift(spark):
     t = np.arange(0, 10, 0.05)
     rows = [("s", n, float(x), float(np.sin(3 * x) + (0 if n == "a" else 0))) for n in "a" for x in t] + [("s", "b", float(x + 0.4), float(np.sin(3 * x))) for x in t]
     got = G.best_lag(spark.createDataFrame(rows, "g string, series string, t double, v double"), "g", "a", "b", 0.02, 1.0).first()
-    assert abs(got["lag"] - 0.4) < 0.021 and got["r"] > 0.99
+    assert abs(got["lag"] + 0.4) < 0.021 and got["r"] > 0.99  # a(t) with b(t - lag)
     assert G.biased_cross_correlation(np.ones(50), np.arange(50.0), 5) == (0, 0.0)
 
 
+def paired(name, rng, span=30.0, step=0.5, swap=False):
+    """Openings of two sensors, and videos whose flow is the speed of their own sensor, or of the other one."""
+    t = np.arange(0, span, step)
+    sensors = {side: rng.normal(size=t.size).cumsum() for side in ("left", "right")}
+    flow = {side: (lambda x: ((t[1:] + t[:-1]) / 2, np.abs(np.diff(x)) / step))(sensors[other]) for side, other in (("left", "right"), ("right", "left")) for other in [other if swap else side]}
+    series = {f"sensor_{k}": (t, v) for k, v in sensors.items()} | {f"video_{k}": v for k, v in flow.items()}
+    return [(name, n, float(a), float(b)) for n, (x, y) in series.items() for a, b in zip(x, y, strict=True)]
+
+
+SERIES = "g string, series string, t double, v double"
+
+
 def test_permutation_test(spark):
-    rng = np.random.default_rng(1)
-    t = np.arange(0, 30, 0.1)
-    left, right = rng.normal(size=t.size).cumsum(), rng.normal(size=t.size).cumsum()
-    series = {"video_left": left, "video_right": right, "sensor_left": left, "sensor_right": right}
-    rows = [("s", n, float(a), float(b)) for n, v in series.items() for a, b in zip(t, v, strict=True)]
-    df = spark.createDataFrame(rows, "g string, series string, t double, v double")
+    df = spark.createDataFrame(paired("s", np.random.default_rng(1)), SERIES)
     a, b = (G.permutation_test(df, "g", 30).first() for _ in range(2))
     assert a == b and a["vote"] == "same" and a["margin"] > 0
 
 
+def test_permutation_test_is_a_plain_loop(spark):
+    """One interpolation for each draw, pair and lag."""
+    from zlib import crc32
+
+    rows = paired("s", np.random.default_rng(4), span=12.0)
+    s = {n: tuple(np.array([r[k] for r in rows if r[1] == n]) for k in (2, 3)) for n in G.SIDES}
+
+    def r(a, b):
+        lo, hi = max(a[0][0], b[0][0]), min(a[0][-1], b[0][-1])
+        grid = [lo + 0.25 * i for i in range(int(np.ceil((hi - lo) / 0.25)))]
+        x, best = np.interp(grid, *a), 0.0
+        for k in range(-2, 3):
+            y = np.interp([t - 0.25 * k for t in grid], *b)
+            c = np.corrcoef(x, y)[0, 1] if y.std() > 1e-9 else 0.0
+            best = c if abs(c) > abs(best) else best
+        return abs(best)
+
+    def margin(m):
+        return r(s["video_left"], m["left"]) + r(s["video_right"], m["right"]) - r(s["video_left"], m["right"]) - r(s["video_right"], m["left"])
+
+    speed = {k: ((s[f"sensor_{k}"][0][1:] + s[f"sensor_{k}"][0][:-1]) / 2, np.abs(np.diff(s[f"sensor_{k}"][1])) / 0.5) for k in ("left", "right")}
+    real, over = margin(speed), 0
+    period = speed["left"][0][-1] - speed["left"][0][0]
+    for shift in np.random.default_rng(crc32(b"s")).uniform(1, period - 1, 15):
+        moved = {}
+        for k, (t, v) in speed.items():
+            at = [t[0] + (x - t[0] + shift) % (t[-1] - t[0]) for x in t]
+            o = np.argsort(at, kind="stable")
+            moved[k] = np.array(at)[o], v[o]
+        over += abs(margin(moved)) >= abs(real)
+    got = G.permutation_test(spark.createDataFrame(rows, SERIES), "g", 15, grid_step=0.25, reach=0.5, lag_step=0.25).first()
+    assert abs(got["margin"] - real) < 1e-9 and got["p"] == (1 + over) / 16
+
+
 def test_pairing_verdicts_find_one_swap_among_many(spark):
-    """300 draws can't give p below 1/301, which Benjamini-Hochberg rejects over 40 sessions."""
+    """300 draws can't give p below 1/301, which Benjamini-Hochberg rejects over 40 sessions; sensors too short to be shifted have p = 1."""
     rng = np.random.default_rng(1)
-    t = np.arange(0, 30, 0.5)
-    left, right = rng.normal(size=t.size), rng.normal(size=t.size)
-    series = {"video_left": left, "video_right": right, "sensor_left": right, "sensor_right": left}
-    rows = [("swapped", n, float(a), float(b)) for n, v in series.items() for a, b in zip(t, v, strict=True)]
-    rows += [(f"short{k}", n, 0.0, 1.0) for k in range(39) for n in series]
-    df = spark.createDataFrame(rows, "g string, series string, t double, v double")
-    got = {r["g"]: r for r in G.pairing_verdicts(df, "g", step=0.5).collect()}
+    rows = paired("swapped", rng, swap=True)
+    for k in range(39):
+        rows += paired(f"short{k}", rng, span=1.75, step=0.25)
+    df = spark.createDataFrame(rows, SERIES)
+    how = {"grid_step": 0.5, "reach": 0.5, "lag_step": 0.5}
+    got = {r["g"]: r for r in G.pairing_verdicts(df, "g", **how).collect()}
     assert len(got) == 40 and [g for g, r in got.items() if r["robust"]] == ["swapped"]
-    assert got["swapped"]["vote"] == "swap" and got["swapped"]["p"] < 1 / 301
-    assert not any(r["robust"] for r in G.pairing_verdicts(df, "g", refine=0, step=0.5).collect())
+    assert got["swapped"]["vote"] == "swap" and got["swapped"]["p"] < 1 / 301 and got["short0"]["p"] == 1.0
+    assert not any(r["robust"] for r in G.pairing_verdicts(df, "g", refine=0, **how).collect())
+
+
+def test_groups_come_whole_and_in_order(spark):
+    rng = np.random.default_rng(3)
+    rows = [(None if k % 17 == 0 else int(g), int(k)) for k, g in enumerate(rng.integers(0, 40, 3000))]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = G.each_group(spark.createDataFrame(rows, "g long, k long"), "g", ["k"], lambda key, t: [(key, t.column("k").to_pylist())], "g long, ks array<long>").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {}
+    for g, k in rows:
+        if g is not None:
+            want.setdefault(g, []).append(k)
+    assert len(got) == len(want) and {r["g"]: r["ks"] for r in got} == want
+
+
+def test_first_fit_is_a_plain_loop(spark):
+    rng = np.random.default_rng(2)
+    items = [(k, int(rng.integers(0, 50)), None if k % 9 == 0 else int(rng.integers(1, 40))) for k in range(60)]
+    disks = [("a", 100.0), ("b", 60.0), ("c", 45.0)]
+    free, want = dict(disks), {}
+    for k, _, size in sorted(items, key=lambda x: (x[1], x[0])):
+        want[k] = next((d for d in free if free[d] - (size or 0) >= 5), None)
+        if want[k]:
+            free[want[k]] -= size or 0
+    df = spark.createDataFrame(items, "k long, at long, size long")
+    for chunk in (1000, 7):
+        assert {r["k"]: r["target"] for r in G.first_fit(df, disks, ["at", "k"], "k", "size", 5, chunk).collect()} == want
+    assert {r["target"] for r in G.first_fit(df, [], ["at", "k"], "k", "size", 5).collect()} == {None}
 
 
 def test_json_renames(spark):
@@ -168,7 +238,9 @@ def test_verdict_and_pairing(spark):
     got = {r["session"]: r for r in P.verdict(checks).collect()}
     assert got["a"]["verdict"] == "warning" and got["a"]["warnings"] == ["y: odd"] and got["b"]["verdict"] == "failed"
     rows = spark.createDataFrame([(0.95, 0.9, 0.1, 0.2), (0.1, 0.2, 0.95, 0.9), (0.5, 0.5, 0.1, 0.1), (0.9, 0.9, 0.7, 0.7)], "a double, b double, c double, d double")
-    assert [r[0] for r in rows.select(P.pairing_verdict(*map(F.col, "abcd"))).collect()] == ["same", "swap", "inconclusive", "inconclusive"]
+    assert [r[0] for r in rows.select(P.pairing_verdict(*map(F.col, "abcd"))).collect()] == ["same", "swap", "inconclusive", "same"]
+    rows = spark.createDataFrame([(0.95, 0.6, 0.6, 0.6, True), (0.95, 0.6, 0.6, 0.6, False), (0.9, 0.9, 0.8, 0.8, True)], "a double, b double, c double, d double, e boolean")
+    assert [r[0] for r in rows.select(P.pairing_verdict(*map(F.col, "abcd"), enough=F.col("e"))).collect()] == ["same", "inconclusive", "inconclusive"]
 
 
 def test_stability_gate_in_two_runs(spark, tmp_path):
@@ -188,3 +260,64 @@ def test_ledger_sink_is_idempotent(spark, tmp_path):
     sink(batch, 0)
     sink(batch, 0)
     assert spark.read.parquet(str(tmp_path / "ledger")).count() == 2
+
+
+def test_full_score_without_measures(spark):
+    names = "session string, max_drift double, fps_spread double, worst_drop_pct double, severe_drops int, max_local_std double, gap_pct double, queue_drops int, any_rate double, poses int, left_rate double, right_rate double, imu_ratio double, vision boolean, checks_ok int, checks_total int, overlap double, duration_ok boolean"
+    none = ("s", *[None] * 17)
+    got = P.full_score(spark.createDataFrame([none, ("p", *[None] * 8, 3, *[None] * 3, True, *[None] * 4), ("z", *[None] * 7, 0.0, 3, *[None] * 3, True, *[None] * 4)], names)).collect()
+    assert [(r["sync"], r["stability"], r["detectability"], r["temporal"], r["duration"]) for r in got] == [(50.0, 50.0, 0.0, 50.0, 50.0), (50.0, 50.0, 20.0, 50.0, 50.0), (50.0, 50.0, 0.0, 50.0, 50.0)]
+
+
+def test_batches_by_size_or_time(spark, tmp_path):
+    schema = "q string, item long, at double"
+    runs, out = [[("a", 1, 0.0), ("a", 2, 1.0), ("a", 3, 2.0), ("b", 9, 0.0)], [("a", 4, 3.0), ("a", 5, 30.0), ("b", 8, 19.0), ("b", 7, 20.0)]], []
+    for k, rows in enumerate(runs):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in" / str(k)))
+        watch.drain(watch.batched(spark.readStream.schema(schema).parquet(str(tmp_path / "in" / "*")), "q", "item", "at", most=2, seconds=20.0), lambda b, _: out.extend(b.collect()), str(tmp_path / "state"))
+    assert {(r["q"], r["item"]): r["batch"] for r in out} == {("a", 1): 0, ("a", 2): 0, ("a", 3): 1, ("a", 4): 1, ("a", 5): 2, ("b", 9): 0, ("b", 8): 0, ("b", 7): 1}
+
+
+def test_throttle_snapshot_and_stages(spark, tmp_path):
+    now, done = [0.0], []
+    sink = watch.throttled(lambda s: done.append(now[0]), 60.0, lambda: now[0])
+    rows, none = spark.range(1), spark.range(0)
+    for t, batch in ((0.0, none), (1.0, rows), (30.0, rows), (61.0, none), (62.0, none), (200.0, none), (201.0, rows)):
+        now[0] = t
+        sink(batch, 0)
+    assert done == [1.0, 61.0, 201.0]
+
+    loads = iter([spark.range(1), ValueError(), spark.range(3)])
+
+    def load():
+        x = next(loads)
+        if isinstance(x, Exception):
+            raise x
+        return x
+
+    held, now[0], sizes = watch.Snapshot(load, 120.0, lambda: now[0]), 0.0, []
+    for t in (0.0, 119.0, 120.0, 239.0, 240.0):
+        now[0] = t
+        sizes.append(held.get().count())
+    assert sizes == [1, 1, 1, 1, 3]
+
+    spark.range(4).write.parquet(str(tmp_path / "in"))
+    seen = []
+    keep = lambda name: lambda b, k: seen.append((name, sorted(r[0] for r in b.collect())))
+    stream = watch.snapshots(spark, str(tmp_path / "in"), spark.range(1).schema, 100)
+    watch.staged(stream, [lambda b: b.where("id > 0"), lambda b: b.where("id > 1")], [keep("one"), keep("two")], str(tmp_path / "state"))
+    assert seen == [("one", [1, 2, 3]), ("two", [2, 3])]
+
+
+def test_reports_are_written(spark, tmp_path):
+    from sessionloom.plans import reports as R
+
+    rows = spark.createDataFrame([("b", 2.0, None), ("a", 1.0, "x")], "session string, score double, note string")
+    R.write_lines(rows, str(tmp_path / "lines"))
+    assert sorted(r[0] for r in spark.read.text(str(tmp_path / "lines")).collect()) == ['{"session":"a","score":1.0,"note":"x"}', '{"session":"b","score":2.0,"note":null}']
+    R.write_manifest(rows, str(tmp_path / "names"))
+    assert [r[0] for r in spark.read.text(str(tmp_path / "names")).orderBy("value").collect()] == ["a", "b"]
+    poses = spark.createDataFrame([(2.0, "left", "head", 1.0), (1.0, "right", "head", 2.0), (1.0, "left", "stereo", 3.0)], "ts_ms double, side string, source string, x_mm double")
+    R.write_trajectory(poses, str(tmp_path / "csv"))
+    got = [r["x_mm"] for f in sorted((tmp_path / "csv").glob("*.csv")) for r in spark.read.option("header", True).csv(str(f)).collect()]
+    assert got == ["3.0", "2.0", "1.0"]

@@ -42,7 +42,14 @@ def test_inventory_lists_empty_files_and_skips_hidden(spark, disk):
     assert got["session_20240102_040506", "cameras", "wall.mp4"] == 0
     s = {r["session"]: r for r in I.emptiness(I.sessions(files)).collect()}
     assert s["session_20240102_040506"]["empty_files"] == 1 and not s["session_20240102_030405"]["empty"]
-    assert I.inventory(spark, [str(disk)], depth=1).count() == 0
+    assert I.inventory(spark, [str(disk)], depth=0).count() == 0
+    # six levels of folders are searched, so a session is found on the seventh; system and reserved names count in any case
+    deep = disk / "1/2/3/4/5/6"
+    for path in (deep / "session_20240105_000000", deep / "7/session_20240106_000000", disk / "LOST+FOUND/session_20240107_000000", disk / "Sessions_Quarantine/session_20240108_000000"):
+        path.mkdir(parents=True)
+        (path / "x").write_text("x")
+    found = {r["session"] for r in I.inventory(spark, [str(disk)]).select("session").distinct().collect()}
+    assert {"session_20240105_000000", "session_20240108_000000"} <= found and not found & {"session_20240106_000000", "session_20240107_000000"}
     assert I.inventory(spark, [str(disk / "nothing")]).count() == 0
 
 
@@ -74,7 +81,16 @@ def test_video_and_stream_edges(tmp_path):
     ok, cut = tmp_path / "a.mp4", tmp_path / "b.mp4"
     ok.write_bytes(box(b"ftyp") + (1).to_bytes(4, "big") + b"moov" + (16).to_bytes(8, "big"))
     cut.write_bytes(box(b"ftyp") + (99).to_bytes(4, "big") + b"moov")
-    assert D.mp4_boxes_ok(str(ok)) and not D.mp4_boxes_ok(str(cut)) and D.mp4_edges_ok(str(cut))
+    # a box that leaves the file ends the walk, which has seen what it needs; without moov, or with a box shorter than its header, it fails
+    assert D.mp4_boxes_ok(str(ok)) and D.mp4_boxes_ok(str(cut)) and D.mp4_edges_ok(str(cut))
+    for k, data in enumerate((box(b"ftyp") + (99).to_bytes(4, "big") + b"mdat", box(b"ftyp") + box(b"moov") + (7).to_bytes(4, "big") + b"mdat", b"")):
+        bad = tmp_path / f"c{k}.mp4"
+        bad.write_bytes(data)
+        assert not D.mp4_boxes_ok(str(bad))
+    for k, (data, want) in enumerate(((b"\n{}\n", False), (b'{"a": "' + b"x" * (1 << 21) + b'"}\n{}\n', True), (b"{}\n{", False), (b"{}", True))):
+        lines = tmp_path / f"l{k}.jsonl"
+        lines.write_bytes(data)
+        assert D.jsonl_edges_ok(str(lines)) == want
     long = tmp_path / "l.jsonl"
     long.write_text('{"a": 1}\n{"b": "' + "x" * 9000 + '"}\n')
     assert not D.jsonl_edges_ok(str(long))
