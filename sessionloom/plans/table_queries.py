@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from sessionloom.functions import scalars as X
 from sessionloom.operators import aggregates as A
 from sessionloom.operators import ledger as L
 from sessionloom.operators import ordered as O
-from sessionloom.session import table
+from sessionloom.session import shared_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -89,13 +90,8 @@ def grade_histogram(spark, d):
     return A.histogram(table(spark, d, "customer"), X.grade(F.when(F.col("c_acctbal") >= 0, F.round(F.round(F.col("c_acctbal") / 100, 6), 1))), "not scored")
 
 
-@query("SELECT s_suppkey, s_name, n_name, s_acctbal FROM supplier JOIN nation ON s_nationkey = n_nationkey ORDER BY s_acctbal ASC NULLS LAST, s_suppkey LIMIT 50")
+@query("SELECT s_suppkey, s_name, n_name, s_acctbal FROM supplier JOIN nation ON s_nationkey = n_nationkey ORDER BY s_acctbal ASC NULLS LAST, s_suppkey")
 def disk_join_backlog(spark, d):
-    return disk_join_backlog_all(spark, d).limit(50)
-
-
-@query(ORACLE["disk_join_backlog"].replace(" LIMIT 50", ""))
-def disk_join_backlog_all(spark, d):
     met = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     return met.select("s_suppkey", "s_name", "n_name", "s_acctbal").orderBy(F.asc_nulls_last("s_acctbal"), "s_suppkey")
 
@@ -220,17 +216,12 @@ def sync_mismatch(spark, d):
 
 @query(f"""
 WITH s AS (SELECT user_id, {SECONDS.format('ts')} AS t, avg(value) AS v FROM events GROUP BY 1, 2), b AS (SELECT user_id, min(t) AS t0, max(t) AS t1 FROM s GROUP BY 1),
-p AS (SELECT user_id, t0 + unnest(range(0, 20)) * 86400.0::DOUBLE AS t FROM b), q AS (SELECT user_id, t, row_number() OVER (PARTITION BY user_id ORDER BY t) - 1 AS k FROM p),
+p AS (SELECT user_id, t0 + unnest(range(0, CAST(floor((t1 - t0) / 86400.0::DOUBLE) AS BIGINT) + 1)) * 86400.0::DOUBLE AS t FROM b), q AS (SELECT user_id, t, row_number() OVER (PARTITION BY user_id ORDER BY t) - 1 AS k FROM p),
 w AS (SELECT q.user_id, q.k, q.t, (SELECT max(s.t) FROM s WHERE s.user_id = q.user_id AND s.t <= q.t) AS tb, (SELECT min(s.t) FROM s WHERE s.user_id = q.user_id AND s.t >= q.t) AS ta FROM q)
 SELECT w.user_id, k, round(CASE WHEN b.v IS NULL THEN a.v WHEN a.v IS NULL OR ta = tb THEN b.v ELSE b.v + (w.t - tb) / (ta - tb) * (a.v - b.v) END, 4) AS value
 FROM w LEFT JOIN s a ON a.user_id = w.user_id AND a.t = ta LEFT JOIN s b ON b.user_id = w.user_id AND b.t = tb
 """)
 def interp_series(spark, d):
-    return _daily(spark, d, F.lit(19))
-
-
-@query(ORACLE["interp_series"].replace("range(0, 20)", "range(0, CAST(floor((t1 - t0) / 86400.0::DOUBLE) AS BIGINT) + 1)"))
-def interp_series_all(spark, d):
     """Each user's grid runs to their last time."""
     return _daily(spark, d, F.floor((F.max("t") - F.min("t")) / 86_400.0))
 
@@ -368,15 +359,10 @@ def fingerprint(spark, d):
     return A.group_fingerprint(table(spark, d, "lineitem"), ["l_orderkey"], F.concat_ws(":", F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string")))
 
 
-@query("""WITH u AS (SELECT user_id, list_sort(list(DISTINCT event_type)) AS present FROM events WHERE event_id % 3 = 0 GROUP BY 1)
+@query("""WITH u AS (SELECT user_id, list_sort(list(DISTINCT event_type)) AS present FROM events GROUP BY 1)
 SELECT user_id, array_to_string(list_sort(list_filter(['click', 'purchase', 'upload'], lambda x: NOT list_contains(present, x))), ',') AS missing, array_to_string(list_sort(list_filter(present, lambda x: NOT list_contains(['click', 'purchase', 'upload'], x))), ',') AS extra,
   array_to_string(list_sort(list_filter(present, lambda x: list_contains(['click', 'purchase', 'upload'], x))), ',') AS shared FROM u""")
 def set_algebra(spark, d):
-    return _sets(table(spark, d, "events").where("event_id % 3 = 0"))
-
-
-@query(ORACLE["set_algebra"].replace(" WHERE event_id % 3 = 0", ""))
-def set_algebra_all(spark, d):
     return _sets(table(spark, d, "events"))
 
 
@@ -424,12 +410,8 @@ def _events_stream(spark, d):
 
 
 def _shared(spark: SparkSession) -> str:
-    """A folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-stream-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    """A folder of our own that driver and executors share."""
+    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
 @query("SELECT DISTINCT user_id FROM events")
@@ -450,26 +432,16 @@ def stream_running_kpi(spark, d):
     return spark.read.parquet(f"{out}/data").select("event_type", "n", F.round("total", 2).alias("total"), "largest")
 
 
-@query("""WITH e AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events), l AS (SELECT 'u' || user_id AS name, k * 30.0 AS observed_at, k // 3 AS size FROM e WHERE k <= 12),
+@query("""WITH e AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events), l AS (SELECT 'u' || user_id AS name, k * 30.0 AS observed_at, k // 3 AS size FROM e),
 g AS (SELECT name, size, min(observed_at) AS since, max(observed_at) AS last FROM l GROUP BY 1, 2) SELECT name, CAST(size AS BIGINT) AS size, CAST(since AS DOUBLE) AS since FROM g WHERE last - since >= 60""")
 def stability_gate(spark, d):
-    """Each user's first twelve events as listings 30 seconds apart of a file that grows with every third."""
-    return _gate(spark, d, "k <= 12")
-
-
-@query(ORACLE["stability_gate"].replace(" WHERE k <= 12", ""))
-def stability_gate_all(spark, d):
-    """The same over all events of each user."""
-    return _gate(spark, d, "true")
-
-
-def _gate(spark, d, listed: str):
+    """Each user's events as listings 30 seconds apart of a file that grows with every third."""
     from pyspark.sql import Window
 
     from sessionloom.streaming import watch
 
     k = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    seen = table(spark, d, "events").withColumn("k", k).where(listed).select(F.concat(F.lit("u"), "user_id").alias("name"), F.floor(F.col("k") / 3).alias("size"), F.lit(0.0).alias("mtime"), (F.col("k") * 30.0).alias("observed_at"))
+    seen = table(spark, d, "events").withColumn("k", k).select(F.concat(F.lit("u"), "user_id").alias("name"), F.floor(F.col("k") / 3).alias("size"), F.lit(0.0).alias("mtime"), (F.col("k") * 30.0).alias("observed_at"))
     out = _shared(spark)
     seen.write.parquet(f"{out}/seen")
     stream = spark.readStream.schema(spark.read.parquet(f"{out}/seen").schema).parquet(f"{out}/seen")
@@ -490,52 +462,9 @@ def skip_capacity(spark, d):
     return run(table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), "o_custkey", "o_orderkey", "o_totalprice", 400_000.0).select("o_custkey", "o_orderkey")
 
 
-@query()
-def diverse_sample(spark, d):
-    from sessionloom.operators.grouped import diverse_sample as run
-
-    return run(table(spark, d, "events").select("user_id", "event_id", "value"), "user_id", "value", "event_id", 5)
-
-
-def _two_series(spark, d, a: str, b: str):
-    e = table(spark, d, "events").withColumn("t", seconds("ts") / 86_400)
-    return e.where(F.col("event_type").isin(a, b)).select("user_id", F.col("event_type").alias("series"), "t", F.col("value").alias("v"))
-
-
-@query()
-def best_lag(spark, d):
-    from sessionloom.operators.grouped import best_lag as run
-
-    return run(_two_series(spark, d, "purchase", "click"), "user_id", "purchase", "click", 0.5, 3.0)
-
-
-@query()
-def gripper_flow(spark, d):
-    from sessionloom.operators.grouped import gripper_flow_check as run
-
-    rows = _two_series(spark, d, "purchase", "click").withColumn("series", F.when(F.col("series") == "purchase", "gripper").otherwise("flow"))
-    return run(rows, "user_id", 0.25, 2.0, 45)
-
-
 # --- composites ---
 
 
-@query("""WITH s AS (SELECT o_orderkey AS session, o_totalprice, (o_orderkey % 40) / 10.0::DOUBLE AS drift, CASE WHEN o_orderkey % 7 > 0 THEN 1000.0 ELSE 0.0 END AS expected, CAST(o_orderkey % 90 AS DOUBLE) AS gap, CAST(o_orderkey % 11 AS DOUBLE) AS drops, o_orderkey % 13 > 0 AS sync_ok, (o_orderkey % 17) / 100.0::DOUBLE AS delta, o_orderstatus = 'P' AS failed FROM orders),
-c AS (SELECT *, round(round(greatest(0, 100 - 5 * drift), 6), 1) AS sync, round(round(CASE WHEN expected > 0 THEN greatest(0, 100 - 1.5 * (100 * gap / expected) - least(0.2 * (100 * drops / expected), 10)) ELSE 50 END, 6), 1) AS fps,
-  round(round(CASE WHEN sync_ok THEN greatest(0, 100 - 200 * delta) ELSE greatest(0, 20 - 100 * delta) END, 6), 1) AS cam_sensor FROM s),
-t AS (SELECT *, CASE WHEN failed THEN 0.0 ELSE round(round(0.40 * sync + 0.35 * fps + 0.25 * cam_sensor, 6), 1) END AS score FROM c)
-SELECT session, sync, fps, cam_sensor, CAST(score AS DOUBLE) AS score, """ + grade_sql("score") + " AS grade FROM t")
-def light_score(spark, d):
-    from sessionloom.plans.sessions import light_score as run
-
-    k = F.col("o_orderkey")
-    rows = table(spark, d, "orders").select(
-        k.alias("session"), ((k % 40) / 10.0).alias("max_drift"), F.when(k % 7 > 0, 1000.0).otherwise(0.0).alias("expected_frames"), (k % 90).cast("double").alias("gap_frames"), (k % 11).cast("double").alias("queue_drops"),
-        (k % 13 > 0).alias("sync_ok"), ((k % 17) / 100.0).alias("sync_delta"), F.when(F.col("o_orderstatus") == "P", F.array(F.lit("x"))).alias("errors"),
-    )
-    return run(rows).select("session", "sync", "fps", "cam_sensor", "score", "grade")
-
-
 @query("""WITH s AS (SELECT o_orderkey AS session, o_orderkey % 9 = 0 AS delivered, o_orderkey % 5 > 0 AS a, o_orderkey % 7 > 0 AS b, o_orderkey % 4 AS findings, o_orderkey % 11 = 0 AS anomaly, o_orderkey % 6 = 0 AS issue FROM orders),
 t AS (SELECT *, CASE WHEN a AND b AND findings = 0 AND NOT anomaly THEN 'OK' ELSE 'ANOMALY' END AS status FROM s)
 SELECT session, status, CASE WHEN delivered THEN 'skip_move' WHEN status = 'OK' AND NOT issue THEN 'send' WHEN status = 'OK' THEN 'hold' ELSE 'quarantine' END AS action FROM t""")
@@ -547,27 +476,6 @@ def post_pipeline(spark, d):
     return run(rows).select("session", "status", "action")
 
 
-@query("""WITH s AS (SELECT o_orderkey AS session_id, o_orderdate AS started_at, CAST(o_totalprice AS BIGINT) AS size FROM orders WHERE o_orderkey % 3 = 0), f AS (SELECT s_suppkey AS k, printf('d%05d', s_suppkey) AS u, CAST(1000000 + s_suppkey * 1000 AS BIGINT) AS free FROM supplier),
-h AS (SELECT u, sum(free) OVER (ORDER BY u) AS e, sum(free) OVER (ORDER BY u) - free AS b FROM f), r AS (SELECT *, sum(size) OVER (ORDER BY started_at, session_id ROWS UNBOUNDED PRECEDING) AS t FROM s)
-SELECT session_id, 'ssd' AS source, '/mnt/' || u AS target, CASE WHEN u IS NULL THEN 'wait' ELSE 'copy' END AS action FROM r LEFT JOIN h ON t - size >= b AND t <= e""")
-def replication_plan(spark, d):
-    return _replication(spark, d, "o_orderkey % 3 = 0")
-
-
-@query(ORACLE["replication_plan"].replace(" WHERE o_orderkey % 3 = 0", ""))
-def replication_plan_all(spark, d):
-    return _replication(spark, d, "true")
-
-
-def _replication(spark, d, planned: str):
-    from sessionloom.plans.sessions import replication_plan as run
-
-    s = table(spark, d, "orders").where(planned).select(F.col("o_orderkey").alias("session_id"), F.col("o_orderdate").alias("started_at"), F.col("o_totalprice").cast("long").alias("size_bytes"), F.lit("S").alias("ssd_disk_uuid"), F.lit(None).cast("string").alias("hdd_disk_uuid"))
-    h = table(spark, d, "supplier").select(F.format_string("d%05d", "s_suppkey").alias("disk_uuid"), F.concat(F.lit("/mnt/"), F.format_string("d%05d", "s_suppkey")).alias("mount_path"), F.lit("HDD").alias("disk_type"), (1_000_000 + F.col("s_suppkey") * 1000).cast("long").alias("free_bytes"))
-    ssd = spark.createDataFrame([("S", "ssd", "SSD", 0)], "disk_uuid string, mount_path string, disk_type string, free_bytes long")
-    return run(s, h.union(ssd))
-
-
 @query("""WITH k AS (SELECT c_custkey, 'session_20240' || (1 + c_custkey % 3) || '15_' || lpad(CAST(c_custkey % 24 AS VARCHAR), 2, '0') || lpad(CAST(c_custkey % 3600 // 60 AS VARCHAR), 2, '0') || lpad(CAST(c_custkey % 60 AS VARCHAR), 2, '0') AS name, c_custkey % 24 AS h, c_custkey % 3 AS m, c_custkey % 4 AS rig, CAST(1000 + c_custkey AS BIGINT) AS size FROM customer),
 v AS (SELECT *, sum(size) OVER (ORDER BY name ROWS UNBOUNDED PRECEDING) AS total FROM k WHERE m = 1 AND h >= 7 AND rig = 2 AND c_custkey % 5 > 0) SELECT name, size AS size_bytes FROM v WHERE total <= 60000""")
 def daily_batch(spark, d):
