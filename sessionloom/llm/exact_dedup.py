@@ -3,12 +3,14 @@
 Digests of all rows (SHA-256 of the normalised text) with identifier and content locator are landed in the shared
 folder and read as a stream. The stream's keyed state (RocksDB: on disk, no watermark, so nothing expires) keeps for each
 digest the smallest identifier, its locator and the number of rows. A second run over new landings goes on from the same
-state. A hit (a digest with several rows) is then checked on full bytes against the row that stays; rows whose bytes
-differ although the digest is equal form groups of their own by full text.
+state. Hits (digests with several rows) are then checked on full bytes: all texts of a digest are equal if the least
+and the greatest of them are. Rows whose bytes differ although the digest is equal form groups of their own by full text.
 
-Shuffles: (digest, id) pairs with partial aggregation into the state, narrow rows when groups are joined back, and the
-texts once, of which only rows of groups with several members are written. A digest that a third of all rows share meets
-in a sort-merge join, which Spark splits at run time; nothing is collected.
+Shuffles: (digest, id) pairs with partial aggregation into the state, narrow rows when groups are joined back, and of hits
+one or two texts for each digest and task, as the least and the greatest are found before the shuffle; rows that are no hits are left out by
+a bitmap of FILTER_BITS bits of the hits' digests (broadcast, of fixed size; a fuller one lets more rows through and loses
+nothing). So a digest that a third of all rows share sends a text for each task; narrow rows meet their
+group in a sort-merge join, which Spark splits at run time; nothing is collected. Landings, state and other folders are removed at the end.
 
 Defined results: null text counts as empty; empty texts are equal to each other; rows without doc_id never stay unless
 their whole group has none; rows that repeat doc_id and text carry equal values, and `keep_rows` returns one of them; an
@@ -17,15 +19,14 @@ empty table gives an empty table; other columns pass through `keep_rows` whateve
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm.common import ASCII_SPACE, cut, fresh_path, table
+from sessionloom.llm.common import ASCII_SPACE, cut, free_name, fresh_path, scratch, settings, table
 
 #: Disk-backed state with bounded memory for all stores of an executor; a store is closed after its commit, since each open
 #: one holds several MB of files besides its data.
+FILTER_BITS = 26
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
@@ -43,18 +44,6 @@ def sha256_digest(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
-@contextmanager
-def _set(spark: SparkSession, conf: dict[str, str]):
-    before = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def groups_of_stream(spark: SparkSession, landing: str, schema, state: str | None = None) -> DataFrame:
     """digest, first (no_id, doc_id, locator), n: the state after all landed files, by one run of the streaming query."""
     state = state or fresh_path(spark, "dedup-state")
@@ -63,7 +52,7 @@ def groups_of_stream(spark: SparkSession, landing: str, schema, state: str | Non
     def emit(batch: DataFrame, k: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={k}")
 
-    with _set(spark, STATE_CONF):
+    with settings(spark, STATE_CONF):
         stream = spark.readStream.schema(schema).parquet(landing)
         grouped = stream.groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "locator")).alias("first"), F.count(F.lit(1)).alias("n"))
         query = grouped.writeStream.outputMode("update").option("checkpointLocation", f"{state}/query").trigger(availableNow=True).foreachBatch(emit).start()
@@ -73,49 +62,57 @@ def groups_of_stream(spark: SparkSession, landing: str, schema, state: str | Non
     return found.groupBy("digest").agg(F.max_by(F.struct("first", "n"), "batch").alias("last")).select("digest", "last.first", "last.n")
 
 
+def _may_hit(rows: DataFrame, several: DataFrame) -> DataFrame:
+    """The rows whose digest may be among several's: all that are, and a few others by chance. At most 2^FILTER_BITS / 32,768 rows of 4 KB are broadcast."""
+    place = F.shiftrightunsigned(F.xxhash64("digest"), 64 - FILTER_BITS)
+    maps = several.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    placed = rows.withColumn("place", place).withColumn("bucket", F.bitmap_bucket_number("place")).join(F.broadcast(maps), "bucket")
+    at = F.bitmap_bit_position("place")
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return placed.where(F.getbit(byte, (at % 8).cast("int")) == 1).drop("bucket", "bits", "place")
+
+
 def exact_groups(docs: DataFrame, digest=sha256_digest, state: str | None = None) -> DataFrame:
     """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256, first_locator.
 
     digest: the key of the state. Any function of the text gives right groups, since hits are checked on full bytes.
+    state: a folder of an earlier run's state to go on from; without it the state is removed at the end.
     """
     spark = docs.sparkSession
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised(F.col("text").cast("string")).alias("text"), F.input_file_name().alias("locator"))
-    landing = fresh_path(spark, "dedup-landing")
-    own.select("doc_id", digest(F.col("text")).alias("digest"), F.lower(F.sha2(F.col("text").cast("binary"), 256)).alias("text_sha256"), "locator").write.parquet(landing)
-    landed = spark.read.parquet(landing)
-    groups = cut(groups_of_stream(spark, landing, landed.schema, state).select("digest", F.col("first.doc_id").alias("keep_id"), F.col("first.locator").alias("first_locator"), "n"), "dedup-groups")
-
-    # hits: full bytes against the row that stays
-    several = groups.where("n > 1").select("digest", "keep_id")
-    hits = cut(own.select("doc_id", "text", digest(F.col("text")).alias("digest")).join(several, "digest"), "dedup-hits")
-    stays = hits.where("doc_id <=> keep_id").groupBy("digest").agg(F.min("text").alias("kept_text"))
-    # written before it is grouped, so that the join of a digest with very many rows can be split
-    differ = cut(hits.join(stays, "digest").where("text != kept_text").select("digest"), "dedup-differ").distinct()
-    parts = hits.join(differ, "digest", "left_semi").groupBy("digest", "text").agg(F.min("doc_id").alias("part_id"), F.count(F.lit(1)).alias("part_n"))
-    parts = parts.select("digest", F.lower(F.sha2(F.col("text").cast("binary"), 256)).alias("text_sha256"), "part_id", "part_n")
-
-    joined = landed.drop("locator").join(groups, "digest").join(parts, ["digest", "text_sha256"], "left")
-    apart = F.col("part_n").isNotNull()
-    keep = F.when(apart, F.col("part_id")).otherwise(F.col("keep_id"))
-    return joined.select(
-        "doc_id",
-        keep.alias("keep_id"),
-        F.when(apart, F.col("part_n")).otherwise(F.col("n")).alias("group_size"),
-        F.col("doc_id").eqNullSafe(keep).alias("kept"),
-        "text_sha256",
-        "first_locator",
-    )
+    with scratch(spark) as keep:
+        own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised(F.col("text").cast("string")).alias("text"), F.input_file_name().alias("locator"))
+        landing = fresh_path(spark, "dedup-landing")
+        own.select("doc_id", digest(F.col("text")).alias("digest"), F.lower(F.sha2(F.col("text").cast("binary"), 256)).alias("text_sha256"), "locator").write.parquet(landing)
+        landed = spark.read.parquet(landing)
+        groups = cut(groups_of_stream(spark, landing, landed.schema, state).select("digest", F.col("first.doc_id").alias("keep_id"), F.col("first.locator").alias("first_locator"), "n"), "dedup-groups")
+        joined = landed.drop("locator").join(groups, "digest")
+        keep_id, size = F.col("keep_id"), F.col("n")
+
+        # hits: full bytes
+        texts = _may_hit(own.select("doc_id", "text", digest(F.col("text")).alias("digest")), groups.where("n > 1"))
+        differ = cut(texts.groupBy("digest").agg(F.min("text").alias("least"), F.max("text").alias("most")).where("least != most").select("digest"), "dedup-differ")
+        if differ.take(1):  # equal digests of unlike texts
+            parts = texts.join(differ, "digest", "left_semi").groupBy("digest", "text").agg(F.min("doc_id").alias("part_id"), F.count(F.lit(1)).alias("part_n"))
+            parts = cut(parts.select("digest", F.lower(F.sha2(F.col("text").cast("binary"), 256)).alias("text_sha256"), "part_id", "part_n"), "dedup-parts")
+            joined = joined.join(parts, ["digest", "text_sha256"], "left")
+            apart = F.col("part_n").isNotNull()
+            keep_id, size = F.when(apart, F.col("part_id")).otherwise(keep_id), F.coalesce("part_n", size)
+        return keep(joined.select("doc_id", keep_id.alias("keep_id"), size.alias("group_size"), F.col("doc_id").eqNullSafe(keep_id).alias("kept"), "text_sha256", "first_locator"), "dedup-rows")
 
 
 def keep_rows(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns."""
-    kept = exact_groups(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("rows"))
-    kept = cut(kept.select(F.col("doc_id").alias("_stay_id"), F.col("text_sha256").alias("_stay_sha"), "rows"), "dedup-kept")
-    keyed = docs.withColumn("_row_sha", F.lower(F.sha2(normalised(F.col("text").cast("string")).cast("binary"), 256)))
-    found = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["_stay_id"]) & (keyed["_row_sha"] == kept["_stay_sha"]), "left_semi")
-    if kept.where("rows > 1").take(1):  # rows that repeat doc_id and text
-        found = found.dropDuplicates(["doc_id", "_row_sha"])
-    return found.drop("_row_sha")
+    spark = docs.sparkSession
+    sha = free_name("_row_sha", docs.columns)
+    stay_id, stay_sha = free_name("_stay_id", docs.columns), free_name("_stay_sha", docs.columns)
+    with scratch(spark) as keep:
+        kept = exact_groups(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("rows"))
+        kept = keep(kept.select(F.col("doc_id").alias(stay_id), F.col("text_sha256").alias(stay_sha), F.col("rows").alias("stay_rows")), "dedup-kept")
+    keyed = docs.withColumn(sha, F.lower(F.sha2(normalised(F.col("text").cast("string")).cast("binary"), 256)))
+    found = keyed.join(kept, keyed["doc_id"].cast("long").eqNullSafe(kept[stay_id]) & (keyed[sha] == kept[stay_sha]), "left_semi")
+    if kept.where("stay_rows > 1").take(1):  # rows that repeat doc_id and text
+        found = found.dropDuplicates(["doc_id", sha])
+    return found.drop(sha)
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
