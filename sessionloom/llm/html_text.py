@@ -1,26 +1,28 @@
 """Operator 8: main text of pages, without the passages that a host repeats.
 
-A page is read once into blocks. A block inside `article` or `main` is content; one inside an element that is boilerplate
-by its name, role, whole class name or id (fixed lists below) is dropped; any other block is undecided. An element marked by
-class or id alone that holds an `article` or `main` is a wrapper and its mark doesn't count, unless it is a comment thread
-(each comment is an `article` there); elements and roles such as nav or footer keep what they hold out. Ids of headings are anchors. All blocks outside content form
-the page's token stream, and a suffix of it starts at every token. No suffix array is built: suffixes are grouped by host and
-a 128-bit key of exactly their leading tokens (as many as RULES ask for), and the distinct pages of each group are counted.
-Pages of a host whose blocks are all equal count once. A passage of 32 tokens repeats if 4 pages and 2 % of the host's pages
-have it; a shorter one, of 6 tokens at least, such as a menu, needs half of the host's pages. So copies of an article, quotes
-and common phrases stay, however large the host grows; on a host with fewer than 4 distinct pages nothing is cut.
-These groups are the intervals of the host's suffix array with a common prefix of that length. The tokens covered by any
-longer maximal repeat are the union of such windows, so deeper order and common prefix lengths could not change what is cut.
-Only covered token runs are cut out of undecided blocks; each run between them stays, as a line. Content is never cut.
-
-Keys are two polynomials over independent 64-bit halves of each token's BLAKE2b digest, so the tokens behind equal keys
-aren't compared again: over 10^12 suffixes of ordinary text any two unlike windows share a key with a chance below 10^-14.
-
-Scale: only narrow suffix rows (host, key, page, place) are shuffled, spread by page before they are counted, so a host with a
-third of all pages is no single task's work; the html itself is never shuffled except for pages that have undecided blocks.
-
-Defined results: null or empty html gives an empty text; null url belongs to the host ''; pages of a host
-with equal blocks count as one page for repeats; text outside any tag is an undecided block; an empty table gives no rows; further columns are ignored.
+A page is parsed once into blocks, which are written with content and other text in columns of their own. A block inside
+`article` or `main` is content. All blocks outside content form the page's token stream, and the host suffix array decides on
+them first: tokens inside a repeat of the host are cut. Where it finds no repeat, names decide: a block inside an element that is
+boilerplate by its name, role, whole class name or id (fixed lists below) is dropped, and any other one stays, as lines of its
+unique runs. An element marked by class or id alone that holds an `article` or `main` is a wrapper and its mark doesn't count,
+unless it is a comment thread (each comment is an `article` there); elements and roles such as nav or footer keep what they hold
+out. Ids of headings are anchors. Content is never cut for being repeated, as the contract asks for the whole article.
+
+The array: a suffix starts at every token and is written as its next DEPTH tokens (the tokens themselves; those over LONG_TOKEN
+characters as a 128-bit digest). Suffixes are sorted by range partitions of (host, tokens, page, place). One pass over the
+sorted rows takes the common prefix of each row with the row before it; rows that share the first L tokens are an interval, and
+its distinct pages are counted. RULES say which intervals are repeats: 32 tokens on 4 pages and 2 % of the host's
+pages, or 6 tokens, such as a menu, on 4 pages and half of the host's pages. A longer maximal repeat is the run of such intervals
+at its places, so covering each of them covers it whole. Pages of a host whose blocks are all equal count once. So copies of an
+article, quotes and common phrases stay, however large the host grows; on a host with fewer than 4 distinct pages nothing is cut.
+
+Scale: before suffixes are sorted, a count sketch of the 6-token windows (2^SKETCH_BITS counters of a byte, of fixed size, summed by
+Spark and broadcast) drops those on fewer than 4 pages for certain; where it fills up it lets more through. An interval may lie in
+several partitions: each gives its count, and the counts are summed. Equal suffixes of very many pages differ in page and place, so
+no range holds them all. Content is not shuffled; the text of pages with undecided blocks is, to meet its repeats.
+
+Defined results: null or empty html gives an empty text; null url belongs to the host ''; rows are known by host and blocks, so
+repeated or null page_ids are no special case; text outside any tag is an undecided block; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,16 +34,22 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm.common import cut, table
+from sessionloom.llm.common import cut, scratch, table, tidy
+from sessionloom.llm.shingles import mix
 
 #: A passage repeats if it has so many tokens, on so many pages of its host, which are such a share of the host's pages.
 RULES = ((32, 4, 0.02), (6, 4, 0.5))
+SHORTEST, DEPTH = min(r[0] for r in RULES), max(r[0] for r in RULES)
+LEAST_PAGES = min(r[1] for r in RULES)
+LONG_TOKEN = 64
+SKETCH_BITS = 22
+SLICES = 16
 PAGES_AT_ONCE = 200
-NO_PAGE = -(1 << 63)
-POWERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
+STEP = np.uint64(0x9E3779B97F4A7C15)
 CONTENT, UNDECIDED, BOILERPLATE = 0, 1, 2
 FIRM, SOFT = 1, 2
 
@@ -165,92 +173,192 @@ def host_of(url: str | None) -> str:
     return m.group(1).lower() if m else ""
 
 
-def _places(found: list[tuple[int, str]]) -> tuple[list[str], list[int]]:
-    """The token stream outside content and, for each token, its block's number among the page's blocks."""
-    tokens, owner = [], []
-    for k, (kind, text) in enumerate(found):
-        if kind != CONTENT:
-            words = text.split(" ")
-            tokens += words
-            owner += [k] * len(words)
-    return tokens, owner
+def _parsed(pages: DataFrame) -> DataFrame:
+    """page_id, url, host, copy (equal for pages with equal blocks), kinds (a byte for each block), content, outer, undecided of every page."""
+    names = ["page_id", "url", "host", "copy", "kinds", "content", "outer", "undecided"]
 
+    def run(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, PAGES_AT_ONCE):
+                part = b.slice(lo, PAGES_AT_ONCE)
+                cols: list[list] = [[] for _ in names[2:]]
+                for url, html in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                    found = blocks(html)
+                    kinds = bytes(k for k, _ in found)
+                    whole = kinds + "\n".join(t for _, t in found).encode("utf-8", "surrogatepass")
+                    row = (host_of(url), blake2b(whole, digest_size=16).digest(), kinds, [t for k, t in found if k == CONTENT], [t for k, t in found if k != CONTENT], UNDECIDED in kinds)
+                    for c, v in zip(cols, row, strict=True):
+                        c.append(v)
+                text = pa.list_(pa.string())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.binary(), pa.binary(), text, text, pa.bool_()), strict=True))], names=names)
+
+    return pages.mapInArrow(tidy(run), "page_id long, url string, host string, copy binary, kinds binary, content array<string>, outer array<string>, undecided boolean")
+
+
+def _stream(outer: list[str]) -> list[str]:
+    return [t for text in outer for t in text.split(" ")]
 
-def _copy(found: list[tuple[int, str]]) -> int:
-    """Equal for pages with equal blocks, content included, such as addresses of one page with other parameters."""
-    return _hash64(str(found))
 
+def _window_keys(tokens: list[str], host: str, known: dict[str, int]) -> np.ndarray:
+    """64-bit keys of the host and each run of SHORTEST tokens, for the sketch."""
+    for t in {host, *tokens}.difference(known):
+        known[t] = int.from_bytes(blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+    h = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
+    n = max(0, h.size - SHORTEST + 1)
+    key = np.full(n, known[host], np.uint64)
+    for k in range(SHORTEST):
+        key = key * STEP + h[k : k + n]
+    return mix(key) >> np.uint64(64 - SKETCH_BITS)
 
-def _token_hash(token: str) -> bytes:
-    return blake2b(token.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
+def _sketch(outer: DataFrame) -> np.ndarray:
+    """How often windows occur at least, each once a page: counters that stop at 255."""
+    width = (1 << SKETCH_BITS) // SLICES
 
-def _hash64(text: str) -> int:
-    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+    def count(batches):
+        total = np.zeros(1 << SKETCH_BITS, np.uint8)
+        for b in batches:
+            for lo in range(0, b.num_rows, PAGES_AT_ONCE):
+                part, known = b.slice(lo, PAGES_AT_ONCE), {}
+                at = [np.unique(_window_keys(_stream(texts), host, known)) for host, texts in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)]
+                place, n = np.unique(np.concatenate([np.empty(0, np.uint64), *at]), return_counts=True)
+                total[place] = np.minimum(total[place] + n, 255)
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([x.tobytes() for x in total.reshape(SLICES, width)], pa.binary())], names=["slice", "blob"])
+
+    def add(batches):
+        """Sums of the counters met in a task."""
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                total[k] = np.minimum(total.get(k, 0) + np.frombuffer(blob, np.uint8).astype(np.uint16), 255)
+        yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array([v.astype(np.uint8).tobytes() for v in total.values()], pa.binary())], names=["slice", "blob"])
 
+    kind = "slice int, blob binary"
+    rows = outer.select("host", "outer").mapInArrow(tidy(count), kind).repartition(SLICES, "slice").mapInArrow(tidy(add), kind).toArrow()  # SLICES rows
+    out = np.zeros((SLICES, width), np.uint8)
+    for k, blob in zip(rows.column("slice").to_pylist(), rows.column("blob").to_pylist(), strict=True):
+        out[k] = np.minimum(out[k] + np.frombuffer(blob, np.uint8).astype(np.uint16), 255)
+    return out.ravel()
 
-def _window_keys(h: np.ndarray, length: int) -> np.ndarray:
-    """Two independent 64-bit keys of each run of length tokens, from the tokens' pairs of 64-bit hashes."""
-    n = len(h) - length + 1
-    key = np.zeros((n, 2), np.uint64)
-    for k in range(length):
-        key = key * POWERS + h[k : k + n]
-    return key
 
+WEIGHTS = [f"w{k}" for k in range(len(RULES))]
 
-SUFFIX = "host long, rule int, key_a long, key_b long, page long, copy long, place int, undecided boolean"
 
+def _suffixes(outer: DataFrame) -> DataFrame:
+    """host, copy, place, tokens (the next DEPTH, each with a space behind it), and for each rule 1 where the page's leading tokens appear for the first time.
 
-def _suffixes(pages: DataFrame) -> DataFrame:
-    """host, rule, key_a, key_b (of the leading tokens), page, copy, place, undecided, of every suffix; a row with rule -1 for every page with tokens."""
-    names = [x.split()[0] for x in SUFFIX.split(", ")]
+    Suffixes whose leading tokens are on too few pages of the host are left out.
+    """
+    shipped = outer.sparkSession.sparkContext.broadcast(_sketch(outer))
+    names = ["host", "copy", "place", "tokens", *WEIGHTS]
 
     def run(batches):
         for b in batches:
             for lo in range(0, b.num_rows, PAGES_AT_ONCE):
-                known: dict[str, bytes] = {}
-                parts: list[list[np.ndarray]] = [[] for _ in names]
-                for page, url, html in zip(*(c.to_pylist() for c in b.slice(lo, PAGES_AT_ONCE).columns), strict=True):
-                    found = blocks(html)
-                    tokens, owner = _places(found)
-                    if not tokens:
-                        continue
-                    for t in tokens:
-                        if t not in known:
-                            known[t] = _token_hash(t)
-                    h = np.frombuffer(b"".join([known[t] for t in tokens]), np.uint64).reshape(-1, 2)
-                    # a suffix matters to an undecided block if any of its leading tokens lies in one
-                    reach = np.append(0, np.cumsum([found[k][0] == UNDECIDED for k in owner]))
-                    host, copy = _hash64(host_of(url)), _copy(found)
-                    for rule, (length, _, _) in [(-1, (0, 0, 0)), *enumerate(RULES)]:
-                        n = 1 if rule < 0 else len(tokens) - length + 1
-                        if n <= 0:
-                            continue
-                        key = np.zeros((1, 2), np.uint64) if rule < 0 else _window_keys(h, length)
-                        open_ = [True] if rule < 0 else reach[length : length + n] > reach[:n]
-                        for part, v in zip(parts, (host, rule, key[:, 0].astype(np.int64), key[:, 1].astype(np.int64), page if page is not None else NO_PAGE, copy, np.arange(n), open_), strict=True):
-                            part.append(np.broadcast_to(np.asarray(v), (n,)))
-                if parts[0]:
-                    kinds = (np.int64, np.int32, np.int64, np.int64, np.int64, np.int64, np.int32, np.bool_)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(t)) for x, t in zip(parts, kinds, strict=True)], names=names)
-
-    return pages.mapInArrow(run, SUFFIX)
-
-
-def _text(found: list[tuple[int, str]], starts: list[tuple[int, int]] | None) -> str:
-    """Content, and the runs of undecided blocks that repeats don't cover; starts: (rule, place) of repeated suffixes."""
-    tokens, owner = _places(found)
-    covered = np.zeros(len(tokens) + 1, np.int64)
-    for rule, s in starts or ():
-        covered[s] += 1
-        covered[s + RULES[rule][0]] -= 1
-    covered = (np.cumsum(covered[:-1]) > 0).tolist()
-    out, at = [], 0
-    for kind, text in found:
+                part, known = b.slice(lo, PAGES_AT_ONCE), {}
+                cols: list[list] = [[] for _ in names]
+                for host, copy, outer in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    tokens = _stream(outer)
+                    often = np.flatnonzero(shipped.value[_window_keys(tokens, host, known)] >= LEAST_PAGES)
+                    if often.size:
+                        tokens = [t if len(t) <= LONG_TOKEN else "\0" + blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest() for t in tokens]
+                    met: set[tuple[str, ...]] = set()
+                    for i in often.tolist():
+                        row = [host, copy, i, " ".join(tokens[i : i + DEPTH]) + " "]
+                        for length, _, _ in RULES:
+                            lead = tuple(tokens[i : i + length])
+                            first = len(lead) == length and lead not in met
+                            row.append(int(first))
+                            if first:
+                                met.add(lead)
+                        for c, v in zip(cols, row, strict=True):
+                            c.append(v)
+                kinds = (pa.string(), pa.binary(), pa.int32(), pa.string(), *[pa.int32()] * len(RULES))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
+
+    found = outer.select("host", "copy", "outer").mapInArrow(tidy(run), "host string, copy binary, place int, tokens string, " + ", ".join(f"{w} int" for w in WEIGHTS))
+    # pages with equal blocks count once
+    return found.groupBy("host", "copy", "place", "tokens").agg(*[F.max(w).alias(w) for w in WEIGHTS])
+
+
+def common_prefixes(hosts: pa.Array, tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted suffixes: how many leading tokens each shares with the one before it (0 for the first), and how many it has."""
+    n = len(tokens)
+    lists = pc.split_pattern(tokens, " ")
+    ends = lists.offsets.to_numpy()
+    size = np.diff(ends) - 1  # a space is behind each token
+    code = lists.flatten().dictionary_encode().indices.to_numpy()
+    grid = np.full((n, DEPTH), -1, np.int32)
+    column = np.arange(code.size) - np.repeat(ends[:-1], size + 1)
+    row = np.repeat(np.arange(n), size + 1)
+    real = column < np.repeat(size, size + 1)
+    grid[row[real], column[real]] = code[real]
+    host = hosts.dictionary_encode().indices.to_numpy()
+    same = (grid[1:] == grid[:-1]) & (grid[1:] >= 0) & (host[1:] == host[:-1])[:, None]
+    shared = np.where(same.all(1), DEPTH, same.argmin(1)) if n > 1 else np.empty(0, np.int64)
+    return np.append(0, shared)[:n], size
+
+
+def _intervals(array: DataFrame) -> DataFrame:
+    """host, rule, lead (the first tokens), pages: counts of the array's intervals, in several rows where one lies in several partitions."""
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            shared, size = common_prefixes(b.column("host"), b.column("tokens"))
+            cols: list[list] = [[], [], [], []]
+            for k, (length, _, _) in enumerate(RULES):
+                begin = np.flatnonzero(shared < length)
+                pages = np.add.reduceat(b.column(WEIGHTS[k]).to_numpy(), begin)
+                # any of them may go on in another batch or file, so all are handed on
+                good = np.flatnonzero(size[begin] >= length)
+                at = pa.array(begin[good])
+                cols[0] += b.column("host").take(at).to_pylist()
+                cols[1] += [k] * good.size
+                cols[2] += [" ".join(t.split(" ", length)[:length]) for t in b.column("tokens").take(at).to_pylist()]
+                cols[3] += pages[good].tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.string(), pa.int64()), strict=True)], names=["host", "rule", "lead", "pages"])
+
+    return array.select("host", "tokens", *WEIGHTS).mapInArrow(tidy(run), "host string, rule int, lead string, pages long")
+
+
+def _repeats(parsed: DataFrame, keep) -> DataFrame:
+    """host, copy, starts (array of rule and place): where the repeats of a page's host start in its stream."""
+    outer = parsed.where(F.size("outer") > 0)
+    order = ["host", "tokens", "copy", "place"]
+    shuffles = int(parsed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    array = cut(_suffixes(outer).repartitionByRange(shuffles, *order).sortWithinPartitions(*order), "html-array")
+    hosts = outer.select("host", "copy").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("of"))
+    enough = F.lit(False)
+    for k, (_, n, share) in enumerate(RULES):
+        enough = enough | ((F.col("rule") == k) & (F.col("pages") >= F.greatest(F.lit(float(n)), F.col("of") * share)))
+    counts = _intervals(array).groupBy("host", "rule", "lead").agg(F.sum("pages").alias("pages")).join(hosts, "host")
+    repeats = cut(counts.where(enough).select("host", "rule", "lead"), "html-repeats")
+    leads = F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), F.substring_index("tokens", " ", r[0]).alias("lead")) for k, r in enumerate(RULES)]))
+    starts = array.select("host", "copy", "place", leads.alias("x")).select("host", "copy", "place", "x.rule", "x.lead").join(repeats, ["host", "rule", "lead"])
+    return keep(starts.groupBy("host", "copy").agg(F.collect_set(F.struct("rule", "place")).alias("starts")), "html-starts")
+
+
+def _covered(n: int, starts: list[tuple[int, int]]) -> np.ndarray:
+    """Which of n tokens lie in a repeat; starts: (rule, place)."""
+    out = np.zeros(n + 1, np.int64)
+    for rule, s in starts:
+        out[s] += 1
+        out[s + RULES[rule][0]] -= 1
+    return np.cumsum(out[:-1]) > 0
+
+
+def _text(kinds: bytes, content: list[str], outer: list[str], starts: list[tuple[int, int]]) -> str:
+    """Content, and the runs of undecided blocks that repeats don't cover."""
+    covered = _covered(len(_stream(outer)), starts).tolist()
+    out, at, inner, rest = [], 0, iter(content), iter(outer)
+    for kind in kinds:
         if kind == CONTENT:
-            out.append(text)
+            out.append(next(inner))
             continue
-        words = text.split(" ")
+        words = next(rest).split(" ")
         if kind == UNDECIDED:
             for gone, run in groupby(zip(covered[at : at + len(words)], words, strict=True), key=lambda x: x[0]):
                 if not gone:
@@ -259,47 +367,47 @@ def _text(found: list[tuple[int, str]], starts: list[tuple[int, int]] | None) ->
     return "\n".join(out)
 
 
+def _analysed(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    with scratch(pages.sparkSession) as keep:
+        parsed = keep(_parsed(pages), "html-blocks")
+        return parsed, _repeats(parsed, keep)
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    suffixes = _suffixes(pages)
-    group = ["host", "rule", "key_a", "key_b"]
-    least = min(n for _, n, _ in RULES)
-    # each copy counts once: rows of a passage on all pages of a host are spread by copy first, then counted with partial aggregation
-    counts = suffixes.groupBy(*group, "copy").agg(F.max("undecided").alias("undecided")).groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.max("undecided").alias("undecided"))
-    counts = cut(counts.where((F.col("n") >= least) & F.col("undecided")), "html-repeats")
-    hosts = counts.where("rule = -1").select("host", F.col("n").alias("pages"))
-    enough = F.lit(False)
-    for rule, (_, n, share) in enumerate(RULES):
-        enough = enough | ((F.col("rule") == rule) & (F.col("n") >= F.greatest(F.lit(float(n)), F.col("pages") * share)))
-    repeated = counts.where("rule >= 0").join(hosts, "host").where(enough).select(*group)
-    starts = suffixes.where("undecided and rule >= 0").join(repeated, group).groupBy("page", "copy").agg(F.collect_set(F.struct("rule", "place")).alias("starts"))
+    parsed, starts = _analysed(pages)
 
-    def settled(batches):
-        """Pages without undecided blocks; the others keep their html for the join."""
-        for b in batches:
-            text, html, copy = [], [], []
-            for h in b.column(2).to_pylist():
-                found = blocks(h)
-                undecided = any(k == UNDECIDED for k, _ in found)
-                text.append(None if undecided else _text(found, None))
-                html.append(h if undecided else None)
-                copy.append(_copy(found) if undecided else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string()), pa.array(html, pa.string()), pa.array(copy, pa.int64())], names=["page_id", "url", "text", "html", "own"])
-
-    def rest(batches):
+    def run(batches):
         for b in batches:
-            text = [_text(blocks(h), [(x["rule"], x["place"]) for x in s or ()]) for h, s in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            text = [_text(k, c, o, [(x["rule"], x["place"]) for x in s or ()]) for k, c, o, s in zip(*(b.column(i).to_pylist() for i in range(2, 6)), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string())], names=["page_id", "url", "text"])
 
-    first = pages.mapInArrow(settled, "page_id long, url string, text string, html string, own long")
-    done = first.where("text is not null").select("page_id", "url", "text")
-    same = (F.coalesce("page_id", F.lit(NO_PAGE)) == F.col("page")) & (F.col("own") == F.col("copy"))
-    joined = first.where("text is null").select("page_id", "url", "html", "own").join(starts, same, "left")
-    done = done.union(joined.select("page_id", "url", "html", "starts").mapInArrow(rest, "page_id long, url string, text string"))
+    done = parsed.where("not undecided").select("page_id", "url", F.array_join("content", "\n").alias("text"))
+    joined = parsed.where("undecided").join(starts, ["host", "copy"], "left").select("page_id", "url", "kinds", "content", "outer", "starts")
+    done = done.union(joined.mapInArrow(tidy(run), "page_id long, url string, text string"))
     return done.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def decisions(pages: DataFrame) -> DataFrame:
+    """One row: tokens outside content, and how many of them the repeats cut, names alone cut, and stay."""
+    parsed, starts = _analysed(pages)
+    names = ["tokens", "by_repeats", "by_names", "kept"]
+
+    def run(batches):
+        total = np.zeros(len(names), np.int64)
+        for b in batches:
+            for kinds, outer, s in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                size = [len(t.split(" ")) for t in outer]
+                cut_ = _covered(sum(size), [(x["rule"], x["place"]) for x in s or ()])
+                open_ = np.repeat([k == UNDECIDED for k in kinds if k != CONTENT], size)
+                total += [cut_.size, cut_.sum(), (~cut_ & ~open_).sum(), (~cut_ & open_).sum()]
+        yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in total], names=names)
+
+    met = parsed.where(F.size("outer") > 0).join(starts, ["host", "copy"], "left").select("kinds", "outer", "starts")
+    return met.mapInArrow(tidy(run), ", ".join(f"{c} long" for c in names)).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
+
+
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 

@@ -103,10 +103,82 @@ def test_only_covered_runs_are_cut(spark):
         assert got[k] == f"{own(k, 5)}\nz{k}\n{own(k + 100, 90)}"
 
 
-def test_token_hash_halves_are_independent():
-    """The two halves of a key once were CRCs of equal text, which collide together."""
-    a, b = "plumless", "buckeroo"
-    assert html_text._token_hash(a)[:8] != html_text._token_hash(b)[:8] and html_text._token_hash(a)[8:] != html_text._token_hash(b)[8:]
+def brute_suffix_array(pages):
+    """host -> stream -> covered places, by sorting all suffixes of a host's distinct pages and comparing neighbours."""
+    out = {}
+    for host in {h for h, _ in pages}:
+        streams = sorted({s for h, s in pages if h == host})
+        array = sorted((s[i:], k, i) for k, s in enumerate(streams) for i in range(len(s)))
+        covered = {s: [False] * len(s) for s in streams}
+        for length, least, share in html_text.RULES:
+            begin = 0
+            for at in range(1, len(array) + 1):
+                if at < len(array):
+                    x, y = array[at - 1][0], array[at][0]
+                    shared = next((i for i, (p, q) in enumerate(zip(x, y, strict=False)) if p != q), min(len(x), len(y)))
+                    if shared >= length:
+                        continue
+                members = [m for m in array[begin:at] if len(m[0]) >= length]
+                if len({k for _, k, _ in members}) >= max(least, share * len(streams)):
+                    for _, k, i in members:
+                        covered[streams[k]][i : i + length] = [True] * length
+                begin = at
+        out[host] = covered
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_repeats_are_those_of_a_suffix_array(spark, seed):
+    """Random streams with menus, shared passages, repeats inside a page, page copies and long tokens, on two hosts; ids repeat or are null."""
+    import random
+
+    rng = random.Random(seed)
+    word = lambda: rng.choice("abcdefghij") + rng.choice(["", "x", "é" * 80])
+    passages = [tuple(word() for _ in range(n)) for n in (7, 9, 33, 45)]
+    pages = []
+    for _ in range(70):
+        s = ()
+        for _ in range(rng.randrange(6)):
+            s += rng.choice(passages) if rng.random() < 0.6 else tuple(word() for _ in range(rng.randrange(1, 12)))
+        pages.append((rng.choice(["big.com"] * 5 + ["small.com"]), s))
+    pages += rng.sample(pages, 10)
+    rows = [(rng.choice([None, 1, k]), f"http://{h}/{k}", f"<p>{' '.join(s)}</p>", k) for k, (h, s) in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, starts long")
+    covered = brute_suffix_array([(h, s) for h, s in pages if s])
+    want = []
+    for (page, url, _, _), (h, s) in zip(rows, pages, strict=True):
+        gone = covered.get(h, {}).get(s, [])
+        lines, run = [], []
+        for t, c in [*zip(s, gone, strict=True), ("", True)]:
+            if not c:
+                run.append(t)
+            elif run:
+                lines.append(" ".join(run))
+                run = []
+        want.append((str(page), url, "\n".join(lines)))
+    assert any(any(x) and not all(x) for d in covered.values() for x in d.values())
+    got = [(str(r["page_id"]), r["url"], r["text"]) for r in html_text.main_text(df).collect()]
+    assert sorted(got) == sorted(want)
+    found = html_text.decisions(df).first()
+    assert found["by_repeats"] == sum(sum(covered[h][s]) for h, s in pages if s) and found["by_names"] == 0
+    assert found["tokens"] == sum(len(s) for _, s in pages) == found["by_repeats"] + found["kept"]
+
+
+def test_repeats_decide_before_names(spark):
+    """A menu inside nav that the host repeats counts as cut by the array; a unique one as dropped by its name."""
+    menu = " ".join(f"m{i}" for i in range(8))
+    rows = [(k, f"http://h.com/{k}", f"<nav>{menu}</nav><article>a{k} {menu}</article><footer>own{k}</footer>") for k in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert [(r["page_id"], r["text"]) for r in html_text.main_text(df).orderBy("page_id").collect()] == [(k, f"a{k} {menu}") for k in range(6)]
+    assert html_text.decisions(df).first().asDict() == {"tokens": 54, "by_repeats": 48, "by_names": 6, "kept": 0}
+
+
+def test_common_prefixes():
+    import pyarrow as pa
+
+    tokens = ["a b ", "a b c ", "a b c ", "ab c ", "b ", "b "]
+    shared, size = html_text.common_prefixes(pa.array(["h"] * 5 + ["i"]), pa.array(tokens))
+    assert shared.tolist() == [0, 2, 3, 0, 0, 0] and size.tolist() == [2, 3, 3, 2, 1, 1]
 
 
 def test_copies_and_phrases_of_a_large_host_stay(spark):
