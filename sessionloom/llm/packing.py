@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sessionloom.llm.common import cut, own_columns, table, text_slices, tokenizer_bytes
+from sessionloom.llm.common import cut, own_columns, table, text_slices, tidy, tokenizer_bytes
 from sessionloom.llm.word_bpe import word_bpe
 
 CAPACITY = 4096
@@ -55,7 +55,7 @@ def pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(cols[0], pa.int64()), "piece": pa.array(cols[1], pa.int32()), "start": pa.array(cols[2], pa.int64()), "length": pa.array(cols[3], pa.int64()), "ids_crc32": pa.array(cols[4], pa.int64())})
 
-    return own_columns(docs, {"doc_id": "long", "text": "string"}).mapInArrow(run, PIECES)
+    return own_columns(docs, {"doc_id": "long", "text": "string"}).mapInArrow(tidy(run, lambda: word_bpe(shipped.value).forget()), PIECES)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:

@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 
-MEMO_WORDS = 400_000
+MEMO_WORDS = 150_000
 LONGEST_PIECE = 100
 NONE = np.iinfo(np.int64).max
 #: Fixed value: what the tokenizer's file must say for the split made here to hold.
@@ -129,9 +129,12 @@ class WordBpe:
         blob, at = ids.tobytes(), (4 * at[before]).tolist()
         self.latin.update((w, blob[i:j]) for w, i, j in zip(words, at, at[1:], strict=False))
 
+    def forget(self) -> None:
+        self.latin, self.memo = {b"": b""}, {"": b""}
+
     def learn(self, latin: set[bytes], other: set[str]) -> None:
         if len(self.latin) + len(self.memo) > MEMO_WORDS:
-            self.latin, self.memo = {b"": b""}, {"": b""}
+            self.forget()
         new = latin.difference(self.latin)
         rare = {w for w in new if b"'" in w or len(w) > LONGEST_PIECE}
         if new := list(new - rare if rare else new):
