@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +27,39 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+#: A text of more characters is read in parts, so that working memory follows its longest word and its set, not its length.
+LONG = 400_000
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_SPACE = re.compile(r"[\x20\x09-\x0D]")
+
+
+def _long_set(text: str, words: int) -> np.ndarray:
+    """The shingles of one long text, from parts that end between words and begin with the last words of the part before."""
+    found, carried, lo, hi = [np.empty(0, U)], "", 0, 0
+    while hi < len(text):
+        cut = _SPACE.search(text, max(hi + 1, min(lo + LONG, len(text))))
+        hi = cut.start() if cut else len(text)
+        part = carried + text[lo:hi]
+        starts = [m.start() for m in _WORD.finditer(part)]
+        if len(starts) < words and hi < len(text):
+            continue  # fewer words than a shingle has: more of the text belongs to them
+        if len(starts) >= words or lo == 0:
+            found.append(_sets([part], words)[0])
+            found = [np.unique(np.concatenate(found))]
+        carried, lo = part[starts[1 - words] :] + " " if len(starts) >= words else "", hi
+    return found[-1]
+
+
 def shingle_sets(texts: list[str | None], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of all texts, ascending within each text, and where each text's hashes start (and the end).
+    """Distinct shingle hashes of all texts, ascending within each text, and where each text's hashes start (and the end)."""
+    if len(texts) == 1 and len(texts[0] or "") > LONG:
+        h = _long_set(texts[0], words)
+        return h, np.array([0, h.size])
+    return _sets(texts, words)
+
+
+def _sets(texts: list[str | None], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """What shingle_sets returns.
 
     A-Z are lower-cased; words are runs without space, tab, line feed, vertical tab, form feed, return. Fewer words than
     `words` make one shingle; no words make none.

@@ -106,7 +106,7 @@ def test_jaccard_join_is_brute_force(docs_of, seed, monkeypatch):
         assert jaccard_join.near_groups(docs_of([])).count() == 0
 
 
-@pytest.mark.parametrize("block", [2048, 7])
+@pytest.mark.parametrize("block", [4096, 7])
 def test_embedding_join_is_brute_force(spark, block, monkeypatch):
     monkeypatch.setattr(embedding_join, "BLOCK", block)
     rng = np.random.default_rng(3)
@@ -126,3 +126,87 @@ def test_embedding_join_is_brute_force(spark, block, monkeypatch):
     assert all(got[k + i] == (0, k + i, True) for i in range(6))
     assert got[k + 6] == (1, k + 6, True) and got[k + 50] == (1, k + 6, False)
     assert embedding_join.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_embedding_join_prunes_clusters(spark, monkeypatch):
+    """Clusters far apart: under a fifth of the pairs are compared, by blocks and by leaves, and the links are brute force's."""
+    monkeypatch.setattr(embedding_join, "BLOCK", 256)
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(60, 64))
+    x = (centres[rng.integers(60, size=3000)] + rng.normal(size=(3000, 64)) * 0.12).astype(np.float32)
+    df = spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(x)], "vec_id long, embedding array<float>")
+    u = x.astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    s = u @ u.T >= 0.9
+    np.fill_diagonal(s, False)
+    assert {r["vec_id"]: r["n_links"] for r in embedding_join.near_vectors(df).collect()} == dict(enumerate(s.sum(1).tolist()))
+    r = embedding_join.compared(df).first()
+    print("compared", r["compared"], "of", r["pairs"])
+    assert s.sum() / 2 <= r["compared"] < 0.2 * r["pairs"]
+
+
+def test_places_never_exceed_distances():
+    rng = np.random.default_rng(5)
+    x = embedding_join._unit(rng.normal(size=(300, 64)) + rng.normal(size=64))
+    frame = embedding_join.Frame(x, 0.447)
+    p, far = frame.places(x), lambda m: np.linalg.norm(m[:, None] - m[None], axis=2)
+    assert (far(p) <= far(x) + 1e-9).all() and frame.axes.shape == (64, 32) and 4 / frame.width <= 128
+
+
+def test_templates_below_the_threshold_stay_few_rows(spark, docs_of):
+    """A passage in 20,000 texts that are otherwise unlike, just too short a share to link: no block of holders meets another."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    passage = " ".join(word() for _ in range(34))  # 30 shingles
+    docs = docs_of([(k, passage + " " + " ".join(word() for _ in range(11))) for k in range(20_000)])
+    assert all(r["component_id"] == r["doc_id"] and r["n_shingles"] == 41 for r in jaccard_join.near_groups(docs).collect())
+
+
+def test_block_cells_send_holders_to_pairs_left_only(spark):
+    """Holders of one shingle with sizes and reach that allow no link give no rows; those that may link give a few rows each."""
+    import pandas as pd
+
+    rng = np.random.default_rng(2)
+    blob = lambda: rng.integers(0, 2, 2048, dtype=np.uint8)
+    base = np.packbits(blob()).tobytes()
+    make = lambda reach, bits: spark.createDataFrame(pd.DataFrame({"token": 7, "part": 1, "id": np.arange(5000), "n": 100, "comp": np.arange(5000), "signature": bits, "reach": reach}), "token long, part long, id long, n long, comp long, signature binary, reach int")
+    assert jaccard_join._block_cells(make(80, [base] * 5000), 75).count() == 0  # 86 are needed
+    rows = jaccard_join._block_cells(make(100, [base] * 5000), 75)
+    blocks = rows.select("x").distinct().count()
+    assert rows.count() == 5000 * blocks and rows.where("left").select("id").distinct().count() == 5000
+
+
+def test_long_texts_in_parts(monkeypatch):
+    from sessionloom.llm import shingles
+
+    rng = random.Random(4)
+    for n in (0, 3, 5, 6, 4000):
+        text = "  ".join("".join(rng.choice("aBc") for _ in range(rng.choice([1, 3, 400]))) for _ in range(n)) + " "
+        want = shingles._sets([text], 5)[0]
+        for long in (10, 1000):
+            monkeypatch.setattr(shingles, "LONG", long)
+            assert (shingles._long_set(text, 5) == want).all() and shingles._long_set(text, 5).size == want.size
+
+
+def test_helper_columns_of_the_input_stay(docs_of):
+    docs = docs_of([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x")])
+    for name in ("_row_sha", "_stay_id", "_STAY_SHA", "stay_rows", "digest", "text_sha256", "keep_id", "n", "first", "locator", "bits", "bucket", "place"):
+        docs = docs.withColumn(name, F.lit(name))
+    kept = exact_dedup.keep_rows(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == sorted(tuple(r) for r in docs.collect() if r["doc_id"] != 2)
+    near = jaccard_join.keep_one(docs.withColumn("_stay", F.lit(1)))
+    assert "_stay" in near.columns and sorted(r["doc_id"] for r in near.collect()) == [1, 3]
+
+
+def test_hot_digest_in_the_stream(docs_of):
+    """Copies with very many rows, among them one whose digest collides: found by the least and the greatest text."""
+    given = [(k, "same") for k in range(300)] + [(k, f"t{k}") for k in range(300, 400)] + [(900, "abcd")]
+    digest = lambda t: F.unhex(F.lpad(F.hex(F.length(t)), 4, "0"))
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in exact_dedup.exact_groups(docs_of(given), digest=digest).collect()}
+    assert got == {k: (0, 300) for k in range(300)} | {k: (k, 1) for k in (*range(300, 400), 900)}
+
+
+def test_rows_of_one_doc_id_stay_together(docs_of):
+    words = " ".join(f"w{k}" for k in range(30))
+    docs = docs_of([(1, words), (2, words + " z"), (2, "other text of five words"), (3, None), (None, words)])
+    assert sorted(str(r["doc_id"]) for r in jaccard_join.keep_one(docs).collect()) == ["1", "3", "None"]
