@@ -34,6 +34,41 @@ MEMO_UNITS = 500_000
 MEMO_PAIRS = 2_000_000
 
 
+#: The kinds of pieces in a model file.
+NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
+
+
+def piece_kinds(model: bytes) -> list[int]:
+    """The kind of each piece of a model file, a protocol buffer whose field 1 holds the pieces, with the kind in their field 3."""
+
+    def fields(data: bytes):
+        at = 0
+
+        def number() -> int:
+            nonlocal at
+            out = shift = 0
+            while True:
+                byte = data[at]
+                at += 1
+                out |= (byte & 127) << shift
+                shift += 7
+                if byte < 128:
+                    return out
+
+        while at < len(data):
+            key = number()
+            kind, value = key & 7, None
+            if kind == 0:
+                value = number()
+            else:
+                size = number() if kind == 2 else 8 if kind == 1 else 4
+                value = data[at : at + size]
+                at += size
+            yield key >> 3, value
+
+    return [next((v for f, v in fields(piece) if f == 3), NORMAL) for field, piece in fields(model) if field == 1]
+
+
 class PieceCodec:
     """Ids of a merge-type model from its own pieces and scores; the library only reads the file."""
 
@@ -43,6 +78,8 @@ class PieceCodec:
 
         sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         n = sp.get_piece_size()
+        if {USER_DEFINED, UNUSED} & set(piece_kinds(model)):
+            raise ValueError("models with user-defined or unused pieces are not supported")
         self.pieces = [sp.id_to_piece(i) for i in range(n)]
         self.unk, self.control = sp.unk_id(), {i for i in range(n) if sp.is_control(i)}
         self.byte_id = {int(self.pieces[i][3:-1], 16): i for i in range(n) if sp.is_byte(i)}
@@ -50,7 +87,7 @@ class PieceCodec:
         self.special = self.control | set(self.byte_of) | {self.unk}
         if sp.normalize(" Å a") != MARK * 2 + "Å" + MARK + "a":
             raise ValueError("only models with the identity normaliser and a space before the text are supported")
-        self.rank = {p: (-sp.get_score(i), i) for i, p in enumerate(self.pieces) if i not in self.special and not sp.is_unused(i)}
+        self.rank = {p: (-sp.get_score(i), i) for i, p in enumerate(self.pieces) if i not in self.special}
         if any(MARK in p.lstrip(MARK) for p in self.rank):
             raise ValueError("a piece has a space mark after another character")
         self.chars = {p for p in self.rank if len(p) == 1}
@@ -96,19 +133,19 @@ class PieceCodec:
         longest = [0] * n
         for end, (i, back) in self.match.iter(s):
             longest[end - back] = i  # ends ascend, so the longest match from a start comes last
-        open_at, tokens, pos, last = bytearray(b"\1") * (n + 1), [], 0, -1
+        failed, tokens, pos, last = bytearray((n >> 3) + 1), [], 0, -1  # a bit for each position
         pair_ok, length, shorter = self.pair_ok, self.length, self.shorter
         token = longest[0]
         while True:
             while token is not None:
                 end = pos + length[token]
-                if open_at[end]:
+                if not failed[end >> 3] >> (end & 7) & 1:
                     ok = last < 0 or pair_ok.get(last << 32 | token)
                     if ok or (ok is None and self.fits(last, token)):
                         break
                 token = shorter[token]
             if token is None:
-                open_at[pos] = 0  # no way on from here
+                failed[pos >> 3] |= 1 << (pos & 7)  # no way on from here
                 token = tokens.pop()
                 pos -= length[token]
                 last = tokens[-1] if tokens else -1

@@ -129,3 +129,50 @@ def test_packing_rows(docs_of):
             at += length
         assert at <= 512
     assert packing.pack(docs_of([])).count() == 0
+
+
+def test_models_with_special_pieces_are_refused():
+    """A piece of another kind than the codec knows: user-defined or unused ones change the library's result."""
+    from sessionloom.llm import sentencepiece_codec as S
+    from sessionloom.llm.common import tokenizer_bytes
+
+    data = tokenizer_bytes("piece_bpe_32k.model")
+    assert set(S.piece_kinds(data)) <= {S.NORMAL, S.UNKNOWN, S.CONTROL, S.BYTE}
+    for kind in (S.USER_DEFINED, S.UNUSED):
+        piece = b"\x0a\x03xyz\x18" + bytes([kind])
+        with pytest.raises(ValueError, match="user-defined"):
+            S.PieceCodec(data + b"\x0a" + bytes([len(piece)]) + piece)
+
+
+def test_plan_against_exhaustive_packing():
+    """Small cases: never more than the least number of sequences by more than one, and mostly equal."""
+    import random
+    from functools import lru_cache
+
+    from sessionloom.llm.packing import plan
+
+    def least(lengths, capacity):
+        @lru_cache(None)
+        def place(k, rooms):
+            if k == len(lengths):
+                return len(rooms)
+            n = lengths[k]
+            options = [place(k + 1, tuple(sorted((*rooms[:i], r - n, *rooms[i + 1 :])))) for i, r in enumerate(rooms) if r >= n and r not in rooms[:i]]
+            return min([*options, place(k + 1, tuple(sorted((*rooms, capacity - n))))])
+
+        return place(0, ())
+
+    rng, worse = random.Random(5), 0
+    for _ in range(60):
+        capacity = rng.choice([12, 20, 31])
+        lengths = tuple(sorted((rng.randint(1, capacity) for _ in range(rng.randint(1, 9))), reverse=True))
+        counts = {n: lengths.count(n) for n in lengths}
+        used = {}
+        for n, _, number, first, per, _ in plan(counts, capacity).tolist():
+            for j in range(number):
+                used.setdefault(first + j // per, []).append(n)
+        assert sorted(x for v in used.values() for x in v) == sorted(lengths) and max(map(sum, used.values())) <= capacity
+        more = len(used) - least(lengths, capacity)
+        assert 0 <= more <= 1
+        worse += more
+    assert worse <= 6
