@@ -34,6 +34,55 @@ def test_rules_and_aliases(spark, literal, monkeypatch):
     assert url_filter.judge(df.limit(0), RULES).count() == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_redirects_are_union_find(spark, seed):
+    """Components by union-find; rules decide alone, then any allow of the component, then any block."""
+    import random
+
+    rng = random.Random(seed)
+    hosts = ["a.io", "b.io", "bad.com", "x.bad.com", "c.net", "x.org"]
+    urls = [f"http://{rng.choice(hosts)}/{rng.choice(['good', 'p', 'a'])}/{k}" for k in range(120)]
+    links = [(rng.choice(urls), rng.choice(urls)) for _ in range(70)] + [(urls[0], None), (None, urls[1]), (urls[2], urls[2])]
+    parent = {u: u for u in urls}
+
+    def root(u):
+        while parent[u] != u:
+            u = parent[u]
+        return u
+
+    for a, b in links:
+        if a and b:
+            parent[root(a)] = root(b)
+
+    def rule(u):
+        host, path = u.split("/")[2], "/" + u.split("/", 3)[3]
+        fits = [(len(r), v) for v, r in RULES for h, p in [r.split("/", 1)] if (host == h or host.endswith("." + h)) and path.startswith("/" + p)]
+        return max(fits)[1] if fits else None
+
+    want = {}
+    for k, u in enumerate(urls):
+        met = {rule(x) for x in urls if root(x) == root(u)}
+        want[k] = rule(u) or ("allow" if "allow" in met else "block" if "block" in met else "allow")
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = url_filter.judge(pages, RULES, spark.createDataFrame(links, "source string, target string")).collect()
+    assert {r["page_id"]: r["verdict"] for r in got} == want and len(set(want.values())) == 2
+
+
+def test_revisit_ties_and_validators(spark):
+    """Equal times by record_id, repeated records, and each validator deciding; the stronger one counts where both sides have it."""
+    null = None
+    rows = [
+        (2, "response", "http://a.b/x", 10, "e1", "m1", "d1", {}, "l2"), (1, "response", "http://a.b/x", 10, "e0", "m0", "d0", {}, "l1"),
+        (3, "revisit", "http://a.b/x", 10, "e1", null, null, {}, null), (0, "revisit", "http://a.b/x", 10, "e1", null, null, {}, null),
+        (4, "revisit", "http://a.b/x", 11, null, "m1", null, {}, null), (4, "revisit", "http://a.b/x", 11, null, "m1", null, {}, null),
+        (5, "revisit", "http://a.b/x", 12, null, "m9", "d1", {}, null), (6, "revisit", "http://a.b/x", 13, null, null, "d1", {}, null),
+        (7, "revisit", "http://a.b/x", 14, "e1", "m9", "d9", {}, null), (8, "revisit", "http://a.b/x", None, "e1", null, null, {}, null),
+    ]
+    df = spark.createDataFrame(rows, "record_id long, kind string, url string, ts long, etag string, last_modified string, digest string, headers map<string,string>, locator string")
+    got = sorted((r["record_id"], r["response_id"], r["outcome"]) for r in warc_revisits.resolve(df).collect() if r["record_id"] != 8)
+    assert got == [(0, None, "no response"), (3, 2, "resolved"), (4, 2, "resolved"), (4, 2, "resolved"), (5, 2, "changed"), (6, 2, "resolved"), (7, 2, "resolved")]
+
+
 def test_revisits(spark):
     null = None
     rows = [
