@@ -61,7 +61,7 @@ LIKELY = (1.0, 1.1, math.inf)
 FANOUT = 8
 ONE_NODE = 32  # holders that make up a single node, whose pairs are tested at once
 SLICE_CHARS = 400_000
-DEALT_TOKENS = 600_000  # held by a task before they are sorted and sent
+DEALT_TOKENS = 65_000  # held by a task before they are sorted and sent
 PAIRS_AT_ONCE = 1 << 22  # bytes of bitmaps
 
 
@@ -543,16 +543,17 @@ def _groups(docs: DataFrame, percent: int) -> DataFrame:
     chosen = holders.groupBy("token", "rank").agg(F.count(F.lit(1)).alias("m"), *alike).where("m > 2").groupBy("m", "x0", "x1").agg(first.alias("t")).select("m", "t.token")
     holders = cut(holders.drop("rank").join(chosen, "token"), "jaccard-holders")
     tried, alone = None, bool(holders.where(F.col("m") > BLOCK).take(1))
-    # blocks of large groups first each by itself: what they join makes most pairs of blocks one component
+    # large groups first, their blocks each by itself: what they join makes most pairs of blocks one component
     for likely in (LIKELY[0], *LIKELY) if alone else LIKELY:
-        placed = holders.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+        these = holders.where(F.col("m") > BLOCK) if alone else holders
+        placed = these.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
         tokens = placed.groupBy("token").agg(F.first("m").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
         shares = tokens.groupBy("lo").agg(F.ceil(F.sum("m") / PART_ROWS).cast("long").alias("shares"))
         tokens = tokens.join(shares, "lo").select("token", F.xxhash64("lo", F.pmod(F.xxhash64("token"), "shares")).alias("part"))
         held = placed.join(tokens, "token").join(sized.select(F.col("doc_id").alias("id"), "n", "signature"), "id")
         held = cut(held.dropDuplicates(["token", "id"]), "jaccard-held")
         rows = held.count()
-        if not rows:
+        if not rows and not alone:
             break
         wanted = cut(_tree_pairs(held, percent, max(shuffles, math.ceil(rows / GROUP_ROWS)), likely, alone), "jaccard-pairs")
         more = wanted.select("a", "b") if tried is None else wanted.select("a", "b").join(tried, ["a", "b"], "left_anti")
