@@ -27,19 +27,29 @@ def frame_gaps(rows: DataFrame, keys: list[str], at: str, tie: str, nominal: flo
 def sliding_rate(rows: DataFrame, keys: list[str], at: str, width: float, hop: float, least: int = 5) -> DataFrame:
     """Rate in windows of width every hop from each group's first time; full windows with more than least points.
 
+    The rate is that of the points themselves: their steps over the time from a window's first to its last point (null where that is 0).
     A point is copied to the windows it lies in (width / hop of them), so membership needs no range join.
     """
     ends = rows.groupBy(*keys).agg(F.min(at).alias("t0"), F.max(at).alias("t1"))
     last = F.floor((F.col(at) - F.col("t0")) / hop).cast("long")
     first = F.greatest(F.lit(0), F.floor((F.col(at) - F.col("t0") - width) / hop).cast("long") + 1)
     placed = rows.join(ends, keys).withColumn("k", F.explode(F.sequence(first, last)))
-    out = placed.groupBy(*keys, "k").agg(F.count(F.lit(1)).alias("n"), F.first("t0").alias("t0"), F.first("t1").alias("t1"))
-    return out.where((F.col("t0") + F.col("k") * hop + width <= F.col("t1")) & (F.col("n") > least)).select(*keys, "k", "n", (F.col("n") / F.lit(width)).alias("rate"))
+    out = placed.groupBy(*keys, "k").agg(F.count(F.lit(1)).alias("n"), F.first("t0").alias("t0"), F.first("t1").alias("t1"), F.min(at).alias("w0"), F.max(at).alias("w1"))
+    out = out.where((F.col("t0") + F.col("k") * hop + width <= F.col("t1")) & (F.col("n") > least))
+    return out.select(*keys, "k", "n", F.try_divide(F.col("n") - 1, F.col("w1") - F.col("w0")).alias("rate"))
 
 
-def drift(rates: DataFrame, keys: list[str]) -> DataFrame:
-    """Of sliding rates: mean, population deviation, and the last minus the first."""
-    return rates.groupBy(*keys).agg(F.count(F.lit(1)).alias("windows"), F.round(F.avg("rate"), 6).alias("mean_rate"), F.round(F.stddev_pop("rate"), 6).alias("std_rate"), F.round(F.max_by("rate", "k") - F.min_by("rate", "k"), 6).alias("trend"))
+def drift(rows: DataFrame, keys: list[str], at: str, nominal: float, width: float, hop: float, least_points: int = 10, least_span: float = 0.0) -> DataFrame:
+    """keys, windows, rate, delta, std_rate, trend of streams with enough points and span, rounded to 3 places.
+
+    rate and delta are of the whole stream (against the nominal rate), std_rate (population) and trend (the last minus the first) of its sliding rates. A
+    stream without a full window has no rate but its own: deviation and trend 0.
+    """
+    whole = rows.groupBy(*keys).agg(F.count(at).alias("_n"), (F.max(at) - F.min(at)).alias("_span")).where((F.col("_n") >= least_points) & (F.col("_span") > 0) & (F.col("_span") >= least_span))
+    rates = sliding_rate(rows.where(F.col(at).isNotNull()), keys, at, width, hop).groupBy(*keys).agg(F.count("rate").alias("windows"), F.stddev_pop("rate").alias("std_rate"), (F.max_by("rate", "k") - F.min_by("rate", "k")).alias("trend"))
+    rate = (F.col("_n") - 1) / F.col("_span")
+    zero = lambda c: F.round(F.coalesce(c, F.lit(0.0)), 3).alias(c)
+    return whole.join(rates, keys, "left").select(*keys, F.coalesce("windows", F.lit(0)).alias("windows"), F.round(rate, 3).alias("rate"), F.round(rate - nominal, 3).alias("delta"), zero("std_rate"), zero("trend"))
 
 
 def displacement(rows: DataFrame, keys: list[str], order: list[str], axes: list[str]) -> DataFrame:
@@ -120,34 +130,89 @@ def even_sample(rows: DataFrame, order: list[str], n: int) -> DataFrame:
     return placed.join(picks, "number", "left_semi") if n else placed.limit(0)
 
 
-def nearest(left: DataFrame, right: DataFrame, keys: list[str], at: str, left_id: str, right_id: str) -> DataFrame:
-    """For each left row the right row nearest in time (the earlier one on ties): left_id, right_id, gap.
+#: A key with more rows than this is cut into ranges of time of about as many.
+RANGE_ROWS = 1_000_000
+CELLS = 64
+
 
-    Both sides are put in one order and each left row looks back and forward: one shuffle and one sort, no range join.
+def _cuts(rows: DataFrame, keys: list[str], most: int) -> DataFrame | None:
+    """keys and cuts, the times at which ranges of about `most` rows begin, of keys with more rows than that; None where there is none.
+
+    rows: keys, t. The cuts come from counts in CELLS cells for each range between a key's ends, so no task sees all of a key's times. Rows of one cell
+    stay together. The result has a time for each `most` rows.
+    """
+    counts = rows.groupBy(*keys).agg(F.count("t").alias("_n"), F.min("t").alias("_lo"), F.max("t").alias("_hi"))
+    hot = written(counts.where((F.col("_n") > most) & (F.col("_hi") > F.col("_lo"))), "hot-keys")
+    if hot.isEmpty():
+        return None
+    width = (F.col("_hi") - F.col("_lo")) / (F.ceil(F.col("_n") / most) * CELLS)
+    cells = rows.join(hot, keys).groupBy(*keys, F.floor((F.col("t") - F.col("_lo")) / width).alias("_cell")).agg(F.count(F.lit(1)).alias("_m"), F.min("t").alias("_from"))
+    before = F.coalesce(F.sum("_m").over(_by(keys, "_cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = cells.withColumn("_k", F.floor(before / most)).groupBy(*keys, "_k").agg(F.min("_from").alias("_from"))
+    return written(ranges.where("_k > 0").groupBy(*keys).agg(F.array_sort(F.collect_list("_from")).alias("cuts")), "range-cuts")
+
+
+def in_ranges(left: DataFrame, right: DataFrame, keys: list[str], tie: str, most: int = RANGE_ROWS) -> tuple[DataFrame, DataFrame]:
+    """left and right with `_range`, so that the last right row before and the first one after each left row lie in its own (keys, _range).
+
+    Both have the keys and a time `t`. A key's rows are cut into ranges of time of about `most` rows. Each range of each key is handed the last right row of the
+    ranges before it and the first one of those after it (of equal times the first by `tie`): one row for each range and key. Tasks then work on (keys, _range), so one
+    key with all rows is spread over all of them.
+    """
+    cuts = _cuts(left.select(*keys, "t").unionByName(right.select(*keys, "t")), keys, most)
+    if cuts is None:
+        return left.withColumn("_range", F.lit(0)), right.withColumn("_range", F.lit(0))
+    at = lambda t: F.coalesce(F.size(F.filter("cuts", lambda c: c <= t)), F.lit(0))
+    placed = [d.join(cuts, keys, "left").withColumn("_range", F.when(F.col("cuts").isNull() | F.col("t").isNull(), 0).otherwise(at(F.col("t")))).drop("cuts") for d in (left, right)]
+    row = F.struct(*right.columns)
+    first = lambda time: F.min(F.when(F.col("t").isNotNull(), F.struct(time.alias("t"), F.col(tie).alias("tie"), row.alias("row"))))
+    ends = placed[1].join(cuts.select(*keys), keys, "left_semi").groupBy(*keys, "_range").agg(first(-F.col("t")).alias("_last"), first(F.col("t")).alias("_first"))
+    ranges = cuts.select(*keys, F.explode(F.sequence(F.lit(0), F.size("cuts"))).alias("_range")).join(ends, [*keys, "_range"], "left")
+    back = F.last("_last", ignorenulls=True).over(_by(keys, "_range").rowsBetween(Window.unboundedPreceding, -1))
+    ahead = F.first("_first", ignorenulls=True).over(_by(keys, "_range").rowsBetween(1, Window.unboundedFollowing))
+    handed = ranges.select("_range", back.alias("_b"), ahead.alias("_a")).select("_range", F.explode(F.array("_b", "_a")).alias("x")).where("x is not null").select("x.row.*", "_range")
+    return placed[0], placed[1].unionByName(handed)
+
+
+def nearest(left: DataFrame, right: DataFrame, keys: list[str], at: str, left_id: str, right_id: str, most: int = RANGE_ROWS) -> DataFrame:
+    """For each left row the right row nearest in time (the earlier one on ties, of equal times the one with the least id): left_id, right_id, gap.
+
+    Both sides are put in one order and each left row looks back and forward: one shuffle and one sort, no range join; see `in_ranges` for keys with very many rows.
     """
     null = F.lit(None)
-    l = left.select(*keys, F.col(at).alias("t"), F.col(left_id).alias("lid"), null.cast("double").alias("rt"), null.cast("long").alias("rid"), F.lit(1).alias("_side"))
-    r = right.select(*keys, F.col(at).alias("t"), null.cast("long").alias("lid"), F.col(at).alias("rt"), F.col(right_id).alias("rid"), F.lit(0).alias("_side"))
-    both = l.unionByName(r)
+    l, r = in_ranges(left.select(*keys, F.col(at).alias("t"), F.col(left_id).alias("lid")), right.select(*keys, F.col(at).alias("t"), F.col(right_id).alias("rid")), keys, "rid", most)
+    l = l.select(*keys, "_range", "t", "lid", null.cast("double").alias("rt"), null.cast(r.schema["rid"].dataType).alias("rid"), F.lit(1).alias("_side"))
+    r = r.select(*keys, "_range", "t", null.cast(l.schema["lid"].dataType).alias("lid"), F.col("t").alias("rt"), "rid", F.lit(0).alias("_side"))
+    both, own = l.unionByName(r), [*keys, "_range"]
     pair = F.when(F.col("_side") == 0, F.struct("rt", "rid"))
-    back = F.last(pair, ignorenulls=True).over(_by(keys, "t", F.asc("_side"), F.desc("rid")).rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first(pair, ignorenulls=True).over(_by(keys, "t", F.desc("_side"), "rid").rowsBetween(0, Window.unboundedFollowing))
+    back = F.last(pair, ignorenulls=True).over(_by(own, "t", F.asc("_side"), F.desc("rid")).rowsBetween(Window.unboundedPreceding, 0))
+    ahead = F.first(pair, ignorenulls=True).over(_by(own, "t", F.desc("_side"), "rid").rowsBetween(0, Window.unboundedFollowing))
     found = both.withColumn("b", back).withColumn("a", ahead).where("_side = 1")
     behind, before = F.col("t") - F.col("b.rt"), F.col("a.rt") - F.col("t")
     use_back = F.col("a").isNull() | (F.col("b").isNotNull() & (behind <= before))
     return found.select(*keys, F.col("lid").alias(left_id), F.when(use_back, F.col("b.rid")).otherwise(F.col("a.rid")).alias(right_id), F.when(use_back, behind).otherwise(before).alias("gap"))
 
 
-def interpolated(points: DataFrame, series: DataFrame, keys: list[str], at: str, value: str, point_id: str) -> DataFrame:
-    """A series at other times: linear between neighbours, held at both ends. Equal times in the series should be merged first."""
+def interpolated(points: DataFrame, series: DataFrame, keys: list[str], at: str, value: str | list[str], point_id: str, most: int = RANGE_ROWS, held: bool = True) -> DataFrame:
+    """A series' value (or several) at other times: linear between neighbours. Equal times in the series should be merged first.
+
+    Before the first and after the last time of the series its ends are held, or, without `held`, values are null.
+    """
+    values = [value] if isinstance(value, str) else list(value)
     null = F.lit(None)
-    p = points.select(*keys, F.col(at).alias("t"), F.col(point_id).alias("pid"), null.cast("double").alias("st"), null.cast("double").alias("sv"), F.lit(1).alias("_side"))
-    s = series.select(*keys, F.col(at).alias("t"), null.cast("long").alias("pid"), F.col(at).alias("st"), F.col(value).alias("sv"), F.lit(0).alias("_side"))
-    pair = F.when(F.col("_side") == 0, F.struct("st", "sv"))
+    p, s = in_ranges(points.select(*keys, F.col(at).alias("t"), F.col(point_id).alias("pid")), series.select(*keys, F.col(at).alias("t"), F.struct(*[F.col(v).cast("double").alias(v) for v in values]).alias("sv")), keys, "sv", most)
+    p = p.select(*keys, "_range", "t", "pid", null.cast("double").alias("st"), null.cast(s.schema["sv"].dataType).alias("sv"), F.lit(1).alias("_side"))
+    s = s.select(*keys, "_range", "t", null.cast(p.schema["pid"].dataType).alias("pid"), F.col("t").alias("st"), "sv", F.lit(0).alias("_side"))
+    pair, own = F.when(F.col("_side") == 0, F.struct("st", "sv")), [*keys, "_range"]
     both = p.unionByName(s)
-    back = F.last(pair, ignorenulls=True).over(_by(keys, "t", F.asc("_side")).rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first(pair, ignorenulls=True).over(_by(keys, "t", F.desc("_side")).rowsBetween(0, Window.unboundedFollowing))
+    back = F.last(pair, ignorenulls=True).over(_by(own, "t", F.asc("_side")).rowsBetween(Window.unboundedPreceding, 0))
+    ahead = F.first(pair, ignorenulls=True).over(_by(own, "t", F.desc("_side")).rowsBetween(0, Window.unboundedFollowing))
     found = both.withColumn("b", back).withColumn("a", ahead).where("_side = 1")
     share = F.try_divide(F.col("t") - F.col("b.st"), F.col("a.st") - F.col("b.st"))
-    v = F.when(F.col("b").isNull(), F.col("a.sv")).when(F.col("a").isNull(), F.col("b.sv")).otherwise(F.coalesce(F.col("b.sv") + share * (F.col("a.sv") - F.col("b.sv")), F.col("b.sv")))
-    return found.select(*keys, F.col("pid").alias(point_id), F.col("t").alias(at), v.alias(value))
+
+    def one(v: str) -> Column:
+        a, b = F.col(f"a.sv.{v}"), F.col(f"b.sv.{v}")
+        ends = F.when(F.col("b").isNull(), a if held else None).when(F.col("a").isNull(), b if held else None)
+        return ends.otherwise(F.coalesce(b + share * (a - b), b)).alias(v)
+
+    return found.select(*keys, F.col("pid").alias(point_id), F.col("t").alias(at), *map(one, values))

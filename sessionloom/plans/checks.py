@@ -131,15 +131,15 @@ def role_mismatch(role: Column, expected: Column) -> Column:
 
 
 def frame_drop_check(cameras: DataFrame, most_severe: int = 5, most_pct: float = 10.0) -> DataFrame:
-    """session, severe, worst_pct, ok of rows (session, camera, severe, drop_pct); see `ordered.frame_gaps`."""
-    out = cameras.groupBy("session").agg(F.sum("severe").alias("severe"), F.max("drop_pct").alias("worst_pct"))
+    """session, severe, worst_pct, ok of rows (session, camera, severe, drop_pct); see `ordered.frame_gaps`. Shares are rounded to 2 places before they are compared."""
+    out = cameras.groupBy("session").agg(F.sum("severe").alias("severe"), F.max(F.round("drop_pct", 2)).alias("worst_pct"))
     return out.withColumn("ok", (F.col("severe") <= most_severe) & (F.col("worst_pct") <= most_pct))
 
 
 def drift_check(cameras: DataFrame, nominal: float = 30.0, least_frames: int = 10, least_seconds: float = 1.0, most_delta: float = 1.0) -> DataFrame:
-    """session, worst_delta, spread, ok of rows (session, camera, frames, seconds): measured rates against the nominal one; short streams are left out."""
+    """session, worst_delta, spread, ok of rows (session, camera, frames, seconds): measured rates against the nominal one; short streams are left out. Deltas are rounded to 3 places before they are compared."""
     fps = (F.col("frames") - 1) / F.col("seconds")
-    used = cameras.where((F.col("frames") >= least_frames) & (F.col("seconds") >= least_seconds)).withColumn("delta", F.abs(fps - nominal))
+    used = cameras.where((F.col("frames") >= least_frames) & (F.col("seconds") >= least_seconds)).withColumn("delta", F.round(F.abs(fps - nominal), 3))
     out = used.groupBy("session").agg(F.max("delta").alias("worst_delta"), (F.max("delta") - F.min("delta")).alias("spread"))
     return out.withColumn("ok", F.col("worst_delta") <= most_delta)
 

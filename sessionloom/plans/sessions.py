@@ -138,18 +138,22 @@ def structure_issues(sessions: DataFrame, files: DataFrame, with_analysis_errors
     return rows.select("session", issues.alias("issues"))
 
 
-def camera_sync(grid: DataFrame, frames: DataFrame, gap_ms: float = 2.0, ratio: float = 0.02) -> DataFrame:
+def camera_sync(grid: DataFrame, frames: DataFrame, gap_ms: float = 2.0, ratio: float = 0.02, cameras: DataFrame | None = None) -> DataFrame:
     """session, camera, total, bad, bad_path, ratio, path_ratio, median_bad_ms, ok: grid points without a frame within the gap, and points whose file names another camera than their key.
 
-    grid: session, camera, idx, ts_ms, file and, where it differs from camera, key (the name as written); frames: session, camera, frame_id, ts_ms.
-    Cameras without frames are left out.
+    grid: session, camera, idx, ts_ms, file and, where it differs from camera, key (the name as written); frames: session, camera, frame_id, ts_ms; cameras: session,
+    camera of the streams that exist (by default those with frames). All points of a stream that exists and gives no times are bad, as are points without a time; their
+    gap is infinite in the median. Cameras whose stream doesn't exist, or without grid points, give no row.
     """
     grid = grid if "key" in grid.columns else grid.withColumn("key", F.col("camera"))
-    near = O.nearest(grid, frames, ["session", "camera"], "ts_ms", "idx", "frame_id")
+    there = (frames if cameras is None else cameras).select("session", "camera").distinct()
+    near = O.nearest(grid, frames.where("ts_ms is not null"), ["session", "camera"], "ts_ms", "idx", "frame_id")
     path = F.regexp_extract(F.coalesce("file", F.lit("")), r"/?cameras/([^/]+)/", 1)
-    met = grid.select("session", "camera", "idx", "key", path.alias("path")).join(near, ["session", "camera", "idx"]).join(frames.select("session", "camera").distinct(), ["session", "camera"], "left_semi")
-    bad, other = F.col("gap").isNull() | (F.col("gap") > gap_ms), (F.col("path") != "") & (F.col("path") != F.col("key"))
-    out = met.groupBy("session", "camera").agg(F.count(F.lit(1)).alias("total"), F.count_if(bad).cast("long").alias("bad"), F.count_if(other).cast("long").alias("bad_path"), F.round(F.median(F.when(bad, F.col("gap"))), 3).alias("median_bad_ms"))
+    met = grid.select("session", "camera", "idx", "key", path.alias("path")).join(near, ["session", "camera", "idx"]).join(there, ["session", "camera"], "left_semi")
+    met = met.withColumn("gap", F.coalesce("gap", F.lit(float("inf"))))
+    bad, other = F.col("gap") > gap_ms, (F.col("path") != "") & (F.col("path") != F.col("key"))
+    median = F.median(F.when(bad, F.col("gap")))
+    out = met.groupBy("session", "camera").agg(F.count(F.lit(1)).alias("total"), F.count_if(bad).cast("long").alias("bad"), F.count_if(other).cast("long").alias("bad_path"), F.when(F.isnan(median), float("inf")).otherwise(F.round(median, 3)).alias("median_bad_ms"))
     return out.withColumns({"ratio": F.col("bad") / F.col("total"), "path_ratio": F.col("bad_path") / F.col("total")}).withColumn("ok", (F.col("ratio") <= ratio) & (F.col("path_ratio") <= ratio))
 
 
@@ -221,11 +225,14 @@ def reuse_reports(sessions: DataFrame, reports: DataFrame, dry_run: bool = False
 
 
 def label_inversion(corr: DataFrame, margin: float = 0.12) -> DataFrame:
-    """session, verdict from rows (session, side, own, other): correlations of a side's flow with its own and the other half of the head view."""
-    bad = F.abs("other") > F.abs("own")
-    gap = F.abs("other") - F.abs("own")
-    out = corr.groupBy("session").agg(F.bool_and(bad).alias("all_bad"), F.min(gap).alias("least"), F.bool_or(bad).alias("any_bad"))
-    return out.select("session", F.when(F.col("all_bad") & (F.col("least") >= margin), "inverted").when(F.col("any_bad"), "suspect").otherwise("ok").alias("verdict"))
+    """session, verdict from rows (session, side, own, other): correlations of a side's flow with its own and the other half of the head view.
+
+    A side is consistent if its own correlation is the larger one, signs included; a tie isn't. Only where all sides are inconsistent is a session
+    `inverted` (all of them by the margin) or `suspect` (one of them). Sides without correlations don't count; sessions without any side give no row.
+    """
+    own, other = F.col("own"), F.col("other")
+    out = corr.where(own.isNotNull() & other.isNotNull()).groupBy("session").agg(F.bool_and(own <= other).alias("bad"), F.min(F.abs(own - other)).alias("least"), F.max(F.abs(own - other)).alias("most"))
+    return out.select("session", F.when(F.col("bad") & (F.col("least") >= margin), "inverted").when(F.col("bad") & (F.col("most") >= margin), "suspect").otherwise("ok").alias("verdict"))
 
 
 def enough_data(points: Column, span: Column, least_points: int = 30, least_span: float = 3.0) -> Column:
@@ -276,18 +283,34 @@ def role(ratio: Column) -> Column:
     return F.when(ratio.isNull(), None).when(ratio >= 0.05, "gripper").when(ratio <= 0.02, "head").otherwise("ambiguous")
 
 
-def cross_validation(head: DataFrame, stereo: DataFrame, most_mm: float = 50.0) -> DataFrame:
+def cross_validation(head: DataFrame, stereo: DataFrame, most_mm: float = 50.0, poses: DataFrame | None = None, least: int = 3) -> DataFrame:
     """session, compared, agreed, rate, mean_mm: head poses brought to the stereo times by interpolation, within most_mm in 3-D.
 
-    head, stereo: session, pose_id, ts_ms, x_mm, y_mm, z_mm.
+    head, stereo: session, pose_id, ts_ms, x_mm, y_mm, z_mm. Stereo poses before the first or after the last head pose aren't compared; sessions with
+    fewer than `least` poses on a side, or without any pose to compare, give 0, 0, 0 and null. poses: session, stereo_rotation, stereo_shift, head_rotation, head_shift
+    (rotation vectors, shifts in metres) of the cameras: where a session has them, points are compared in the world's coordinates, else in the cameras'.
     """
-    out = stereo
-    for axis in ("x_mm", "y_mm", "z_mm"):
-        at = O.interpolated(stereo, head, ["session"], "ts_ms", axis, "pose_id").select("session", "pose_id", F.col(axis).alias(f"head_{axis}"))
-        out = out.join(at, ["session", "pose_id"])
-    far = F.sqrt(sum((F.pow(F.col(a) - F.col(f"head_{a}"), 2) for a in ("x_mm", "y_mm", "z_mm")), F.lit(0.0)))
-    out = out.withColumn("mm", far).where("mm is not null")
-    return out.groupBy("session").agg(F.count(F.lit(1)).alias("compared"), F.count_if(F.col("mm") <= most_mm).cast("long").alias("agreed"), F.round(F.avg((F.col("mm") <= most_mm).cast("double")), 6).alias("rate"), F.round(F.avg("mm"), 4).alias("mean_mm"))
+    from sessionloom.functions.scalars import camera_to_world
+
+    axes = ["x_mm", "y_mm", "z_mm"]
+    number = lambda rows, name: rows.groupBy("session").agg(F.count(F.lit(1)).alias(name))
+    counts = number(stereo, "_stereo").join(number(head, "_head"), "session", "left")
+    at = O.interpolated(stereo, head, ["session"], "ts_ms", axes, "pose_id", held=False)
+    met = stereo.join(at.select("session", "pose_id", *[F.col(a).alias(f"head_{a}") for a in axes]), ["session", "pose_id"])
+    point = lambda prefix: F.array(*[F.col(f"{prefix}{a}").cast("double") for a in axes])
+    mine, theirs = point(""), point("head_")
+    if poses is not None:
+        met = met.join(poses, "session", "left")
+        known = F.col("stereo_rotation").isNotNull() & F.col("stereo_shift").isNotNull() & F.col("head_rotation").isNotNull() & F.col("head_shift").isNotNull()
+        scaled = lambda p, k: F.transform(p, lambda v: v * k)
+        world = lambda p, side: F.when(known, scaled(camera_to_world(F.col(f"{side}_rotation"), F.col(f"{side}_shift"), scaled(p, 1e-3)), 1e3)).otherwise(p)
+        mine, theirs = world(mine, "stereo"), world(theirs, "head")
+    met = met.withColumn("_a", mine).withColumn("_b", theirs)
+    far = F.sqrt(sum((F.pow(F.col("_a")[k] - F.col("_b")[k], 2) for k in range(3)), F.lit(0.0)))
+    near = (F.col("mm") <= most_mm).cast("double")
+    found = met.withColumn("mm", far).where("mm is not null").groupBy("session").agg(F.count(F.lit(1)).alias("compared"), F.sum(near).cast("long").alias("agreed"), F.round(F.avg(near), 6).alias("rate"), F.round(F.avg("mm"), 4).alias("mean_mm"))
+    found = found.join(counts.where((F.col("_stereo") >= least) & (F.col("_head") >= least)).select("session"), "session", "left_semi")
+    return counts.select("session").join(found, "session", "left").select("session", F.coalesce("compared", F.lit(0)).alias("compared"), F.coalesce("agreed", F.lit(0)).alias("agreed"), F.coalesce("rate", F.lit(0.0)).alias("rate"), "mean_mm")
 
 
 def throughput(steps: DataFrame, caps: DataFrame) -> DataFrame:

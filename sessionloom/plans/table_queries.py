@@ -161,15 +161,18 @@ r AS (SELECT w.user_id, k, count(*) AS n FROM w JOIN e ON e.user_id = w.user_id
 """
 
 
-@query(_WINDOWS + "SELECT user_id, k, n, n / 864000.0::DOUBLE AS rate FROM r")
+@query(_WINDOWS.replace("count(*) AS n FROM", "count(*) AS n, (count(*) - 1) / (max(e.t) - min(e.t)) AS rate FROM") + "SELECT user_id, k, n, round(rate, 12) AS rate FROM r")
 def sliding_rate(spark, d):
-    return O.sliding_rate(events(spark, d), ["user_id"], "t", 864_000.0, 432_000.0)
+    return O.sliding_rate(events(spark, d), ["user_id"], "t", 864_000.0, 432_000.0).withColumn("rate", F.round("rate", 12))
 
 
-@query(_WINDOWS + "SELECT user_id, count(*) AS windows, round(avg(n / 86.4), 6) AS mean_rate, round(stddev_pop(n / 86.4), 6) AS std_rate, round(max_by(n / 86.4, k) - min_by(n / 86.4, k), 6) AS trend FROM r GROUP BY user_id")
+@query(_WINDOWS.replace("count(*) AS n FROM", "count(*) AS n, 86400 * (count(*) - 1) / (max(e.t) - min(e.t)) AS rate FROM") + """, s AS (SELECT user_id, count(*) AS windows, stddev_pop(rate) AS std_rate, max_by(rate, k) - min_by(rate, k) AS trend FROM r GROUP BY user_id),
+a AS (SELECT user_id, 86400 * (count(*) - 1) / (max(t) - min(t)) AS rate FROM e GROUP BY user_id HAVING count(*) >= 10 AND max(t) - min(t) >= 86400)
+SELECT user_id, coalesce(windows, 0) AS windows, round(rate, 3) AS rate, round(rate - 2, 3) AS delta, round(coalesce(std_rate, 0), 3) AS std_rate, round(coalesce(trend, 0), 3) AS trend FROM a LEFT JOIN s USING (user_id)""")
 def temporal_drift(spark, d):
-    rates = O.sliding_rate(events(spark, d), ["user_id"], "t", 864_000.0, 432_000.0)
-    return O.drift(rates.withColumn("rate", F.col("n") / 86.4), ["user_id"])
+    """Events a day, in windows of ten days."""
+    days = events(spark, d).withColumn("t", F.col("t") / 86_400)
+    return O.drift(days, ["user_id"], "t", 2.0, 10.0, 5.0, least_span=1.0)
 
 
 @query(f"""

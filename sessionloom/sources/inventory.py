@@ -18,6 +18,58 @@ METADATA = ("config.json", "mission.json", "analysis.json", "result.json", "meta
 NAME_RULES = {"loose": r"^session", "flat": r"^session_", "digit": r"(?i)^session_\d", "stamp": r"^session_\d{8}_\d{6}"}
 
 
+class SessionWalk:
+    """Finds session folders below others and lists them. Hidden and system folders and links are not entered."""
+
+    def __init__(self, rule: str, depth: int):
+        self.rule, self.depth = re.compile(rule), depth
+
+    @staticmethod
+    def folders(folder: str) -> list[os.DirEntry]:
+        """The folders directly below one, by name; none where it can't be read."""
+        try:
+            with os.scandir(folder) as found:
+                return sorted((e for e in found if e.is_dir(follow_symlinks=False)), key=lambda e: e.name)
+        except OSError:
+            return []
+
+    def is_session(self, name: str) -> bool:
+        return bool(self.rule.search(name)) and name.lower() not in RESERVED
+
+    @staticmethod
+    def is_closed(name: str) -> bool:
+        return name.startswith(".") or name.lower() in SYSTEM
+
+    def files(self, root: str, session: str, top: str, depth: int):
+        """Rows of SCHEMA of one session: itself, and all folders and files below it."""
+        try:
+            yield (root, session, top, "", "", top, 0, os.stat(top).st_mtime, True, depth)
+        except OSError:
+            return
+        for folder, dirs, files in os.walk(top):
+            dirs.sort()
+            sub = os.path.relpath(folder, top)
+            for name, is_dir in [(d, True) for d in dirs] + [(f, False) for f in sorted(files)]:
+                path = os.path.join(folder, name)
+                try:
+                    s = os.stat(path)
+                except OSError:
+                    continue
+                yield (root, session, top, "" if sub == "." else sub, name, path, 0 if is_dir else s.st_size, s.st_mtime, is_dir, depth)
+
+    def sessions(self, tops: list, depth: int = 1):
+        """(name, path, bytes, latest time) of the sessions among and below folders."""
+        for e in tops:
+            if self.is_closed(e.name):
+                continue
+            if self.is_session(e.name):
+                rows = list(self.files("", e.name, e.path, depth))
+                if rows:
+                    yield e.name, e.path, sum(r[6] for r in rows), max(r[7] for r in rows)
+            elif depth <= self.depth:
+                yield from self.sessions(self.folders(e.path), depth + 1)
+
+
 class _Part(InputPartition):
     def __init__(self, root: str, top: str | None):
         self.root, self.top = root, top
@@ -26,18 +78,11 @@ class _Part(InputPartition):
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.roots = [r for r in options.get("path", options.get("roots", "")).split(";") if r]
-        self.rule = re.compile(NAME_RULES.get(options.get("rule", "digit"), options.get("rule", "digit")))
-        self.depth = int(options.get("depth", "6"))
+        self.walk = SessionWalk(NAME_RULES.get(options.get("rule", "digit"), options.get("rule", "digit")), int(options.get("depth", "6")))
 
     def partitions(self):
         # one partition for each entry directly below a root, so walking is spread over tasks
-        parts = []
-        for root in self.roots:
-            try:
-                parts += [_Part(root, e.name) for e in sorted(os.scandir(root), key=lambda e: e.name) if e.is_dir(follow_symlinks=False)]
-            except OSError:
-                continue
-        return parts or [_Part("", None)]
+        return [_Part(root, e.name) for root in self.roots for e in self.walk.folders(root)] or [_Part("", None)]
 
     def read(self, part):
         if part.top is not None:
@@ -45,34 +90,14 @@ class _Reader(DataSourceReader):
 
     def _find(self, root: str, folder: str, depth: int):
         name = os.path.basename(folder)
-        if name.startswith(".") or name.lower() in SYSTEM:
+        if self.walk.is_closed(name):
             return
-        if self.rule.search(name) and name.lower() not in RESERVED:
-            yield from self._files(root, name, folder, depth)
-        elif depth <= self.depth:
-            try:
-                below = sorted((e for e in os.scandir(folder) if e.is_dir(follow_symlinks=False)), key=lambda e: e.name)
-            except OSError:
-                return
-            for e in below:
+        if self.walk.is_session(name):
+            yield from self.walk.files(root, name, folder, depth)
+        elif depth <= self.walk.depth:
+            for e in self.walk.folders(folder):
                 yield from self._find(root, e.path, depth + 1)
 
-    def _files(self, root: str, session: str, top: str, depth: int):
-        try:
-            yield (root, session, top, "", "", top, 0, os.stat(top).st_mtime, True, depth)
-        except OSError:
-            return
-        for folder, dirs, files in os.walk(top):
-            dirs.sort()
-            for f in sorted(files):
-                path = os.path.join(folder, f)
-                try:
-                    s = os.stat(path)
-                except OSError:
-                    continue
-                sub = os.path.relpath(folder, top)
-                yield (root, session, top, "" if sub == "." else sub, f, path, s.st_size, s.st_mtime, False, depth)
-
 
 class InventorySource(DataSource):
     """Options: path (roots by `;`), rule (a key of NAME_RULES or a pattern), depth (levels below a root whose folders are searched)."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,32 +15,45 @@ STABLE_SECONDS = 60.0
 GATE = "name string, size long, mtime double, since double, emitted_at double"
 
 
+def gate_rows(t: pd.DataFrame, held: tuple | None, stable: float) -> tuple[list[tuple], tuple | None]:
+    """(size, mtime, since, emitted_at) of the listings t (in order of time) of one name that pass the gate, and what is known after them: size, mtime, since, emitted."""
+    gone = t["size_"].isna().to_numpy()
+    size, mtime, at = t["size_"].fillna(-1).to_numpy(np.int64), t["mtime"].to_numpy(float), t["observed_at"].to_numpy(float)
+    if held is not None:  # the last state goes on as a row of its own
+        gone, size, mtime, at = np.append(False, gone), np.append(held[0], size), np.append(held[1], mtime), np.append(held[2], at)
+    if not at.size:
+        return [], held
+    new = np.append(True, (size[1:] != size[:-1]) | (mtime[1:] != mtime[:-1]) | gone[1:] | gone[:-1])
+    run = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    ripe = ~gone & (at - at[first][run] >= stable)
+    ripe[first] = False  # the listing that begins a wait doesn't end it
+    if held is not None and held[3]:
+        ripe[run == 0] = False
+    k = np.flatnonzero(ripe)
+    k = k[np.unique(run[k], return_index=True)[1]]  # once for each wait
+    out = [(int(size[j]), float(mtime[j]), float(at[first[run[j]]]), float(at[j])) for j in k.tolist()]
+    if gone[-1]:
+        return out, None
+    done = bool(ripe[run == run[-1]].any()) or (held is not None and held[3] and run[-1] == 0)
+    return out, (int(size[-1]), float(mtime[-1]), float(at[first[-1]]), done)
+
+
 def stability_gate(seen: DataFrame, stable: float = STABLE_SECONDS) -> DataFrame:
     """Names whose (size, mtime) has not changed for `stable` seconds of observation time, each once per state.
 
     seen: name, size, mtime, observed_at (seconds) of successive listings. A change starts the wait anew; a listing row
-    with a null size means that the name is gone, which forgets it.
+    with a null size means that the name is gone, which forgets it. A micro-batch's listings of a name are put in order together, however
+    many tables they come in.
     """
 
     def run(key, tables: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = state.get if state.exists else None
-        out = []
-        for t in tables:
-            for r in t.sort_values("observed_at").itertuples():
-                if pd.isna(r.size_):
-                    held = None
-                    continue
-                now = (int(r.size_), float(r.mtime))
-                if held is None or held[:2] != now:
-                    held = (*now, float(r.observed_at), False)
-                elif not held[3] and r.observed_at - held[2] >= stable:
-                    held = (*held[:3], True)
-                    out.append((key[0], held[0], held[1], held[2], float(r.observed_at)))
-        if held is None:
-            state.remove() if state.exists else None
-        else:
+        out, held = gate_rows(pd.concat(list(tables)).sort_values("observed_at", kind="stable"), state.get if state.exists else None, stable)
+        if held is not None:
             state.update(held)
-        yield pd.DataFrame(out, columns=["name", "size", "mtime", "since", "emitted_at"])
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame([(key[0], *r) for r in out], columns=["name", "size", "mtime", "since", "emitted_at"])
 
     rows = seen.select("name", F.col("size").cast("long").alias("size_"), F.col("mtime").cast("double").alias("mtime"), F.col("observed_at").cast("double").alias("observed_at"))
     return rows.groupBy("name").applyInPandasWithState(run, GATE, "size long, mtime double, since double, emitted boolean", "append", GroupStateTimeout.NoTimeout)
@@ -112,20 +126,22 @@ def attempts(outcomes: DataFrame) -> DataFrame:
 
 
 def batched(stream: DataFrame, key: str, item: str, at: str, most: int = 50, seconds: float = 20.0) -> DataFrame:
-    """key, item, batch: a queue's items in batches of `most`, or of those that come within `seconds` of a batch's first one."""
+    """key, item, batch: a queue's items in batches of `most`, or of those that come within `seconds` of a batch's first one, by the items' own times.
+
+    A batch's number is known when an item comes; see `stateful.timed_batches` for batches that close by the clock.
+    """
 
     def run(k, tables: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         batch, count, first = state.get if state.exists else (0, 0, 0.0)
-        for t in tables:
-            t, numbers = t.sort_values(["at_", "item_"], kind="stable"), []
-            for x in t["at_"]:
-                if count and (count >= most or x - first >= seconds):
-                    batch, count = batch + 1, 0
-                first = x if not count else first
-                count += 1
-                numbers.append(batch)
-            yield pd.DataFrame({key: k[0], item: t["item_"], "batch": numbers})
+        t, numbers = pd.concat(list(tables)).sort_values(["at_", "item_"], kind="stable"), []
+        for x in t["at_"]:
+            if count and (count >= most or x - first >= seconds):
+                batch, count = batch + 1, 0
+            first = x if not count else first
+            count += 1
+            numbers.append(batch)
         state.update((batch, count, first))
+        yield pd.DataFrame({key: k[0], item: t["item_"], "batch": numbers})
 
     rows = stream.select(key, F.col(item).cast("long").alias("item_"), F.col(at).cast("double").alias("at_"))
     kind = stream.schema[key].dataType.simpleString()

@@ -67,4 +67,5 @@ def test_whole_tables_are_covered(spark):
     days = e.groupby("user_id")["ts"].agg(lambda t: (t.max() - t.min()) // pd.Timedelta(days=1))
     assert run("interp_series").groupby("user_id")["k"].max().to_dict() == days.to_dict() and days.max() > 19
     gate = {(f"u{u}", s) for u, n in e.groupby("user_id").size().items() for s in range(1, (n + 1) // 3 + 1) if s * 3 + 2 <= n}
-    assert set(zip(*(run("stability_gate")[c] for c in ("name", "size")), strict=True)) == gate
+    got = run("stability_gate")
+    assert set(zip(got["name"], got["size"], strict=True)) == gate
