@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionloom.functions.scalars import grade, round1
+from sessionloom.session import written
 
 LETTERS = "ABCDF"
 
@@ -60,16 +61,64 @@ def overlap_ratio(rows: DataFrame, keys: list[str], stream: str, at: str, stream
     return each.groupBy(*keys).agg(F.count(F.lit(1)).alias("streams"), F.when(F.count(F.lit(1)) >= streams_needed, F.round(F.coalesce(F.try_divide(shared, whole), F.lit(0.0)), 6)).alias("overlap"))
 
 
-def median_outliers(rows: DataFrame, group: str, member: str, at: str, most_seconds: float = 3.0, ratio: tuple[float, float] = (0.70, 1.30)) -> DataFrame:
-    """Members whose start, end, duration or count is off their group's median; HIGH with two reasons or more, else LOW or OK."""
+def median_outliers(rows: DataFrame, group: str, member: str, at: str, most_seconds: float = 3.0, ratio: tuple[float, float] = (0.70, 1.30), videos: DataFrame | None = None) -> DataFrame:
+    """Members whose start, end, duration or count is off their group's median; HIGH with two reasons or more, else LOW or OK.
+
+    videos: group, member, video_seconds. Where two members or more of a group have it, one that is off their median is a fifth reason.
+    """
     each = rows.groupBy(group, member).agg(F.min(at).alias("t0"), F.max(at).alias("t1"), F.count(F.lit(1)).alias("n")).withColumn("dur", F.col("t1") - F.col("t0"))
-    medians = each.groupBy(group).agg(*[F.median(c).alias(f"m_{c}") for c in ("t0", "t1", "dur", "n")])
+    each = each.withColumn("video_seconds", F.lit(None).cast("double")) if videos is None else each.join(videos.groupBy(group, member).agg(F.max("video_seconds").alias("video_seconds")), [group, member], "left")
+    medians = each.groupBy(group).agg(*[F.median(c).alias(f"m_{c}") for c in ("t0", "t1", "dur", "n")], F.when(F.count("video_seconds") >= 2, F.median("video_seconds")).alias("m_video_seconds"))
     far = lambda c: (F.abs(F.col(c) - F.col(f"m_{c}")) > most_seconds).cast("int")
     off = lambda c: F.coalesce((~F.try_divide(F.col(c), F.col(f"m_{c}")).between(*ratio)).cast("int"), F.lit(0))
-    out = each.join(medians, group).withColumn("reasons", far("t0") + far("t1") + off("dur") + off("n"))
+    out = each.join(medians, group).withColumn("reasons", far("t0") + far("t1") + off("dur") + off("n") + off("video_seconds"))
     return out.select(group, member, "n", "reasons", F.when(F.col("reasons") >= 2, "HIGH").when(F.col("reasons") == 1, "LOW").otherwise("OK").alias("confidence"))
 
 
+#: A group with more values than this gets its median by counting in cells.
+COUNTED_ROWS = 1_000_000
+CELLS = 4096
+
+
+def exact_medians(rows: DataFrame, keys: list[str], value: str, most: int = COUNTED_ROWS) -> DataFrame:
+    """keys, median of the finite values of each group (null without any), equal to `median` and without a buffer of a large group's values.
+
+    In a group of more than `most` values each of the one or two middle ranks has an interval that holds it. A round counts the interval's values in CELLS cells and takes the
+    cell with the rank as the next interval, until few values (or one) are left, which are counted by value. Values shrink by orders of magnitude with each round; ties are
+    one row with a count.
+    """
+    own = rows.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNull() | ((F.abs("_v") < float("inf")) & ~F.isnan("_v")))
+    counts = own.groupBy(*keys).agg(F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    large = written(counts.where(F.col("_n") > most), "large-groups")
+    if large.isEmpty():
+        return own.groupBy(*keys).agg(F.median("_v").alias("median"))
+    few = own.join(large.select(*keys), keys, "left_anti").groupBy(*keys).agg(F.median("_v").alias("median"))
+    middle = F.array_distinct(F.array(F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)))
+    # rank: the place among the interval's own values; left: how many these are
+    asked = large.select(*keys, "_lo", "_hi", F.col("_n").alias("_left"), F.explode(middle).alias("_target")).withColumn("_rank", F.col("_target"))
+    found = []
+    goal = [*keys, "_target"]
+    upto = Window.partitionBy(*goal).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    while True:
+        asked = written(asked, "median-intervals")
+        small = asked.where((F.col("_left") <= most) | (F.col("_lo") == F.col("_hi")))
+        met = own.join(small, keys).where(F.col("_v").between(F.col("_lo"), F.col("_hi"))).groupBy(*goal, "_rank", "_v").agg(F.count(F.lit(1)).alias("_m"))
+        before = F.coalesce(F.sum("_m").over(Window.partitionBy(*goal).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        found.append(met.withColumn("_b", before).where((F.col("_b") < F.col("_rank")) & (F.col("_rank") <= F.col("_b") + F.col("_m"))).select(*goal, "_v"))
+        asked = asked.where((F.col("_left") > most) & (F.col("_lo") < F.col("_hi")))
+        if asked.isEmpty():
+            break
+        inside = own.join(asked, keys).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        share = (F.col("_v") / 4 - F.col("_lo") / 4) / (F.col("_hi") / 4 - F.col("_lo") / 4)  # no difference overflows
+        cells = inside.groupBy(*goal, "_rank", F.least(F.floor(share * CELLS), F.lit(CELLS - 1)).alias("_cell")).agg(F.count(F.lit(1)).alias("_m"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        cells = cells.withColumn("_b", F.coalesce(F.sum("_m").over(upto), F.lit(0))).where((F.col("_b") < F.col("_rank")) & (F.col("_rank") <= F.col("_b") + F.col("_m")))
+        asked = cells.select(*keys, "_lo", "_hi", F.col("_m").alias("_left"), "_target", (F.col("_rank") - F.col("_b")).alias("_rank"))
+    all_ = found[0]
+    for f in found[1:]:
+        all_ = all_.unionByName(f)
+    return few.unionByName(all_.groupBy(*keys).agg(F.avg("_v").alias("median")))
+
+
 def pearson(x: str, y: str, flat: float = 1e-8) -> Column:
     """Correlation as an aggregate; 0 where either side hardly varies. No branch can raise."""
     r = F.coalesce(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)), F.lit(0.0))

@@ -1,7 +1,9 @@
-"""Order-dependent and lag-scanning operators: greedy choices in the JVM, series of one session at a time in numpy."""
+"""Order-dependent and lag-scanning operators: greedy choices over ranges and chunks, series of sessions in numpy."""
 
 from __future__ import annotations
 
+import math
+import uuid
 from itertools import pairwise, product
 from zlib import crc32
 
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from sessionloom.session import written
+from sessionloom.session import path_exists, shared_dir, written
 
 LAGS_AT_ONCE = 16
 
@@ -49,16 +51,95 @@ def each_group(rows: DataFrame, key: str, order: list[str], run, schema: str) ->
     return rows.where(F.col(key).isNotNull()).repartition(key).sortWithinPartitions(key, *order).mapInArrow(scan, schema)
 
 
-def skip_capacity(rows: DataFrame, group: str, order: str, size: str, cap: float) -> DataFrame:
+#: A group with more rows than this is chosen from by phases over all tasks, a smaller one in one pass of one task.
+PHASED_ROWS = 1_000_000
+CHUNK_ROWS = 100_000
+
+
+def skip_capacity(rows: DataFrame, group: str, order: str, size: str, cap: float, most: int = PHASED_ROWS) -> DataFrame:
     """First fit in name order: a row that would go over the cap is passed over, later ones may still fit.
 
-    The choice among a group's rows depends on all before; it is a fold in the JVM over the group's (order, size, row).
+    Rows come in order of (order, size); sizes are not negative, and sums of whole numbers are exact. Groups of up to `most` rows are streamed in order through a fold that keeps one number. Of larger ones see
+    `phased_capacity`. Rows with a null group, order or size are left out.
     """
-    each = rows.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("double").alias("s"), F.struct(*rows.columns).alias("row")))).alias("all"))
-    kind = each.schema["all"].dataType.simpleString()
-    start = F.struct(F.lit(0.0).alias("total"), F.array().cast(kind).alias("kept"))
-    add = lambda s, x: F.when(s["total"] + x["s"] <= cap, F.struct((s["total"] + x["s"]).alias("total"), F.concat(s["kept"], F.array(x)).alias("kept"))).otherwise(s)
-    return each.select(F.explode(F.aggregate("all", start, add)["kept"]["row"]).alias("row")).select("row.*")
+    rows = rows.where(F.col(group).isNotNull() & F.col(order).isNotNull() & F.col(size).isNotNull())
+    large = written(rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select(group), "large-groups")
+    if large.isEmpty():
+        return _folded_capacity(rows, group, order, size, cap)
+    few, many = rows.join(large, group, "left_anti"), rows.join(large, group, "left_semi")
+    return _folded_capacity(few, group, order, size, cap).unionByName(phased_capacity(many, group, order, size, cap))
+
+
+def _folded_capacity(rows: DataFrame, group: str, order: str, size: str, cap: float) -> DataFrame:
+    taken = rows.withColumn("_size", F.col(size).cast("double"))
+    place, at = taken.columns.index(group), taken.columns.index("_size")
+    names = rows.columns
+
+    def fold(batches):
+        last, room = None, cap
+        for b in batches:
+            keep = []
+            for g, s in zip(b.column(place).to_pylist(), b.column(at).to_pylist(), strict=True):
+                if g != last:
+                    last, room = g, cap
+                fits = s <= room
+                if fits:
+                    room -= s
+                keep.append(fits)
+            yield b.select(names).filter(pa.array(keep, pa.bool_()))
+
+    return taken.repartition(group).sortWithinPartitions(group, order, "_size").mapInArrow(fold, rows.schema)
+
+
+def phased_capacity(rows: DataFrame, group: str, order: str, size: str, cap: float, chunk: int = CHUNK_ROWS) -> DataFrame:
+    """skip_capacity for groups of any size, spread over all tasks.
+
+    In a phase that begins with room R, rows of at most R / 2 (small ones) all fit as long as the room is above R / 2, so what they leave is a running sum. The
+    phase ends with the small row that brings the room down to R / 2, or with the first larger row that fits; either way the room is halved at least, so there are
+    as many phases as halvings between the cap and the smallest size. Rows are numbered and cut into chunks once; a phase adds up the chunks' small rows, passes over chunks whose least larger
+    row can't fit (their sums of small rows known), and looks into those that are left. The driver sees no rows, only whether a group is still open.
+    """
+    from sessionloom.operators.ordered import numbered
+
+    spark = rows.sparkSession
+    placed = numbered(rows.withColumn("_size", F.col(size).cast("double")), [group, order, "_size", *[c for c in rows.columns if c not in (group, order)]])
+    placed = written(placed.withColumn("_chunk", F.floor(F.col("number") / chunk)), "capacity-rows")
+    narrow = placed.select(group, "_chunk", "number", "_size")
+    kind = rows.schema[group].dataType.simpleString()
+    open_ = written(rows.select(group).distinct().select(group, F.lit(float(cap)).alias("room"), F.lit(-1).cast("long").alias("done")), "capacity-open")
+    phases = []  # (group, room, done, to): small rows of half the room in done+1..to are taken, and row `to` itself
+    small, big = F.col("_size") <= F.col("room") / 2, (F.col("_size") > F.col("room") / 2) & (F.col("_size") <= F.col("room"))
+    total = lambda c: F.sum(F.when(c, F.col("_size")).otherwise(0.0))
+    while not open_.isEmpty():
+        rest = narrow.join(open_, group).where(F.col("number") > F.col("done"))
+        sums = rest.groupBy(group, "room", "done", "_chunk").agg(total(small).alias("_s"), F.min(F.when(big, F.col("_size"))).alias("_least"))
+        upto = Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.withColumn("_before", F.coalesce(F.sum("_s").over(upto), F.lit(0.0)))
+        # the chunk in which small rows halve the room, and those before it in which a larger row may fit
+        live = (F.col("room") - F.col("_before") > F.col("room") / 2) & ((F.col("_before") + F.col("_s") >= F.col("room") / 2) | (F.col("_least") <= F.col("room") - F.col("_before")))
+        looked = rest.join(written(sums.where(live).select(group, "_chunk", "_before"), "capacity-chunks"), [group, "_chunk"])
+        inside = Window.partitionBy(group, "_chunk").orderBy("number")
+        left = F.col("room") - F.col("_before") - F.coalesce(total(small).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+        looked = looked.withColumn("_left", left).where(F.col("_left") > F.col("room") / 2)
+        ends = looked.where((small & (F.col("_left") - F.col("_size") <= F.col("room") / 2)) | (big & (F.col("_size") <= F.col("_left"))))
+        end = ends.groupBy(group).agg(F.min(F.struct("number", (F.col("_left") - F.col("_size")).alias("room"))).alias("e"))
+        after = open_.join(end, group, "left").select(group, F.col("room"), F.col("done"), F.col("e.number").alias("to"), F.col("e.room").alias("next"))
+        after = written(after, "capacity-phase")
+        phases.append(after)
+        # without an end all small rows of the rest fit; with no room left only rows of size 0 do
+        open_ = after.where("to is not null").select(group, F.col("next").alias("room"), F.col("to").alias("done"))
+        spent = open_.where("room <= 0")
+        phases.append(spent.select(group, "room", "done", F.lit(None).cast("long").alias("to"), F.lit(None).cast("double").alias("next")))
+        open_ = open_.where("room > 0")
+    known = spark.createDataFrame([], f"{group} {kind}, room double, done long, to long, next double")
+    for p in phases:
+        known = known.unionByName(p)
+    # a group has as many rows here as phases
+    each = known.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("done", "room", "to"))).alias("_phases"))
+    met = placed.join(each, group)
+    mine = F.try_element_at(F.filter("_phases", lambda p: p["done"] < F.col("number")), F.lit(-1))
+    met = met.withColumn("_p", mine).where((F.col("_size") <= F.col("_p.room") / 2) | (F.col("number") == F.col("_p.to")))
+    return met.select(*rows.columns)
 
 
 def diverse_sample(rows: DataFrame, group: str, value: str, tie: str, n: int) -> DataFrame:
@@ -298,45 +379,76 @@ def pairing_verdicts(rows: DataFrame, group: str, draws: int = 300, refine: int
     return tested.join(passed, group)
 
 
+class Room:
+    """Free space of targets in order, as a tournament tree: each node has the largest space below it, so the first target with room is found in log time."""
+
+    def __init__(self, free: list[float]):
+        self.n = 1
+        while self.n < len(free):
+            self.n *= 2
+        self.most = [-math.inf] * self.n + list(free) + [-math.inf] * (self.n - len(free))
+        for k in range(self.n - 1, 0, -1):
+            self.most[k] = max(self.most[2 * k], self.most[2 * k + 1])
+
+    def free(self, count: int) -> list[float]:
+        return self.most[self.n : self.n + count]
+
+    def take(self, size: float, reserve: float) -> int | None:
+        """The first target that keeps the reserve free with an item of that size, which it then holds; None where nothing fits."""
+        most = self.most
+        if most[1] - size < reserve:
+            return None
+        k = 1
+        while k < self.n:
+            k *= 2
+            if most[k] - size < reserve:
+                k += 1
+        at = k - self.n
+        most[k] -= size
+        while k > 1:
+            k //= 2
+            most[k] = max(most[2 * k], most[2 * k + 1])
+        return at
+
+
 def first_fit(items: DataFrame, targets: list[tuple[str, float]], order: list[str], key: str, size: str, reserve: float, chunk: int = 1_000_000) -> DataFrame:
     """key, target (null where nothing fits): items in order, each to the first target with room for it that keeps the reserve free.
 
-    What an item finds depends on all before it. Items are numbered in order and folded a chunk at a time, one chunk's rows
-    (key and size) in a task; between chunks the driver holds the free space of the targets alone. Once no target
-    could take even the smallest item, the rest wait without being folded.
+    What an item finds depends on all before it, so items are numbered in order, cut into chunks that are written once, and folded a chunk at a time, one chunk's rows
+    (key and size) in a task; between chunks the driver holds the free space of the targets alone. A chunk is read when its turn comes, and no other one then. Items larger than any
+    target's space don't come into chunks, and once no target could take even the smallest item, the rest wait without being read.
     """
     from sessionloom.operators.ordered import numbered
 
     spark = items.sparkSession
-    rows = numbered(items.select(key, F.coalesce(F.col(size).cast("double"), F.lit(0.0)).alias("_size"), *[c for c in order if c not in (key, size)]), order).select(key, "_size", "number")
     kind = items.schema[key].dataType.simpleString()
-    names, free = [n for n, _ in targets], np.array([f for _, f in targets], float)
-    ends = rows.agg(F.max("number"), F.min("_size")).first()
-    out = []
-    for k in range(0 if ends[0] is None or not names else ends[0] // chunk + 1):
-        if free.max() - reserve < ends[1]:
+    names, free = [n for n, _ in targets], [float(f) for _, f in targets]
+    sized = items.select(key, F.coalesce(F.col(size).cast("double"), F.lit(0.0)).alias("_size"), *[c for c in order if c not in (key, size)])
+    rows = numbered(sized.where(F.col("_size") <= max(free, default=-math.inf) - reserve), order)
+    folder = f"{shared_dir(spark)}/first-fit-{uuid.uuid4().hex}"
+    cut = rows.select(key, "_size", "number", F.floor(F.col("number") / chunk).cast("int").alias("chunk"))
+    cut.repartition("chunk").sortWithinPartitions("chunk", "number").write.partitionBy("chunk").parquet(f"{folder}/rows")
+    sizes = spark.read.schema(f"{key} {kind}, _size double, number long, chunk int").parquet(f"{folder}/rows").agg(F.max("chunk"), F.min("_size")).first()
+    for k in range(0 if sizes[0] is None else sizes[0] + 1):
+        if max(free) - reserve < sizes[1]:
             break
 
-        def fold(batches, free=free.copy()):
+        def fold(batches, free=tuple(free)):
+            room = Room(free)
             for b in batches:
-                found = []
-                for s in b.column(1).to_pylist():
-                    at = int((free - s >= reserve).argmax())
-                    ok = free[at] - s >= reserve
-                    found.append(at if ok else None)
-                    free[at] -= s if ok else 0
+                found = [room.take(s, reserve) for s in b.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.int32()), pa.nulls(b.num_rows, pa.list_(pa.float64()))], names=[key, "at", "free"])
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, b.column(0).type), pa.nulls(1, pa.int32()), pa.array([free.tolist()], pa.list_(pa.float64()))], names=[key, "at", "free"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, b.column(0).type), pa.nulls(1, pa.int32()), pa.array([room.free(len(free))], pa.list_(pa.float64()))], names=[key, "at", "free"])
 
-        part = rows.where(F.col("number").between(k * chunk, (k + 1) * chunk - 1)).coalesce(1).sortWithinPartitions("number").select(key, "_size")
-        done = written(part.mapInArrow(fold, f"{key} {kind}, at int, free array<double>"), "first-fit")
-        free = np.array(done.where("free is not null").first()["free"], float)
-        out.append(done.where("free is null and at is not null").select(key, "at"))
-    placed = spark.createDataFrame([], f"{key} {kind}, at int")
-    for d in out:
-        placed = placed.unionByName(d)
+        part = spark.read.schema(f"{key} {kind}, _size double, number long").parquet(f"{folder}/rows/chunk={k}").coalesce(1).sortWithinPartitions("number").select(key, "_size")
+        part.mapInArrow(fold, f"{key} {kind}, at int, free array<double>").write.parquet(f"{folder}/done/chunk={k}")
+        done = spark.read.schema(f"{key} {kind}, at int, free array<double>").parquet(f"{folder}/done/chunk={k}")
+        free = list(done.where("free is not null").first()["free"])
     table = spark.createDataFrame(list(enumerate(names)), "at int, target string")
-    return items.select(key).join(placed.join(table, "at").select(key, "target"), key, "left")
+    placed = spark.createDataFrame([], f"{key} {kind}, at int")
+    if sizes[0] is not None and names:
+        placed = spark.read.schema(f"{key} {kind}, at int").parquet(f"{folder}/done") if path_exists(spark, f"{folder}/done") else placed
+    return items.select(key).join(placed.where("at is not null").join(table, "at").select(key, "target"), key, "left")
 
 
 def replace_json_values(rows: DataFrame, column: str, renames: dict[str, str]) -> DataFrame:

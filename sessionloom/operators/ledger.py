@@ -79,6 +79,33 @@ def rebuild_partitions(snapshot: DataFrame, fresh: DataFrame, keys: list[str]) -
     return snapshot.join(fresh.select(*keys).distinct(), keys, "left_anti").unionByName(fresh)
 
 
+def write_partitions(fresh: DataFrame, path: str, key: str, values: list, run: str) -> bool:
+    """Replace the partitions `values` of a table at path (partitioned by key) by the fresh rows, and say whether anything was done.
+
+    The rows are staged by a dynamic partition overwrite and come into place when all are written, so a run that fails on the way changes nothing. Other
+    partitions' files aren't touched. Values without fresh rows lose their partition. A marker then says that the run is done: repeating it does nothing, and
+    repeating a run that ended before its marker does the same again. Fresh rows of other values are an error.
+    """
+    from sessionloom.session import path_exists
+
+    spark = fresh.sparkSession
+    marker = f"{path.rstrip('/')}/_runs/{run}"
+    if path_exists(spark, marker):
+        return False
+    found = {r[0] for r in fresh.select(key).distinct().limit(len(values) + 1).collect()}  # a value for each partition to be rebuilt
+    if not found <= set(values):
+        raise ValueError(f"rows of partitions that aren't to be rebuilt: {sorted(map(str, found - set(values)))[:3]}")
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for v in sorted(set(values) - found, key=str):
+        store.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{key}={v}"), True)
+    store.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_runs"))
+    store.create(jvm.org.apache.hadoop.fs.Path(marker), True).close()
+    return True
+
+
 def mark_replicas(sessions: DataFrame, copied: DataFrame, key: str, column: str) -> DataFrame:
     return upsert(sessions, copied, key, [column], keep_first=False).join(sessions.select(key), key, "left_semi")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -137,16 +138,34 @@ def write_manifest(sessions: DataFrame, path: str) -> None:
     sessions.select(F.col("session").cast("string").alias("value")).orderBy("value").write.mode("overwrite").text(path)
 
 
+def kept_apart(rows: DataFrame, group: str, at: str, gap: float) -> DataFrame:
+    """Each group's first row by time, and then each that comes at least `gap` after the last one kept. Groups are streamed in order through a fold that keeps one time; rows with a null group or time are left out."""
+    place, when = rows.columns.index(group), rows.columns.index(at)
+
+    def fold(batches):
+        last, since = None, 0.0
+        for b in batches:
+            keep = []
+            for g, t in zip(b.column(place).to_pylist(), b.column(when).to_pylist(), strict=True):
+                keep.append(g != last or t - since >= gap)
+                if keep[-1]:
+                    last, since = g, t
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    dealt = rows.where(F.col(group).isNotNull() & F.col(at).isNotNull()).repartition(group).sortWithinPartitions(group, at, *[c for c in rows.columns if c not in (group, at)])
+    return dealt.mapInArrow(fold, rows.schema)
+
+
 def run_progress(runs: DataFrame, events: DataFrame, every: float = 5.0) -> DataFrame:
     """run, status, done, total, updated_at after events (run, kind: start, progress, completed or aborted, at, done, total).
 
-    A progress event counts if it is the run's first or at least `every` seconds after the one counted before it in steps of that length;
-    the last event decides the status. runs: the table before.
+    A progress event counts if it is the run's first or comes at least `every` seconds after the last one that counted; the last event that counts decides
+    the status. runs: the table before.
     """
     from sessionloom.operators.ledger import upsert
 
-    slot = F.floor(F.col("at") / every)
-    kept = events.groupBy("run", "kind", F.when(F.col("kind") == "progress", slot).alias("slot")).agg(F.min(F.struct("at", "done", "total")).alias("x")).select("run", "kind", "x.*")
+    progress = events.where("kind = 'progress'").select("run", "kind", "at", "done", "total")
+    kept = kept_apart(progress, "run", "at", every).unionByName(events.where("kind != 'progress'").select("run", "kind", "at", "done", "total"))
     state = F.when(F.col("kind").isin("completed", "aborted"), F.col("kind")).otherwise("running")
     last = kept.groupBy("run").agg(F.max(F.struct("at", F.col("kind").isin("completed", "aborted").alias("ends"), state.alias("status"), "done", "total")).alias("x"))
     new = last.select("run", "x.status", "x.done", "x.total", F.col("x.at").alias("updated_at"))

@@ -829,13 +829,15 @@ def mail_bodies(spark, d):
     return R.mail_body(e, F.lit(10), F.lit(True))
 
 
-@query("WITH l AS (SELECT user_id, max(ts) AS t FROM events GROUP BY 1) SELECT user_id AS run, CASE WHEN user_id % 3 = 0 THEN 'completed' WHEN user_id % 3 = 1 THEN 'aborted' ELSE 'running' END AS status FROM l UNION ALL SELECT 100000 + s_suppkey, 'old' FROM supplier")
+@query(f"""WITH RECURSIVE e AS (SELECT user_id, event_id, {_SECONDS} AS t FROM events), n AS (SELECT *, min(row(t, event_id)) OVER (PARTITION BY user_id ORDER BY t RANGE BETWEEN 200000 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt, min(row(t, event_id)) OVER (PARTITION BY user_id) AS fst FROM e),
+k AS (SELECT user_id, t, event_id AS done, nxt FROM n WHERE row(t, event_id) = fst UNION ALL SELECT n.user_id, n.t, n.event_id, n.nxt FROM k JOIN n ON n.user_id = k.user_id AND row(n.t, n.event_id) = k.nxt)
+SELECT user_id AS run, CASE WHEN user_id % 3 = 0 THEN 'completed' WHEN user_id % 3 = 1 THEN 'aborted' ELSE 'running' END AS status, CASE WHEN user_id % 3 < 2 THEN -1 ELSE max_by(done, t) END AS done FROM k GROUP BY 1 UNION ALL SELECT 100000 + s_suppkey, 'old', 1 FROM supplier""")
 def run_progress(spark, d):
     e = table(spark, d, "events").selectExpr("user_id as run", "unix_micros(timestamp(ts)) / 1e6 as at", "event_id as done")
     progress = e.selectExpr("run", "'progress' as kind", "at", "done", "100L as total")
-    ends = e.groupBy("run").agg(F.max("at").alias("at"), F.max("done").alias("done")).where("run % 3 < 2").selectExpr("run", "if(run % 3 = 0, 'completed', 'aborted') as kind", "at + 1 as at", "done", "100L as total")
+    ends = e.groupBy("run").agg(F.max("at").alias("at"), F.lit(-1).cast("long").alias("done")).where("run % 3 < 2").selectExpr("run", "if(run % 3 = 0, 'completed', 'aborted') as kind", "at + 1 as at", "done", "100L as total")
     runs = table(spark, d, "supplier").selectExpr("100000L + s_suppkey as run", "'old' as status", "1L as done", "2L as total", "0D as updated_at")
-    return R.run_progress(runs, progress.union(ends)).select("run", "status")
+    return R.run_progress(runs, progress.union(ends), every=200_000.0).select("run", "status", "done")
 
 
 @query("SELECT user_id AS name, count(*) AS tries, CASE WHEN arg_max(event_id % 3 = 0, (ts, event_id)) THEN 'done' ELSE 'pending' END AS state FROM events GROUP BY 1")

@@ -186,12 +186,14 @@ def overlap_ratio(spark, d):
 @query(f"""
 WITH e AS (SELECT event_type, user_id, min({SECONDS.format('ts')}) AS t0, max({SECONDS.format('ts')}) AS t1, count(*) AS n FROM events GROUP BY 1, 2),
 d AS (SELECT *, t1 - t0 AS dur FROM e), m AS (SELECT event_type, median(t0) AS mt0, median(t1) AS mt1, median(dur) AS mdur, median(n) AS mn FROM d GROUP BY 1),
-r AS (SELECT event_type, user_id, n, CAST(abs(t0 - mt0) > 86400 AS INTEGER) + CAST(abs(t1 - mt1) > 86400 AS INTEGER) + CAST(coalesce(dur / nullif(mdur, 0) NOT BETWEEN 0.7 AND 1.3, false) AS INTEGER)
-  + CAST(coalesce(n / nullif(mn, 0) NOT BETWEEN 0.7 AND 1.3, false) AS INTEGER) AS reasons FROM d JOIN m USING (event_type))
+v AS (SELECT *, CASE WHEN user_id % 4 > 0 THEN n * 10.0::DOUBLE + user_id % 7 END AS vs FROM d), vm AS (SELECT event_type, median(vs) AS mvs FROM v GROUP BY 1 HAVING count(vs) >= 2),
+r AS (SELECT event_type, user_id, n, CAST(coalesce(vs / nullif(mvs, 0) NOT BETWEEN 0.7 AND 1.3, false) AS INTEGER) + CAST(abs(t0 - mt0) > 86400 AS INTEGER) + CAST(abs(t1 - mt1) > 86400 AS INTEGER) + CAST(coalesce(dur / nullif(mdur, 0) NOT BETWEEN 0.7 AND 1.3, false) AS INTEGER)
+  + CAST(coalesce(n / nullif(mn, 0) NOT BETWEEN 0.7 AND 1.3, false) AS INTEGER) AS reasons FROM v JOIN m USING (event_type) LEFT JOIN vm USING (event_type))
 SELECT event_type, user_id, n, reasons, CASE WHEN reasons >= 2 THEN 'HIGH' WHEN reasons = 1 THEN 'LOW' ELSE 'OK' END AS confidence FROM r
 """)
 def median_outlier(spark, d):
-    return A.median_outliers(events(spark, d), "event_type", "user_id", "t", 86_400.0)
+    videos = events(spark, d).where("user_id % 4 > 0").groupBy("event_type", "user_id").agg((F.count(F.lit(1)) * 10.0 + F.col("user_id") % 7).alias("video_seconds"))
+    return A.median_outliers(events(spark, d), "event_type", "user_id", "t", 86_400.0, videos=videos)
 
 
 _NEAREST = f"""
@@ -435,6 +437,23 @@ def stream_running_kpi(spark, d):
     return spark.read.parquet(f"{out}/data").select("event_type", "n", F.round("total", 2).alias("total"), "largest")
 
 
+@query("SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0) GROUP BY 1")
+def stream_unprocessed(spark, d):
+    """Orders as a stream, of which each customer's first counts; customers divisible by 3 were handled before."""
+    from sessionloom.streaming import stateful, watch
+
+    out = _shared(spark)
+    before = spark.conf.get(stateful.PROVIDER[0], None)
+    stateful.with_rocksdb(spark)
+    try:
+        stream = watch.file_stream(spark, d, table(spark, d, "orders").schema, "orders.parquet").select("o_custkey", "o_orderkey")
+        seed = table(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("o_custkey"))
+        watch.drain(stateful.unprocessed(stream, "o_custkey", "o_orderkey", seed), lambda b, k: b.write.mode("overwrite").parquet(f"{out}/data/batch={k}"), f"{out}/state")
+    finally:
+        spark.conf.unset(stateful.PROVIDER[0]) if before is None else spark.conf.set(stateful.PROVIDER[0], before)
+    return spark.read.parquet(f"{out}/data").select("o_custkey", "o_orderkey")
+
+
 @query("""WITH e AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events), l AS (SELECT 'u' || user_id AS name, k * 30.0 AS observed_at, k // 3 AS size FROM e),
 g AS (SELECT name, size, min(observed_at) AS since, max(observed_at) AS last FROM l GROUP BY 1, 2) SELECT name, CAST(size AS BIGINT) AS size, CAST(since AS DOUBLE) AS since FROM g WHERE last - since >= 60""")
 def stability_gate(spark, d):
@@ -452,6 +471,45 @@ def stability_gate(spark, d):
     return spark.read.parquet(f"{out}/data").select("name", "size", "since")
 
 
+# --- JSON line streams made of the events, a file for each hour of the day ---
+
+_LINES = """WITH e AS (SELECT hour(ts) AS h, event_id, row_number() OVER (PARTITION BY hour(ts) ORDER BY event_id) - 1 AS n FROM events), f AS (SELECT *, n % 97 = 96 AND h % 2 = 0 AS bad FROM e), b AS (SELECT h, min(n) FILTER (WHERE bad) AS first FROM f GROUP BY 1)
+SELECT f.h, n AS lineno, event_id AS frame_index, event_id * 2.0::DOUBLE AS ts_ms FROM f JOIN b USING (h) WHERE {} AND n % 5 > 0"""
+
+
+def _line_stream(spark, d, until_error):
+    """Every fifth line has no time, and some even hours' lines are cut off."""
+    from sessionloom.sources import documents
+
+    out = _shared(spark)
+    e = table(spark, d, "events").select(F.hour("ts").alias("h"), "event_id")
+    from pyspark.sql import Window
+
+    n = F.row_number().over(Window.partitionBy("h").orderBy("event_id")) - 1
+    text = F.when((F.col("n") % 97 == 96) & (F.col("h") % 2 == 0), '{"frame_index": 1, "capt').when(F.col("n") % 5 == 0, F.format_string('{"frame_index": %d}', "event_id"))
+    text = text.when(F.col("n") % 2 == 0, F.format_string('{"frame_index": %d, "capture_time": %d}', "event_id", F.col("event_id") * 2)).otherwise(F.format_string('{"capture_timestamp_sec": %d.%03d, "frame_index": %d}', F.floor(F.col("event_id") * 2 / 1000), F.col("event_id") * 2 % 1000, "event_id"))
+    e.withColumn("n", n).select("h", "event_id", text.alias("line")).repartition("h").sortWithinPartitions("h", "event_id").select("h", "line").write.partitionBy("h").text(out)
+    rows = documents.timestamps_ms(documents.lines(spark, [out]), until_error)
+    return rows.select(F.regexp_extract("path", "/h=([0-9]+)/", 1).cast("long").alias("h"), "lineno", "frame_index", F.round("ts_ms", 6).alias("ts_ms"))
+
+
+@query(_LINES.format("n < coalesce(first, n + 1)"))
+def line_timestamps(spark, d):
+    return _line_stream(spark, d, True)
+
+
+@query(_LINES.format("first IS NULL"))
+def line_timestamps_strict(spark, d):
+    return _line_stream(spark, d, False)
+
+
+@query("SELECT l_returnflag, l_linestatus, median(CASE WHEN l_orderkey % 5 > 0 THEN l_extendedprice END) AS median FROM lineitem GROUP BY 1, 2")
+def exact_medians(spark, d):
+    """Groups of more than 1,000 values are counted in cells."""
+    rows = table(spark, d, "lineitem").select("l_returnflag", "l_linestatus", F.when(F.col("l_orderkey") % 5 > 0, F.col("l_extendedprice")).alias("v"))
+    return A.exact_medians(rows, ["l_returnflag", "l_linestatus"], "v", most=1_000)
+
+
 # --- order-dependent operators on bounded groups ---
 
 

@@ -25,23 +25,41 @@ def field(doc: Column, path: str, kind: str = "string") -> Column:
 
 
 def lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """path, lineno, line of JSONL files, blank lines left out. One file is one partition, so the order is the file's."""
-    whole = texts(spark, paths)
-    out = whole.select("path", F.posexplode(F.split("text", "\n")).alias("lineno", "line"))
-    return out.where("trim(line) != ''")
+    """path, lineno, line of JSONL files of any length; lines are numbered from 0, blank ones counted but left out.
+
+    Files are read in byte ranges (spark.sql.files.maxPartitionBytes); ranges agree on line ends, as a range goes on to the end of the line it ends in, and
+    the next one begins behind it. A line's number is its place in its range plus the lines of the file's ranges before: sums over a row for each range, so no
+    task sees a whole file. Lines end with a line feed, a carriage return or both; the last one may have no end.
+    """
+    if not paths:
+        return spark.createDataFrame([], "path string, lineno long, line string")
+    read = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_from"), F.monotonically_increasing_id().alias("_row"), F.col("value").alias("line"))
+    ranges = read.groupBy("path", "_from").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("path").orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = read.join(ranges.select("path", "_from", (before - F.col("_first")).alias("_shift")), ["path", "_from"])
+    return placed.where(F.col("line").rlike(r"\S")).select("path", (F.col("_row") + F.col("_shift")).alias("lineno"), "line")
+
+
+def before_errors(rows: DataFrame, bad: Column, until_error: bool = True) -> DataFrame:
+    """The rows (path, lineno, ...) before their file's first bad one; without until_error, those of files without a bad one. The first bad line is a minimum over all ranges."""
+    first = rows.where(bad).groupBy("path").agg(F.min("lineno").alias("_bad"))
+    met = rows.join(first, "path", "left")
+    return met.where(F.col("_bad").isNull() | ((F.col("lineno") < F.col("_bad")) if until_error else F.lit(False))).drop("_bad")
 
 
 def timestamps_ms(rows: DataFrame, until_error: bool = True) -> DataFrame:
     """path, lineno, frame_index, ts_ms from lines: `capture_time` in ms, else `capture_timestamp_sec` in seconds.
 
-    until_error keeps the lines before a file's first invalid one; otherwise a file with an invalid line gives nothing.
+    until_error keeps the lines before a file's first invalid one; otherwise a file with an invalid line gives nothing. A line is invalid that isn't a JSON object, or whose
+    time isn't a number; one without a time is passed over.
     """
-    doc = F.try_parse_json("line")
-    bad = F.min(F.when(F.col("doc").isNull(), F.col("lineno"))).over(Window.partitionBy("path"))
-    out = rows.withColumn("doc", doc).withColumn("bad", bad)
-    out = out.where(F.col("bad").isNull() | ((F.col("lineno") < F.col("bad")) if until_error else F.lit(False)))
-    at = F.coalesce(field(F.col("doc"), "$.capture_time", "double"), field(F.col("doc"), "$.capture_timestamp_sec", "double") * 1000)
-    return out.select("path", "lineno", field(F.col("doc"), "$.frame_index", "bigint").alias("frame_index"), at.alias("ts_ms")).where("ts_ms is not null")
+    given = lambda k, kind: field(F.col("doc"), f"$.{k}", kind)
+    text = F.coalesce(given("capture_time", "string"), given("capture_timestamp_sec", "string"))
+    at = F.when(given("capture_time", "string").isNotNull(), given("capture_time", "double")).otherwise(given("capture_timestamp_sec", "double") * 1000)
+    out = rows.withColumn("doc", F.try_parse_json("line")).withColumn("_at", at)
+    bad = F.col("doc").isNull() | ~F.startswith(F.schema_of_variant("doc"), F.lit("OBJECT")) | (text.isNotNull() & F.col("_at").isNull())
+    good = before_errors(out.withColumn("_bad_line", bad).select("path", "lineno", "_bad_line", given("frame_index", "bigint").alias("frame_index"), F.col("_at").alias("ts_ms")), F.col("_bad_line"), until_error)
+    return good.drop("_bad_line").where("ts_ms is not null")
 
 
 def first_last(rows: DataFrame, at: str = "ts_ms") -> DataFrame:
@@ -153,7 +171,7 @@ def jsonl_edges_ok(path: str) -> bool:
 
 
 def jsonl_whole_ok(lines: DataFrame) -> DataFrame:
-    """path, ok of files by their lines (path, lineno, line): the first and last non-blank lines parse."""
+    """path, ok of files by their lines (path, lineno, line): the first and last non-blank lines parse. Each is a least or greatest line over all ranges."""
     ends = lines.where("trim(line) != ''").groupBy("path").agg(F.min_by("line", "lineno").alias("first"), F.max_by("line", "lineno").alias("last"))
     return ends.select("path", (F.try_parse_json("first").isNotNull() & F.try_parse_json("last").isNotNull()).alias("ok"))
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -14,6 +16,7 @@ SCHEMA = "root string, session string, session_path string, subdir string, name
 SYSTEM = frozenset(("lost+found", "system volume information", "$recycle.bin"))
 RESERVED = frozenset(("sessions", "sessions_quarantine", "sessions_envoyee", "sessions_envoyes"))
 METADATA = ("config.json", "mission.json", "analysis.json", "result.json", "metadata.json", "postprocess.log")
+LEDGER = "uploaded_sessions.json"
 #: How strictly a folder name must look like a session. Fixed values.
 NAME_RULES = {"loose": r"^session", "flat": r"^session_", "digit": r"(?i)^session_\d", "stamp": r"^session_\d{8}_\d{6}"}
 
@@ -118,6 +121,72 @@ def inventory(spark: SparkSession, roots: list[str], rule: str = "digit", depth:
     return spark.read.format("session_inventory").option("path", ";".join(roots)).option("rule", rule).option("depth", str(depth)).load()
 
 
+_OPEN = "root string, session string, session_path string, path string, depth int"
+
+
+def walk(spark: SparkSession, roots: list[str], rule: str = "digit", depth: int = 6, ledger: str = LEDGER, tasks: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(files, ledgers): the rows of `inventory`, and root, path of the ledgers met outside sessions; for trees of any shape.
+
+    A round lists each open folder once; the folders found in it, dealt evenly to `tasks` tasks (all cores by default), are the open ones of the next round. So one deep or
+    wide folder is spread as soon as it is seen. There are as many rounds as levels; rows and open folders of a round are written, and the driver sees their number alone.
+    """
+    from sessionloom.session import shared_dir
+
+    own = SessionWalk(NAME_RULES.get(rule, rule), depth)
+    tasks = tasks or spark.sparkContext.defaultParallelism
+    folder = f"{shared_dir(spark)}/walk-{uuid.uuid4().hex}"
+    rows = f"{SCHEMA}, kind string"
+    names = [f.split()[0] for f in rows.split(", ")]
+
+    def found(root: str, session: str | None, top: str | None, folder: str, level: int):
+        """Rows of one folder; kind: file (a row of the inventory), open (a folder to be listed), ledger."""
+        if session is not None and folder == top:
+            try:
+                yield (root, session, top, "", "", top, 0, os.stat(top).st_mtime, True, level, "file")
+            except OSError:
+                return
+        try:
+            with os.scandir(folder) as entries:
+                entries = sorted(entries, key=lambda e: e.name)
+        except OSError:
+            return
+        for e in entries:
+            is_dir = e.is_dir(follow_symlinks=False)
+            if session is None:
+                if is_dir and not own.is_closed(e.name):
+                    if own.is_session(e.name):
+                        yield (root, e.name, e.path, None, None, e.path, None, None, True, level, "open")
+                    elif level <= own.depth:
+                        yield (root, None, None, None, None, e.path, None, None, True, level + 1, "open")
+                elif e.name == ledger and not is_dir:
+                    yield (root, None, None, None, e.name, e.path, None, None, False, level, "ledger")
+                continue
+            try:
+                s = e.stat()
+            except OSError:
+                continue
+            sub = os.path.relpath(folder, top)
+            yield (root, session, top, "" if sub == "." else sub, e.name, e.path, 0 if e.is_dir() else s.st_size, s.st_mtime, e.is_dir(), level, "file")
+            if is_dir:
+                yield (root, session, top, None, None, e.path, None, None, True, level, "open")
+
+    def listed(batches):
+        for b in batches:
+            for r in b.itertuples(index=False):
+                got = list(found(r.root, r.session, r.session_path, r.path, int(r.depth)))
+                for lo in range(0, len(got), 10_000):
+                    yield pd.DataFrame(got[lo : lo + 10_000], columns=names)
+
+    open_ = spark.createDataFrame([(r, None, None, r, 1) for r in roots], _OPEN)
+    k, n = 0, len(roots)
+    while n:
+        open_.repartition(min(n, tasks)).mapInPandas(listed, rows).write.parquet(f"{folder}/level={k}")
+        open_ = spark.read.schema(rows).parquet(f"{folder}/level={k}").where("kind = 'open'").select("root", "session", "session_path", "path", "depth")
+        k, n = k + 1, open_.count()
+    all_ = spark.read.schema(rows).parquet(f"{folder}/*") if k else spark.createDataFrame([], rows)
+    return all_.where("kind = 'file'").drop("kind"), all_.where("kind = 'ledger'").select("root", "path")
+
+
 def sessions(files: DataFrame) -> DataFrame:
     """One row for each session folder: file count, bytes, latest change (the folder's own included), empty files."""
     real = ~F.col("is_dir")
