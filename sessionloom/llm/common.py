@@ -50,6 +50,11 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def removed(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared store that nothing reads any more."""
     jvm = spark.sparkContext._jvm

@@ -1,8 +1,9 @@
 """Operator 5: URL rules with redirect equivalence. DataFrame functions only.
 
 A rule is a host and a path prefix with a verdict; it fits its host and all subdomains, and the longest that fits decides.
-URLs are tied together by redirects (a table, or a page's meta refresh), canonical links, and each URL's own canonical
-form (without scheme, fragment, query, trailing slash and `.html`). Connected components over these edges carry decisions to aliases: a URL that no rule fits
+URLs are tied together by redirects (a table, or a page's meta refresh) and canonical links, and by nothing else. Link targets are decoded (character
+references) and resolved against their page's URL, dot segments included. Two spellings are one URL if they differ in scheme, in the case of the host, a default port, an empty path or the fragment
+(`resource`); the query counts. Connected components over these edges carry decisions to aliases: a URL that no rule fits
 takes its component's verdict, allow if any member is explicitly allowed, else block if any is blocked, else allow. A
 URL's own rule is never overridden, so an explicit allow holds whatever its aliases are.
 
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm.common import cut, table
+from sessionloom.llm.common import cut, scratch, table
 from sessionloom.llm.components import components
 
 MAP_RULES = 2000
@@ -42,9 +43,11 @@ def path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def canonical_form(url: Column) -> Column:
-    """host and path, without a trailing slash or .html; null where there is no host."""
-    return F.when(host(url) != "", F.concat(host(url), F.regexp_replace(path(url), r"(?:\.html?|/+)$", "")))
+def resource(url: Column) -> Column:
+    """What names a URL's resource: host without a default port, path, query; null where there is no host."""
+    plain = F.regexp_replace(F.when(url.rlike(r"(?i)^https://"), F.regexp_replace(host(url), ":443$", "")).when(url.rlike(r"(?i)^http://"), F.regexp_replace(host(url), ":80$", "")).otherwise(host(url)), ":$", "")
+    query = F.regexp_extract(url, r"(?s)^[^?#]*(\?[^#]*)", 1)
+    return F.when(host(url) != "", F.concat(plain, F.when(path(url) == "", "/").otherwise(path(url)), query))
 
 
 def _suffixes(h: Column) -> Column:
@@ -76,41 +79,80 @@ def match_rules(rows: DataFrame, rules) -> DataFrame:
     return rows.join(longest, ["host", "path"], "left")
 
 
-def _absolute(target: Column, base: Column) -> Column:
-    origin = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)", 1)
-    return F.when(target == "", None).when(target.contains("://"), target).when(target.startswith("//"), F.concat(F.lit("http:"), target)).when(target.startswith("/"), F.concat(origin, target)).otherwise(F.concat(folder, target))
+#: The named references that occur in links.
+REFERENCES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+
+
+def decoded(text: Column) -> Column:
+    """Text with its character references (numbers, and the names in REFERENCES) replaced, each once."""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|amp|lt|gt|quot|apos);"), F.lit(0)))
+    names = F.create_map(*[F.lit(x) for k, v in REFERENCES.items() for x in (f"&{k};", v)])
+
+    def one(r: Column) -> Column:
+        hexed = F.when(r.rlike("^&#[xX]"), F.regexp_extract(r, "([0-9a-fA-F]+);$", 1)).when(r.rlike("^&#"), F.hex(F.regexp_extract(r, "([0-9]+);", 1).try_cast("long")))
+        number = F.conv(hexed, 16, 10).try_cast("long")
+        sound = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        return F.coalesce(F.try_element_at(names, r), F.when(sound, F.decode(F.unhex(F.lpad(hexed, 8, "0")), "UTF-32")), r)
+
+    # `&` last, so that what it becomes isn't read again
+    last = F.array_intersect(F.array(F.lit("&amp;"), F.lit("&#38;"), F.lit("&#x26;"), F.lit("&#X26;")), found)
+    return F.aggregate(F.concat(F.array_except(found, last), last), text, lambda t, r: F.replace(t, r, one(r)))
+
+
+def _without_dots(path: Column) -> Column:
+    """A path that begins with a slash, without `.` and `..` segments."""
+    parts = F.split(F.substring(path, F.lit(2), F.length(path)), "/")
+    none = F.array().cast("array<string>")
+    kept = F.aggregate(parts, none, lambda s, x: F.when(x == ".", s).when(x == "..", F.when(F.size(s) > 0, F.slice(s, 1, F.size(s) - 1)).otherwise(s)).otherwise(F.concat(s, F.array(x))))
+    tail = F.when(F.element_at(parts, -1).isin(".", ".."), "/").otherwise("")  # a folder stays one
+    joined = F.concat(F.lit("/"), F.array_join(kept, "/"))
+    return F.when(path.contains("/."), F.when(joined == "/", joined).otherwise(F.concat(joined, tail))).otherwise(path)
+
+
+def absolute(target: Column, base: Column) -> Column:
+    """A link target as a URL: its own, or resolved against the page's. Null for an empty one and for other schemes without a host (mailto and so on)."""
+    scheme, origin = F.regexp_extract(base, r"(?s)^(.*?:)//", 1), F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
+    at = F.when(path(base) == "", "/").otherwise(path(base))
+    folder = F.regexp_replace(at, "[^/]*$", "")
+    place, rest = F.regexp_extract(target, r"(?s)^([^?#]*)", 1), F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    full = F.when(F.startswith(place, F.lit("/")), place).otherwise(F.concat(folder, place))
+    out = F.when((target == "") | (origin == ""), None).when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target).when(F.startswith(target, F.lit("//")), F.concat(scheme, target))
+    out = out.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None).when(place == "", F.concat(origin, at, rest))
+    return out.otherwise(F.concat(origin, _without_dots(full), rest))
 
 
 def judge(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict of every page. redirects: (source, target) URLs."""
     url = F.col("url").cast("string")
     html = F.col("html").cast("string") if "html" in pages.columns else F.lit(None).cast("string")
-    targets = F.array(*[_absolute(F.regexp_extract(html, p, 1), url) for p in (_CANONICAL, _REFRESH)])
-    own = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"), host(url).alias("host"), path(url).alias("path"), canonical_form(url).alias("form"), F.filter(targets, lambda t: t.isNotNull()).alias("targets"))
-    own = cut(match_rules(own, rules), "url-pages")
-
-    # nodes are URLs and canonical forms; rules of link targets that are no pages count too
-    links = own.where("form is not null").select("url", F.explode("targets").alias("target"))
-    if redirects is not None:
-        links = links.union(redirects.select(F.col(redirects.columns[0]).cast("string"), F.col(redirects.columns[1]).cast("string")))
-    links = links.where("url is not null and target is not null")
-    ends = links.select("url").union(links.select("target")).distinct()
-    extra = match_rules(ends.select("url", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), canonical_form(F.col("url")).alias("form")), rules).where("form is not null")
-    nodes = own.where("form is not null").select("url", "form", "rule_verdict").union(extra.select("url", "form", "rule_verdict"))
-    edges = links.select(F.col("url").alias("a"), F.col("target").alias("b")).union(nodes.select("url", "form")).distinct()
-    parts = cut(components(edges), "url-parts")
-    decided = nodes.where("rule_verdict is not null").distinct().join(parts, F.col("url") == F.col("node")).groupBy("component").agg(F.max((F.col("rule_verdict") == "allow").cast("int")).alias("allowed"))
-    spread = parts.join(decided, "component").select(F.col("node").alias("url"), F.when(F.col("allowed") == 1, "allow").otherwise("block").alias("part_verdict"))
-    out = own.join(spread, "url", "left")
-    return out.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", "part_verdict", F.lit("allow")).alias("verdict"))
+    targets = F.array(*[absolute(decoded(F.regexp_extract(html, p, 1)), url) for p in (_CANONICAL, _REFRESH)])
+    with scratch(pages.sparkSession) as keep:
+        own = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"), host(url).alias("host"), path(url).alias("path"), F.filter(targets, lambda t: t.isNotNull()).alias("targets"))
+        own = cut(match_rules(own, rules).withColumn("node", resource(F.col("url"))), "url-pages")
+
+        # nodes are resources; rules of link ends that are no pages count too
+        links = own.select("url", F.explode("targets").alias("target"))
+        if redirects is not None:
+            links = links.union(redirects.select(F.col(redirects.columns[0]).cast("string"), F.col(redirects.columns[1]).cast("string")))
+        links = links.where("url is not null and target is not null")
+        edges = cut(links.select(resource(F.col("url")).alias("a"), resource(F.col("target")).alias("b")).where("a is not null and b is not null").distinct(), "url-edges")
+        if edges.isEmpty():
+            return keep(own.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", F.lit("allow")).alias("verdict")), "url-verdicts")
+        ends = links.select("url").union(links.select("target")).distinct()
+        extra = match_rules(ends.select("url", host(F.col("url")).alias("host"), path(F.col("url")).alias("path")), rules).select(resource(F.col("url")).alias("node"), "rule_verdict")
+        parts = cut(components(edges), "url-parts")
+        known = own.select("node", "rule_verdict").union(extra).where("node is not null and rule_verdict is not null").distinct()
+        decided = known.join(parts, "node").groupBy("component").agg(F.max((F.col("rule_verdict") == "allow").cast("int")).alias("allowed"))
+        spread = parts.join(decided, "component").select("node", F.when(F.col("allowed") == 1, "allow").otherwise("block").alias("part_verdict"))
+        out = own.join(spread, "node", "left")
+        return keep(out.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", "part_verdict", F.lit("allow")).alias("verdict")), "url-verdicts")
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"))
 
 
-#: The test pages have no explicit redirects or canonical links, and the forms of a URL share its rule; so no other verdict is spread.
+#: The test pages have no redirects or canonical links, so no verdict is spread.
 OP5_SQL = r"""
 WITH p AS (SELECT page_id, coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
                   coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages),

@@ -1,7 +1,7 @@
 """Operator 7: not-modified revisits resolved to full responses. DataFrame functions only.
 
-A revisit record (a 304 answer) has no payload; it stands for the latest earlier full response of its canonical URL,
-if a validator agrees: entity tags compared weakly where both sides have one, else Last-Modified, else the payload digest.
+A revisit record (a 304 answer) has no payload; it stands for the latest earlier full response of its canonical URL (without scheme, default
+port and fragment, the host in lower case; path and query name the resource, which a validator holds for), if a validator agrees: entity tags compared weakly where both sides have one, else Last-Modified, else the payload digest.
 The resolved record carries the response's locator and its headers, updated by those of the revisit that may be updated.
 
 The as-of join is a range partition by (URL, time): in each range, every revisit takes the last response before it; the
@@ -18,8 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sessionloom.llm.common import cut, table
-from sessionloom.llm.url_filter import canonical_form
+from sessionloom.llm.common import cut, scratch, table
+from sessionloom.llm.url_filter import resource
 
 #: Headers that a 304 answer may not change in the stored response.
 KEPT_HEADERS = ("connection", "content-encoding", "content-length", "content-md5", "content-range", "content-type", "keep-alive", "proxy-authenticate", "te", "trailer", "transfer-encoding", "upgrade")
@@ -46,32 +46,33 @@ def resolve(records: DataFrame) -> DataFrame:
     records: record_id, kind (`response` or `revisit`), url, ts (any ordered long), etag, last_modified, digest, headers, locator.
     outcome: `resolved`, `no response`, `no validator` or `changed`; all but the first give no locator.
     """
-    own = records.select(*[F.col(c).cast(t).alias(c) for c, t in FIELDS.items()]).where("kind in ('response', 'revisit')").withColumn("url_key", canonical_form(F.col("url")))
-    usable = F.col("url_key").isNotNull() & F.col("ts").isNotNull()
+    own = records.select(*[F.col(c).cast(t).alias(c) for c, t in FIELDS.items()]).where("kind in ('response', 'revisit')").withColumn("url_key", resource(F.col("url")))
     spark = records.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = own.where(usable).drop("url").repartitionByRange(ranges, "url_key", "ts", "record_id").withColumn("range", F.spark_partition_id())
-    ranged = cut(ranged, "warc-ranges")
-    response = F.when(F.col("kind") == "response", F.struct("record_id", "etag", "last_modified", "digest", "headers", "locator"))
-    order = ["ts", "record_id"]
-    inside = Window.partitionBy("range", "url_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    near = ranged.withColumn("found", F.last(response, ignorenulls=True).over(inside)).where("kind = 'revisit'")
-    last = ranged.where("kind = 'response'").groupBy("range", "url_key").agg(F.max_by(F.struct("record_id", "etag", "last_modified", "digest", "headers", "locator"), F.struct(*order)).alias("last"))
-    every = ranged.select("range", "url_key").distinct().join(last, ["range", "url_key"], "left")
-    handed = every.withColumn("handed", F.last("last", ignorenulls=True).over(Window.partitionBy("url_key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))).select("range", "url_key", "handed")
-    got = near.join(handed, ["range", "url_key"], "left").withColumn("r", F.coalesce("found", "handed"))
-    unusable = own.where(~usable & (F.col("kind") == "revisit")).withColumn("r", F.lit(None).cast(got.schema["r"].dataType))
-    columns = ["record_id", "url_key", "etag", "last_modified", "digest", "headers", "r"]
-    got = got.select(*columns).union(unusable.select(*columns))
-
-    strong = lambda c: F.regexp_replace(c, "^W/", "")
-    agree = F.when(F.col("etag").isNotNull() & F.col("r.etag").isNotNull(), strong(F.col("etag")) == strong(F.col("r.etag")))
-    agree = agree.when(F.col("last_modified").isNotNull() & F.col("r.last_modified").isNotNull(), F.col("last_modified") == F.col("r.last_modified"))
-    agree = agree.when(F.col("digest").isNotNull() & F.col("r.digest").isNotNull(), F.col("digest") == F.col("r.digest"))
-    outcome = F.when(F.col("r").isNull(), "no response").when(agree.isNull(), "no validator").when(agree, "resolved").otherwise("changed")
-    got = got.withColumn("outcome", outcome)
-    ok = F.col("outcome") == "resolved"
-    return got.select("record_id", "url_key", F.col("r.record_id").alias("response_id"), "outcome", F.when(ok, F.col("r.locator")).alias("locator"), F.when(ok, merged_headers(F.col("r.headers"), F.col("headers"))).alias("headers"))
+    with scratch(spark) as keep:
+        usable = F.col("url_key").isNotNull() & F.col("ts").isNotNull()
+        ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        ranged = own.where(usable).drop("url").repartitionByRange(ranges, "url_key", "ts", "record_id").withColumn("range", F.spark_partition_id())
+        ranged = cut(ranged, "warc-ranges")
+        response = F.when(F.col("kind") == "response", F.struct("record_id", "etag", "last_modified", "digest", "headers", "locator"))
+        order = ["ts", "record_id"]
+        inside = Window.partitionBy("range", "url_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        near = ranged.withColumn("found", F.last(response, ignorenulls=True).over(inside)).where("kind = 'revisit'")
+        last = ranged.where("kind = 'response'").groupBy("range", "url_key").agg(F.max_by(F.struct("record_id", "etag", "last_modified", "digest", "headers", "locator"), F.struct(*order)).alias("last"))
+        every = ranged.select("range", "url_key").distinct().join(last, ["range", "url_key"], "left")
+        handed = every.withColumn("handed", F.last("last", ignorenulls=True).over(Window.partitionBy("url_key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))).select("range", "url_key", "handed")
+        got = near.join(handed, ["range", "url_key"], "left").withColumn("r", F.coalesce("found", "handed"))
+        unusable = own.where(~usable & (F.col("kind") == "revisit")).withColumn("r", F.lit(None).cast(got.schema["r"].dataType))
+        columns = ["record_id", "url_key", "etag", "last_modified", "digest", "headers", "r"]
+        got = got.select(*columns).union(unusable.select(*columns))
+
+        strong = lambda c: F.regexp_replace(c, "^W/", "")
+        agree = F.when(F.col("etag").isNotNull() & F.col("r.etag").isNotNull(), strong(F.col("etag")) == strong(F.col("r.etag")))
+        agree = agree.when(F.col("last_modified").isNotNull() & F.col("r.last_modified").isNotNull(), F.col("last_modified") == F.col("r.last_modified"))
+        agree = agree.when(F.col("digest").isNotNull() & F.col("r.digest").isNotNull(), F.col("digest") == F.col("r.digest"))
+        outcome = F.when(F.col("r").isNull(), "no response").when(agree.isNull(), "no validator").when(agree, "resolved").otherwise("changed")
+        got = got.withColumn("outcome", outcome)
+        ok = F.col("outcome") == "resolved"
+        return keep(got.select("record_id", "url_key", F.col("r.record_id").alias("response_id"), "outcome", F.when(ok, F.col("r.locator")).alias("locator"), F.when(ok, merged_headers(F.col("r.headers"), F.col("headers"))).alias("headers")), "warc-revisits")
 
 
 #: Ticks after which the query asks for a page again.
@@ -99,8 +100,8 @@ def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP7_SQL = r"""
 WITH p AS (SELECT page_id, url, md5(coalesce(html, '')) AS tag, strlen(coalesce(html, '')) AS size, page_id * 10 AS t0,
   coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
-  regexp_replace(coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), ''), '(\.html?|/+)$', '') AS path FROM pages),
-k AS (SELECT *, CASE WHEN host <> '' THEN host || path END AS url_key FROM p),
+  coalesce(nullif(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), ''), '/') || regexp_extract(url, '^[^?#]*(\?[^#]*)', 1, 's') AS rest FROM pages),
+k AS (SELECT *, CASE WHEN host <> '' THEN regexp_replace(CASE WHEN lower(url) LIKE 'http://%' THEN regexp_replace(host, ':80$', '') WHEN lower(url) LIKE 'https://%' THEN regexp_replace(host, ':443$', '') ELSE host END, ':$', '') || rest END AS url_key FROM p),
 j AS (SELECT v.page_id, v.url_key, v.tag, v.t0, r.page_id AS rp, r.tag AS rtag, r.size AS rsize
       FROM k v ASOF LEFT JOIN k r ON v.url_key = r.url_key AND v.t0 + 1005 > r.t0)
 SELECT page_id * 2 + 1 AS record_id, url_key, rp * 2 AS response_id,

@@ -17,6 +17,7 @@ def test_rules_and_aliases(spark, literal, monkeypatch):
         (1, "http://WWW.bad.com/q?x=1", ""), (2, "https://bad.com/good/1#t", ""), (3, "http://mirror.io/p", page("http://bad.com/q")),
         (4, "http://mirror.io/p.html", ""), (5, "http://copy.io/", page("http://bad.com/good/2")), (6, "http://both.io/z", page("http://bad.com/good/3")),
         (7, "http://both.io/y", page("/z")), (8, "http://x.org/abc", None), (9, "http://xx.org/abc", ""), (10, None, ""), (11, "nothing", ""), (12, "http://a.net", ""),
+        (15, "http://mirror.io:80/p#top", ""), (16, "https://MIRROR.io/p?x=1", ""), (17, "http://bad.com.io/q?x=2", ""), (18, "http://ent.io/1", page("http&#58;//bad.com/?a=1&amp;b=2")), (19, "http://dots.io/a/b/c", page("../../x/./y")), (20, "http://dots.io/x/y", page("http://bad.com/")), (21, "http://dots.io/x/y?q", ""),
         (13, "http://r.io/1", '<META content="0; URL=http://bad.com/w" http-equiv="Refresh">'), (14, "http://t.io/1", ""), (1, "http://WWW.bad.com/q?x=1", ""),
     ]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("rule", F.lit("clash"))
@@ -26,7 +27,9 @@ def test_rules_and_aliases(spark, literal, monkeypatch):
         got.setdefault(r["page_id"], []).append((r["host"], r["path"], r["rule"], r["verdict"]))
     assert got[1] == [("www.bad.com", "/q", "bad.com/", "block")] * 2
     assert got[2] == [("bad.com", "/good/1", "bad.com/good/", "allow")]
-    assert got[3][0][2:] == (None, "block") and got[4][0][2:] == (None, "block")  # by the canonical link, and by form
+    assert got[3][0][2:] == (None, "block") and got[15][0][2:] == (None, "block")  # by the canonical link, and by the same URL spelt otherwise
+    assert got[4][0][3] == got[16][0][3] == got[17][0][3] == got[21][0][3] == "allow"  # another path or query without a link
+    assert got[18][0][3] == got[19][0][3] == got[20][0][3] == "block"
     assert got[5][0][3] == "allow" and got[6][0][3] == "allow" and got[7][0][3] == "allow"  # an explicit allow comes first
     assert got[8][0][2:] == ("x.org/a", "block") and got[9][0][2:] == (None, "allow")
     assert got[10] == got[11] == [("", "", None, "allow")] and got[12] == [("a.net", "", None, "allow")]
@@ -86,9 +89,9 @@ def test_revisit_ties_and_validators(spark):
 def test_revisits(spark):
     null = None
     rows = [
-        (1, "response", "http://a.b/x?1", 10, "e1", null, "d1", {"Content-Length": "5", "Date": "1", "X": "y"}, "l1"),
+        (1, "response", "http://A.b:80/x", 10, "e1", null, "d1", {"Content-Length": "5", "Date": "1", "X": "y"}, "l1"),
         (2, "revisit", "https://a.b/x#t", 20, "W/e1", null, null, {"content-length": "0", "DATE": "2"}, null),
-        (3, "response", "http://a.b/x/", 30, "e2", null, null, {}, "l3"),
+        (3, "response", "http://a.b/x", 30, "e2", null, null, {}, "l3"),
         (4, "revisit", "http://a.b/x", 30, "e2", null, null, null, null),
         (5, "revisit", "http://a.b/x", 40, "e1", null, null, {}, null),
         (6, "revisit", "http://a.b/y", 40, "e1", null, null, {}, null),
@@ -104,6 +107,29 @@ def test_revisits(spark):
     assert warc_revisits.resolve(df.limit(0)).count() == 0
 
 
+def test_queries_name_resources(spark):
+    """A validator of one query says nothing of another, nor does that of another path."""
+    rows = [(1, "response", "http://a.b/p?id=1", 10, "v1", "L1"), (2, "response", "http://a.b/p?id=2", 20, "v1", "L2"), (3, "revisit", "https://a.b:443/p?id=1#x", 30, "v1", None), (4, "revisit", "http://a.b/p", 30, "v1", None), (5, "response", "http://a.b/a.html", 5, "v1", "L5"), (6, "revisit", "http://a.b/a", 30, "v1", None), (7, "response", "http://a.b", 5, "v7", "L7"), (8, "revisit", "http://a.b/", 30, "v7", None)]
+    df = spark.createDataFrame(rows, "record_id long, kind string, url string, ts long, etag string, locator string").withColumns({c: F.lit(None) for c in ("last_modified", "digest", "headers")})
+    assert {r["record_id"]: (r["outcome"], r["locator"]) for r in warc_revisits.resolve(df).collect()} == {3: ("resolved", "L1"), 4: ("no response", None), 6: ("no response", None), 8: ("resolved", "L7")}
+
+
+@pytest.mark.parametrize("target,want", [("../x", "http://h/a/x"), ("/../x/./", "http://h/x/"), ("?q=1", "http://h/a/b/c?q=1"), ("#f", "http://h/a/b/c#f"), ("//o/p", "http://o/p"), ("mailto:a@b", None), ("", None), ("go?u=http://x", "http://h/a/b/go?u=http://x"), ("HTTPS://o", "HTTPS://o"), ("..", "http://h/a/"), ("&#x26;&amp;lt;&#233;", "http://h/a/b/&&lt;é"), ("a&#0;&#xD800;&zz;", "http://h/a/b/a&#0;&#xD800;&zz;")])
+def test_link_targets(spark, target, want):
+    got = spark.createDataFrame([(target, "http://h/a/b/c?z")], "t string, b string").select(url_filter.absolute(url_filter.decoded(F.col("t")), F.col("b"))).first()[0]
+    assert got == want
+
+
+def test_shared_folder_is_left_empty(spark, tmp_path, monkeypatch):
+    """Nothing but the result is left."""
+    monkeypatch.setattr("sessionloom.llm.common.shared_dir", lambda _: str(tmp_path))
+    pages = spark.createDataFrame([(1, "http://a.b/x", '<link rel=canonical href="/y">')], "page_id long, url string, html string")
+    url_filter.judge(pages).collect()
+    assert [p.name.split("-")[0:2] for p in tmp_path.iterdir()] == [["url", "verdicts"]]
+    warc_revisits.resolve(warc_revisits.page_records(pages)).collect()
+    assert sorted(p.name.split("-")[1] for p in tmp_path.iterdir()) == ["revisits", "verdicts"]
+
+
 def test_hot_url_over_many_ranges(spark):
     rows = [(k, "response" if k % 7 == 0 else "revisit", "http://hot/x", k, f"e{k - k % 7}") for k in range(700)]
     df = spark.createDataFrame(rows, "record_id long, kind string, url string, ts long, etag string").withColumns({c: F.lit(None) for c in ("last_modified", "digest", "headers", "locator")})
