@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import math
 import uuid
+from hashlib import md5
 from itertools import pairwise, product
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -17,8 +17,6 @@ from pyspark.sql.types import StructType
 
 from sessionloom.session import path_exists, shared_dir, written
 
-LAGS_AT_ONCE = 16
-
 
 def each_group(rows: DataFrame, key: str, order: list[str], run, schema: str) -> DataFrame:
     """run(key, table) gives tuples for each group; a group's rows come in order, and a task holds one group at a time.
@@ -174,10 +172,45 @@ def _of(rows: DataFrame, group: str) -> DataFrame:
     return rows.select(group, "series", F.col("t").cast("double").alias("t"), F.col("v").cast("double").alias("v"))
 
 
+def lags_of(reach: float, lag_step: float) -> np.ndarray:
+    return np.arange(-reach, reach + lag_step, lag_step)
+
+
+def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
+    """Least or greatest of each run of `width` values, in linear time: of two halves that meet at multiples of width."""
+    n = x.size - width + 1
+    whole = np.append(x, np.full(-x.size % width, x[-1])).reshape(-1, width)
+    ahead = pick.accumulate(whole, axis=1).ravel()
+    back = pick.accumulate(whole[:, ::-1], axis=1)[:, ::-1].ravel()
+    return pick(back[:n], ahead[width - 1 : width - 1 + n])
+
+
+def _lag_sums(a: np.ndarray, ta: np.ndarray, grid: np.ndarray, tb: np.ndarray, vb: np.ndarray, step: float, lags: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For each lag the sums of a*b, b, b*b over the grid, and the least and greatest b, of b(t - lag), held at its ends.
+
+    Lags in whole steps of the grid are runs of one longer series: products by FFT (directly where there are few), the rest by running sums.
+    """
+    off = np.rint(lags / step).astype(np.int64)
+    if np.abs(off * step - lags).max() > 1e-9 * max(1.0, step):
+        b = np.interp(grid[None, :] - lags[:, None], tb, vb)
+        return b @ a, b.sum(1), (b * b).sum(1), b.min(1), b.max(1)
+    n, most = grid.size, int(off.max())
+    delta = grid[1] - grid[0] if n > 1 else step
+    long = np.interp(np.concatenate([grid[0] - delta * np.arange(most, 0, -1), grid, grid[-1] + delta * np.arange(1, 1 - int(off.min()))]) if most >= 0 and off.min() <= 0 else grid[0] + delta * np.arange(-most, n - int(off.min())), tb, vb)
+    at = most - off
+    if n * lags.size <= 200_000:
+        b = np.lib.stride_tricks.sliding_window_view(long, n)[at]
+        return b @ a, b.sum(1), (b * b).sum(1), b.min(1), b.max(1)
+    size = 1 << (long.size + n - 1).bit_length()
+    products = np.fft.irfft(np.fft.rfft(long, size) * np.conj(np.fft.rfft(a, size)), size)[at]
+    runs = lambda x: (lambda c: c[at + n] - c[at])(np.append(0.0, np.cumsum(x)))
+    return products, runs(long), runs(long * long), _sliding(long, n, np.minimum)[at], _sliding(long, n, np.maximum)[at]
+
+
 def best_lag_of(ta, va, tb, vb, grid_step: float, reach: float, lag_step: float, least_overlap: float = 0.0, least: int = 5, flat: float = 1e-9) -> tuple[float, float]:
     """(lag, r): the first of the lags from -reach on with the largest |correlation| of a(t) and b(t - lag); (0, 0) if none.
 
-    The grid is the time both series share without a lag; b is held at its ends. A side that hardly varies on the grid gives 0.
+    The grid is the time both series share without a lag; b is held at its ends. A side that hardly varies on the grid gives 0. Correlations that are equal to nine places tie.
     """
     if min(ta.size, tb.size) < least:
         return 0.0, 0.0
@@ -186,28 +219,96 @@ def best_lag_of(ta, va, tb, vb, grid_step: float, reach: float, lag_step: float,
         return 0.0, 0.0
     grid = np.arange(lo, hi, grid_step)
     a = np.interp(grid, ta, va)
-    if a.std() < flat:
+    a = a - a.mean()
+    spread = a.std()
+    if spread < flat:
         return 0.0, 0.0
-    a = (a - a.mean()) / (a.std() * a.size)
-    lags, found = np.arange(-reach, reach + lag_step, lag_step), []
-    for part in np.array_split(lags, -(-lags.size // LAGS_AT_ONCE)):
-        b = np.interp(grid[None, :] - part[:, None], tb, vb)
-        spread = b.std(axis=1)
-        found.append(np.where(spread < flat, 0.0, (b - b.mean(axis=1, keepdims=True)) @ a / np.where(spread < flat, 1.0, spread)))
-    r = np.concatenate(found)
-    k = int(np.abs(r).argmax())
+    lags = lags_of(reach, lag_step)
+    ab, sb, sbb, low, high = _lag_sums(a, ta, grid, tb, vb - vb.mean(), grid_step, lags)
+    deviation = np.sqrt(np.maximum(0.0, sbb / grid.size - (sb / grid.size) ** 2))
+    flat_b = (high - low < flat) | (deviation < flat)
+    r = np.where(flat_b, 0.0, ab / grid.size / (spread * np.where(flat_b, 1.0, deviation)))
+    k = int(np.round(np.abs(r), 9).argmax())
     return (float(lags[k]), float(r[k])) if r[k] else (0.0, 0.0)
 
 
-def best_lag(rows: DataFrame, group: str, a: str, b: str, grid_step: float = 0.02, reach: float = 1.0, lag_step: float = 0.02, least_overlap: float = 0.0) -> DataFrame:
-    """group, lag, r of the series named a and b in rows (group, series, t, v)."""
+#: Grid points of a block of a series.
+BLOCK_POINTS = 65_536
 
-    def run(key, t: pa.Table) -> list[tuple]:
-        (ta, va), (tb, vb) = _series(t, (a, b))
-        return [(key, *best_lag_of(ta, va, tb, vb, grid_step, reach, lag_step, least_overlap))]
 
-    kind = rows.schema[group].dataType.simpleString()
-    return each_group(_of(rows, group), group, ["series", "t"], run, f"{group} {kind}, lag double, r double")
+def best_lags(rows: DataFrame, group: str, pairs: list[tuple[str, str]], grid_step: float = 0.02, reach: float = 1.0, lag_step: float = 0.02, least_overlap: float = 0.0, block: int = BLOCK_POINTS, least: int = 5, flat: float = 1e-9) -> DataFrame:
+    """group, a, b, lag, r for the pairs (a, b) of series names in rows (group, series, t, v): what `best_lag_of` gives, with long series spread over tasks.
+
+    The grid of a pair is cut into blocks of `block` points (of `reach` at least). A block takes its own samples and those of the blocks beside it, and, where these have none
+    that far out, the last sample before and the first one after: one row for each block. It gives sums for each lag, which Spark adds up. Pairs without enough samples or overlap give no row.
+    """
+    rows = _of(rows, group).where("t is not null and v is not null and not isnan(t) and not isnan(v)").where(F.col(group).isNotNull())
+    spark, kind = rows.sparkSession, rows.schema[group].dataType.simpleString()
+    block = max(block, math.ceil(reach / grid_step) + 1)
+    ends = rows.groupBy(group, "series").agg(F.min("t").alias("t0"), F.max("t").alias("t1"), F.count(F.lit(1)).alias("m"), F.avg("v").alias("mean"))
+    side = lambda x: ends.select(F.col(group), F.col("series").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("t0", "t1", "m", "mean")])
+    named = F.broadcast(spark.createDataFrame(list(dict.fromkeys(pairs)), "a string, b string"))  # the caller's pairs
+    lo, hi = F.greatest("a_t0", "b_t0"), F.least("a_t1", "b_t1")
+    met = side("a").join(named, "a").join(side("b"), [group, "b"]).withColumns({"lo": lo, "span": hi - lo})
+    met = met.where((F.col("span") > 0) & (F.col("span") >= least_overlap) & (F.least("a_m", "b_m") >= least))
+    met = written(met.select(group, "a", "b", "a_mean", "b_mean", "lo", F.ceil(F.col("span") / grid_step).cast("long").alias("n"), F.greatest(F.lit(1), F.ceil(F.ceil(F.col("span") / grid_step) / block)).cast("int").alias("blocks")), "lag-pairs")
+    width = block * grid_step
+
+    def of(x: str) -> DataFrame:
+        own = rows.join(met.withColumn("series", F.col(x)), [group, "series"]).withColumn("home", F.greatest(F.lit(0), F.least(F.col("blocks") - 1, F.floor((F.col("t") - F.col("lo")) / width))).cast("int"))
+        near = own.withColumn("block", F.explode(F.sequence(F.greatest(F.lit(0), F.col("home") - 1), F.least(F.col("blocks") - 1, F.col("home") + 1))))
+        columns = [group, "a", "b", "block", "t", "v"]
+        return near.select(*columns), own
+
+    parts = []
+    for x in ("a", "b"):
+        near, own = of(x)
+        parts.append(near.withColumn("series", F.lit(x)))
+        if not met.where("blocks > 2").isEmpty():
+            key = [group, "a", "b"]
+            sample = F.struct("t", "v")
+            edges = own.where("blocks > 2").groupBy(*key, "home").agg(F.min(sample).alias("first"), F.max(sample).alias("last"))
+            all_ = met.where("blocks > 2").select(*key, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("home")).join(edges, [*key, "home"], "left")
+            w = Window.partitionBy(*key).orderBy("home")
+            far = all_.select(*key, F.col("home").alias("block"), F.last("last", True).over(w.rowsBetween(Window.unboundedPreceding, -2)).alias("before"), F.first("first", True).over(w.rowsBetween(2, Window.unboundedFollowing)).alias("after"))
+            far = far.select(*key, "block", F.explode(F.array("before", "after")).alias("x")).where("x is not null")
+            parts.append(far.select(*key, "block", "x.t", "x.v", F.lit(x).alias("series")))
+    samples = parts[0]
+    for p in parts[1:]:
+        samples = samples.unionByName(p)
+    samples = samples.join(met, [group, "a", "b"]).withColumn("key", F.struct(group, "a", "b", "block").cast("string"))
+    lags = lags_of(reach, lag_step)
+
+    def run(key, t: pa.Table) -> list[tuple]:
+        (ta, va), (tb, vb) = _series(t, ("a", "b"))
+        one = {c: t.column(c)[0].as_py() for c in (group, "a", "b", "block", "a_mean", "b_mean", "lo", "n")}
+        first = one["block"] * block
+        delta = (one["lo"] + grid_step) - one["lo"]
+        grid = one["lo"] + delta * np.arange(first, min(first + block, one["n"]))
+        if not (grid.size and ta.size and tb.size):
+            return []
+        a = np.interp(grid, ta, va) - one["a_mean"]
+        sums = _lag_sums(a, ta, grid, tb, vb - one["b_mean"], grid_step, lags)
+        return [(one[group], one["a"], one["b"], grid.size, float(a.sum()), float(a @ a), float(a.min()), float(a.max()), *(x.tolist() for x in sums))]
+
+    arrays = ["ab", "sb", "sbb", "low", "high"]
+    found = each_group(samples.select("key", group, "a", "b", "block", "series", "t", "v", "a_mean", "b_mean", "lo", "n"), "key", ["series", "t"], run, f"{group} {kind}, a string, b string, n long, sa double, saa double, a_low double, a_high double, " + ", ".join(f"{c} array<double>" for c in arrays))
+    each = found.select(group, "a", "b", "n", "sa", "saa", "a_low", "a_high", F.posexplode(F.arrays_zip(*arrays)).alias("k", "x")).select(group, "a", "b", "k", "n", "sa", "saa", "a_low", "a_high", "x.*")
+    total = each.groupBy(group, "a", "b", "k").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "saa", "ab", "sb", "sbb")], *[F.min(c).alias(c) for c in ("a_low", "low")], *[F.max(c).alias(c) for c in ("a_high", "high")])
+    var = lambda q, s: F.greatest(F.lit(0.0), F.col(q) / F.col("n") - F.pow(F.col(s) / F.col("n"), 2))
+    da, db = F.sqrt(var("saa", "sa")), F.sqrt(var("sbb", "sb"))
+    none = (F.col("a_high") - F.col("a_low") < flat) | (F.col("high") - F.col("low") < flat) | (da < flat) | (db < flat)
+    r = F.when(none, 0.0).otherwise(F.try_divide(F.col("ab") / F.col("n") - F.col("sa") / F.col("n") * F.col("sb") / F.col("n"), da * db))
+    best = total.withColumn("r", r).groupBy(group, "a", "b").agg(F.max(F.struct(F.round(F.abs("r"), 9).alias("size"), (-F.col("k")).alias("k"), "r")).alias("x"))
+    lag = F.element_at(F.array(*[F.lit(float(x)) for x in lags]), (1 - F.col("x.k")).cast("int"))
+    return best.select(group, "a", "b", F.when(F.col("x.r") != 0, lag).otherwise(0.0).alias("lag"), F.col("x.r").alias("r"))
+
+
+def best_lag(rows: DataFrame, group: str, a: str, b: str, grid_step: float = 0.02, reach: float = 1.0, lag_step: float = 0.02, least_overlap: float = 0.0, block: int = BLOCK_POINTS) -> DataFrame:
+    """group, lag, r of the series named a and b in rows (group, series, t, v); 0 and 0 for groups without enough of both."""
+    found = best_lags(rows, group, [(a, b)], grid_step, reach, lag_step, least_overlap, block).select(group, "lag", "r")
+    groups = rows.select(group).where(F.col(group).isNotNull()).distinct()
+    return groups.join(found, group, "left").select(group, F.coalesce("lag", F.lit(0.0)).alias("lag"), F.coalesce("r", F.lit(0.0)).alias("r"))
 
 
 #: Left and right video with left and right sensor.
@@ -215,21 +316,19 @@ PAIRS = tuple(product(("left", "right"), ("left", "right")))
 SIDES = ("video_left", "video_right", "sensor_left", "sensor_right")
 
 
-def pairings(rows: DataFrame, group: str, grid_step: float = 0.02, reach: float = 1.0, lag_step: float = 0.02, least_points: int = 30, least_span: float = 3.0) -> DataFrame:
+def pairings(rows: DataFrame, group: str, grid_step: float = 0.02, reach: float = 1.0, lag_step: float = 0.02, least_points: int = 30, least_span: float = 3.0, block: int = BLOCK_POINTS) -> DataFrame:
     """group, r_ll, r_lr, r_rl, r_rr (video side, sensor side), lag_ll, lag_rr, enough_left, enough_right of series SIDES.
 
     enough: the video's samples suffice (least_points and least_span).
     """
-
-    def run(key, t: pa.Table) -> list[tuple]:
-        s = dict(zip(SIDES, _series(t, SIDES), strict=True))
-        found = {p: best_lag_of(*s[f"video_{p[0]}"], *s[f"sensor_{p[1]}"], grid_step, reach, lag_step) for p in PAIRS}
-        enough = [bool(x.size >= least_points and x[-1] - x[0] >= least_span) for x in (s["video_left"][0], s["video_right"][0])]
-        return [(key, *(found[p][1] for p in PAIRS), found["left", "left"][0], found["right", "right"][0], *enough)]
-
-    kind = rows.schema[group].dataType.simpleString()
-    names = ", ".join(f"r_{a[0]}{b[0]} double" for a, b in PAIRS)
-    return each_group(_of(rows, group), group, ["series", "t"], run, f"{group} {kind}, {names}, lag_ll double, lag_rr double, enough_left boolean, enough_right boolean")
+    found = best_lags(rows, group, [(f"video_{v}", f"sensor_{s}") for v, s in PAIRS], grid_step, reach, lag_step, block=block)
+    of = lambda c, v, s: F.max(F.when((F.col("a") == f"video_{v}") & (F.col("b") == f"sensor_{s}"), F.col(c)))
+    wide = found.groupBy(group).agg(*[of("r", v, s).alias(f"r_{v[0]}{s[0]}") for v, s in PAIRS], *[of("lag", v, v).alias(f"lag_{v[0]}{v[0]}") for v in ("left", "right")])
+    sound = rows.where(F.col(group).isNotNull())
+    mine = lambda v: F.when((F.col("series") == f"video_{v}") & F.col("v").isNotNull(), F.col("t"))
+    enough = sound.groupBy(group).agg(*[F.coalesce((F.count(mine(v)) >= least_points) & (F.max(mine(v)) - F.min(mine(v)) >= least_span), F.lit(False)).alias(f"enough_{v}") for v in ("left", "right")])
+    zero = lambda c: F.coalesce(c, F.lit(0.0)).alias(c)
+    return enough.join(wide, group, "left").select(group, *[zero(f"r_{v[0]}{s[0]}") for v, s in PAIRS], zero("lag_ll"), zero("lag_rr"), "enough_left", "enough_right")
 
 
 def lagged_products(x: np.ndarray, y: np.ndarray, reach: int) -> np.ndarray:
@@ -322,16 +421,20 @@ def speed_of(t: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (t[1:] + t[:-1]) / 2, np.abs(np.diff(v[first])) / np.diff(t)
 
 
-def permutation_test(rows: DataFrame, group: str, draws: int = 300, grid_step: float = 0.05, reach: float = 0.5, lag_step: float = 0.05, guard: float = 1.0, least_overlap: float = 2.0, refine: int | None = None) -> DataFrame:
-    """group, margin, p, vote: are left video and sensor, and right ones, paired rightly?
+def draw_shares(name: str, draws: range) -> np.ndarray:
+    """Numbers from 0 to below 1 that belong to a group's name and the draws' numbers: the first 32 bits of MD5 of `name:number`, which any engine can compute."""
+    return np.array([int(md5(f"{name}:{k}".encode()).hexdigest()[:8], 16) for k in draws]) / 2.0**32
 
-    Series SIDES: flow of the videos, openings of the sensors, of which the speeds are compared.
-    margin = |LL| + |RR| - |LR| - |RL| of best-lag correlations. Each draw shifts both sensors by one circular shift, from guard
-    to the shorter sensor's span less guard; p is (1 + draws with a margin as large) / (1 + draws), or 1 where a sensor is too short
-    to be shifted. Draws come from a generator seeded by the group's name, so runs repeat.
-    With refine, a group whose p is below 0.05 is drawn anew, so often, and that p replaces the first.
-    Groups with fewer than five points in a series are left out.
+
+DRAWS_AT_ONCE = 50
+
+
+def _margins(rows: DataFrame, group: str, draws: int, at_once: int, how: dict) -> DataFrame:
+    """group, margin, draws, as_large: the real margin, how many draws there are, and how many of their margins are as large.
+
+    The draws are numbered and cut into blocks of `at_once`. Each block is a row for each of a group's samples, so a group's draws are spread over tasks; the counts are added by Spark.
     """
+    guard, grid_step, reach, lag_step, least_overlap = (how[k] for k in ("guard", "grid_step", "reach", "lag_step", "least_overlap"))
 
     def shifted(t: np.ndarray, v: np.ndarray, shift: float) -> tuple[np.ndarray, np.ndarray]:
         at = t[0] + np.mod(t - t[0] + shift, t[-1] - t[0])
@@ -348,23 +451,43 @@ def permutation_test(rows: DataFrame, group: str, draws: int = 300, grid_step: f
             r = {p: abs(best_lag_of(*s[f"video_{p[0]}"], *moved[p[1]], grid_step, reach, lag_step, least_overlap)[1]) for p in PAIRS}
             return sum(v if a == b else -v for (a, b), v in r.items())
 
+        name, block = t.column(group)[0].as_py(), t.column("block")[0].as_py()
         real = margin(sensors)
         period = min(x[0][-1] - x[0][0] for x in sensors.values())
+        if period <= 2 * guard:
+            return [(name, real, 0, 0)]
+        mine = range(block * at_once, min(draws, (block + 1) * at_once))
+        shifts = guard + draw_shares(str(name), mine) * (period - 2 * guard)
+        # margins that agree to nine places are as large
+        as_large = sum(round(abs(margin({side: shifted(*x, shift) for side, x in sensors.items()})) - abs(real), 9) >= 0 for shift in shifts)
+        return [(name, real, len(mine), as_large)]
 
-        def share(draws: int) -> float:
-            if period <= 2 * guard:
-                return 1.0
-            shifts = np.random.default_rng(crc32(str(key).encode())).uniform(guard, period - guard, draws)
-            as_large = sum(abs(margin({side: shifted(*x, shift) for side, x in sensors.items()})) >= abs(real) for shift in shifts)
-            return (1 + as_large) / (1 + draws)
+    kind = rows.schema[group].dataType.simpleString()
+    placed = _of(rows, group).where(F.col(group).isNotNull()).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(0, math.ceil(draws / at_once) - 1)))))
+    placed = placed.withColumn("key", F.struct(group, "block").cast("string"))
+    found = each_group(placed, "key", ["series", "t"], run, f"{group} {kind}, margin double, draws long, as_large long")
+    return found.groupBy(group).agg(F.max("margin").alias("margin"), F.sum("draws").alias("draws"), F.sum("as_large").alias("as_large"))
 
-        p = share(draws)
-        if refine and p < 0.05:
-            p = share(refine)
-        return [(key, real, p, "inconclusive" if p >= 0.05 else "same" if real > 0 else "swap")]
 
-    kind = rows.schema[group].dataType.simpleString()
-    return each_group(_of(rows, group), group, ["series", "t"], run, f"{group} {kind}, margin double, p double, vote string")
+def permutation_test(rows: DataFrame, group: str, draws: int = 300, grid_step: float = 0.05, reach: float = 0.5, lag_step: float = 0.05, guard: float = 1.0, least_overlap: float = 2.0, refine: int | None = None, at_once: int = DRAWS_AT_ONCE) -> DataFrame:
+    """group, margin, p, vote: are left video and sensor, and right ones, paired rightly?
+
+    Series SIDES: flow of the videos, openings of the sensors, of which the speeds are compared.
+    margin = |LL| + |RR| - |LR| - |RL| of best-lag correlations. Each draw shifts both sensors by one circular shift, from guard
+    to the shorter sensor's span less guard; p is (1 + draws with a margin as large) / (1 + draws), or 1 where a sensor is too short
+    to be shifted. Draws are numbered and belong to the group's name (`draw_shares`), so p is the same however they are cut into blocks.
+    With refine, a group whose p is below 0.05 is drawn anew, so often, and that p replaces the first.
+    Groups with fewer than five points in a series are left out.
+    """
+    how = {"guard": guard, "grid_step": grid_step, "reach": reach, "lag_step": lag_step, "least_overlap": least_overlap}
+    p = (1 + F.col("as_large")) / (1 + F.col("draws"))
+    first = _margins(rows, group, draws, at_once, how).select(group, "margin", p.alias("p"))
+    if refine:
+        first = written(first, "first-draws")
+        close = first.where("p < 0.05").select(group)
+        again = _margins(rows.join(close, group, "left_semi"), group, refine, at_once, how).select(group, p.alias("_p"))
+        first = first.join(again, group, "left").select(group, "margin", F.coalesce("_p", "p").alias("p"))
+    return first.withColumn("vote", F.when(F.col("p") >= 0.05, "inconclusive").when(F.col("margin") > 0, "same").otherwise("swap"))
 
 
 def pairing_verdicts(rows: DataFrame, group: str, draws: int = 300, refine: int = 5000, q: float = 0.05, **how) -> DataFrame:

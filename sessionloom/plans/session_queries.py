@@ -207,10 +207,26 @@ def full_pairing(spark, d):
     return rounded(out, "r_ll", "r_lr", "r_rl", "r_rr").select("user_id", "r_ll", "r_lr", "r_rl", "r_rr", "verdict")
 
 
-@query()
+@query(f"""
+WITH {_series_sql(_PAIRS4, 86400)}, sp AS (SELECT user_id, series, (t + t2) / 2 AS t, abs(v2 - v) / (t2 - t) AS v FROM seg JOIN ends USING (user_id, series) WHERE series LIKE 'sensor%' AND t2 IS NOT NULL AND n >= 4),
+se AS (SELECT user_id, series, min(t) AS t0, max(t) AS t1, count(*) AS n FROM sp GROUP BY ALL),
+ok AS (SELECT user_id FROM (SELECT user_id, n FROM se UNION ALL SELECT user_id, n FROM ends WHERE series LIKE 'video%') GROUP BY 1 HAVING count(*) = 4 AND min(n) >= 5), per AS (SELECT user_id, min(t1 - t0) AS period FROM se JOIN ok USING (user_id) GROUP BY 1),
+dr AS (SELECT user_id, -1 AS d, 0e0 AS shift FROM per UNION ALL SELECT user_id, d, 1 + (('0x' || substr(md5(user_id || ':' || d), 1, 8))::BIGINT / 4294967296e0) * (period - 2) FROM per, range(20) r(d) WHERE period > 2),
+mv AS (SELECT sp.user_id, d, sp.series, sp.t AS orig, CASE WHEN d < 0 THEN sp.t ELSE se.t0 + (sp.t - se.t0 + shift) % (se.t1 - se.t0) END AS t, sp.v FROM dr JOIN sp USING (user_id) JOIN se ON se.user_id = sp.user_id AND se.series = sp.series),
+ms AS (SELECT * FROM (SELECT *, lead(t) OVER w AS t2, lead(v) OVER w AS v2 FROM mv WINDOW w AS (PARTITION BY user_id, d, series ORDER BY t, orig)) WHERE t2 IS NULL OR t2 > t), me AS (SELECT user_id, d, series, min(t) AS t0, max(t) AS t1, arg_min(v, (t, orig)) AS first_v FROM mv GROUP BY ALL),
+p(v, s) AS (VALUES ('video_left', 'sensor_left'), ('video_left', 'sensor_right'), ('video_right', 'sensor_left'), ('video_right', 'sensor_right')),
+g AS (SELECT a.user_id, b.d, p.v, p.s, greatest(a.t0, b.t0) AS lo, least(a.t1, b.t1) AS hi FROM p JOIN ends a ON a.series = p.v JOIN me b ON b.series = p.s AND b.user_id = a.user_id),
+pts AS (SELECT user_id, d, v, s, i, lo + i * 1e0 AS x FROM (SELECT *, unnest(range(0, CAST(ceil(hi - lo) AS BIGINT))) AS i FROM g WHERE hi > lo AND hi - lo >= 2)),
+av AS (SELECT p.*, CASE WHEN s.t IS NULL THEN e.first_v WHEN s.t2 IS NULL THEN s.v ELSE s.v + (p.x - s.t) / (s.t2 - s.t) * (s.v2 - s.v) END AS y FROM (SELECT *, v AS series FROM pts) p JOIN ends e ON e.user_id = p.user_id AND e.series = p.v ASOF LEFT JOIN seg s ON s.user_id = p.user_id AND s.series = p.series AND s.t <= p.x),
+lagged AS (SELECT user_id, d, v, s, i, k, x - (k - 2) * 1e0 AS x FROM pts, range(5) r(k)),
+bv AS (SELECT p.user_id, p.d, p.v, p.s, p.i, p.k, CASE WHEN m.t IS NULL THEN e.first_v WHEN m.t2 IS NULL THEN m.v ELSE m.v + (p.x - m.t) / (m.t2 - m.t) * (m.v2 - m.v) END AS y FROM (SELECT *, s AS series FROM lagged) p JOIN me e ON e.user_id = p.user_id AND e.d = p.d AND e.series = p.s ASOF LEFT JOIN ms m ON m.user_id = p.user_id AND m.d = p.d AND m.series = p.series AND m.t <= p.x),
+r AS (SELECT a.user_id, a.d, a.v, a.s, k, CASE WHEN stddev_pop(a.y) < 1e-9 OR stddev_pop(b.y) < 1e-9 THEN 0 ELSE covar_pop(a.y, b.y) / (stddev_pop(a.y) * stddev_pop(b.y)) END AS r FROM av a JOIN bv b USING (user_id, d, v, s, i) GROUP BY ALL),
+best AS (SELECT user_id, d, v, s, max(abs(r)) AS r FROM r GROUP BY ALL), w AS (SELECT dr.user_id, dr.d, coalesce(sum(CASE WHEN substr(v, 7) = substr(s, 8) THEN r ELSE -r END), 0) AS margin FROM dr LEFT JOIN best ON best.user_id = dr.user_id AND best.d = dr.d GROUP BY 1, 2),
+f AS (SELECT a.user_id, a.margin, (1 + count(b.d) FILTER (WHERE round(abs(b.margin) - abs(a.margin), 9) >= 0)) / (1 + count(b.d)) AS p FROM w a LEFT JOIN w b ON b.user_id = a.user_id AND b.d >= 0 WHERE a.d = -1 GROUP BY 1, 2)
+SELECT user_id, round(margin, 6) AS margin, round(p, 9) AS p, CASE WHEN p >= 0.05 THEN 'inconclusive' WHEN margin > 0 THEN 'same' ELSE 'swap' END AS vote FROM f""")
 def permutation_test(spark, d):
-    """Draws are random numbers of a seeded generator: no SQL; tests hold it against a plain loop."""
-    return G.permutation_test(_series(spark, d, _PAIRS4, 86_400), "user_id", draws=20, grid_step=1.0, reach=2.0, lag_step=1.0)
+    out = G.permutation_test(_series(spark, d, _PAIRS4, 86_400), "user_id", draws=20, grid_step=1.0, reach=2.0, lag_step=1.0)
+    return rounded(out, "margin").withColumn("p", F.round("p", 9))
 
 
 _QUICK = Fixture("events", "user_id AS session", "CASE WHEN event_id % 2 = 0 THEN 'left' ELSE 'right' END AS side", "event_id AS sample_id", "event_id * 1e0 AS t", "CASE WHEN event_id % 11 > 0 THEN value END AS distance", "value + event_id % 5 AS opening", where="event_type = 'purchase'")

@@ -124,7 +124,7 @@ def test_permutation_test(spark):
 
 def test_permutation_test_is_a_plain_loop(spark):
     """One interpolation for each draw, pair and lag."""
-    from zlib import crc32
+    from hashlib import md5
 
     rows = paired("s", np.random.default_rng(4), span=12.0)
     s = {n: tuple(np.array([r[k] for r in rows if r[1] == n]) for k in (2, 3)) for n in G.SIDES}
@@ -145,7 +145,8 @@ def test_permutation_test_is_a_plain_loop(spark):
     speed = {k: ((s[f"sensor_{k}"][0][1:] + s[f"sensor_{k}"][0][:-1]) / 2, np.abs(np.diff(s[f"sensor_{k}"][1])) / 0.5) for k in ("left", "right")}
     real, over = margin(speed), 0
     period = speed["left"][0][-1] - speed["left"][0][0]
-    for shift in np.random.default_rng(crc32(b"s")).uniform(1, period - 1, 15):
+    for k in range(15):
+        shift = 1 + int(md5(f"s:{k}".encode()).hexdigest()[:8], 16) / 2**32 * (period - 2)
         moved = {}
         for k, (t, v) in speed.items():
             at = [t[0] + (x - t[0] + shift) % (t[-1] - t[0]) for x in t]
@@ -154,6 +155,55 @@ def test_permutation_test_is_a_plain_loop(spark):
         over += abs(margin(moved)) >= abs(real)
     got = G.permutation_test(spark.createDataFrame(rows, SERIES), "g", 15, grid_step=0.25, reach=0.5, lag_step=0.25).first()
     assert abs(got["margin"] - real) < 1e-9 and got["p"] == (1 + over) / 16
+    for at_once in (1, 4, 100):
+        assert G.permutation_test(spark.createDataFrame(rows, SERIES), "g", 15, grid_step=0.25, reach=0.5, lag_step=0.25, at_once=at_once).first()["p"] == got["p"]
+
+
+def plain_best_lag(ta, va, tb, vb, step, reach, lag_step):
+    """One interpolation for each lag."""
+    lo, hi = max(ta[0], tb[0]), min(ta[-1], tb[-1])
+    if min(len(ta), len(tb)) < 5 or hi <= lo:
+        return 0.0, 0.0
+    grid, found = np.arange(lo, hi, step), []
+    a = np.interp(grid, ta, va)
+    for lag in np.arange(-reach, reach + lag_step, lag_step):
+        b = np.interp(grid - lag, tb, vb)
+        flat = a.std() < 1e-9 or b.std() < 1e-9
+        found.append((lag, 0.0 if flat else float(((a - a.mean()) * (b - b.mean())).mean() / (a.std() * b.std()))))
+    k = int(np.round(np.abs([r for _, r in found]), 9).argmax())
+    return found[k] if found[k][1] else (0.0, 0.0)
+
+
+def test_lags_in_blocks(spark):
+    """Blocks of any size, series with gaps over several blocks, constant ones, short ones, and lags that are no steps of the grid."""
+    rng = np.random.default_rng(6)
+    made = {}
+    for g, (n, m) in {"long": (900, 700), "gaps": (60, 300), "short": (3, 40), "flat": (200, 200), "apart": (50, 50)}.items():
+        ta, tb = np.sort(rng.uniform(0, 60, n)), np.sort(rng.uniform(0, 60, m)) + (100 if g == "apart" else 0)
+        if g == "gaps":
+            ta, tb = np.append(ta[ta < 10], ta[ta > 45]), np.append(tb[tb < 20], tb[tb > 55])
+        f = lambda t: np.sin(t) + np.sin(2.3 * t) + 5
+        made[g] = ta, np.full(ta.size, 3e5) if g == "flat" else f(ta), tb, 40 * f(tb - 0.7) + rng.normal(size=tb.size)
+    rows = [(g, n, float(t), float(v)) for g, (ta, va, tb, vb) in made.items() for n, x, y in (("a", ta, va), ("b", tb, vb)) for t, v in zip(x, y, strict=True)] + [("empty", "c", 1.0, 1.0), (None, "a", 1.0, 1.0), ("long", "a", None, 1.0), ("long", "b", 1.0, None)]
+    df = spark.createDataFrame(rows, SERIES)
+    for step, lag_step in ((0.1, 0.1), (0.1, 0.2), (0.1, 0.07)):
+        want = {g: plain_best_lag(*x, step, 1.4, lag_step) for g, x in made.items()} | {"empty": (0.0, 0.0)}
+        for block in (20, 150, 10**6):
+            got = {r["g"]: (r["lag"], r["r"]) for r in G.best_lag(df, "g", "a", "b", step, 1.4, lag_step, block=block).collect()}
+            assert set(got) == set(want) and all(np.allclose(got[g], want[g], rtol=0, atol=1e-9) for g in want), (step, lag_step, block, got, want)
+    assert abs(want["long"][0] + 0.7) < 0.1
+
+
+def test_products_by_fft_are_the_direct_ones():
+    rng = np.random.default_rng(2)
+    t = np.sort(rng.uniform(0, 500, 6000))
+    v, grid, lags = rng.normal(size=6000), np.arange(3.0, 480.0, 0.05), G.lags_of(2.0, 0.05)
+    a = rng.normal(size=grid.size)
+    got = G._lag_sums(a, None, grid, t, v, 0.05, lags)
+    b = np.interp(grid[None, :] - lags[:, None], t, v)
+    assert grid.size * lags.size > 200_000
+    for x, y in zip(got, (b @ a, b.sum(1), (b * b).sum(1), b.min(1), b.max(1)), strict=True):
+        assert np.allclose(x, y, rtol=0, atol=1e-8)
 
 
 def test_pairing_verdicts_find_one_swap_among_many(spark):
