@@ -64,7 +64,9 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_ITSELF = {"li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr", "td": "td th", "th": "td th", "option": "option"}
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<[!?][^>]*>|<(script|style|noscript|template|textarea|title|svg|iframe)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+_OPENING = re.compile(r"<(?:(!--)|(!\[CDATA\[)|([!?])|(/?)([a-zA-Z][^\s/>]*))", re.I)
+_TAG_END = re.compile(r">|=\s*([\"'])")
+_RAW = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "noscript", "template", "textarea", "title", "svg", "iframe")}
 _ATTR = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-z0-9]+")
 
@@ -88,20 +90,77 @@ def _marked(name: str, attrs: str, in_content: bool) -> int:
     return 0 if MARKS.isdisjoint(names) else SOFT if THREADS.isdisjoint(names) else FIRM
 
 
+def tags(html: str):
+    """(start, end, name or None, whether it closes, attributes) of tags, comments and declarations, each with what it hides (scripts and the like).
+
+    One pass: what is looked at is passed over. A quote counts as one behind `=`, if it is closed; where a tag would then have no end, quotes count no more. A comment without an end
+    hides the rest; behind the last `>` nothing else is a tag.
+    """
+    last, at, quotes = html.rfind(">"), 0, True
+    open_quotes = {'"', "'"}  # those of which another may follow
+
+    def tag_end(begin: int) -> int:
+        nonlocal quotes
+        k = begin
+        while quotes:
+            m = _TAG_END.search(html, k)
+            if m is None:
+                quotes = False
+                break
+            if m[1] is None:
+                return m.start()
+            k = m.end()
+            if m[1] in open_quotes:
+                shut = html.find(m[1], k)
+                if shut < 0:
+                    open_quotes.discard(m[1])
+                else:
+                    k = shut + 1
+        return html.find(">", begin)
+
+    while m := _OPENING.search(html, at):
+        begin = m.start()
+        if m[1]:
+            end = html.find("-->", m.end())
+            at = len(html) if end < 0 else end + 3
+            yield begin, at, None, False, ""
+            continue
+        if begin > last:
+            at = begin + 1 if (at := html.find("<!--", begin)) < 0 else at
+            if html.startswith("<!--", at):
+                continue
+            return
+        if m[2]:
+            at = m.end()
+            yield begin, at, None, False, ""
+        elif m[3]:
+            at = html.find(">", begin) + 1
+            yield begin, at, None, False, ""
+        else:
+            name, end = m[5].lower(), tag_end(m.end())
+            at = end + 1
+            if not m[4] and name in _RAW:
+                shut = _RAW[name].search(html, at)
+                at = shut.end() if shut else len(html)
+                yield begin, at, None, False, ""
+            else:
+                yield begin, at, name, bool(m[4]), html[m.end() : end]
+
+
 def blocks(html: str | None) -> list[tuple[int, str]]:
-    """(kind, text) of the blocks of a page, in order, without empty ones."""
+    """(kind, text) of the blocks of a page, in order, without empty ones. Work is in proportion to the page, however its tags are nested or broken."""
     out: list[tuple[int, str]] = []
     held: list[str] = []
     stack: list[tuple[str, int, bool]] = []  # open elements, the kind of text inside, and whether it is left out of its block
+    count: dict[str, int] = {}  # open elements by name
+    block_at: list[int] = []  # the places of block elements in the stack
     kind = UNDECIDED
-    # each block element with a soft mark has a kind of its own, below 0: (the kind around it, whether it holds an article or main)
+    # each block element with a soft mark has a kind of its own, below 0: [kind around it, whether it holds an article or main, the kind around all such elements]
     soft: list[list] = []
 
     def resolved(k: int) -> int:
-        while k < 0:
-            around, holds = soft[-k - 1]
-            k = around if holds else BOILERPLATE
-        return k
+        """What holds an article does so for all marked elements around it."""
+        return k if k >= 0 else soft[-k - 1][2] if soft[-k - 1][1] else BOILERPLATE
 
     def close() -> None:
         text = " ".join(unescape("".join(held)).split())
@@ -109,55 +168,59 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
         if text:
             out.append((kind, text))
 
+    def push(name: str, inside: int, left_out: bool) -> None:
+        if name in BLOCKS:
+            block_at.append(len(stack))
+        count[name] = count.get(name, 0) + 1
+        stack.append((name, inside, left_out))
+
+    def drop(depth: int) -> None:
+        for n, _, _ in stack[depth:]:
+            count[n] -= 1
+        del stack[depth:]
+        while block_at and block_at[-1] >= depth:
+            block_at.pop()
+
     at = 0
     html = html or ""
-    for m in _TAG.finditer(html):
-        if m.start() > at and not (stack and stack[-1][2]):
-            held.append(html[at : m.start()])
-        at = m.end()
-        name = m.group(3)
+    for begin, end, name, closes, attrs in tags(html):
+        if begin > at and not (stack and stack[-1][2]):
+            held.append(html[at:begin])
+        at = end
         if name is None:
             continue
-        name = name.lower()
         block = name in BLOCKS
         if block:
             close()
         elif name == "br":
             held.append(" ")
-        if m.group(2):
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), -1)
-            if depth >= 0:
-                if any(x[0] in BLOCKS for x in stack[depth:]):
+        if closes:
+            if count.get(name):
+                depth = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name)
+                if block_at and block_at[-1] >= depth:
                     close()
-                del stack[depth:]
-        elif name not in VOID and not m.group(4).endswith("/"):
-            ends = CLOSES_ITSELF.get(name, "").split()
-            if block:
-                ends.append("p")
-            for k in range(len(stack) - 1, -1, -1):
-                n = stack[k][0]
-                if n in ends:
-                    del stack[k:]
-                    break
-                if n in BLOCKS and n != "p":
-                    break
+                drop(depth)
+        elif name not in VOID and not attrs.endswith("/"):
+            # the nearest block ends where it is a paragraph, or what the new one ends
+            if block and block_at and stack[block_at[-1]][0] in ("p", *CLOSES_ITSELF.get(name, "").split()):
+                drop(block_at[-1])
             inside, left_out = stack[-1][1:] if stack else (UNDECIDED, False)
-            mark = FIRM if left_out or inside == BOILERPLATE else _marked(name, m.group(4), resolved(inside) == CONTENT)
+            mark = FIRM if left_out or inside == BOILERPLATE else _marked(name, attrs, resolved(inside) == CONTENT)
             if not block:  # marked elements inside a block are cut out of it
-                stack.append((name, inside, bool(mark) and inside != BOILERPLATE))
+                push(name, inside, bool(mark) and inside != BOILERPLATE)
             elif mark == FIRM:
-                stack.append((name, BOILERPLATE, False))
+                push(name, BOILERPLATE, False)
             elif name in ("article", "main"):
                 k = inside
-                while k < 0:  # what is around it is a wrapper
+                while k < 0 and not soft[-k - 1][1]:  # what is around it is a wrapper
                     soft[-k - 1][1] = True
                     k = soft[-k - 1][0]
-                stack.append((name, CONTENT, False))
+                push(name, CONTENT, False)
             elif mark == SOFT:
-                soft.append([inside, False])
-                stack.append((name, -len(soft), False))
+                soft.append([inside, False, inside if inside >= 0 else soft[-inside - 1][2]])
+                push(name, -len(soft), False)
             else:
-                stack.append((name, inside, False))
+                push(name, inside, False)
         now = stack[-1][1] if stack else UNDECIDED
         if now != kind:
             close()

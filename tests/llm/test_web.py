@@ -145,6 +145,24 @@ def test_blocks():
     assert html_text.blocks(None) == [] and html_text.blocks("") == []
 
 
+@pytest.mark.parametrize("html", ["<b>" * 150_000 + "</i>" * 150_000, '<a "' * 250_000, "<a x='>" * 150_001, "<b><div></div>" * 70_000, "<div class=ad>" * 70_000 + "<article>x", "<p><b><li>" * 100_000, "<a" * 500_000 + ">", "<!" * 500_000, "<!--" * 250_000, "<article><div class=ad>" * 40_000, "<a =" + " " * 1_000_000 + ">", "<script>" * 120_000, "</script" * 120_000])
+def test_broken_pages_take_linear_time(html):
+    import time
+
+    began = time.time()
+    html_text.blocks(html)
+    assert time.time() - began < 8  # quadratic work would take minutes
+
+
+def test_broken_tags():
+    """A quote counts behind = if it is closed; else the tag ends at its first >."""
+    assert html_text.blocks('<p title="a > b">x<p class=\'y>z') == [(1, "x"), (1, "z")]
+    assert html_text.blocks('<a ">b</a> c') == [(1, "b c")]
+    assert html_text.blocks("a < b <c") == [(1, "a < b <c")] and html_text.blocks("x<!-- y") == [(1, "x")] and html_text.blocks("x<p>y <!-- z > <p>") == [(1, "x"), (1, "y")]
+    assert html_text.blocks("<SCRIPT>a<p></Script >b<script>c") == [(1, "b")]
+    assert html_text.blocks("x</i></div><b>y</p>z") == [(1, "x"), (1, "y"), (1, "z")]
+
+
 def test_host_suffixes_remove_repeats(spark):
     menu = "<div>home about contact products services help legal imprint</div>"
     page = lambda k, body: f"<html><body>{menu}<div>{body}</div>{menu.replace('home', 'end')}</body></html>"
