@@ -7,9 +7,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from sessionloom.plans import session_queries, table_queries
+from sessionloom.plans import file_queries, session_queries, table_queries
 
-QUERIES, ORACLE = table_queries.QUERIES | session_queries.QUERIES, table_queries.ORACLE | session_queries.ORACLE
+QUERIES, ORACLE = table_queries.QUERIES | session_queries.QUERIES | file_queries.QUERIES, table_queries.ORACLE | session_queries.ORACLE | file_queries.ORACLE
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
