@@ -236,15 +236,35 @@ def best_lag_of(ta, va, tb, vb, grid_step: float, reach: float, lag_step: float,
 BLOCK_POINTS = 65_536
 
 
-def best_lags(rows: DataFrame, group: str, pairs: list[tuple[str, str]], grid_step: float = 0.02, reach: float = 1.0, lag_step: float = 0.02, least_overlap: float = 0.0, block: int = BLOCK_POINTS, least: int = 5, flat: float = 1e-9) -> DataFrame:
-    """group, a, b, lag, r for the pairs (a, b) of series names in rows (group, series, t, v): what `best_lag_of` gives, with long series spread over tasks.
+def _padded_sums(a: np.ndarray, b: np.ndarray, inside: np.ndarray, lags: int) -> tuple[np.ndarray, ...]:
+    """For each lag k from -lags to lags the sums of a[i] * b[i + k], a[i], b[i + k] and 1 over places inside the grid. b and inside reach `lags` beyond a on either side, with zeros outside."""
+    n = a.size
+    if n * (2 * lags + 1) <= 200_000:
+        run = lambda x: np.lib.stride_tricks.sliding_window_view(x, n)
+        return run(b) @ a, run(inside) @ a, run(b).sum(1), run(inside).sum(1)
+    size = 1 << (b.size + n - 1).bit_length()
+    turned = np.conj(np.fft.rfft(a, size))
+    products = lambda x: np.fft.irfft(np.fft.rfft(x, size) * turned, size)[: 2 * lags + 1]
+    runs = lambda x: (lambda c: c[n:] - c[:-n])(np.append(0.0, np.cumsum(x)))
+    return products(b), products(inside), runs(b), runs(inside)
+
+
+HELD_SUMS, PADDED_SUMS = ("ab", "sbk", "sbbk", "low", "high"), ("ab", "sak", "sbk", "nk")
+
+
+def lag_sums(rows: DataFrame, group: str, pairs: list[tuple[str, str]], grid_step: float, lags: np.ndarray | int, least_overlap: float, least: int, block: int = BLOCK_POINTS) -> DataFrame:
+    """group, a, b, k, n, sa, saa, a_low, a_high, sb, sbb, b_low, b_high, a_mean, b_mean and sums for each lag, of the pairs (a, b) of series names in rows (group, series, t, v).
 
-    The grid of a pair is cut into blocks of `block` points (of `reach` at least). A block takes its own samples and those of the blocks beside it, and, where these have none
+    a and b are interpolated on the grid of the time they share, less their series' means (a_mean, b_mean). lags: times, for which b(t - lag) is taken beyond the grid, held at its
+    ends (sums HELD_SUMS); or a number of grid steps, for which products stay inside the grid (PADDED_SUMS, lag k - lags).
+
+    The grid of a pair is cut into blocks of `block` points (as far as the lags reach, at least). A block takes its own samples and those of the blocks beside it, and, where these have none
     that far out, the last sample before and the first one after: one row for each block. It gives sums for each lag, which Spark adds up. Pairs without enough samples or overlap give no row.
     """
     rows = _of(rows, group).where("t is not null and v is not null and not isnan(t) and not isnan(v)").where(F.col(group).isNotNull())
     spark, kind = rows.sparkSession, rows.schema[group].dataType.simpleString()
-    block = max(block, math.ceil(reach / grid_step) + 1)
+    padded = isinstance(lags, int)
+    block = max(block, lags + 1 if padded else math.ceil(np.abs(lags).max() / grid_step) + 1)
     ends = rows.groupBy(group, "series").agg(F.min("t").alias("t0"), F.max("t").alias("t1"), F.count(F.lit(1)).alias("m"), F.avg("v").alias("mean"))
     side = lambda x: ends.select(F.col(group), F.col("series").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("t0", "t1", "m", "mean")])
     named = F.broadcast(spark.createDataFrame(list(dict.fromkeys(pairs)), "a string, b string"))  # the caller's pairs
@@ -252,20 +272,13 @@ def best_lags(rows: DataFrame, group: str, pairs: list[tuple[str, str]], grid_st
     met = side("a").join(named, "a").join(side("b"), [group, "b"]).withColumns({"lo": lo, "span": hi - lo})
     met = met.where((F.col("span") > 0) & (F.col("span") >= least_overlap) & (F.least("a_m", "b_m") >= least))
     met = written(met.select(group, "a", "b", "a_mean", "b_mean", "lo", F.ceil(F.col("span") / grid_step).cast("long").alias("n"), F.greatest(F.lit(1), F.ceil(F.ceil(F.col("span") / grid_step) / block)).cast("int").alias("blocks")), "lag-pairs")
-    width = block * grid_step
-
-    def of(x: str) -> DataFrame:
+    width, key = block * grid_step, [group, "a", "b"]
+    parts, long = [], not met.where("blocks > 2").isEmpty()
+    for x in ("a", "b"):
         own = rows.join(met.withColumn("series", F.col(x)), [group, "series"]).withColumn("home", F.greatest(F.lit(0), F.least(F.col("blocks") - 1, F.floor((F.col("t") - F.col("lo")) / width))).cast("int"))
         near = own.withColumn("block", F.explode(F.sequence(F.greatest(F.lit(0), F.col("home") - 1), F.least(F.col("blocks") - 1, F.col("home") + 1))))
-        columns = [group, "a", "b", "block", "t", "v"]
-        return near.select(*columns), own
-
-    parts = []
-    for x in ("a", "b"):
-        near, own = of(x)
-        parts.append(near.withColumn("series", F.lit(x)))
-        if not met.where("blocks > 2").isEmpty():
-            key = [group, "a", "b"]
+        parts.append(near.select(*key, "block", "t", "v", F.lit(x).alias("series")))
+        if long:
             sample = F.struct("t", "v")
             edges = own.where("blocks > 2").groupBy(*key, "home").agg(F.min(sample).alias("first"), F.max(sample).alias("last"))
             all_ = met.where("blocks > 2").select(*key, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("home")).join(edges, [*key, "home"], "left")
@@ -276,34 +289,67 @@ def best_lags(rows: DataFrame, group: str, pairs: list[tuple[str, str]], grid_st
     samples = parts[0]
     for p in parts[1:]:
         samples = samples.unionByName(p)
-    samples = samples.join(met, [group, "a", "b"]).withColumn("key", F.struct(group, "a", "b", "block").cast("string"))
-    lags = lags_of(reach, lag_step)
+    samples = samples.join(met, key).withColumn("key", F.struct(*key, "block").cast("string"))
 
-    def run(key, t: pa.Table) -> list[tuple]:
+    def run(_, t: pa.Table) -> list[tuple]:
         (ta, va), (tb, vb) = _series(t, ("a", "b"))
-        one = {c: t.column(c)[0].as_py() for c in (group, "a", "b", "block", "a_mean", "b_mean", "lo", "n")}
+        one = {c: t.column(c)[0].as_py() for c in (*key, "block", "a_mean", "b_mean", "lo", "n")}
         first = one["block"] * block
-        delta = (one["lo"] + grid_step) - one["lo"]
-        grid = one["lo"] + delta * np.arange(first, min(first + block, one["n"]))
-        if not (grid.size and ta.size and tb.size):
+        place = np.arange(first, min(first + block, one["n"]))
+        if not (place.size and ta.size and tb.size):
             return []
-        a = np.interp(grid, ta, va) - one["a_mean"]
-        sums = _lag_sums(a, ta, grid, tb, vb - one["b_mean"], grid_step, lags)
-        return [(one[group], one["a"], one["b"], grid.size, float(a.sum()), float(a @ a), float(a.min()), float(a.max()), *(x.tolist() for x in sums))]
-
-    arrays = ["ab", "sb", "sbb", "low", "high"]
-    found = each_group(samples.select("key", group, "a", "b", "block", "series", "t", "v", "a_mean", "b_mean", "lo", "n"), "key", ["series", "t"], run, f"{group} {kind}, a string, b string, n long, sa double, saa double, a_low double, a_high double, " + ", ".join(f"{c} array<double>" for c in arrays))
-    each = found.select(group, "a", "b", "n", "sa", "saa", "a_low", "a_high", F.posexplode(F.arrays_zip(*arrays)).alias("k", "x")).select(group, "a", "b", "k", "n", "sa", "saa", "a_low", "a_high", "x.*")
-    total = each.groupBy(group, "a", "b", "k").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "saa", "ab", "sb", "sbb")], *[F.min(c).alias(c) for c in ("a_low", "low")], *[F.max(c).alias(c) for c in ("a_high", "high")])
-    var = lambda q, s: F.greatest(F.lit(0.0), F.col(q) / F.col("n") - F.pow(F.col(s) / F.col("n"), 2))
-    da, db = F.sqrt(var("saa", "sa")), F.sqrt(var("sbb", "sb"))
+        delta = (one["lo"] + grid_step) - one["lo"]
+        grid, vb = one["lo"] + delta * place, vb - one["b_mean"]
+        a, b = np.interp(grid, ta, va) - one["a_mean"], np.interp(grid, tb, vb)
+        if padded:
+            reach = np.arange(place[0] - lags, place[-1] + lags + 1)
+            inside = ((reach >= 0) & (reach < one["n"])).astype(float)
+            sums = _padded_sums(a, np.interp(one["lo"] + delta * reach, tb, vb) * inside, inside, lags)
+        else:
+            sums = _lag_sums(a, ta, grid, tb, vb, grid_step, lags)
+        ends = (f for x in (a, b) for f in (float(x.sum()), float(x @ x), float(x.min()), float(x.max())))
+        return [(*(one[c] for c in key), one["a_mean"], one["b_mean"], grid.size, *ends, *(x.tolist() for x in sums))]
+
+    arrays = PADDED_SUMS if padded else HELD_SUMS
+    scalars = ["n", "sa", "saa", "a_low", "a_high", "sb", "sbb", "b_low", "b_high"]
+    found = each_group(samples.select("key", *key, "block", "series", "t", "v", "a_mean", "b_mean", "lo", "n"), "key", ["series", "t"], run, f"{group} {kind}, a string, b string, a_mean double, b_mean double, n long, " + ", ".join(f"{c} double" for c in scalars[1:]) + ", " + ", ".join(f"{c} array<double>" for c in arrays))
+    each = found.select(*key, "a_mean", "b_mean", *scalars, F.posexplode(F.arrays_zip(*arrays)).alias("k", "x")).select(*key, "a_mean", "b_mean", *scalars, "k", "x.*")
+    pick = lambda c: F.min if c.endswith("low") else F.max if c.endswith("high") else F.sum
+    return each.groupBy(*key, "k").agg(*[pick(c)(c).alias(c) for c in (*scalars, *arrays)], *[F.first(c).alias(c) for c in ("a_mean", "b_mean")])
+
+
+def _deviation(squares: str, total: str):
+    """Of values whose mean is near 0, from sums."""
+    return F.sqrt(F.greatest(F.lit(0.0), F.col(squares) / F.col("n") - F.pow(F.col(total) / F.col("n"), 2)))
+
+
+def best_lags(rows: DataFrame, group: str, pairs: list[tuple[str, str]], grid_step: float = 0.02, reach: float = 1.0, lag_step: float = 0.02, least_overlap: float = 0.0, block: int = BLOCK_POINTS, least: int = 5, flat: float = 1e-9) -> DataFrame:
+    """group, a, b, lag, r for the pairs (a, b) of series names in rows (group, series, t, v): what `best_lag_of` gives, with long series spread over tasks (see `lag_sums`)."""
+    lags = lags_of(reach, lag_step)
+    total = lag_sums(rows, group, pairs, grid_step, lags, least_overlap, least, block)
+    da, db = _deviation("saa", "sa"), _deviation("sbbk", "sbk")
     none = (F.col("a_high") - F.col("a_low") < flat) | (F.col("high") - F.col("low") < flat) | (da < flat) | (db < flat)
-    r = F.when(none, 0.0).otherwise(F.try_divide(F.col("ab") / F.col("n") - F.col("sa") / F.col("n") * F.col("sb") / F.col("n"), da * db))
+    r = F.when(none, 0.0).otherwise(F.try_divide(F.col("ab") / F.col("n") - F.col("sa") / F.col("n") * F.col("sbk") / F.col("n"), da * db))
     best = total.withColumn("r", r).groupBy(group, "a", "b").agg(F.max(F.struct(F.round(F.abs("r"), 9).alias("size"), (-F.col("k")).alias("k"), "r")).alias("x"))
     lag = F.element_at(F.array(*[F.lit(float(x)) for x in lags]), (1 - F.col("x.k")).cast("int"))
     return best.select(group, "a", "b", F.when(F.col("x.r") != 0, lag).otherwise(0.0).alias("lag"), F.col("x.r").alias("r"))
 
 
+def _lag_time(lag, lags: int, step: float):
+    """A lag of so many grid steps as a time, rounded to one place as a number of its own."""
+    return F.element_at(F.array(*[F.lit(round(k * step, 1)) for k in range(-lags, lags + 1)]), (lag + lags + 1).cast("int"))
+
+
+def _biased(total: DataFrame, key: list[str], lags: int, a_scale, b_scale) -> DataFrame:
+    """total with r, the normalised cross-correlation of each lag, and best: that of the largest |r| (the first, to nine places), at its lag; zero: that of lag 0."""
+    ma, mb = F.col("sa") / F.col("n"), F.col("sb") / F.col("n")
+    r = (F.col("ab") - mb * F.col("sak") - ma * F.col("sbk") + F.col("nk") * ma * mb) / (a_scale * b_scale)
+    found = total.where("nk > 0").withColumn("r", r)
+    best = F.max(F.struct(F.round(F.abs("r"), 9).alias("size"), (-F.col("k")).alias("k"), "r"))
+    at_zero = F.max(F.when(F.col("k") == lags, F.struct("n", "sa", "saa", "a_low", "a_high", "sb", "sbb", "b_low", "b_high", "ab", "a_mean", "b_mean", "r")))
+    return found.groupBy(*key).agg(best.alias("best"), at_zero.alias("zero")).select(*key, (-F.col("best.k") - lags).alias("best_lag"), F.col("best.r").alias("best_r"), "zero")
+
+
 def best_lag(rows: DataFrame, group: str, a: str, b: str, grid_step: float = 0.02, reach: float = 1.0, lag_step: float = 0.02, least_overlap: float = 0.0, block: int = BLOCK_POINTS) -> DataFrame:
     """group, lag, r of the series named a and b in rows (group, series, t, v); 0 and 0 for groups without enough of both."""
     found = best_lags(rows, group, [(a, b)], grid_step, reach, lag_step, least_overlap, block).select(group, "lag", "r")
@@ -331,48 +377,27 @@ def pairings(rows: DataFrame, group: str, grid_step: float = 0.02, reach: float
     return enough.join(wide, group, "left").select(group, *[zero(f"r_{v[0]}{s[0]}") for v, s in PAIRS], zero("lag_ll"), zero("lag_rr"), "enough_left", "enough_right")
 
 
-def lagged_products(x: np.ndarray, y: np.ndarray, reach: int) -> np.ndarray:
-    """Sums of x[i + k] * y[i] for k from -reach to reach (as far as they overlap)."""
-    n = x.size
-    reach = min(reach, n - 1)
-    return np.array([np.dot(x[max(0, k) : n + min(0, k)], y[max(0, -k) : n - max(0, k)]) for k in range(-reach, reach + 1)])
-
-
-def biased_cross_correlation(a: np.ndarray, b: np.ndarray, reach: int, prefer_zero: float = 0.8) -> tuple[int, float]:
-    """The lag in samples and value of the normalised cross-correlation, each lag divided by the full length; lag 0 if it reaches a share of the best."""
-    if a.size == 0 or np.ptp(a) < 1e-6 or np.ptp(b) < 1e-6:
-        return 0, 0.0
-    y, x = (a - a.mean()) / (a.std() * a.size + 1e-8), (b - b.mean()) / (b.std() + 1e-8)
-    r = lagged_products(x, y, reach)
-    zero, k = r.size // 2, int(np.abs(r).argmax())
-    return (0, float(r[zero])) if abs(r[zero]) >= prefer_zero * abs(r[k]) else (k - zero, float(r[k]))
-
-
-def gripper_flow_sides(rows: DataFrame, group: str, step: float = 33.33, least_overlap: float = 2000.0, reach: int = 45) -> DataFrame:
+def gripper_flow_sides(rows: DataFrame, group: str, step: float = 33.33, least_overlap: float = 2000.0, reach: int = 45, prefer_zero: float = 0.8, flat: float = 1e-6, block: int = BLOCK_POINTS) -> DataFrame:
     """group, side, correlation, lag_ms, note from rows (group, side, series, t, v) of series gripper and flow, t in ms.
 
-    note is overlap or flat where there is no correlation; a side without both series gives no row.
+    The normalised cross-correlation, each lag divided by the full length; lag 0 if it reaches a share of the best. note is overlap or flat where there is no correlation; a side
+    without both series gives no row. Long series are spread over tasks (see `lag_sums`).
     """
-    keyed = rows.withColumn("_side", F.struct(group, "side").cast("string"))
-
-    def run(key, t: pa.Table) -> list[tuple]:
-        (ta, va), (tb, vb) = _series(t, ("gripper", "flow"))
-        own = [t.column(group)[0].as_py(), t.column("side")[0].as_py()]
-        if not (ta.size and tb.size):
-            return []
-        lo, hi = max(ta[0], tb[0]), min(ta[-1], tb[-1])
-        if hi - lo < least_overlap:
-            return [(*own, None, None, "overlap")]
-        grid = np.arange(lo, hi, step)
-        a, b = np.interp(grid, ta, va), np.interp(grid, tb, vb)
-        if np.ptp(a) < 1e-6 or np.ptp(b) < 1e-6:
-            return [(*own, None, None, "flat")]
-        k, r = biased_cross_correlation(a, b, reach)
-        return [(*own, round(r, 4), round(k * step, 1), None)]
-
-    kind = rows.schema[group].dataType.simpleString()
-    cols = keyed.select("_side", group, "side", "series", F.col("t").cast("double").alias("t"), F.col("v").cast("double").alias("v"))
-    return each_group(cols, "_side", ["series", "t"], run, f"{group} {kind}, side string, correlation double, lag_ms double, note string")
+    sound = rows.where(F.col(group).isNotNull() & F.col("side").isNotNull() & F.col("t").isNotNull() & F.col("v").isNotNull())
+    of = lambda name, how: how(F.when(F.col("series") == name, F.col("t")))
+    sides = sound.where(F.col("series").isin("gripper", "flow")).groupBy(group, "side").agg(*[of(n, h).alias(f"{n}_{c}") for n in ("gripper", "flow") for c, h in (("t0", F.min), ("t1", F.max))])
+    sides = sides.where("gripper_t0 is not null and flow_t0 is not null")
+    span = F.least("gripper_t1", "flow_t1") - F.greatest("gripper_t0", "flow_t0")
+    sides = sides.select(group, "side", (span < least_overlap).alias("short"), F.struct(group, "side").alias("_side"))
+    total = lag_sums(sound.select(F.struct(group, "side").alias("_side"), "series", "t", "v"), "_side", [("gripper", "flow")], step, reach, least_overlap, 1, block)
+    spread = lambda x: _deviation(f"s{x}{x}", f"s{x}")
+    found = _biased(total, ["_side"], reach, spread("a") * F.col("n") + 1e-8, spread("b") + 1e-8)
+    still = (F.col("zero.a_high") - F.col("zero.a_low") < flat) | (F.col("zero.b_high") - F.col("zero.b_low") < flat)
+    at_zero = F.abs("zero.r") >= prefer_zero * F.abs("best_r")
+    met = sides.join(found.withColumn("still", still), "_side", "left")
+    note = F.when(F.col("short"), "overlap").when(F.coalesce("still", F.lit(True)), "flat")
+    r, lag = F.when(at_zero, F.col("zero.r")).otherwise(F.col("best_r")), F.when(at_zero, 0).otherwise(F.col("best_lag"))
+    return met.select(group, "side", F.when(note.isNull(), F.round(r, 4)).alias("correlation"), F.when(note.isNull(), _lag_time(lag, reach, step)).alias("lag_ms"), note.alias("note"))
 
 
 def gripper_flow_check(sides: DataFrame, group: str, least: float = 0.30) -> DataFrame:
@@ -381,36 +406,31 @@ def gripper_flow_check(sides: DataFrame, group: str, least: float = 0.30) -> Dat
     return out.withColumn("ok", F.coalesce(F.col("weakest") >= least, F.lit(True)))
 
 
-def trajectory_correlation(rows: DataFrame, group: str, step_ms: float, least_overlap: float = 2000.0, reach_ms: float = 1500.0, coherent: float = 0.70) -> DataFrame:
+def trajectory_correlation(rows: DataFrame, group: str, step_ms: float, least_overlap: float = 2000.0, reach_ms: float = 1500.0, coherent: float = 0.70, block: int = BLOCK_POINTS) -> DataFrame:
     """group, points, pearson_x/y/z, rmse_x/y/z, lag_ms, coherent of two trajectories in rows (group, source, t_ms, x, y, z), source stereo or head.
 
-    Fewer than five points on a side, or too short an overlap, give zeros and null errors.
+    Fewer than five points on a side, or too short an overlap, give zeros and null errors. Long trajectories are spread over tasks (see `lag_sums`).
     """
-
-    def r(a, b) -> float:
-        return 0.0 if a.std() < 1e-8 or b.std() < 1e-8 else float(((a - a.mean()) * (b - b.mean())).mean() / (a.std() * b.std()))
-
-    def run(key, t: pa.Table) -> list[tuple]:
-        source = t.column("source").to_numpy(zero_copy_only=False)
-        at, *xyz = (t.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("t_ms", "x", "y", "z"))
-        s, h = source == "stereo", source == "head"
-        none = [(key, 0, 0.0, 0.0, 0.0, None, None, None, 0.0, False)]
-        if min(s.sum(), h.sum()) < 5:
-            return none
-        lo, hi = max(at[s].min(), at[h].min()), min(at[s].max(), at[h].max())
-        if hi - lo < least_overlap:
-            return none
-        grid = np.arange(lo, hi, step_ms)
-        pairs = [(np.interp(grid, at[s], v[s]), np.interp(grid, at[h], v[h])) for v in xyz]
-        rs = [r(a, b) for a, b in pairs]
-        x, y = ((v - v.mean()) / (v.std() + 1e-8) for v in pairs[0])
-        found = lagged_products(x, y, int(reach_ms / step_ms + 1e-9))
-        lag = (int(np.abs(found).argmax()) - found.size // 2) * step_ms
-        return [(key, grid.size, *(round(v, 4) for v in rs), *(round(float(np.sqrt(((a - b) ** 2).mean())), 2) for a, b in pairs), round(lag, 1), bool(np.abs(rs).mean() >= coherent))]
-
-    kind = rows.schema[group].dataType.simpleString()
-    numbers = ", ".join(f"{m}_{a} double" for m in ("pearson", "rmse") for a in "xyz")
-    return each_group(rows.select(group, "source", "t_ms", "x", "y", "z"), group, ["source", "t_ms"], run, f"{group} {kind}, points long, {numbers}, lag_ms double, coherent boolean")
+    lags = int(reach_ms / step_ms + 1e-9)
+    axes = F.explode(F.array(*[F.struct(F.concat("source", F.lit(f".{a}")).alias("series"), F.col(a).cast("double").alias("v")) for a in "xyz"]))
+    series = rows.where(F.col("source").isin("stereo", "head")).select(group, F.col("t_ms").alias("t"), axes.alias("s")).select(group, "t", "s.series", "s.v")
+    total = lag_sums(series, group, [(f"head.{a}", f"stereo.{a}") for a in "xyz"], step_ms, lags, least_overlap, 5, block)
+    spread = lambda x: _deviation(f"s{x}{x}", f"s{x}")
+    found = _biased(total, [group, "a"], lags, spread("a") + 1e-8, spread("b") + 1e-8)
+    z = lambda c: F.col(f"zero.{c}")
+    n = z("n")
+    deviation = lambda x: F.sqrt(F.greatest(F.lit(0.0), z(f"s{x}{x}") / n - F.pow(z(f"s{x}") / n, 2)))
+    still = (deviation("a") < 1e-8) | (deviation("b") < 1e-8) | (z("a_high") - z("a_low") < 1e-8) | (z("b_high") - z("b_low") < 1e-8)
+    pearson = F.when(still, 0.0).otherwise(F.try_divide(z("ab") / n - z("sa") / n * z("sb") / n, deviation("a") * deviation("b")))
+    apart = z("b_mean") - z("a_mean")
+    square = (z("sbb") - 2 * z("ab") + z("saa") + 2 * apart * (z("sb") - z("sa"))) / n + apart * apart
+    each = found.select(group, F.substring_index("a", ".", -1).alias("axis"), n.alias("points"), pearson.alias("r"), F.sqrt(F.greatest(F.lit(0.0), square)).alias("error"), F.col("best_lag"))
+    of = lambda c, a: F.max(F.when(F.col("axis") == a, F.col(c)))
+    wide = each.groupBy(group).agg(F.max("points").alias("points"), *[of("r", a).alias(f"r_{a}") for a in "xyz"], *[F.round(of("error", a), 2).alias(f"rmse_{a}") for a in "xyz"], _lag_time(of("best_lag", "x"), lags, step_ms).alias("lag_ms"))
+    groups = rows.select(group).where(F.col(group).isNotNull()).distinct().join(wide, group, "left")
+    mean = sum((F.abs(F.coalesce(f"r_{a}", F.lit(0.0))) for a in "xyz"), F.lit(0.0)) / 3
+    zero = lambda c, name: F.coalesce(c, F.lit(0.0)).alias(name)
+    return groups.select(group, F.coalesce("points", F.lit(0)).alias("points"), *[zero(F.round(f"r_{a}", 4), f"pearson_{a}") for a in "xyz"], *[f"rmse_{a}" for a in "xyz"], zero(F.col("lag_ms"), "lag_ms"), (F.col("points").isNotNull() & (mean >= coherent)).alias("coherent"))
 
 
 def speed_of(t: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

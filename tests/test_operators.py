@@ -101,7 +101,6 @@ def test_best_lag_finds_a_shift(spark):
     rows = [("s", n, float(x), float(np.sin(3 * x) + (0 if n == "a" else 0))) for n in "a" for x in t] + [("s", "b", float(x + 0.4), float(np.sin(3 * x))) for x in t]
     got = G.best_lag(spark.createDataFrame(rows, "g string, series string, t double, v double"), "g", "a", "b", 0.02, 1.0).first()
     assert abs(got["lag"] + 0.4) < 0.021 and got["r"] > 0.99  # a(t) with b(t - lag)
-    assert G.biased_cross_correlation(np.ones(50), np.arange(50.0), 5) == (0, 0.0)
 
 
 def paired(name, rng, span=30.0, step=0.5, swap=False):
@@ -194,6 +193,62 @@ def test_lags_in_blocks(spark):
     assert abs(want["long"][0] + 0.7) < 0.1
 
 
+def shifted_products(x, y, reach):
+    """Sums of x[i + k] * y[i]."""
+    n = x.size
+    return [sum(x[i + k] * y[i] for i in range(max(0, -k), min(n, n - k))) for k in range(-reach, reach + 1)]
+
+
+def test_flow_and_trajectories_in_blocks(spark):
+    """Against plain loops, over blocks of any size."""
+    rng = np.random.default_rng(11)
+    wave = lambda t: np.sin(t / 300) + np.sin(t / 170)
+    made = {"good": (9000, 300, 200, 500.0), "short": (1500, 40, 40, 0.0), "flat": (9000, 60, 60, 0.0), "gaps": (9000, 200, 30, -90.0)}
+    series, want = [], {}
+    for g, (span, n, m, shift) in made.items():
+        ta, tb = np.sort(rng.uniform(0, span, n)), np.sort(rng.uniform(0, span, m))
+        if g == "gaps":
+            ta = np.append(ta[ta < 2000], ta[ta > 7000])
+        va, vb = wave(ta) + 7, np.full(m, 2.5) if g == "flat" else 3 * wave(tb - shift) + 0.1 * rng.normal(size=m)
+        series += [(g, "left", n_, float(t), float(v)) for n_, x, y in (("gripper", ta, va), ("flow", tb, vb)) for t, v in zip(x, y, strict=True)]
+        lo, hi = max(ta[0], tb[0]), min(ta[-1], tb[-1])
+        if hi - lo < 2000:
+            want[g] = (None, None, "overlap")
+        elif g == "flat":
+            want[g] = (None, None, "flat")
+        else:
+            grid = np.arange(lo, hi, 33.33)
+            a, b = np.interp(grid, ta, va), np.interp(grid, tb, vb)
+            r = np.array(shifted_products((b - b.mean()) / (b.std() + 1e-8), (a - a.mean()) / (a.std() * a.size + 1e-8), 45))
+            k = int(np.abs(r).argmax())
+            k = 45 if abs(r[45]) >= 0.8 * abs(r[k]) else k
+            want[g] = (round(float(r[k]), 4), round((k - 45) * 33.33, 1), None)
+    df = spark.createDataFrame([*series, ("half", "left", "flow", 1.0, 1.0), ("good", "right", "gripper", 1.0, 1.0)], "g string, side string, series string, t double, v double")
+    for block in (50, 10**6):
+        got = {r["g"]: (r["correlation"], r["lag_ms"], r["note"]) for r in G.gripper_flow_sides(df, "g", block=block).collect()}
+        assert got == want and want["good"][1] != 0
+
+    poses, want = [], {}
+    for g, shift in (("near", 0.0), ("late", 200.0), ("few", 0.0)):
+        t, u = np.sort(rng.uniform(0, 6000, 3 if g == "few" else 150)), np.sort(rng.uniform(500, 6500, 120))
+        head, stereo = [np.stack([wave(x - s), 2 * wave(x + 50 - s), 5 + wave(2 * x - s)], 1) * 100 for x, s in ((t, 0.0), (u, shift))]
+        stereo = stereo + rng.normal(size=stereo.shape)
+        poses += [(g, n, float(x), *map(float, p)) for n, at, v in (("head", t, head), ("stereo", u, stereo)) for x, p in zip(at, v, strict=True)]
+        if g == "few":
+            want[g] = (0, 0.0, 0.0, 0.0, None, None, None, 0.0, False)
+            continue
+        grid = np.arange(max(t[0], u[0]), min(t[-1], u[-1]), 50.0)
+        pairs = [(np.interp(grid, u, stereo[:, k]), np.interp(grid, t, head[:, k])) for k in range(3)]
+        rs = [np.corrcoef(a, b)[0, 1] for a, b in pairs]
+        x, y = ((v - v.mean()) / (v.std() + 1e-8) for v in pairs[0])
+        k = int(np.abs(shifted_products(x, y, 30)).argmax()) - 30
+        want[g] = (grid.size, *[round(float(r), 4) for r in rs], *[round(float(np.sqrt(((a - b) ** 2).mean())), 2) for a, b in pairs], k * 50.0, bool(np.mean(np.abs(rs)) >= 0.7))
+    df = spark.createDataFrame(poses, "g string, source string, t_ms double, x double, y double, z double")
+    for block in (40, 10**6):
+        got = {r["g"]: tuple(r)[1:] for r in G.trajectory_correlation(df, "g", 50.0, block=block).collect()}
+        assert got == want and want["late"][7] != 0
+
+
 def test_products_by_fft_are_the_direct_ones():
     rng = np.random.default_rng(2)
     t = np.sort(rng.uniform(0, 500, 6000))
