@@ -439,22 +439,22 @@ def _analysed(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    parsed, starts = _analysed(pages)
 
     def run(batches):
         for b in batches:
             text = [_text(k, c, o, [(x["rule"], x["place"]) for x in s or ()]) for k, c, o, s in zip(*(b.column(i).to_pylist() for i in range(2, 6)), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string())], names=["page_id", "url", "text"])
 
-    done = parsed.where("not undecided").select("page_id", "url", F.array_join("content", "\n").alias("text"))
-    joined = parsed.where("undecided").join(starts, ["host", "copy"], "left").select("page_id", "url", "kinds", "content", "outer", "starts")
-    done = done.union(joined.mapInArrow(tidy(run), "page_id long, url string, text string"))
-    return done.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+    with scratch(pages.sparkSession) as keep:
+        parsed, starts = _analysed(pages)
+        done = parsed.where("not undecided").select("page_id", "url", F.array_join("content", "\n").alias("text"))
+        joined = parsed.where("undecided").join(starts, ["host", "copy"], "left").select("page_id", "url", "kinds", "content", "outer", "starts")
+        done = done.union(joined.mapInArrow(tidy(run), "page_id long, url string, text string"))
+        return keep(done.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")), "html-text")
 
 
 def decisions(pages: DataFrame) -> DataFrame:
     """One row: tokens outside content, and how many of them the repeats cut, names alone cut, and stay."""
-    parsed, starts = _analysed(pages)
     names = ["tokens", "by_repeats", "by_names", "kept"]
 
     def run(batches):
@@ -467,8 +467,10 @@ def decisions(pages: DataFrame) -> DataFrame:
                 total += [cut_.size, cut_.sum(), (~cut_ & ~open_).sum(), (~cut_ & open_).sum()]
         yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in total], names=names)
 
-    met = parsed.where(F.size("outer") > 0).join(starts, ["host", "copy"], "left").select("kinds", "outer", "starts")
-    return met.mapInArrow(tidy(run), ", ".join(f"{c} long" for c in names)).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
+    with scratch(pages.sparkSession) as keep:
+        parsed, starts = _analysed(pages)
+        met = parsed.where(F.size("outer") > 0).join(starts, ["host", "copy"], "left").select("kinds", "outer", "starts")
+        return keep(met.mapInArrow(tidy(run), ", ".join(f"{c} long" for c in names)).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]), "html-decisions")
 
 
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import uuid
 from hashlib import md5
 from itertools import pairwise, product
 
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from sessionloom.session import path_exists, shared_dir, written
+from sessionloom.session import fresh, path_exists, written
 
 
 def each_group(rows: DataFrame, key: str, order: list[str], run, schema: str) -> DataFrame:
@@ -568,7 +567,7 @@ def first_fit(items: DataFrame, targets: list[tuple[str, float]], order: list[st
     names, free = [n for n, _ in targets], [float(f) for _, f in targets]
     sized = items.select(key, F.coalesce(F.col(size).cast("double"), F.lit(0.0)).alias("_size"), *[c for c in order if c not in (key, size)])
     rows = numbered(sized.where(F.col("_size") <= max(free, default=-math.inf) - reserve), order)
-    folder = f"{shared_dir(spark)}/first-fit-{uuid.uuid4().hex}"
+    folder = fresh(spark, "first-fit")
     cut = rows.select(key, "_size", "number", F.floor(F.col("number") / chunk).cast("int").alias("chunk"))
     cut.repartition("chunk").sortWithinPartitions("chunk", "number").write.partitionBy("chunk").parquet(f"{folder}/rows")
     sizes = spark.read.schema(f"{key} {kind}, _size double, number long, chunk int").parquet(f"{folder}/rows").agg(F.max("chunk"), F.min("_size")).first()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,7 @@ from sessionloom.functions import scalars as X
 from sessionloom.operators import aggregates as A
 from sessionloom.operators import ledger as L
 from sessionloom.operators import ordered as O
-from sessionloom.session import shared_dir, table
+from sessionloom.session import fresh, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -416,7 +415,7 @@ def _events_stream(spark, d):
 
 def _shared(spark: SparkSession) -> str:
     """A folder of our own that driver and executors share."""
-    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    return fresh(spark, "stream")
 
 
 @query("SELECT DISTINCT user_id FROM events")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 #: UTC so that dates don't depend on the host; adaptive execution for skewed joins and small partitions.
@@ -37,9 +39,30 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Folders of the shared store that this driver has written for its queries.
+_mine: list[str] = []
+
+
+def fresh(spark: SparkSession, tag: str) -> str:
+    """A new folder of the shared store, which `sweep` removes, at the latest when the driver ends."""
+    if not _mine:
+        atexit.register(sweep)
+    _mine.append(f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}")
+    return _mine[-1]
+
+
+def sweep() -> None:
+    """Remove what queries have written to the shared store so far; for when their results are read or written elsewhere."""
+    jvm, context = SparkContext._jvm, SparkContext._active_spark_context
+    while _mine and jvm is not None:
+        place = jvm.org.apache.hadoop.fs.Path(_mine.pop())
+        conf = context._jsc.hadoopConfiguration() if context is not None and context._jsc is not None else jvm.org.apache.hadoop.conf.Configuration()
+        place.getFileSystem(conf).delete(place, True)
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Write to the shared folder and read again: rows don't change when a lost executor's work is repeated, and lineage ends."""
-    path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    path = fresh(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -130,11 +129,11 @@ def walk(spark: SparkSession, roots: list[str], rule: str = "digit", depth: int
     A round lists each open folder once; the folders found in it, dealt evenly to `tasks` tasks (all cores by default), are the open ones of the next round. So one deep or
     wide folder is spread as soon as it is seen. There are as many rounds as levels; rows and open folders of a round are written, and the driver sees their number alone.
     """
-    from sessionloom.session import shared_dir
+    from sessionloom.session import fresh
 
     own = SessionWalk(NAME_RULES.get(rule, rule), depth)
     tasks = tasks or spark.sparkContext.defaultParallelism
-    folder = f"{shared_dir(spark)}/walk-{uuid.uuid4().hex}"
+    folder = fresh(spark, "walk")
     rows = f"{SCHEMA}, kind string"
     names = [f.split()[0] for f in rows.split(", ")]
 

@@ -69,3 +69,16 @@ def test_whole_tables_are_covered(spark):
     gate = {(f"u{u}", s) for u, n in e.groupby("user_id").size().items() for s in range(1, (n + 1) // 3 + 1) if s * 3 + 2 <= n}
     got = run("stability_gate")
     assert set(zip(got["name"], got["size"], strict=True)) == gate
+
+
+@pytest.mark.parametrize("name", ["stream_unprocessed", "replication_plan", "exact_medians", "line_timestamps", "best_lag", "multi_key_order"])
+def test_shared_folder_is_swept(spark, name):
+    """When a result is read, nothing of its query needs to stay."""
+    from sessionloom import session
+
+    session.sweep()
+    before = set(Path(session.shared_dir(spark)).iterdir())
+    QUERIES[name](spark, SF).collect()
+    assert set(Path(session.shared_dir(spark)).iterdir()) > before
+    session.sweep()
+    assert set(Path(session.shared_dir(spark)).iterdir()) == before
