@@ -103,6 +103,28 @@ def quoted_renames(spark, d):
     return G.replace_quoted(table(spark, d, "events").select("event_id", text.alias("swapped")), "swapped", {"left": "right", "right": "left"})
 
 
+_CAPTURE = Fixture("customer", "c_custkey AS session", "CASE WHEN c_custkey % 7 > 0 THEN 'left,right' ELSE '' END AS cams", "CASE WHEN c_custkey % 3 > 0 THEN 'left' END AS sens", "c_custkey % 101 / 1e0 AS score")
+_CAPTURED = Fixture("orders", "o_custkey AS session", "CASE o_orderkey % 8 WHEN 7 THEN 'sensors' ELSE 'cameras' END AS subdir", "CASE o_orderkey % 8 WHEN 0 THEN 'left.mp4' WHEN 1 THEN 'left.jsonl' WHEN 2 THEN 'right.mp4' WHEN 3 THEN 'right.jsonl' WHEN 4 THEN 'resample_report.json' WHEN 5 THEN 'resampled_30hz.jsonl' WHEN 6 THEN 'notes.txt' ELSE 'left.jsonl' END AS name", "CASE WHEN o_orderkey % 9 > 0 THEN o_orderkey ELSE 0 END AS size", "o_orderkey % 5 > 0 AS ok")
+
+
+@query(f"""WITH s AS ({_CAPTURE.sql}), f AS ({_CAPTURED.sql}), x AS (SELECT session, unnest(list_concat(CASE WHEN cams <> '' THEN ['cameras/left.mp4', 'cameras/left.jsonl', 'cameras/right.mp4', 'cameras/right.jsonl', 'cameras/resample_report.json', 'cameras/resampled_30hz.jsonl'] ELSE [] END, CASE WHEN sens = 'left' THEN ['sensors/left.jsonl'] ELSE [] END)) AS file FROM s),
+h AS (SELECT session, subdir || '/' || name AS file, bool_and(ok) AS ok FROM f WHERE size > 0 GROUP BY 1, 2), j AS (SELECT x.session, count(*) FILTER (WHERE h.file IS NULL) AS missing, count(*) FILTER (WHERE NOT h.ok) AS corrupt FROM x LEFT JOIN h ON h.session = x.session AND h.file = x.file GROUP BY 1)
+SELECT s.session, coalesce(missing, 0) AS missing, coalesce(corrupt, 0) AS corrupt, 1 + coalesce(missing, 0) + coalesce(corrupt, 0) AS errors, CASE WHEN coalesce(missing + corrupt, 0) > 0 THEN 0e0 ELSE score END AS score, CASE WHEN coalesce(missing + corrupt, 0) > 0 THEN 'F' ELSE {grade_sql('score')} END AS grade FROM s LEFT JOIN j USING (session)""")
+def capture_integrity(spark, d):
+    s = _CAPTURE(spark, d).select("session", listed("cams").alias("cameras"), listed("sens").alias("sensors"), "score", X.grade(F.col("score")).alias("grade"), F.array(F.lit("e")).alias("errors"))
+    size = lambda c: F.size(c).cast("long").alias(c)
+    return P.capture_integrity(s, _CAPTURED(spark, d)).select("session", size("missing"), size("corrupt"), size("errors"), "score", "grade")
+
+
+@query("""WITH f AS (SELECT o_custkey AS session, count(*) FILTER (WHERE o_orderkey % 3 = 0) AS a, count(*) FILTER (WHERE o_orderkey % 3 = 1) AS b, count(*) FILTER (WHERE o_orderkey % 3 = 2) AS x FROM orders GROUP BY 1)
+SELECT session, 'extra' AS view FROM f WHERE x > 0 UNION ALL SELECT session, 'missing' FROM f WHERE a = 0 OR b = 0 UNION ALL SELECT session, 'both' FROM f WHERE x > 0 AND (a = 0 OR b = 0) UNION ALL SELECT session, 'all' FROM f WHERE x > 0 OR a = 0 OR b = 0""")
+def integrity_views(spark, d):
+    name = F.when(F.col("o_orderkey") % 3 == 0, "a").when(F.col("o_orderkey") % 3 == 1, "b").otherwise("x")
+    report = P.exact_set(table(spark, d, "orders").select(F.col("o_custkey").alias("session"), F.lit("").alias("subdir"), name.alias("name"), F.lit(False).alias("is_dir"), F.lit(True).alias("ok")), ("a", "b"), ())
+    views = [P.integrity_view(report, e, m).select("session", F.lit(v).alias("view")) for v, e, m in (("extra", True, False), ("missing", False, True), ("both", True, True), ("all", False, False))]
+    return views[0].union(views[1]).union(views[2]).union(views[3])
+
+
 # --- JSON lines and documents ---
 
 
@@ -165,6 +187,21 @@ def grid_rows(spark, d):
     return rows.select(_key().alias("k"), "ts", "file")
 
 
+@query("""WITH e AS (SELECT user_id % 60 AS k, event_id, row_number() OVER (PARTITION BY user_id % 60 ORDER BY event_id) - 1 AS n FROM events)
+SELECT k AS session, n AS lineno, CASE WHEN k % 4 > 1 THEN event_id * 4.0::DOUBLE WHEN event_id % 3 = 0 THEN event_id * 2.0::DOUBLE ELSE event_id * 1.0::DOUBLE END AS ts FROM e WHERE k % 4 < 2 OR (k % 4 = 2 AND event_id % 5 > 0)""")
+def camera_times(spark, d):
+    """Of four sessions two have sound grids (a null time stands for the grid's); one's grid has a line without any time, so that its camera's lines count; one's lines are spoilt too."""
+    e = table(spark, d, "events").select((F.col("user_id") % 60).alias("k"), "event_id")
+    n, last = F.col("event_id").cast("string"), F.col("event_id") == F.max("event_id").over(Window.partitionBy("k"))
+    own = F.when(F.col("event_id") % 3 == 0, F.lit("null")).otherwise(n)
+    point = F.concat(F.lit('{"grid_t": '), (F.col("event_id") * 2).cast("string"), F.lit(', "frames": {"'), F.when(F.col("k") % 2 == 0, "right").otherwise("rigth"), F.lit('": {"capture_timestamp_sec": '), own, F.lit("}}}"))
+    grid = e.withColumn("line", F.when(last & (F.col("k") % 4 > 1), '{"frames": {"left": {}}}').otherwise(point))
+    frame = F.when(F.col("event_id") % 5 > 0, F.concat(F.lit('{"capture_timestamp_sec": '), (F.col("event_id") * 4).cast("string"), F.lit("}"))).otherwise("{}")
+    mine = e.withColumn("line", F.when(last & (F.col("k") % 4 == 3), "{").otherwise(frame))
+    lines = lambda rows: D.lines(spark, [_files(spark, rows, "k", "event_id")]).withColumn("session", _key())
+    return D.camera_times(lines(grid), lines(mine), "right", "rigth")
+
+
 @query("SELECT s_suppkey AS k, s_suppkey % 3 > 0 AS valid, CASE WHEN s_suppkey % 3 > 0 THEN s_name END AS name, CASE WHEN s_suppkey % 3 > 0 AND s_suppkey % 2 = 0 THEN s_nationkey END AS nation FROM supplier")
 def json_documents(spark, d):
     """Whole documents, a third of them cut off; a number of the wrong type is null."""

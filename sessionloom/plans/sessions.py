@@ -109,6 +109,34 @@ def exact_set(files: DataFrame, required=REQUIRED, optional=OPTIONAL) -> DataFra
     return out.withColumn("ok", (F.size("missing") == 0) & (F.size("extra") == 0) & (F.size("corrupt") == 0))
 
 
+def integrity_view(report: DataFrame, extra_only: bool = False, missing_only: bool = False) -> DataFrame:
+    """Of an `exact_set` the sessions that aren't clean; with a choice those with extra files, or with missing ones (both: with both)."""
+    out = report.where(~F.col("ok"))
+    out = out.where(F.size("extra") > 0) if extra_only else out
+    return out.where(F.size("missing") > 0) if missing_only else out
+
+
+def capture_integrity(sessions: DataFrame, files: DataFrame) -> DataFrame:
+    """sessions with missing, corrupt, and score, grade and errors as they are then: any missing or corrupt file of the capture gives 0 and F.
+
+    sessions: session, cameras and sensors (arrays of declared names; empty ones don't count), score, grade, errors (array); files: session, subdir, name, size, ok (see
+    `documents.file_checks`). A file without bytes is missing. With a camera the resampled grid and its report are expected too.
+    """
+    none = F.array().cast("array<string>")
+    names = lambda c: F.filter(F.coalesce(c, none), lambda n: F.coalesce(n, F.lit("")) != "")
+    of = lambda c, folder, *ends: F.flatten(F.transform(names(c), lambda n: F.array(*[F.concat(F.lit(f"{folder}/"), n, F.lit(e)) for e in ends])))
+    grid = F.when(F.size(names("cameras")) > 0, F.array(F.lit("cameras/resample_report.json"), F.lit("cameras/resampled_30hz.jsonl"))).otherwise(none)
+    want = F.concat(of("cameras", "cameras", ".mp4", ".jsonl"), grid, of("sensors", "sensors", ".jsonl"))
+    there = files.where("size > 0").select("session", F.concat_ws("/", "subdir", "name").alias("f"), "ok")
+    each = there.groupBy("session").agg(F.collect_set("f").alias("_there"), F.collect_set(F.when(~F.col("ok"), F.col("f"))).alias("_bad"))
+    out = sessions.join(each, "session", "left").withColumn("_want", want)
+    out = out.withColumns({"missing": F.array_except("_want", F.coalesce("_there", none)), "corrupt": F.array_intersect("_want", F.coalesce("_bad", none))})
+    broken = (F.size("missing") > 0) | (F.size("corrupt") > 0)
+    told = lambda c, text: F.transform(c, lambda f: F.concat(F.lit(text), f))
+    errors = F.concat(F.coalesce("errors", none), told("missing", "missing file: "), told("corrupt", "corrupt file: "))
+    return out.withColumns({"errors": errors, "score": F.when(broken, 0.0).otherwise(F.col("score")), "grade": F.when(broken, "F").otherwise(F.col("grade"))}).drop("_want", "_there", "_bad")
+
+
 def structure_issues(sessions: DataFrame, files: DataFrame, with_analysis_errors: bool = False) -> DataFrame:
     """session, issues: what keeps a session from delivery, in a fixed order.
 

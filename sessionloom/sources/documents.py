@@ -75,6 +75,34 @@ def grid(rows: DataFrame, camera: str, alias: str | None = None) -> DataFrame:
     return rows.select("path", "lineno", at.alias("ts"), F.coalesce(*[field(doc, f"$.frames['{n}'].file") for n in names]).alias("file")).where("ts is not null")
 
 
+def grid_times(rows: DataFrame, camera: str, alias: str | None = None) -> DataFrame:
+    """path, lineno, ts of one camera in resampled lines, all of a file's or none: a line that doesn't parse, or gives neither the camera's time nor the grid's, spoils its file.
+
+    A camera's entry must name its time; one that is null stands for the grid's.
+    """
+    entry = lambda n: field(F.col("doc"), f"$.frames['{n}']", "variant")
+    mine = entry(camera) if alias is None else F.coalesce(entry(camera), entry(alias))
+    out = rows.withColumn("doc", F.try_parse_json("line")).withColumn("_entry", mine)
+    given = field(F.col("_entry"), "$.capture_timestamp_sec", "variant")
+    ts = F.when(given.isNotNull() & ~F.coalesce(F.is_variant_null(given), F.lit(False)), field(F.col("_entry"), "$.capture_timestamp_sec", "double")).otherwise(field(F.col("doc"), "$.grid_t", "double"))
+    out = out.withColumn("ts", ts)
+    bad = F.col("doc").isNull() | (F.col("_entry").isNotNull() & given.isNull()) | F.col("ts").isNull()
+    return before_errors(out.select("path", "lineno", "ts", bad.alias("_spoilt")), F.col("_spoilt"), False).select("path", "lineno", "ts")
+
+
+def camera_times(grid: DataFrame, own: DataFrame, camera: str, alias: str | None = None) -> DataFrame:
+    """session, lineno, ts of a camera's frames: from the resampled lines of its session, or, where these give none, from the camera's own lines.
+
+    grid, own: session, path, lineno, line. Own lines without a time are passed over; lines that don't parse spoil their file.
+    """
+    of = lambda rows: rows.select("path", "session").distinct()
+    first = grid_times(grid.drop("session"), camera, alias).join(of(grid), "path").select("session", "lineno", "ts")
+    rest = own.join(first.select("session").distinct(), "session", "left_anti")
+    doc = rest.withColumn("doc", F.try_parse_json("line"))
+    kept = before_errors(doc.select("path", "session", "lineno", F.col("doc").isNull().alias("_spoilt"), field(F.col("doc"), "$.capture_timestamp_sec", "double").alias("ts")), F.col("_spoilt"), False)
+    return first.unionByName(kept.where("ts is not null").select("session", "lineno", "ts"))
+
+
 def sensor_openings(rows: DataFrame) -> DataFrame:
     doc = F.try_parse_json("line")
     return rows.select("path", "lineno", field(doc, "$.host_time_sec", "double").alias("t"), field(doc, "$.Opening_width", "double").alias("opening")).where("t is not null and opening is not null")
