@@ -9,7 +9,8 @@ state known each chunk is read again for the marks. So all chunks of all texts o
 The second machine reads the bytes of a piece. Its transitions carry the change in the number of tokens: a state holds,
 for each suffix that can still grow into a longer token, the token before it and the count up to it; the next byte ends
 exactly one token that is compatible with the token before it (the pair, merged again from bytes, gives itself). States
-are compiled when first reached and are kept in a bounded table, as are the counts of whole pieces.
+are compiled when first reached and are kept in a bounded table, as are the counts of whole pieces. Pieces of more than LONG_PIECE bytes are cut into chunks too, whose maps are taken at
+the states that come in and composed (`chunked`).
 
 Spark side: one narrow `mapInArrow`, no shuffle; the vocabulary is a broadcast of fixed size.
 
@@ -27,13 +28,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionloom.llm.common import own_columns, table, text_slices, tokenizer_bytes
+from sessionloom.llm.common import own_columns, table, text_slices, tidy, tokenizer_bytes
 from sessionloom.llm.word_bpe import byte_letters
 
 LIMIT = 512
 CHUNK = 256
 MEMO_PIECES = 400_000
 MEMO_STATES = 150_000
+PIECE_CHUNK, WARM = 1024, 64
+LONG_PIECE = 4 * PIECE_CHUNK
 
 # kinds of characters; END stands between texts
 SPACE, WHITE, LETTER, DIGIT, OTHER, QUOTE, STMD, RV, E, L, END = range(11)
@@ -158,18 +161,52 @@ class TokenCounter:
         found = self.arrows[s][byte] = (n, change)
         return found
 
-    def piece(self, data: bytes) -> int:
-        arrows, s, total = self.arrows, 0, 0
+    def walk(self, s: int, data: bytes) -> tuple[int, int]:
+        """The state after data, and the change in the count, from state s."""
+        arrows, total = self.arrows, 0
         for byte in data:
             a = arrows[s].get(byte)
             if a is None:
                 a = self.arrow(s, byte)
             s = a[0]
             total += a[1]
+        return s, total
+
+    def piece(self, data: bytes) -> int:
+        total = self.walk(0, data)[1] if len(data) <= LONG_PIECE else self.chunked(data)
         if len(self.states) > MEMO_STATES:
             self._forget_states()
         return total
 
+    def chunked(self, data: bytes) -> int:
+        """The count of a long piece by maps of its chunks.
+
+        All chunks advance together, each from the state that the bytes before it lead to (from the start state, WARM bytes back), which gives one entry of its map: entry state, exit state and count.
+        Neighbours compose where an exit is the next one's entry; where it isn't, the chunk's map is taken at the state that does come in. Counts of composed maps add up.
+        """
+        n = -(-len(data) // PIECE_CHUNK)
+        grid = np.frombuffer(data.ljust(n * PIECE_CHUNK, b"\0"), np.uint8).reshape(n, PIECE_CHUNK).T.astype(np.int64)
+        state = np.zeros(n, np.int64)
+
+        def advance(column: np.ndarray, at: np.ndarray) -> np.ndarray:
+            pair, back = np.unique(state[at] << 8 | column[at], return_inverse=True)
+            found = [self.arrows[p >> 8].get(p & 255) or self.arrow(p >> 8, p & 255) for p in pair.tolist()]
+            found = np.array(found, np.int64).reshape(-1, 2)[back]
+            state[at] = found[:, 0]
+            return found[:, 1]
+
+        later = np.arange(1, n)
+        for j in range(PIECE_CHUNK - WARM, PIECE_CHUNK):  # the end of the chunk before
+            advance(np.append(0, grid[j, :-1]), later)
+        entry, count = state.copy(), np.zeros(n, np.int64)
+        for j in range(PIECE_CHUNK):
+            at = np.arange(n) if j < len(data) - (n - 1) * PIECE_CHUNK else np.arange(n - 1)
+            count[at] += advance(grid[j], at)
+        for k in range(1, n):
+            if entry[k] != state[k - 1]:
+                state[k], count[k] = self.walk(int(state[k - 1]), data[k * PIECE_CHUNK : (k + 1) * PIECE_CHUNK])
+        return int(count.sum())
+
     def marks(self, kind: np.ndarray) -> np.ndarray:
         """Marks of a stream of kinds, by chunk maps and a prefix scan over them."""
         n = -(-kind.size // CHUNK)
@@ -243,7 +280,7 @@ def token_counts(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: i
             size = [len(t.encode("utf-8")) if t else 0 for t in texts]
             yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "n_bytes": pa.array(size, pa.int64()), "n_tokens": pa.array(n, pa.int64()), "over_limit": pa.array([x > limit for x in n], pa.bool_())})
 
-    return own_columns(docs, {"doc_id": "long", "text": "string"}).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return own_columns(docs, {"doc_id": "long", "text": "string"}).mapInArrow(tidy(run), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

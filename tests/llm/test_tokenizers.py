@@ -70,6 +70,34 @@ def test_chunk_maps_do_not_depend_on_the_chunk(monkeypatch):
     assert found[0] == found[1] == found[2] == found[3]
 
 
+@pytest.mark.parametrize("chunk,warm", [(1024, 64), (16, 8), (8, 1), (5, 5)])
+def test_long_pieces_by_chunks(monkeypatch, chunk, warm):
+    """Chunks whose warm-up leads to the true state, and those whose doesn't: as the whole piece, and as the library."""
+    import tokenizers
+
+    monkeypatch.setattr(token_counts, "PIECE_CHUNK", chunk)
+    monkeypatch.setattr(token_counts, "WARM", warm)
+    monkeypatch.setattr(token_counts, "LONG_PIECE", 4 * chunk)
+    rng = random.Random(chunk)
+    c = token_counts.TokenCounter(tokenizer_bytes("byte_bpe_50k.json"))
+    words = ["the", "international", "aaaaaaaa", "ing", "zq", "é", "strasse", "日本", "x" * 300]
+    given = ["".join(rng.choice(words) for _ in range(n)) for n in (1, 40, 700, 3000)] + ["a" * 20_001, "ab" * 6000, "日" * 5000] + ["".join(rng.choice("abcdefgh") for _ in range(30_000))]
+    for t in given:
+        assert c.piece(t.encode()) == c.walk(0, t.encode())[1]
+    library = tokenizers.Tokenizer.from_str(tokenizer_bytes("byte_bpe_50k.json").decode())
+    assert c.counts(given) == [len(x) for x in library.encode_batch(given, add_special_tokens=False)]
+
+
+def test_a_piece_of_a_million_letters():
+    import time
+
+    c = token_counts.TokenCounter(tokenizer_bytes("byte_bpe_50k.json"))
+    rng = random.Random(1)
+    text = "".join(rng.choice(["tion", "er", "xyz", "straight", "qu", "e"]) for _ in range(330_000))[:1_000_000].encode()
+    began = time.time()
+    assert c.chunked(text) == c.walk(0, text)[1] and time.time() - began < 60
+
+
 def test_count_rows(docs_of):
     got = {r["doc_id"]: r for r in token_counts.token_counts(docs_of([(1, "a" * 4000), (2, None), (3, "é b")])).collect()}
     assert (got[2]["n_bytes"], got[2]["n_tokens"], got[2]["over_limit"]) == (0, 0, False)
