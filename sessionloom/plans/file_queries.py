@@ -222,6 +222,22 @@ def csv_flux(spark, d):
     return D.csv_series(spark, folder, ["time", "timestamp_ms"], ["flow", "magnitude", "note"])
 
 
+@query("""WITH e AS (SELECT user_id % 60 AS k, event_id, row_number() OVER (PARTITION BY user_id % 60 ORDER BY event_id) AS n, count(*) OVER (PARTITION BY user_id % 60) AS m FROM events)
+SELECT k, CASE k % 5 WHEN 0 THEN 'first' WHEN 1 THEN 'last' WHEN 2 THEN 'middle' WHEN 3 THEN 'blank' ELSE 'none' END AS spoilt, k % 5 IN (2, 4) AS ok FROM e GROUP BY 1""")
+def stream_files(spark, d):
+    """Files of streams checked by their first and last line: a spoilt one in the middle isn't seen, a blank first one fails."""
+    e = table(spark, d, "events").select((F.col("user_id") % 60).alias("k"), "event_id")
+    w = Window.partitionBy("k")
+    first, last = F.col("event_id") == F.min("event_id").over(w), F.col("event_id") == F.max("event_id").over(w)
+    good, case = F.format_string('{"a": %d}', "event_id"), F.col("k") % 5
+    line = F.when((case == 0) & first | (case == 1) & last | (case == 2) & ~first & ~last, '{"a": ').when((case == 3) & first, "").otherwise(good)
+    folder = _files(spark, e.withColumn("line", line), "k", "event_id")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder).select("path", F.col("length").alias("size"))
+    checked = files.withColumn("ok", F.pandas_udf(D.jsonl_edges_many, "boolean")("path"))
+    case = _key() % 5
+    return checked.select(_key().alias("k"), F.when(case == 0, "first").when(case == 1, "last").when(case == 2, "middle").when(case == 3, "blank").otherwise("none").alias("spoilt"), "ok")
+
+
 # --- sinks, read again ---
 
 

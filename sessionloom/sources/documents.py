@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import io
+import json
+import os
+from contextlib import contextmanager
+
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -135,12 +141,22 @@ def csv_series(spark: SparkSession, path: str, times: list[str], values: list[st
     return None if t is None or v is None else rows.select(F.col(t).try_cast("double").alias("t_ms"), F.col(v).try_cast("double").alias("v")).where("t_ms is not null and v is not null")
 
 
-def _read_edges(path: str, head: int, tail: int) -> tuple[bytes, bytes, int] | None:
-    import os
+@contextmanager
+def opened(path: str):
+    """A file of any store that its path names (by URI, or a local one), read anywhere in it, and its size."""
+    if "://" not in path:
+        path = path.removeprefix("file:")
+        with open(path, "rb") as f:
+            yield f, os.path.getsize(path)
+    else:
+        store, place = fs.FileSystem.from_uri(path)
+        with store.open_input_file(place) as f:
+            yield io.BufferedReader(f), f.size()
 
+
+def _read_edges(path: str, head: int, tail: int) -> tuple[bytes, bytes, int] | None:
     try:
-        size = os.path.getsize(path)
-        with open(path, "rb") as f:
+        with opened(path) as (f, size):
             first = f.read(head)
             f.seek(max(0, size - tail))
             return first, f.read(tail), size
@@ -150,12 +166,9 @@ def _read_edges(path: str, head: int, tail: int) -> tuple[bytes, bytes, int] | N
 
 def mp4_boxes_ok(path: str) -> bool:
     """Walks the top-level boxes by their headers; a file needs `ftyp` and `moov`. A box that leaves the file ends the walk; one shorter than its header fails."""
-    import os
-
     seen, at = set(), 0
     try:
-        size = os.path.getsize(path)
-        with open(path, "rb") as f:
+        with opened(path) as (f, size):
             while at + 8 <= size:
                 f.seek(at)
                 head = f.read(16)
@@ -182,12 +195,8 @@ def mp4_edges_ok(path: str) -> bool:
 
 def jsonl_edges_ok(path: str) -> bool:
     """The first line, of any length, and the last line of the file's end parse; a blank first line or a last line longer than TAIL bytes fails."""
-    import json
-    import os
-
     try:
-        size = os.path.getsize(path)
-        with open(path, "rb") as f:
+        with opened(path) as (f, size):
             first = f.readline()
             f.seek(max(0, size - TAIL))
             ends = [x for x in f.read(TAIL).split(b"\n") if x.strip()]
@@ -198,6 +207,10 @@ def jsonl_edges_ok(path: str) -> bool:
     return True
 
 
+def jsonl_edges_many(paths: pd.Series) -> pd.Series:
+    return paths.map(jsonl_edges_ok)
+
+
 def jsonl_whole_ok(lines: DataFrame) -> DataFrame:
     """path, ok of files by their lines (path, lineno, line): the first and last non-blank lines parse. Each is a least or greatest line over all ranges."""
     ends = lines.where("trim(line) != ''").groupBy("path").agg(F.min_by("line", "lineno").alias("first"), F.max_by("line", "lineno").alias("last"))
@@ -205,8 +218,7 @@ def jsonl_whole_ok(lines: DataFrame) -> DataFrame:
 
 
 def file_checks(files: DataFrame) -> DataFrame:
-    """files with `ok`: containers by their boxes, streams by their first and last line, documents by parsing, others non-empty."""
-    import json
+    """files with `ok`: containers by their boxes, streams by their first and last line, documents by parsing, others non-empty. Paths may be URIs of a store that all tasks reach."""
 
     def one(path: str, size: int) -> bool:
         low = path.lower()
@@ -218,8 +230,8 @@ def file_checks(files: DataFrame) -> DataFrame:
             return jsonl_edges_ok(path)
         if low.endswith(".json"):
             try:
-                with open(path, encoding="utf-8", errors="replace") as f:
-                    json.load(f)
+                with opened(path) as (f, _):
+                    json.loads(f.read().decode("utf-8", "replace"))
             except (OSError, ValueError):
                 return False
         return True

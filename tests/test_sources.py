@@ -83,6 +83,7 @@ def test_video_and_stream_edges(tmp_path):
     cut.write_bytes(box(b"ftyp") + (99).to_bytes(4, "big") + b"moov")
     # a box that leaves the file ends the walk, which has seen what it needs; without moov, or with a box shorter than its header, it fails
     assert D.mp4_boxes_ok(str(ok)) and D.mp4_boxes_ok(str(cut)) and D.mp4_edges_ok(str(cut))
+    assert D.mp4_boxes_ok(ok.as_uri()) and D.mp4_edges_ok(cut.as_uri()) and not D.mp4_boxes_ok((tmp_path / "none.mp4").as_uri())
     for k, data in enumerate((box(b"ftyp") + (99).to_bytes(4, "big") + b"mdat", box(b"ftyp") + box(b"moov") + (7).to_bytes(4, "big") + b"mdat", b"")):
         bad = tmp_path / f"c{k}.mp4"
         bad.write_bytes(data)
@@ -90,7 +91,7 @@ def test_video_and_stream_edges(tmp_path):
     for k, (data, want) in enumerate(((b"\n{}\n", False), (b'{"a": "' + b"x" * (1 << 21) + b'"}\n{}\n', True), (b"{}\n{", False), (b"{}", True))):
         lines = tmp_path / f"l{k}.jsonl"
         lines.write_bytes(data)
-        assert D.jsonl_edges_ok(str(lines)) == want
+        assert D.jsonl_edges_ok(str(lines)) == want == D.jsonl_edges_ok(lines.as_uri())
     long = tmp_path / "l.jsonl"
     long.write_text('{"a": 1}\n{"b": "' + "x" * 9000 + '"}\n')
     assert not D.jsonl_edges_ok(str(long))
