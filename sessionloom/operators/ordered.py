@@ -12,10 +12,54 @@ def _by(keys, *order):
     return Window.partitionBy(*keys).orderBy(*order)
 
 
-def frame_gaps(rows: DataFrame, keys: list[str], at: str, tie: str, nominal: float, drop: float = 2.5, severe: float = 10.0) -> DataFrame:
+#: A key with more rows than this is cut into ranges of about as many.
+RANGE_ROWS = 1_000_000
+
+
+def _large(rows: DataFrame, keys: list[str], most: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of keys with up to `most` rows (and of keys with a null), and of the others; None where there are none."""
+    whole = F.expr(" and ".join(f"`{k}` is not null" for k in keys))
+    hot = written(rows.where(whole).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select(*keys), "hot-keys")
+    if hot.isEmpty():
+        return rows, None
+    return rows.join(hot, keys, "left_anti").select(*rows.columns), rows.join(hot, keys, "left_semi").select(*rows.columns)
+
+
+def with_previous(rows: DataFrame, keys: list[str], order: list[str], columns: list[str], most: int = RANGE_ROWS) -> DataFrame:
+    """rows with `_prev`, a struct of the columns of the row before it in its key (null for the first). The order must be total within a key.
+
+    Keys with more than `most` rows are cut into ranges of their order. Each range is handed the last row of the one before: a row for each range and key.
+    """
+    value = F.struct(*columns)
+    few, many = _large(rows, keys, most)
+    out = few.withColumn("_prev", F.lag(value).over(_by(keys, *order)))
+    if many is None:
+        return out
+    placed = numbered(many, [*keys, *order]).withColumn("_range", F.floor(F.col("number") / most))
+    last = placed.groupBy(*keys, "_range").agg(F.max_by(value, "number").alias("_last"))
+    handed = last.select(*keys, "_range", F.lag("_last").over(_by(keys, "_range")).alias("_handed"))
+    met = placed.join(handed, [*keys, "_range"]).withColumn("_prev", F.coalesce(F.lag(value).over(_by([*keys, "_range"], "number")), "_handed"))
+    return out.unionByName(met.select(*rows.columns, "_prev"))
+
+
+def running_sums(rows: DataFrame, keys: list[str], order: list[str], size: str, name: str, most: int = RANGE_ROWS) -> DataFrame:
+    """rows with `name`, the sum of the sizes up to each row of its key. Keys with more than `most` rows are added up in ranges of their order, after the sums of the ranges before."""
+    few, many = _large(rows, keys, most)
+    out = few.withColumn(name, F.sum(size).over(_by(keys, *order).rowsBetween(Window.unboundedPreceding, 0)))
+    if many is None:
+        return out
+    placed = numbered(many, [*keys, *order]).withColumn("_range", F.floor(F.col("number") / most))
+    sums = placed.groupBy(*keys, "_range").agg(F.coalesce(F.sum(size), F.lit(0)).alias("_sum"))
+    before = F.coalesce(F.sum("_sum").over(_by(keys, "_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.coalesce(F.sum(size).over(_by([*keys, "_range"], "number").rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
+    met = placed.join(sums.select(*keys, "_range", before.alias("_before")), [*keys, "_range"]).withColumn(name, (F.col("_before") + inside).cast(out.schema[name].dataType))
+    return out.unionByName(met.select(*rows.columns, name))
+
+
+def frame_gaps(rows: DataFrame, keys: list[str], at: str, tie: str, nominal: float, drop: float = 2.5, severe: float = 10.0, most: int = RANGE_ROWS) -> DataFrame:
     """Gaps between neighbours: how many are above drop and severe times the nominal step, the largest, and the share."""
-    gap = F.col(at) - F.lag(at).over(_by(keys, at, tie))
-    out = rows.withColumn("gap", gap).groupBy(*keys).agg(
+    met = with_previous(rows.select(*dict.fromkeys([*keys, at, tie])), keys, [at, tie], [at], most)
+    out = met.withColumn("gap", F.col(at) - F.col(f"_prev.{at}")).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("frames"),
         F.count_if(F.col("gap") > drop * nominal).cast("long").alias("drops"),
         F.count_if(F.col("gap") > severe * nominal).cast("long").alias("severe"),
@@ -52,26 +96,25 @@ def drift(rows: DataFrame, keys: list[str], at: str, nominal: float, width: floa
     return whole.join(rates, keys, "left").select(*keys, F.coalesce("windows", F.lit(0)).alias("windows"), F.round(rate, 3).alias("rate"), F.round(rate - nominal, 3).alias("delta"), zero("std_rate"), zero("trend"))
 
 
-def displacement(rows: DataFrame, keys: list[str], order: list[str], axes: list[str]) -> DataFrame:
+def displacement(rows: DataFrame, keys: list[str], order: list[str], axes: list[str], most: int = RANGE_ROWS) -> DataFrame:
     """Steps along each axis and their length; zeros in the first row."""
-    w = _by(keys, *order)
-    out = rows.withColumns({f"d_{a}": F.coalesce(F.col(a) - F.lag(a).over(w), F.lit(0.0)) for a in axes})
+    met = with_previous(rows, keys, order, axes, most)
+    out = met.withColumns({f"d_{a}": F.coalesce(F.col(a) - F.col(f"_prev.{a}"), F.lit(0.0)) for a in axes}).drop("_prev")
     return out.withColumn("step", F.sqrt(sum((F.col(f"d_{a}") * F.col(f"d_{a}") for a in axes), F.lit(0.0))))
 
 
-def derivative(rows: DataFrame, keys: list[str], at: str, value: str, tie: str, least: int = 3) -> DataFrame:
+def derivative(rows: DataFrame, keys: list[str], at: str, value: str, tie: str, least: int = 3, most: int = RANGE_ROWS) -> DataFrame:
     """|change| over time at midpoints; equal times keep their first value; groups with fewer than least steps are left out."""
-    first = rows.where(F.col(value).isNotNull()).withColumn("rn", F.row_number().over(_by([*keys, at], tie))).where("rn = 1")
-    w = _by(keys, at)
-    steps = first.withColumn("dt", F.col(at) - F.lag(at).over(w)).withColumn("dv", F.abs(F.col(value) - F.lag(value).over(w))).where("dt > 0")
-    out = steps.select(*keys, (F.col(at) - F.col("dt") / 2).alias("mid"), (F.col("dv") / F.col("dt")).alias("speed"))
-    return out.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy(*keys))).where(F.col("m") >= least).drop("m")
+    first = rows.where(F.col(value).isNotNull()).groupBy(*keys, at).agg(F.min_by(value, tie).alias(value))
+    steps = with_previous(first, keys, [at], [at, value], most)
+    steps = steps.withColumn("dt", F.col(at) - F.col(f"_prev.{at}")).withColumn("dv", F.abs(F.col(value) - F.col(f"_prev.{value}"))).where("dt > 0")
+    enough = first.groupBy(*keys).agg(F.count(at).alias("_m")).where(F.col("_m") - 1 >= least).select(*keys)
+    return steps.join(enough, keys, "left_semi").select(*keys, (F.col(at) - F.col("dt") / 2).alias("mid"), (F.col("dv") / F.col("dt")).alias("speed"))
 
 
-def capacity_prefix(rows: DataFrame, keys: list[str], order: list[str], size: str, cap: float) -> DataFrame:
+def capacity_prefix(rows: DataFrame, keys: list[str], order: list[str], size: str, cap: float, most: int = RANGE_ROWS) -> DataFrame:
     """Rows in order until the next would go over the cap (sizes are not negative; exactly at the cap is kept)."""
-    w = _by(keys, *order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("total", F.sum(size).over(w)).where(F.col("total") <= cap)
+    return running_sums(rows, keys, order, size, "total", most).where(F.col("total") <= cap)
 
 
 def first_of_group(rows: DataFrame, keys: list[str], order: list, where: Column | None = None) -> DataFrame:
@@ -130,8 +173,6 @@ def even_sample(rows: DataFrame, order: list[str], n: int) -> DataFrame:
     return placed.join(picks, "number", "left_semi") if n else placed.limit(0)
 
 
-#: A key with more rows than this is cut into ranges of time of about as many.
-RANGE_ROWS = 1_000_000
 CELLS = 64
 
 

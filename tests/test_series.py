@@ -97,3 +97,23 @@ def test_camera_sync_without_times(spark):
     frames = spark.createDataFrame([("fine", "left", k, 100.0 * k) for k in range(4)] + [("empty", "left", 0, None)], "session string, camera string, frame_id long, ts_ms double")
     got = {r["session"]: (r["total"], r["bad"], r["median_bad_ms"], r["ok"]) for r in P.camera_sync(grid, frames, cameras=frames).collect()}
     assert got == {"empty": (4, 4, float("inf"), False), "fine": (4, 1, float("inf"), False)}
+
+
+@pytest.mark.parametrize("most", [4, 30, 10**6])
+def test_neighbours_and_sums_in_ranges(spark, most):
+    """A key with nine tenths of all rows, a null key, null values: as the plain loop, however the key is cut."""
+    rng = np.random.default_rng(most)
+    rows = [(None if k % 40 == 0 else "a" if k % 10 else "b", k, float(t), None if k % 13 == 0 else float(rng.integers(0, 9))) for k, t in enumerate(rng.permutation(200) / 2)]
+    df = spark.createDataFrame(rows, "g string, k long, t double, v double")
+    want, sums, last, total = {}, {}, {}, {}
+    for g, k, t, v in sorted(rows, key=lambda r: r[2]):
+        want[k] = last.get(g)
+        last[g] = (t, v)
+        total[g] = total.get(g) if v is None else (total.get(g) or 0) + v
+        sums[k] = total[g]
+    got = O.with_previous(df, ["g"], ["t", "k"], ["t", "v"], most).collect()
+    assert len(got) == 200 and {r["k"]: None if r["_prev"] is None else tuple(r["_prev"]) for r in got} == want
+    got = {r["k"]: r["total"] for r in O.running_sums(df, ["g"], ["t", "k"], "v", "total", most).collect()}
+    assert all((got[k] or 0) == (sums[k] or 0) for k in sums) and len(got) == 200
+    steps = O.displacement(df, ["g"], ["t", "k"], ["t"], most)
+    assert steps.count() == 200 and steps.columns == ["g", "k", "t", "v", "d_t", "step"]
