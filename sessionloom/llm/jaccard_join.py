@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm.common import cut, free_name, own_columns, scratch, table, text_slices, tidy
+from sessionloom.llm.common import cut, free_name, own_columns, scratch, settings, table, text_slices, tidy
 from sessionloom.llm.components import components
 from sessionloom.llm.shingles import FILTER_BITS, U, key_filter, mix, shingle_sets
 
@@ -306,7 +306,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _linked(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    return cut(_verified(pairs, cut(_sets(docs, ids, "id"), "jaccard-sets"), percent), "jaccard-links")
+    with scratch(docs.sparkSession) as keep:  # the sets go when their links are written
+        return keep(_verified(pairs, cut(_sets(docs, ids, "id"), "jaccard-sets"), percent), "jaccard-links")
 
 
 class _Tree:
@@ -511,9 +512,13 @@ def _tree_pairs(held: DataFrame, percent: int, buckets: int, likely: float, alon
     return cells.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(join, "a long, b long, counted boolean").groupBy("a", "b").agg(F.bool_or("counted").alias("counted"))
 
 
+#: Every step is written and read again, so a step's shuffle files can go when it has run.
+TIDY_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    with scratch(docs.sparkSession) as keep:
+    with scratch(docs.sparkSession) as keep, settings(docs.sparkSession, TIDY_SHUFFLES):
         return keep(_groups(docs, percent), "jaccard-rows")
 
 
@@ -551,11 +556,12 @@ def _groups(docs: DataFrame, percent: int) -> DataFrame:
         shares = tokens.groupBy("lo").agg(F.ceil(F.sum("m") / PART_ROWS).cast("long").alias("shares"))
         tokens = tokens.join(shares, "lo").select("token", F.xxhash64("lo", F.pmod(F.xxhash64("token"), "shares")).alias("part"))
         held = placed.join(tokens, "token").join(sized.select(F.col("doc_id").alias("id"), "n", "signature"), "id")
-        held = cut(held.dropDuplicates(["token", "id"]), "jaccard-held")
-        rows = held.count()
-        if not rows and not alone:
-            break
-        wanted = cut(_tree_pairs(held, percent, max(shuffles, math.ceil(rows / GROUP_ROWS)), likely, alone), "jaccard-pairs")
+        with scratch(spark) as keep:  # a round's holders and blocks go when its pairs are written
+            held = cut(held.dropDuplicates(["token", "id"]), "jaccard-held")
+            rows = held.count()
+            if not rows and not alone:
+                break
+            wanted = keep(_tree_pairs(held, percent, max(shuffles, math.ceil(rows / GROUP_ROWS)), likely, alone), "jaccard-pairs")
         more = wanted.select("a", "b") if tried is None else wanted.select("a", "b").join(tried, ["a", "b"], "left_anti")
         tried = more if tried is None else tried.union(more)
         links = links.union(_linked(docs, cut(_possible(more, sized, percent), "jaccard-pairs"), percent))
