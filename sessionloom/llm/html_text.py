@@ -1,25 +1,29 @@
 """Operator 8: main text of pages, without the passages that a host repeats.
 
-A page is parsed once into blocks, which are written with content and other text in columns of their own. A block inside
-`article` or `main` is content. All blocks outside content form the page's token stream, and the host suffix array decides on
-them first: tokens inside a repeat of the host are cut. Where it finds no repeat, names decide: a block inside an element that is
+A page is parsed into blocks. A block inside `article` or `main` is content. All blocks outside content form the page's token
+stream, which is written, and the host suffix array decides on them first: tokens inside a repeat of the host are cut. Where it finds no repeat, names decide: a block inside an element that is
 boilerplate by its name, role, whole class name or id (fixed lists below) is dropped, and any other one stays, as lines of its
 unique runs. An element marked by class or id alone that holds an `article` or `main` is a wrapper and its mark doesn't count,
 unless it is a comment thread (each comment is an `article` there); elements and roles such as nav or footer keep what they hold
 out. Ids of headings are anchors. Content is never cut for being repeated, as the contract asks for the whole article.
 
 The array: a suffix starts at every token and is written as its next DEPTH tokens (the tokens themselves; those over LONG_TOKEN
-characters as a 128-bit digest). Suffixes are sorted by range partitions of (host, tokens, page, place). One pass over the
+characters as a 128-bit digest). Equal suffixes that a task meets together are one row with their pages and places. Rows are sorted
+by range partitions of (host, tokens, first page). One pass over the
 sorted rows takes the common prefix of each row with the row before it; rows that share the first L tokens are an interval, and
 its distinct pages are counted. RULES say which intervals are repeats: 32 tokens on 4 pages and 2 % of the host's
 pages, or 6 tokens, such as a menu, on 4 pages and half of the host's pages. A longer maximal repeat is the run of such intervals
 at its places, so covering each of them covers it whole. Pages of a host whose blocks are all equal count once. So copies of an
 article, quotes and common phrases stay, however large the host grows; on a host with fewer than 4 distinct pages nothing is cut.
 
-Scale: before suffixes are sorted, a count sketch of the 6-token windows (2^SKETCH_BITS counters of a byte, of fixed size, summed by
-Spark and broadcast) drops those on fewer than 4 pages for certain; where it fills up it lets more through. An interval may lie in
-several partitions: each gives its count, and the counts are summed. Equal suffixes of very many pages differ in page and place, so
-no range holds them all. Content is not shuffled; the text of pages with undecided blocks is, to meet its repeats.
+Scale: before suffixes are sorted, a count sketch of the 6-token windows (2^SKETCH_BITS counters of two bytes, of fixed size, summed by
+Spark and broadcast) drops those that start no repeat for certain: by each rule, all windows of its tokens must be on as many pages as
+it asks for (its share counts for the LARGE_HOSTS hosts of most pages); where the sketch fills up it lets more through. An interval may lie in
+several partitions: each gives its count, and the counts are summed. Rows of equal suffixes of very many pages differ in their first
+page, so no range holds them all. Pages are parsed again for the result, so that content is neither written nor shuffled before it;
+the text of pages with undecided blocks is shuffled, to meet its repeats. Where there are any, the pages are parsed a third time.
+Suffixes are shuffled once, a step's shuffle files go when it has run, and of its tables only the places of repeats stay, which the
+result reads.
 
 Defined results: null or empty html gives an empty text; null url belongs to the host ''; rows are known by host and blocks, so
 repeated or null page_ids are no special case; text outside any tag is an undecided block; an empty table gives no rows; further columns are ignored.
@@ -38,17 +42,21 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm.common import cut, scratch, table, tidy
+from sessionloom.llm.common import cut, scratch, settings, table, tidy
+from sessionloom.llm.jaccard_join import TIDY_SHUFFLES
 from sessionloom.llm.shingles import mix
 
 #: A passage repeats if it has so many tokens, on so many pages of its host, which are such a share of the host's pages.
 RULES = ((32, 4, 0.02), (6, 4, 0.5))
 SHORTEST, DEPTH = min(r[0] for r in RULES), max(r[0] for r in RULES)
-LEAST_PAGES = min(r[1] for r in RULES)
 LONG_TOKEN = 64
 SKETCH_BITS = 22
+MOST = 65535
 SLICES = 16
+LARGE_HOSTS = 10_000
 PAGES_AT_ONCE = 200
+#: A task hands on its rows of equal suffixes when they hold so many, at the end of a page.
+SUFFIXES_AT_ONCE = 100_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
 CONTENT, UNDECIDED, BOILERPLATE = 0, 1, 2
 FIRM, SOFT = 1, 2
@@ -275,17 +283,17 @@ def _window_keys(tokens: list[str], host: str, known: dict[str, int]) -> np.ndar
 
 
 def _sketch(outer: DataFrame) -> np.ndarray:
-    """How often windows occur at least, each once a page: counters that stop at 255."""
+    """How often windows occur at least, each once a page: counters that stop at MOST."""
     width = (1 << SKETCH_BITS) // SLICES
 
     def count(batches):
-        total = np.zeros(1 << SKETCH_BITS, np.uint8)
+        total = np.zeros(1 << SKETCH_BITS, np.uint16)
         for b in batches:
             for lo in range(0, b.num_rows, PAGES_AT_ONCE):
                 part, known = b.slice(lo, PAGES_AT_ONCE), {}
                 at = [np.unique(_window_keys(_stream(texts), host, known)) for host, texts in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)]
                 place, n = np.unique(np.concatenate([np.empty(0, np.uint64), *at]), return_counts=True)
-                total[place] = np.minimum(total[place] + n, 255)
+                total[place] = np.minimum(total[place] + n, MOST)
         if total.any():
             yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([x.tobytes() for x in total.reshape(SLICES, width)], pa.binary())], names=["slice", "blob"])
 
@@ -294,55 +302,77 @@ def _sketch(outer: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for b in batches:
             for k, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                total[k] = np.minimum(total.get(k, 0) + np.frombuffer(blob, np.uint8).astype(np.uint16), 255)
-        yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array([v.astype(np.uint8).tobytes() for v in total.values()], pa.binary())], names=["slice", "blob"])
+                total[k] = np.minimum(total.get(k, 0) + np.frombuffer(blob, np.uint16).astype(np.uint32), MOST)
+        yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array([v.astype(np.uint16).tobytes() for v in total.values()], pa.binary())], names=["slice", "blob"])
 
     kind = "slice int, blob binary"
     rows = outer.select("host", "outer").mapInArrow(tidy(count), kind).repartition(SLICES, "slice").mapInArrow(tidy(add), kind).toArrow()  # SLICES rows
-    out = np.zeros((SLICES, width), np.uint8)
+    out = np.zeros((SLICES, width), np.uint16)
     for k, blob in zip(rows.column("slice").to_pylist(), rows.column("blob").to_pylist(), strict=True):
-        out[k] = np.minimum(out[k] + np.frombuffer(blob, np.uint8).astype(np.uint16), 255)
+        out[k] = np.minimum(out[k] + np.frombuffer(blob, np.uint16).astype(np.uint32), MOST)
     return out.ravel()
 
 
+def possible_starts(counts: np.ndarray, of: int) -> np.ndarray:
+    """Places where a repeat may start, by how often the windows of a page occur at least on its host of that many pages at least."""
+    out = np.zeros(counts.size, bool)
+    for length, least, share in RULES:
+        span = length - SHORTEST + 1  # windows of a repeat
+        if counts.size >= span:
+            few = np.append(0, np.cumsum(counts < min(MOST, max(least, share * of))))
+            out[: counts.size - span + 1] |= few[span:] == few[:-span]
+    return np.flatnonzero(out)
+
+
 WEIGHTS = [f"w{k}" for k in range(len(RULES))]
 
 
-def _suffixes(outer: DataFrame) -> DataFrame:
-    """host, copy, place, tokens (the next DEPTH, each with a space behind it), and for each rule 1 where the page's leading tokens appear for the first time.
+def _suffixes(outer: DataFrame, hosts: DataFrame) -> DataFrame:
+    """host, tokens (the next DEPTH, each with a space behind it), rows and places where they stand, first (of the rows), and for each rule how many rows show the leading tokens there for the first time.
 
-    Suffixes whose leading tokens are on too few pages of the host are left out.
+    Suffixes whose leading tokens are on too few pages of the host are left out. outer: distinct pages; hosts: how many each host has.
     """
-    shipped = outer.sparkSession.sparkContext.broadcast(_sketch(outer))
-    names = ["host", "copy", "place", "tokens", *WEIGHTS]
+    large = hosts.orderBy(F.desc("of"), "host").limit(LARGE_HOSTS).toArrow()
+    shipped = outer.sparkSession.sparkContext.broadcast((_sketch(outer), dict(zip(*(c.to_pylist() for c in large.columns), strict=True))))
+    names = ["host", "tokens", "first", "rows", "places", *WEIGHTS]
+
+    def packed(held: dict[tuple[str, str], list]):
+        entries = list(held.values())
+        cols = [[h for h, _ in held], [t for _, t in held], [e[0][0] for e in entries], *([e[k] for e in entries] for k in range(2 + len(RULES)))]
+        held.clear()
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), *[pa.int64()] * len(RULES))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
 
     def run(batches):
+        held: dict[tuple[str, str], list] = {}  # rows, places, and the weight by each rule
+        size = 0
+        sketch, pages = shipped.value
         for b in batches:
             for lo in range(0, b.num_rows, PAGES_AT_ONCE):
                 part, known = b.slice(lo, PAGES_AT_ONCE), {}
-                cols: list[list] = [[] for _ in names]
-                for host, copy, outer in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                for row, host, outer in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     tokens = _stream(outer)
-                    often = np.flatnonzero(shipped.value[_window_keys(tokens, host, known)] >= LEAST_PAGES)
+                    often = possible_starts(sketch[_window_keys(tokens, host, known)], pages.get(host, 0))
                     if often.size:
                         tokens = [t if len(t) <= LONG_TOKEN else "\0" + blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest() for t in tokens]
                     met: set[tuple[str, ...]] = set()
                     for i in often.tolist():
-                        row = [host, copy, i, " ".join(tokens[i : i + DEPTH]) + " "]
-                        for length, _, _ in RULES:
+                        entry = held.setdefault((host, " ".join(tokens[i : i + DEPTH]) + " "), [[], [], *[0] * len(RULES)])
+                        entry[0].append(row)
+                        entry[1].append(i)
+                        for k, (length, _, _) in enumerate(RULES):
                             lead = tuple(tokens[i : i + length])
-                            first = len(lead) == length and lead not in met
-                            row.append(int(first))
-                            if first:
+                            if len(lead) == length and lead not in met:
+                                entry[2 + k] += 1
                                 met.add(lead)
-                        for c, v in zip(cols, row, strict=True):
-                            c.append(v)
-                kinds = (pa.string(), pa.binary(), pa.int32(), pa.string(), *[pa.int32()] * len(RULES))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
+                    size += often.size
+                    if size >= SUFFIXES_AT_ONCE:
+                        yield packed(held)
+                        size = 0
+        if held:
+            yield packed(held)
 
-    found = outer.select("host", "copy", "outer").mapInArrow(tidy(run), "host string, copy binary, place int, tokens string, " + ", ".join(f"{w} int" for w in WEIGHTS))
-    # pages with equal blocks count once
-    return found.groupBy("host", "copy", "place", "tokens").agg(*[F.max(w).alias(w) for w in WEIGHTS])
+    return outer.select("row", "host", "outer").mapInArrow(tidy(run), "host string, tokens string, first long, rows array<long>, places array<int>, " + ", ".join(f"{w} long" for w in WEIGHTS))
 
 
 def common_prefixes(hosts: pa.Array, tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -387,33 +417,39 @@ def _intervals(array: DataFrame) -> DataFrame:
     return array.select("host", "tokens", *WEIGHTS).mapInArrow(tidy(run), "host string, rule int, lead string, pages long")
 
 
-def _repeats(parsed: DataFrame, keep) -> DataFrame:
-    """host, copy, starts (array of rule and place): where the repeats of a page's host start in its stream."""
-    outer = parsed.where(F.size("outer") > 0)
-    order = ["host", "tokens", "copy", "place"]
-    shuffles = int(parsed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    array = cut(_suffixes(outer).repartitionByRange(shuffles, *order).sortWithinPartitions(*order), "html-array")
-    hosts = outer.select("host", "copy").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("of"))
+def _repeats(outer: DataFrame, keep) -> DataFrame:
+    """host, copy, starts (array of place * number of rules + rule): where the repeats of a page's host start in its stream. outer: row (a number), host, copy, outer."""
+    # pages with equal blocks count once
+    firsts = outer.groupBy("host", "copy").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    copies = cut(outer.select("row", "host", "copy").join(firsts, ["host", "copy"]).where("row > first").select("row"), "html-copies")
+    outer = outer.join(copies, "row", "left_anti")
+    order = ["host", "tokens", "first"]
+    shuffles = int(outer.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hosts = cut(outer.groupBy("host").agg(F.count(F.lit(1)).alias("of")), "html-hosts")
+    array = cut(_suffixes(outer, hosts).repartitionByRange(shuffles, *order).sortWithinPartitions(*order), "html-array")
     enough = F.lit(False)
     for k, (_, n, share) in enumerate(RULES):
         enough = enough | ((F.col("rule") == k) & (F.col("pages") >= F.greatest(F.lit(float(n)), F.col("of") * share)))
     counts = _intervals(array).groupBy("host", "rule", "lead").agg(F.sum("pages").alias("pages")).join(hosts, "host")
     repeats = cut(counts.where(enough).select("host", "rule", "lead"), "html-repeats")
     leads = F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), F.substring_index("tokens", " ", r[0]).alias("lead")) for k, r in enumerate(RULES)]))
-    starts = array.select("host", "copy", "place", leads.alias("x")).select("host", "copy", "place", "x.rule", "x.lead").join(repeats, ["host", "rule", "lead"])
-    return keep(starts.groupBy("host", "copy").agg(F.collect_set(F.struct("rule", "place")).alias("starts")), "html-starts")
+    found = array.select("host", "rows", "places", leads.alias("x")).select("host", "rows", "places", "x.rule", "x.lead").join(repeats, ["host", "rule", "lead"])
+    places = found.select("rule", F.explode(F.arrays_zip("rows", "places")).alias("x")).select("x.rows", (F.col("x.places") * len(RULES) + F.col("rule")).alias("start"))
+    starts = places.groupBy(F.col("rows").alias("row")).agg(F.collect_set("start").alias("starts"))
+    return keep(starts.join(outer.select("row", "host", "copy"), "row").select("host", "copy", "starts"), "html-starts")
 
 
-def _covered(n: int, starts: list[tuple[int, int]]) -> np.ndarray:
-    """Which of n tokens lie in a repeat; starts: (rule, place)."""
+def _covered(n: int, starts: list[int] | None) -> np.ndarray:
+    """Which of n tokens lie in a repeat; starts: place * number of rules + rule."""
     out = np.zeros(n + 1, np.int64)
-    for rule, s in starts:
+    for x in starts or ():
+        s, rule = divmod(x, len(RULES))
         out[s] += 1
         out[s + RULES[rule][0]] -= 1
     return np.cumsum(out[:-1]) > 0
 
 
-def _text(kinds: bytes, content: list[str], outer: list[str], starts: list[tuple[int, int]]) -> str:
+def _text(kinds: bytes, content: list[str], outer: list[str], starts: list[int] | None) -> str:
     """Content, and the runs of undecided blocks that repeats don't cover."""
     covered = _covered(len(_stream(outer)), starts).tolist()
     out, at, inner, rest = [], 0, iter(content), iter(outer)
@@ -430,11 +466,13 @@ def _text(kinds: bytes, content: list[str], outer: list[str], starts: list[tuple
     return "\n".join(out)
 
 
-def _analysed(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _analysed(pages: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+    """Pages to be parsed where they are read, the written starts of repeats, and whether any page has undecided blocks."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    with scratch(pages.sparkSession) as keep:
-        parsed = keep(_parsed(pages), "html-blocks")
-        return parsed, _repeats(parsed, keep)
+    with scratch(pages.sparkSession) as keep, settings(pages.sparkSession, TIDY_SHUFFLES):
+        parsed = _parsed(pages)
+        outer = cut(parsed.where(F.size("outer") > 0).select(F.monotonically_increasing_id().alias("row"), "host", "copy", "outer", "undecided"), "html-outer")
+        return parsed, _repeats(outer.drop("undecided"), keep), bool(outer.where("undecided").take(1))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -442,15 +480,15 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            text = [_text(k, c, o, [(x["rule"], x["place"]) for x in s or ()]) for k, c, o, s in zip(*(b.column(i).to_pylist() for i in range(2, 6)), strict=True)]
+            text = [_text(*row) for row in zip(*(b.column(i).to_pylist() for i in range(2, 6)), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string())], names=["page_id", "url", "text"])
 
-    with scratch(pages.sparkSession) as keep:
-        parsed, starts = _analysed(pages)
-        done = parsed.where("not undecided").select("page_id", "url", F.array_join("content", "\n").alias("text"))
+    parsed, starts, undecided = _analysed(pages)
+    done = parsed.where("not undecided").select("page_id", "url", F.array_join("content", "\n").alias("text"))
+    if undecided:
         joined = parsed.where("undecided").join(starts, ["host", "copy"], "left").select("page_id", "url", "kinds", "content", "outer", "starts")
         done = done.union(joined.mapInArrow(tidy(run), "page_id long, url string, text string"))
-        return keep(done.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")), "html-text")
+    return done.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
 def decisions(pages: DataFrame) -> DataFrame:
@@ -462,13 +500,13 @@ def decisions(pages: DataFrame) -> DataFrame:
         for b in batches:
             for kinds, outer, s in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 size = [len(t.split(" ")) for t in outer]
-                cut_ = _covered(sum(size), [(x["rule"], x["place"]) for x in s or ()])
+                cut_ = _covered(sum(size), s)
                 open_ = np.repeat([k == UNDECIDED for k in kinds if k != CONTENT], size)
                 total += [cut_.size, cut_.sum(), (~cut_ & ~open_).sum(), (~cut_ & open_).sum()]
         yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in total], names=names)
 
     with scratch(pages.sparkSession) as keep:
-        parsed, starts = _analysed(pages)
+        parsed, starts, _ = _analysed(pages)
         met = parsed.where(F.size("outer") > 0).join(starts, ["host", "copy"], "left").select("kinds", "outer", "starts")
         return keep(met.mapInArrow(tidy(run), ", ".join(f"{c} long" for c in names)).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]), "html-decisions")
 

@@ -305,3 +305,55 @@ def test_marks_keep_main_text():
     # text of a wrapper counts like the text around it; a marked element beside the article stays out
     html = '<div class="widget">w<div class="ad">x</div><article>a<div class="share">y</div></article></div><div class="ad">z</div>'
     assert html_text.blocks(html) == [(1, "w"), (2, "x"), (0, "a"), (2, "y"), (2, "z")]
+
+
+def test_html_text_writes_little_beside_its_input(spark, monkeypatch):
+    """Articles are neither written nor shuffled, passages of few pages make no suffixes, and shuffle files go."""
+    import random
+    from pathlib import Path
+
+    from sessionloom.llm import common
+
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7))
+    menu, quotes = " ".join(word() for _ in range(12)), [" ".join(word() for _ in range(20)) for _ in range(20)]
+    article = {k: " ".join(word() for _ in range(1000)) for k in range(300)}
+    # each quote is on 15 pages, fewer than half of them
+    pages = [(k, f"http://h.com/{k}", f"<div>{menu}</div><article>{a}</article><p>p{k} {quotes[k % 20]}</p>") for k, a in article.items()]
+    written, html = {}, sum(len(p[2]) for p in pages)
+    real = common.cut
+
+    def cut(df, tag):
+        out = real(df, tag)
+        written[tag] = sum(Path(f.removeprefix("file:")).stat().st_size for f in out.inputFiles()), out.count()
+        return out
+
+    monkeypatch.setattr(common, "cut", cut)
+    monkeypatch.setattr(html_text, "cut", cut)
+    shuffles = lambda: {f for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(2)
+    before = shuffles()
+    out = html_text.main_text(df)
+    assert sum(Path(f).stat().st_size for f in shuffles() - before if Path(f).exists()) < 10_000
+    assert sum(n for n, _ in written.values()) < html / 10
+    assert written["html-array"][1] <= 7 * len(pages)  # seven places in each menu, none in a quote
+    assert {r["page_id"]: r["text"] for r in out.collect()} == {k: f"{a}\np{k} {quotes[k % 20]}" for k, a in article.items()}
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_repeats_in_small_packs(spark, seed, monkeypatch):
+    """Rows of equal suffixes are handed on after each page, and only one host's share is known."""
+    monkeypatch.setattr(html_text, "SUFFIXES_AT_ONCE", 1)
+    monkeypatch.setattr(html_text, "LARGE_HOSTS", 1)
+    test_repeats_are_those_of_a_suffix_array(spark, seed)
+
+
+def test_possible_starts():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for of in (0, 9, 1000, 10_000_000):
+        for n in (0, 1, 5, 26, 27, 28, 200):
+            counts = rng.choice([3, 4, 5, 19, 20, 500, 65535], n, p=[0.01, 0.05, 0.04, 0.02, 0.08, 0.4, 0.4])
+            want = {i for length, least, share in html_text.RULES for i in range(n - length + 6) if all(c >= min(65535, max(least, share * of)) for c in counts[i : i + length - 5])}
+            assert html_text.possible_starts(counts, of).tolist() == sorted(want)
