@@ -153,8 +153,9 @@ def completeness(sessions: DataFrame, expected: DataFrame, files: DataFrame, now
     sessions: session, result_present, result (null: unreadable), config_present, config_ok, mtime (seconds); expected: session, path (the files
     that its configuration declares); files: session, path, size. Paths that aren't there or hold nothing keep a session back, the first by name.
     """
-    have = files.where("size > 0").select("session", "path").distinct()
-    missing = expected.join(have, ["session", "path"], "left_anti").groupBy("session").agg(F.min("path").alias("missing"))
+    # both sides are dealt out and counted, never joined: estimates of exploded files are far too low, and a broadcast of them fills the driver
+    both = expected.select("session", "path", F.lit(True).alias("_absent")).unionByName(files.where("size > 0").select("session", "path", F.lit(False).alias("_absent")))
+    missing = both.groupBy("session", "path").agg(F.bool_and("_absent").alias("_absent")).where("_absent").groupBy("session").agg(F.min("path").alias("missing"))
     age = now - F.col("mtime")
     reason = (
         F.when(~F.coalesce("result_present", F.lit(False)), "result missing")
@@ -165,7 +166,7 @@ def completeness(sessions: DataFrame, expected: DataFrame, files: DataFrame, now
         .when(F.col("missing").isNotNull(), F.concat(F.col("missing"), F.lit(" missing or empty")))
         .when(age < stable, "changed lately")
     )
-    return sessions.join(missing, "session", "left").select("session", reason.isNull().alias("complete"), F.coalesce(reason, F.lit("")).alias("reason"))
+    return sessions.join(missing.hint("merge"), "session", "left").select("session", reason.isNull().alias("complete"), F.coalesce(reason, F.lit("")).alias("reason"))
 
 
 def declared_files(configs: DataFrame) -> DataFrame:
