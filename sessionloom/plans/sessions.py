@@ -197,14 +197,14 @@ def classify(invalid: Column, rejected: Column, empty: Column) -> Column:
 
 
 def daily_batch(sessions: DataFrame, day: str, rig: int, hours: tuple[int, int] = (7, 24), cap_bytes: int = 5 * 1024**3) -> DataFrame:
-    """The sessions of a rig and day within the hours, valid ones by name until the cap.
+    """The sessions of a rig and day within the hours, valid ones by name until the cap. Of equal names the smaller comes first, then by operator and rig fields.
 
     sessions: name, rig_code, rig_id, operator, valid, size_bytes.
     """
     at = name_timestamp(F.col("name"))
     rows = sessions.withColumn("at", at).where((F.to_date("at") == F.lit(day).cast("date")) & (F.hour("at") >= hours[0]) & (F.hour("at") < hours[1]))
     rows = rows.where((rig_of_config(F.col("rig_code"), F.col("rig_id"), F.col("operator")) == rig) & F.col("valid")).withColumn("rig", F.lit(rig))
-    return O.capacity_prefix(rows, ["rig"], ["name"], "size_bytes", cap_bytes)
+    return O.capacity_prefix(rows, ["rig"], ["name", "size_bytes", "operator", "rig_code", "rig_id"], "size_bytes", cap_bytes)
 
 
 def replication_plan(sessions: DataFrame, disks: DataFrame, limit: int | None = None, reserve: float = 10 * 1024**3) -> DataFrame:

@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from sessionloom.plans import checks as C
+from sessionloom.plans import sessions as P
 
 
 def test_completeness_sends_no_files_to_the_driver(spark):
@@ -21,3 +22,16 @@ def test_completeness_sends_no_files_to_the_driver(spark):
     assert len(got) == 40 and {r["session"]: r["reason"] for r in got} == want and all(r["complete"] == (r["reason"] == "") for r in got)
     assert len(set(want.values())) > 4 and "" in want.values()
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_daily_batch_of_equal_names(spark):
+    """Whatever order the rows come in, the same sessions of equal names go into the batch, also where the cap falls between them."""
+    name = "session_20240215_{:02d}0000".format
+    rows = [(name(h), "RIG-2", None, operator, True, size) for h, operator, size in ((9, "b", 30), (9, "a", 30), (8, "a", 50), (8, "a", 10), (8, "b", 20), (10, "a", 1))]
+    schema = "name string, rig_code string, rig_id string, operator string, valid boolean, size_bytes long"
+    for seed in range(6):
+        order = np.random.default_rng(seed).permutation(len(rows)) if seed > 1 else range(len(rows))[:: 1 - 2 * seed]
+        got = P.daily_batch(spark.createDataFrame([rows[k] for k in order], schema).coalesce(1), "2024-02-15", 2, cap_bytes=110).collect()
+        assert sorted((r["name"], r["operator"], r["size_bytes"]) for r in got) == [(name(8), "a", 10), (name(8), "a", 50), (name(8), "b", 20), (name(9), "a", 30)]
+        tight = P.daily_batch(spark.createDataFrame([rows[k] for k in order], schema).coalesce(1), "2024-02-15", 2, cap_bytes=40).collect()
+        assert sorted(r["size_bytes"] for r in tight) == [10, 20]
