@@ -243,11 +243,7 @@ w AS (SELECT session, max(own) FILTER (WHERE side = 'left') AS ll, max(own) FILT
     coalesce(max(n) FILTER (WHERE side = 'left'), 0) AS nl, coalesce(max(n) FILTER (WHERE side = 'right'), 0) AS nr FROM c GROUP BY 1)
 SELECT session, nl AS found_left, nr AS found_right, round(ll, 6) AS r_ll, round(rr, 6) AS r_rr, round(lr, 6) AS r_lr, round(rl, 6) AS r_rl, {_PAIRING.replace("NOT enough", "least(nl, nr) < 5").replace("abs(ll)", "coalesce(abs(ll), 0)").replace("abs(rr)", "coalesce(abs(rr), 0)").replace("abs(lr)", "coalesce(abs(lr), 0)")} AS verdict FROM w""")
 def quick_pairing(spark, d):
-    samples = _QUICK(spark, d)
-    usable = samples.where("distance is not null")
-    out = P.quick_pairing(usable, _SENSOR(spark, d))
-    none = samples.select("session").distinct().join(out.select("session"), "session", "left_anti")
-    out = out.unionByName(none.selectExpr("session", "null as r_ll", "null as r_rr", "null as r_lr", "null as r_rl", "0L as found_left", "0L as found_right", "'inconclusive' as verdict"), allowMissingColumns=True)
+    out = P.quick_pairing(_QUICK(spark, d), _SENSOR(spark, d))
     return rounded(out, "r_ll", "r_rr", "r_lr", "r_rl")
 
 

@@ -283,16 +283,19 @@ def pairing_verdict(ll: Column, rr: Column, lr: Column, rl: Column, margin: floa
 def quick_pairing(samples: DataFrame, sensors: DataFrame, requested: int = 10) -> DataFrame:
     """session, r_ll, r_rr, r_lr, r_rl, found_left, found_right, verdict from few samples a side.
 
-    samples: session, side, sample_id, t, distance, opening (the side's own sensor at that time, by which the samples were chosen: see
-    `diverse_sample`); sensors: session, side, t, opening. The other side's sensor is interpolated at the same times. Fewer than 4
-    samples or a flat side correlate as 0; fewer than half the requested samples (4 at least) are inconclusive.
+    samples: session, side, sample_id, t, distance (null: none was measured), opening (the side's own sensor at that time, by which the samples were
+    chosen: see `diverse_sample`); sensors: session, side, t, opening. The other side's sensor is interpolated at the same times. Samples
+    with a distance count as found. Fewer than 4 of them (none, too) or a flat side correlate as 0, a side without any sample as null; fewer than half
+    the requested samples (4 at least) are inconclusive.
     """
     from sessionloom.operators.aggregates import pearson
 
     other = F.when(F.col("side") == "left", "right").otherwise("left")
     crossed = O.interpolated(samples, sensors.withColumn("side", other), ["session", "side"], "t", "opening", "sample_id").select("session", "side", "sample_id", F.col("opening").alias("crossed"))
     guarded = lambda c: F.when(F.count("distance") < 4, 0.0).otherwise(pearson("distance", c, 1e-9))
-    each = samples.join(crossed, ["session", "side", "sample_id"]).groupBy("session", "side").agg(F.count("distance").alias("found"), guarded("opening").alias("own"), guarded("crossed").alias("cross"))
+    found = lambda c: F.when(F.col("distance").isNotNull(), F.col(c))
+    met = samples.join(crossed, ["session", "side", "sample_id"]).withColumns({c: found(c) for c in ("opening", "crossed")})
+    each = met.groupBy("session", "side").agg(F.count("distance").alias("found"), guarded("opening").alias("own"), guarded("crossed").alias("cross"))
     of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
     out = each.groupBy("session").agg(of("left", "own").alias("r_ll"), of("right", "own").alias("r_rr"), of("left", "cross").alias("r_lr"), of("right", "cross").alias("r_rl"), F.coalesce(of("left", "found"), F.lit(0)).alias("found_left"), F.coalesce(of("right", "found"), F.lit(0)).alias("found_right"))
     enough = F.least("found_left", "found_right") >= max(4, requested / 2)

@@ -35,3 +35,25 @@ def test_daily_batch_of_equal_names(spark):
         assert sorted((r["name"], r["operator"], r["size_bytes"]) for r in got) == [(name(8), "a", 10), (name(8), "a", 50), (name(8), "b", 20), (name(9), "a", 30)]
         tight = P.daily_batch(spark.createDataFrame([rows[k] for k in order], schema).coalesce(1), "2024-02-15", 2, cap_bytes=40).collect()
         assert sorted(r["size_bytes"] for r in tight) == [10, 20]
+
+
+def test_quick_pairing_counts_samples_without_distance(spark):
+    """A side whose samples all lack a distance correlates as 0 with none found; a side without samples as null. Openings without a distance count for nothing."""
+    rng = np.random.default_rng(8)
+    sides = {(s, side): n for s, ends in {"both": (9, 8), "left_blind": (0, 7), "blind": (0, 0), "right_only": (None, 6), "few": (3, 9)}.items() for side, n in zip(("left", "right"), ends, strict=True) if n is not None}
+    samples, want = [], {}
+    for (s, side), n in sides.items():
+        d, o = rng.normal(size=n).tolist(), rng.normal(size=n).tolist()
+        samples += [(s, side, k, float(k), x, y) for k, (x, y) in enumerate(zip(d, o, strict=True))] + [(s, side, 90 + k, 90.0 + k, None, 1e6 * k) for k in range(3)]
+        line = np.array([float(k) for k in range(n)])
+        want[s, side] = (n, *(0.0 if n < 4 else float(np.corrcoef(d, v)[0, 1]) for v in (o, line)))
+    sensors = [(s, side, t, t) for s in {s for s, _ in sides} for side in ("left", "right") for t in (0.0, 100.0)]
+    out = P.quick_pairing(spark.createDataFrame(samples, "session string, side string, sample_id long, t double, distance double, opening double"), spark.createDataFrame(sensors, "session string, side string, t double, opening double"))
+    got = {r["session"]: r for r in out.collect()}
+    assert set(got) == {s for s, _ in sides}
+    for s, r in got.items():
+        for side, own, cross in (("left", "r_ll", "r_lr"), ("right", "r_rr", "r_rl")):
+            n, *rs = want.get((s, side), (0, None, None))
+            assert r[f"found_{side}"] == n
+            assert [r[own], r[cross]] == [None, None] if rs[0] is None else np.allclose([r[own], r[cross]], rs)
+    assert {s for s, r in got.items() if r["verdict"] == "inconclusive"} >= {"left_blind", "blind", "right_only", "few"}
